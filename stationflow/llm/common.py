@@ -100,7 +100,7 @@ def seen_twice(hashes: DataFrame, bits: int) -> bytes:
     Tasks send the places that they saw, once or more, by slice; a slice's task merges them as they come, in
     2 ** SLICE_BITS bytes of memory. The driver gets the bits of the twice-seen filter, 2 ** bits / 8 bytes.
     """
-    most = 2_000_000
+    spark, most = hashes.sparkSession, 2_000_000
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -157,7 +157,7 @@ def seen_twice(hashes: DataFrame, bits: int) -> bytes:
 
     sent = hashes.mapInArrow(send, "slice int, at binary, twice binary")
     slices = max(1, (1 << bits) >> SLICE_BITS)
-    parts = sent.repartition(min(slices, 256), "slice").mapInArrow(merge, "slice int, bits binary")
+    parts = sent.repartition(min(slices, int(spark.conf.get("spark.sql.shuffle.partitions"))), "slice").mapInArrow(merge, "slice int, bits binary")
     out = bytearray((1 << bits) // 8)
     for row in parts.toLocalIterator():
         out[row.slice << (SLICE_BITS - 3) : (row.slice + 1) << (SLICE_BITS - 3)] = row.bits

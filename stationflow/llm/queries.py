@@ -7,8 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .decontaminate import contamination
+from .language import identify
+from .lines import ORACLE as LINE_ORACLE
+from .lines import line_dedup
 from .media import media_columns, store_media
 from .packing import pack
+from .simhash import near_duplicates
+from .urls import ORACLE as URL_ORACLE
+from .urls import judge_urls
 
 
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +29,21 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op3_packing, op4_decontamination)}
-ORACLES: dict[str, str] = {}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_simhash, op3_packing, op4_decontamination, op5_language, op7_line_dedup, op8_url_filters)}
+ORACLES: dict[str, str] = {"op8_url_filters": URL_ORACLE, "op7_line_dedup": LINE_ORACLE}
