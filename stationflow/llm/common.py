@@ -27,12 +27,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage, survives lost executors, and is computed once."""
+def written(df: DataFrame, name: str, codec: str = "zstd", by: str | None = None) -> DataFrame:
+    """df as a table in the shared folder (in a folder for each value of by): cuts the lineage, survives lost executors, is computed once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stationflow-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", codec)
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stationflow_path = path
+    return table
+
+
+def forget(table: DataFrame, part: str = "") -> None:
+    """Deletes a table of written(), or one folder of it, that nothing reads again."""
+    jvm = table.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{table._stationflow_path}/{part}".rstrip("/"))
+    path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -12,7 +12,10 @@ from .lines import ORACLE as LINE_ORACLE
 from .lines import line_dedup
 from .media import media_columns, store_media
 from .packing import pack
+from .scoring import lm_scores
+from .secrets import scan
 from .simhash import near_duplicates
+from .substrings import remove_repeats
 from .urls import ORACLE as URL_ORACLE
 from .urls import judge_urls
 
@@ -45,5 +48,31 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_simhash, op3_packing, op4_decontamination, op5_language, op7_line_dedup, op8_url_filters)}
-ORACLES: dict[str, str] = {"op8_url_filters": URL_ORACLE, "op7_line_dedup": LINE_ORACLE}
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_media_columns,
+        op2_simhash,
+        op3_packing,
+        op4_decontamination,
+        op5_language,
+        op6_suffix_array,
+        op7_line_dedup,
+        op8_url_filters,
+        op9_lm_scoring,
+        op10_secret_scans,
+    )
+}
+ORACLES: dict[str, str] = {"op7_line_dedup": LINE_ORACLE, "op8_url_filters": URL_ORACLE}
