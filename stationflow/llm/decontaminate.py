@@ -192,16 +192,18 @@ class Shard:
 
 OUT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start: long, end: long>>"
 MOST_BENCHMARK = 64 << 20  # bytes of benchmark text that are broadcast
+HELD_BYTES = 32 << 20  # bytes of rows that a task holds until their shard is judged
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = 1_500_000, share: int = 20, most_benchmark: int = MOST_BENCHMARK) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = 1_500_000, share: int = 20, most_benchmark: int = MOST_BENCHMARK, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row for each document: how many of its words lie in occurrences of benchmark windows, and the merged spans.
 
     docs needs doc_id and text, benchmark item_id and text. Null texts have no words; items without words have no
     windows; an item that is there twice counts once. Repeated rows of documents give repeated rows. An empty
     benchmark hits nothing, an empty table of documents gives no rows. The benchmark is broadcast, so it may have
     most_benchmark bytes; a larger one raises ValueError (call with parts of it then). Documents aren't shuffled:
-    each task indexes what it reads, in shards of about shard_words words of the benchmark's vocabulary.
+    each task indexes what it reads, in shards of about shard_words words of the benchmark's vocabulary. Columns of
+    docs that are named in keep are returned besides.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -210,29 +212,43 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard
     if size > most_benchmark:
         raise ValueError(f"the benchmark has {size} bytes; {most_benchmark} can be broadcast")
     shared = spark.sparkContext.broadcast(sorted(((r.item_id, bytes(r.text) if r.text is not None else None) for r in items.collect()), key=lambda r: (str(r[0]), r[1] or b"")))
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(shared.value, window)
 
-        def judged(shard: Shard) -> Iterator[pa.RecordBatch]:
-            hits, rows = shard.hits(), []
-            for k, (doc, n) in enumerate(zip(shard.docs, shard.counts)):
-                spans, which = hits.get(k, ((), ()))
-                names = sorted({phrases.items[i] for i in which})
-                hit = sum(b - a for a, b in spans)
-                rows.append((doc, n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0 and share * hit >= n, [{"start": a, "end": b} for a, b in spans]))
-            for s in range(0, len(rows), 20_000):
-                cols = list(zip(*rows[s : s + 20_000]))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span_type]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-
-        shard = Shard(phrases)
+        def judged(shard: Shard, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hits, at = shard.hits(), 0
+            for batch in held:
+                rows = []
+                for k in range(at, at + batch.num_rows):
+                    n = shard.counts[k]
+                    spans, which = hits.get(k, ((), ()))
+                    names = sorted({phrases.items[i] for i in which})
+                    hit = sum(b - a for a, b in spans)
+                    rows.append((shard.docs[k], n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0 and share * hit >= n, [{"start": a, "end": b} for a, b in spans]))
+                at += batch.num_rows
+                cols = list(zip(*rows)) or [()] * len(types)
+                yield pa.record_batch([*(pa.array(c, t) for c, t in zip(cols, types)), *(batch.columns if keep else ())], [*(c.split()[0] for c in OUT.split(", ")[:6]), "spans", *keep])
+
+        shard, held, size = Shard(phrases), [], 0
         for batch in batches:
             shard.add(batch.column("doc_id").to_pylist(), text_bytes(batch))
-            if shard.size >= shard_words or len(shard.docs) >= 50_000:
-                yield from judged(shard)
-                shard = Shard(phrases)
-        yield from judged(shard)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, OUT)
+            held.append(batch.select([f"kept_{i}" for i in range(len(keep))]) if keep else batch.select(["doc_id"]))
+            size += batch.nbytes if keep else 0
+            if shard.size >= shard_words or len(shard.docs) >= 50_000 or size >= HELD_BYTES:
+                yield from judged(shard, held)
+                shard, held, size = Shard(phrases), [], 0
+        yield from judged(shard, held)
+
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)))
+    return lean.mapInArrow(run, ", ".join([OUT, *(f"`{c}` {kinds[c]}" for c in keep)]))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of docs that aren't contaminated."""
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    named = docs.withColumnsRenamed({c: f"own_{c}" for c in others}).withColumn("text", F.col("own_text"))
+    found = contamination(named, benchmark, keep=tuple(f"own_{c}" for c in others), **options).where(~F.col("contaminated"))
+    return found.select(*("doc_id" if c == "doc_id" else F.col(f"own_{c}").alias(c) for c in docs.columns))

@@ -203,18 +203,21 @@ def bucket(doc_id: Column, n: int) -> Column:
 OUT = "doc_id long, held_out boolean, lang_pred string, score double, n_words long, n_switches long"
 
 
-def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: int = 3000, sample_words: int = 80) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: int = 3000, sample_words: int = 80, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, lang_pred, score (the predicted language's share of the words), n_words and n_switches.
 
     docs needs doc_id, text and lang. Learns from documents with text and lang whose crc32(doc_id) modulo folds is
     not held_out: a sample of at most most_samples of them by a hash of their text, from each a stretch of at most
     sample_words words at a place that the hash gives. All texts are labelled whole. Rows whose text is null or has
     no letter get `und` and score 0; a null doc_id is never held out and never learned from. Repeated rows give
-    repeated rows. If nothing can be learned, every row is `und`.
+    repeated rows. If nothing can be learned, every row is `und`. Columns of docs that are named in keep are returned
+    besides.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *kept)
     fold = F.coalesce(bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
     words = F.split("text", r"\s+")
     place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(words) - sample_words + 1, F.lit(1)).cast("long")).cast("int") + 1
@@ -223,11 +226,14 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
     rows = chosen.select("lang", F.array_join(F.slice(words, place, sample_words), " ").alias("text")).collect()
     model = spark.sparkContext.broadcast(fit(sorted((r.text[:4000], r.lang) for r in rows)))
 
+    names_out = [*(c.split()[0] for c in OUT.split(", ")), *keep]
+    extra = lambda batch: [batch.column(f"kept_{i}") for i in range(len(keep))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not model.value.labels:
             for batch in batches:
                 n = batch.num_rows
-                yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(["und"] * n, pa.string()), pa.array([0.0] * n), pa.array([0] * n, pa.int64()), pa.array([0] * n, pa.int64())], [c.split()[0] for c in OUT.split(", ")])
+                yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(["und"] * n, pa.string()), pa.array([0.0] * n), pa.array([0] * n, pa.int64()), pa.array([0] * n, pa.int64()), *extra(batch)], names_out)
             return
         labeller, names = Labeller(model.value), np.array(model.value.labels, dtype=object)
         for batch in batches:
@@ -246,6 +252,14 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
             top = share.argmax(1)
             pred = np.where(n > 0, names[top], "und")
             score = np.clip(share[np.arange(len(texts)), top], 0.0, 1.0)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(n), pa.array(switches)], [c.split()[0] for c in OUT.split(", ")])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(n), pa.array(switches), *extra(batch)], names_out)
+
+    return docs.select("doc_id", fold.alias("held_out"), "text", *(f"kept_{i}" for i in range(len(keep)))).mapInArrow(run, ", ".join([OUT, *(f"`{c}` {kinds[c]}" for c in keep)]))
+
 
-    return docs.select("doc_id", fold.alias("held_out"), "text").mapInArrow(run, OUT)
+def keep_identified(docs: DataFrame, least: float = 0.3, **options) -> DataFrame:
+    """The rows of docs whose language is known: not `und`, and at least the share `least` of the words has it."""
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    found = identify(docs.withColumnsRenamed({c: f"own_{c}" for c in others}).withColumns({"text": F.col("own_text"), "lang": F.col("own_lang")}), keep=tuple(f"own_{c}" for c in others), **options)
+    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return found.select(*("doc_id" if c == "doc_id" else F.col(f"own_{c}").alias(c) for c in docs.columns))
