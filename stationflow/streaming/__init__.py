@@ -1 +1,81 @@
+"""Streaming forms of window sums, change sets and trip matching."""
 
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..operators.store import apply_changes, change_set
+
+
+def stream_window(source: DataFrame, value: Column, period: str, key: Sequence[str] = ("station_code",), delay: str = "1 day") -> DataFrame:
+    """An aggregate of each tumbling window; rows that are later than delay are lost. Windows appear when they are closed."""
+    w = F.window("ts", period)
+    out = source.withWatermark("ts", delay).groupBy(*key, w).agg(value.alias("value"))
+    return out.select(*key, F.col("window.start").alias("start"), F.col("window.end").alias("ts"), "value")
+
+
+def stream_merge(source: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame], None], key: Sequence[str] = ("station_code",)) -> DataStreamWriter:
+    """Each micro-batch of (key, ts, value) is a recomputed range of the target that read() gives; write() gets the target after the change set.
+
+    A batch that is tried again gives the same target. write() has to replace the target as a whole, not in place.
+    """
+
+    def merge(batch: DataFrame, _: int) -> None:
+        bounds = batch.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()  # one row
+        if bounds.lo is None:
+            return
+        old = read()
+        own = old.join(batch.select(*key).distinct(), list(key), "left_semi")
+        changes = change_set(batch, own, F.lit(bounds.lo), F.lit(bounds.hi), key)
+        write(apply_changes(old, changes, key))
+
+    return source.writeStream.foreachBatch(merge)
+
+
+TRIP = "link_code string, device string, ts timestamp, value double"
+STATE = "starts array<timestamp>, ends array<timestamp>"
+
+
+def stream_match(source: DataFrame, edges: DataFrame, max_s: int = 3600, delay: str = "10 minutes") -> DataFrame:
+    """Trips as match_trips() finds them, each when the watermark has passed all that could change it.
+
+    edges are joined as a static table. State is kept for each link and device: sightings at either end that are not
+    older than max_s before the watermark.
+    """
+    ends = edges.select("link_code", F.explode(F.array(F.struct(F.col("origin_code").alias("station_code"), F.lit(True).alias("is_origin")), F.struct(F.col("destination_code").alias("station_code"), F.lit(False).alias("is_origin")))).alias("e")).select("link_code", "e.*")
+    seen = source.withWatermark("ts", delay).join(ends, "station_code").select("link_code", "device", "ts", "is_origin")
+    wait = pd.Timedelta(seconds=max_s)
+
+    def match(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        starts, ends_ = (set(map(pd.Timestamp, x)) for x in state.get) if state.exists else (set(), set())
+        for f in frames:
+            starts |= set(f.ts[f.is_origin])
+            ends_ |= set(f.ts[~f.is_origin])
+        mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+        rows = []
+        for s in sorted(starts):
+            if s + wait > mark:
+                continue
+            finish = min((e for e in ends_ if s < e < s + wait), default=None)
+            again = min((o for o in starts if s < o < s + wait), default=None)
+            if finish is not None and (again is None or again > finish):
+                rows.append((*key, s, (finish - s).total_seconds()))
+        open_ = {s for s in starts if s + wait > mark}
+        # a decided start still cuts off none of the open ones, as it is earlier than all of them
+        kept = {e for e in ends_ if e > min(open_, default=mark)}
+        if open_ or kept:
+            state.update(([*map(pd.Timestamp.to_pydatetime, sorted(open_))], [*map(pd.Timestamp.to_pydatetime, sorted(kept))]))
+            at = min(open_, default=min(kept, default=mark)) + wait
+            state.setTimeoutTimestamp(max(int(at.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+        else:
+            state.remove()
+        if rows:
+            yield pd.DataFrame(rows, columns=["link_code", "device", "ts", "value"])
+
+    return seen.groupBy("link_code", "device").applyInPandasWithState(match, TRIP, STATE, "append", GroupStateTimeout.EventTimeTimeout)
