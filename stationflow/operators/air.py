@@ -57,7 +57,7 @@ def calibrate(wide: DataFrame, params: DataFrame, key: Sequence[str] = ("station
     c = lambda name: F.col(f"`{name}`") if name in wide.columns else F.lit(None).cast("double")
     rows = wide.where(c(T).isNotNull())
     each = F.array(*(F.struct(F.lit(t).alias("t"), c(t).cast("double").alias("v")) for t in types))
-    long = rows.select("*", F.explode(each).alias("_e")).where("_e.v IS NOT NULL").withColumns({"_t": F.col("_e.t"), "_v": F.col("_e.v"), "_hot": F.when(c(T) >= HOT, "hightemp").otherwise("lowtemp")})
+    long = rows.select("*", F.explode(each).alias("_raw")).where("_raw.v IS NOT NULL").withColumns({"_t": F.col("_raw.t"), "_v": F.col("_raw.v"), "_hot": F.when(c(T) >= HOT, "hightemp").otherwise("lowtemp")})
     p = params.select(F.col("sensor_id").alias("_sensor"), F.col("type_name").alias("_type"), F.col("temperature").alias("_temp"), F.col("calc_version").cast("int").alias("_ver"), *(F.col(x).cast("double").alias(f"_{x}") for x in "abcdef"))
     joined = long.join(p, (long.sensor_id == p["_sensor"]) & (long["_t"] == p["_type"]) & (long["_hot"] == p["_temp"]))
     k = {x: F.col(f"_{x}") for x in "abcdef"}
