@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import municipality
-from .grids import seconds
+from .grids import gap_s, seconds
 
 
 def list_stations(stations: DataFrame, types: Sequence[str] | None = None, origin: str | None = None, active: bool | None = True) -> DataFrame:
@@ -32,7 +32,7 @@ def active_stations(stations: DataFrame, m: DataFrame, rules: DataFrame, now: Co
     ruled = stations.join(r, stations.station_type == r["_type"], "left")
     newest = m.groupBy(F.col("station_code").alias("_code"), F.col("type_name").alias("_n")).agg(F.max("ts").alias("_ts"))
     out = ruled.join(newest, (ruled.station_code == newest["_code"]) & (ruled["_name"] == newest["_n"]), "left")
-    fresh = F.coalesce(seconds(now) - seconds("_ts") < F.col("_age"), F.lit(False))
+    fresh = F.coalesce(gap_s(now, "_ts") < F.col("_age"), F.lit(False))
     flagged = out.withColumn("_fresh", F.when(F.col("_type").isNull(), F.col("active")).otherwise(fresh))
     each = flagged.groupBy("station_code").agg(F.bool_or("_fresh").alias("_active"))
     return stations.drop("active").join(each, "station_code").withColumnRenamed("_active", "active").select(*stations.columns)
@@ -64,7 +64,7 @@ def run_summary(runs: DataFrame) -> DataFrame:
     out = runs.withColumns({"_n": F.row_number().over(w), "_status": F.first("status").over(w)})
     return out.groupBy("task").agg(
         F.max("start").alias("last_start"),
-        F.max(F.when(F.col("_n") == 1, seconds("end") - seconds("start"))).alias("duration_s"),
+        F.max(F.when(F.col("_n") == 1, gap_s("end", "start"))).alias("duration_s"),
         F.max(F.when(F.col("_n") == 1, F.col("status"))).alias("status"),
         (F.max(seconds("end")) - F.max(F.when(F.col("status") != F.col("_status"), seconds("end")))).alias("since_other_s"),
     )

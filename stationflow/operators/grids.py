@@ -13,6 +13,12 @@ def seconds(c: Column | str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp")) / 1e6
 
 
+def gap_s(later: Column | str, earlier: Column | str) -> Column:
+    """Seconds from earlier to later, exact to the microsecond."""
+    micros = lambda c: F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
+    return (micros(later) - micros(earlier)) / 1e6
+
+
 def at_seconds(c: Column) -> Column:
     return F.timestamp_micros((c * 1_000_000).cast("long"))
 
@@ -28,7 +34,7 @@ def grid(m: DataFrame, step: int, key: Sequence[str], start: Column | None = Non
     """Every step from start (midnight of the first row) to end (the last row's) of each series, as ts."""
     first = F.date_trunc("day", F.min("ts")) if start is None else start
     bounds = m.groupBy(*key).agg(first.alias("_lo"), (F.max("ts") if end is None else end).alias("_hi"))
-    steps = F.sequence(F.lit(0).cast("long"), F.floor((seconds("_hi") - seconds("_lo")) / step).cast("long"))
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((gap_s("_hi", "_lo")) / step).cast("long"))
     return bounds.where("_hi >= _lo").select(*key, "_lo", F.explode(steps).alias("_i")).select(*key, F.timestamp_micros(F.unix_micros("_lo") + F.col("_i") * (step * 1_000_000)).alias("ts"))
 
 
@@ -66,32 +72,32 @@ def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str) -
 def asof_pad(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_asof", max_age_s: int | None = None) -> DataFrame:
     """The last value at or before each probe row, not older than max_age_s."""
     out = _asof(probe, series, key, value)
-    fresh = F.lit(True) if max_age_s is None else seconds("ts") - seconds(F.col("_b.ts")) <= max_age_s
+    fresh = F.lit(True) if max_age_s is None else gap_s("ts", F.col("_b.ts")) <= max_age_s
     return out.withColumn(name, F.when(fresh, F.col("_b.v"))).drop("_a", "_b")
 
 
 def asof_nearest(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_nearest", within_s: int | None = 300) -> DataFrame:
     """The value nearest in time, less than within_s away; of two at the same distance the later one."""
-    back, ahead = seconds("ts") - seconds(F.col("_b.ts")), seconds(F.col("_a.ts")) - seconds("ts")
+    back, ahead = gap_s("ts", F.col("_b.ts")), gap_s(F.col("_a.ts"), "ts")
     near = F.when(F.col("_b").isNull() | (ahead <= back), F.col("_a")).otherwise(F.col("_b"))
-    gap = F.abs(seconds(F.col("_n.ts")) - seconds("ts"))
+    gap = F.abs(gap_s(F.col("_n.ts"), "ts"))
     out = _asof(probe, series, key, value).withColumn("_n", near)
     return out.withColumn(name, F.when(F.lit(True) if within_s is None else gap < within_s, F.col("_n.v"))).drop("_a", "_b", "_n")
 
 
 def interpolate_at(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_at", max_gap_s: int = 14400) -> DataFrame:
     """Linear between the rows on both sides; NULL where one is missing or they are more than max_gap_s apart."""
-    lo, hi = seconds(F.col("_b.ts")), seconds(F.col("_a.ts"))
-    line = F.col("_b.v") + F.coalesce(F.try_divide(seconds("ts") - lo, hi - lo), F.lit(0.0)) * (F.col("_a.v") - F.col("_b.v"))
-    return _asof(probe, series, key, value).withColumn(name, F.when(hi - lo <= max_gap_s, line)).drop("_a", "_b")
+    whole = gap_s(F.col("_a.ts"), F.col("_b.ts"))
+    line = F.col("_b.v") + F.coalesce(F.try_divide(gap_s("ts", F.col("_b.ts")), whole), F.lit(0.0)) * (F.col("_a.v") - F.col("_b.v"))
+    return _asof(probe, series, key, value).withColumn(name, F.when(whole <= max_gap_s, line)).drop("_a", "_b")
 
 
 def interpolate_linear(g: DataFrame, key: Sequence[str], value: str = "value", trailing: str = "hold") -> DataFrame:
     """Gaps of a series on a grid: linear inside, the last value at the end (or NULL), NULL at the begin."""
     past, future = _around(g, key)
-    s = F.when(F.col(value).isNotNull(), F.struct(seconds("ts").alias("t"), F.col(value).alias("v")))
+    s = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col(value).alias("v")))
     out = g.withColumn("_s", s).withColumns({"_b": F.last("_s", ignorenulls=True).over(past), "_a": F.first("_s", ignorenulls=True).over(future)})
-    line = F.col("_b.v") + (seconds("ts") - F.col("_b.t")) / (F.col("_a.t") - F.col("_b.t")) * (F.col("_a.v") - F.col("_b.v"))
+    line = F.col("_b.v") + (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_b.t")) / (F.col("_a.t") - F.col("_b.t")) * (F.col("_a.v") - F.col("_b.v"))
     end = F.col("_b.v") if trailing == "hold" else F.lit(None).cast("double")
     filled = F.when(F.col(value).isNotNull(), F.col(value)).when(F.col("_a").isNull(), end).when(F.col("_b").isNotNull(), line)
     return out.withColumn(value, filled).drop("_s", "_a", "_b")
@@ -116,7 +122,7 @@ def densify(fc: DataFrame, step: int, key: Sequence[str], columns: dict[str, str
     w = Window.partitionBy(*key).orderBy("ts")
     nxt = {f"_n_{c}": F.lead(c).over(w) for c in columns} | {"_n_ts": F.lead("ts").over(w)}
     out = fc.withColumns(nxt)
-    gap = seconds("_n_ts") - seconds("ts")
+    gap = gap_s("_n_ts", "ts")
     inner = F.greatest(F.ceil(F.coalesce(gap, F.lit(0.0)) / step) - 1, F.lit(0)).cast("long")
     out = out.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), inner)))
     rounding = {"tenth": lambda c: F.bround(c, 1), "whole": lambda c: F.bround(c, 0), "floor": F.floor, "exact": lambda c: c}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .grids import seconds
+from .grids import gap_s
 
 CAMERAS_FROM = "2024-07-10"  # fixed value: cameras have no valid data before
 
@@ -31,7 +31,7 @@ def cap_lookback(starts: DataFrame, days: int) -> DataFrame:
 def batches(ranges: DataFrame, step_s: int, newest: Column | None = None) -> DataFrame:
     """Each range (lo, hi) in steps: from_ts and to_ts; the last one ends at hi, or at newest if that is earlier."""
     hi = F.col("hi") if newest is None else F.least("hi", newest)
-    n = F.ceil((seconds(hi) - seconds("lo")) / step_s).cast("long")
+    n = F.ceil((gap_s(hi, "lo")) / step_s).cast("long")
     each = ranges.withColumn("_hi", hi).where(n > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("_i"))
     at = lambda k: F.timestamp_micros(F.unix_micros("lo") + (F.col("_i") + k) * (step_s * 1_000_000))
     return each.select(*(c for c in ranges.columns if c not in ("lo", "hi")), at(0).alias("from_ts"), F.least(at(1), F.col("_hi")).alias("to_ts"))

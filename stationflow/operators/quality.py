@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lane_direction, station_km
-from .grids import seconds
+from .grids import gap_s, seconds
 
 
 def eligible_traffic_stations(stations: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def qc_observation(df: DataFrame, start: Column, key: Sequence[str] = ("station_
     for c in names:
         good = good.where(F.col(c).isNotNull() & ~F.isnan(c))
     good = good.dropDuplicates([*key, "ts"]).where(F.col("ts") >= start - F.make_dt_interval(hours=F.lit(max_age_h)))
-    gap = F.when(seconds("ts") - seconds(F.lag("ts").over(w)) > max_gap_min * 60, F.col("ts"))
+    gap = F.when(gap_s("ts", F.lag("ts").over(w)) > max_gap_min * 60, F.col("ts"))
     good = good.withColumn("_gap", gap).withColumn("_gap", F.max("_gap").over(Window.partitionBy(*key))).where("_gap IS NULL OR ts >= _gap").drop("_gap")
     sst = F.last(F.when(F.col("sst").between(-40, 80), F.col("sst")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return good.withColumns({"st_valid": F.col("st").between(-40, 80), "at_valid": F.col("at").between(-60, 50), "ws_valid": F.col("ws").between(0, 90), "td": F.least("td", "at"), "sst": sst})
@@ -204,7 +204,7 @@ def qc_forecast(df: DataFrame, observations: DataFrame, key: Sequence[str] = ("s
     hole = F.lit(False)
     for c in names:
         hole = hole | F.col(c).isNull()
-    rows = df.withColumns({"_hole": hole, "_cloud": F.coalesce(~F.col("cc").between(0, 8), F.lit(False)), "_fall": F.coalesce((F.col("ra") < F.lag("ra").over(w)) | (F.col("sn") < F.lag("sn").over(w)), F.lit(False)), "_step": F.coalesce(seconds("ts") - seconds(F.lag("ts").over(w)) != 3600, F.lit(False))})
+    rows = df.withColumns({"_hole": hole, "_cloud": F.coalesce(~F.col("cc").between(0, 8), F.lit(False)), "_fall": F.coalesce((F.col("ra") < F.lag("ra").over(w)) | (F.col("sn") < F.lag("sn").over(w)), F.lit(False)), "_step": F.coalesce(gap_s("ts", F.lag("ts").over(w)) != 3600, F.lit(False))})
     each = rows.groupBy(*key).agg(F.count_if("_hole").alias("missing"), F.count_if("_cloud").alias("clouds"), F.count_if("_fall").alias("falling"), F.count_if("_step").alias("spacing"), F.count(F.lit(1)).alias("rows"), F.min("ts").alias("lo"))
     seen = observations.groupBy(*key).agg(F.max("ts").alias("last_obs"), F.min("ts").alias("first_obs"))
     out = each.join(seen, list(key), "left").withColumn("overlaps", F.coalesce(F.col("last_obs") >= F.col("lo"), F.lit(False)))

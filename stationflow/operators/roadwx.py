@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import missing_zero, not_negative, pressure_pa, road_condition, road_condition_label, water_mm, wind_ms
-from .grids import seconds
+from .grids import gap_s
 
 RELAX_S = 4 * 3600  # fixed value: time in which what an observation adds falls to 1/e
 
@@ -79,7 +79,7 @@ def blend_obs_forecast(obs: DataFrame, fc: DataFrame, key: Sequence[str] = ("sta
     whole = Window.partitionBy(*key)
     last = F.col("ts") == F.col("_end")
     out = out.withColumns({f"_lo_{c}": F.max(F.when(last, F.col(f"_o_{c}"))).over(whole) for c in names} | {f"_lf_{c}": F.max(F.when(last, F.col(c))).over(whole) for c in names})
-    age = seconds("ts") - seconds("_end")
+    age = gap_s("ts", "_end")
     new = {}
     for c in names:
         difference = F.col(f"_lf_{c}") - F.col(f"_lo_{c}")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import direction_of, lane_direction, name_without_lane
-from .grids import seconds
+from .grids import gap_s, seconds
 
 
 
@@ -113,7 +113,7 @@ def pending_windows(m: DataFrame, base_period: int, agg_period: int, key: Sequen
     base, agg = F.col("period") == base_period, F.col("period") == agg_period
     each = m.groupBy(*key).agg(F.min(F.when(base, F.col("ts"))).alias("first"), F.max(F.when(base, F.col("ts"))).alias("last"), F.max(F.when(agg, F.col("ts"))).alias("done"))
     out = each.where("last IS NOT NULL").select(*key, F.coalesce("done", F.date_trunc("day", "first")).alias("from_ts"), F.date_trunc("day", "last").alias("to_ts"))
-    return out.where(seconds("to_ts") - seconds("from_ts") >= 86400)
+    return out.where(gap_s("to_ts", "from_ts") >= 86400)
 
 
 def pending_parent_windows(m: DataFrame, stations: DataFrame) -> DataFrame:
