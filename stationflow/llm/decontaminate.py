@@ -203,10 +203,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard
     benchmark hits nothing, an empty table of documents gives no rows. The benchmark is broadcast, so it may have
     most_benchmark bytes; a larger one raises ValueError (call with parts of it then). Documents aren't shuffled:
     each task indexes what it reads, in shards of about shard_words words of the benchmark's vocabulary. Columns of
-    docs that are named in keep are returned besides.
+    docs that are named in keep are returned besides, but for those that have the name of a result.
     """
     spark = docs.sparkSession
     small_batches(spark)
+    keep = tuple(c for c in keep if c not in {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"})
     items = benchmark.select(F.col("item_id").alias("item_id"), F.col("text").cast("binary").alias("text")).dropDuplicates()
     size = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     if size > most_benchmark:

@@ -211,11 +211,12 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
     sample_words words at a place that the hash gives. All texts are labelled whole. Rows whose text is null or has
     no letter get `und` and score 0; a null doc_id is never held out and never learned from. Repeated rows give
     repeated rows. If nothing can be learned, every row is `und`. Columns of docs that are named in keep are returned
-    besides.
+    besides, but for those that have the name of a result.
     """
     spark = docs.sparkSession
     small_batches(spark)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    keep = tuple(c for c in keep if c not in {o.split()[0] for o in OUT.split(", ")})
     kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *kept)
     fold = F.coalesce(bucket(F.col("doc_id"), folds) == held_out, F.lit(False))

@@ -1,0 +1,85 @@
+"""The registered queries on the driver's smallest tables, against SQL or plain versions."""
+
+import os
+
+import brute
+import pytest
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+
+
+@pytest.fixture(scope="module")
+def entry():
+    import __spark_entry__
+
+    return __spark_entry__
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+
+
+@pytest.mark.parametrize("name", ["op7_line_dedup", "op8_url_filters"])
+def test_oracle(spark, entry, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.sql(entry.oracle_sql()[name]).df()
+    got = entry.queries()[name](spark, SF).toPandas()
+    cols = sorted(want.columns)
+    assert cols == sorted(got.columns)
+    tidy = lambda df: sorted(map(repr, df[cols].astype(object).where(df[cols].notna(), None).values.tolist()))
+    assert tidy(got) == tidy(want)
+
+
+def test_op2(spark, entry, texts):
+    got = {r.doc_id: r for r in entry.queries()["op2_simhash"](spark, SF).collect()}
+    fps = [(d, brute.fingerprint(t)) for d, t in texts]
+    want = brute.components(fps)
+    assert all(got[d].fingerprint == f"{f:016x}" and got[d].component_id == want[d] for d, f in fps) and len(got) == len(texts)
+
+
+def test_op4(spark, entry, texts):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = sorted(map(tuple, entry.queries()["op4_decontamination"](spark, SF).drop("spans").collect()))
+    assert got == sorted(brute.contamination(texts, items))
+
+
+def test_op5_held_out_accuracy(spark, entry):
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    held = [r for r in entry.queries()["op5_language"](spark, SF).collect() if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_op6(spark, entry, texts):
+    got = sorted(map(tuple, entry.queries()["op6_suffix_array"](spark, SF).collect()))
+    assert got == sorted(brute.repeats([(d, (t or "").encode()) for d, t in texts]))
+
+
+def test_op9_beats_its_base_on_held_out_texts(spark, entry):
+    held = [r for r in entry.queries()["op9_lm_scoring"](spark, SF).collect() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_pipeline_is_its_stages(spark, entry, texts):
+    import corpus_pipeline
+    from test_operators import check_pieces
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    now = docs
+    seen = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = spark.createDataFrame(stage(spark, now, SF).collect(), docs.schema)
+        assert now.columns == docs.columns
+        seen.append({r.doc_id: r.text for r in now.collect()})
+    dropped = {d: t for d, t in seen[0].items() if d not in seen[2]}
+    comps = brute.components([(d, brute.fingerprint(t)) for d, t in seen[1].items()])
+    assert set(seen[0]) == {d for d, t in texts if t} and set(seen[2]) == set(comps.values()) and len(dropped) > 0
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = {r[0] for r in brute.contamination(list(seen[2].items()), items) if not r[5]}
+    assert set(seen[3]) == clean
+    check_pieces(entry.queries()["pipeline"](spark, SF).collect(), seen[3].items(), 2048)
