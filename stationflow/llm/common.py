@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
@@ -54,6 +54,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def hash_sample(df: DataFrame, by: Column, most: int, *ties: str) -> DataFrame:
+    """At most `most` rows of df with the lowest hashes by; ties: columns that settle equal ones.
+
+    Hashes that can't be among the lowest are filtered first (a share that follows from a count), so that no more
+    than a few times `most` rows leave the tasks, at any number of tasks.
+    """
+    n = df.select(by.alias("h")).count()
+    if n > 4 * most:
+        df = df.where(F.pmod(by, F.lit(1 << 40)) < int((1 << 40) * 3 * most / n))
+    return df.orderBy(F.pmod(by, F.lit(1 << 40)), *ties).limit(most)
+
+
 def ascii_lower(c):
     """A-Z lower-cased, all else as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import hash_sample, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16  # hashed features
@@ -222,10 +222,11 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
     fold = F.coalesce(bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
     words = F.split("text", r"\s+")
     place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(words) - sample_words + 1, F.lit(1)).cast("long")).cast("int") + 1
-    learn = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~fold)
-    chosen = learn.select("lang", F.xxhash64("doc_id", F.lit("sample")).alias("by"), "doc_id", "text").orderBy("by", "doc_id", "text", "lang").limit(most_samples)
-    rows = chosen.select("lang", F.array_join(F.slice(words, place, sample_words), " ").alias("text")).collect()
-    model = spark.sparkContext.broadcast(fit(sorted((r.text[:4000], r.lang) for r in rows)))
+    learn = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~fold)
+    # stretches are cut before rows are compared, so that no whole text leaves its task
+    stretch = F.substring(F.array_join(F.slice(words, place, sample_words), " "), 1, 4000)
+    rows = hash_sample(learn.select("doc_id", "lang", stretch.alias("text")), F.xxhash64("doc_id", F.lit("sample")), most_samples, "doc_id", "text", "lang").collect()
+    model = spark.sparkContext.broadcast(fit(sorted((r.text, r.lang) for r in rows if r.text is not None)))
 
     names_out = [*(c.split()[0] for c in OUT.split(", ")), *keep]
     extra = lambda batch: [batch.column(f"kept_{i}") for i in range(len(keep))]
