@@ -62,10 +62,10 @@ def only_validated(traffic: DataFrame, validation: DataFrame) -> DataFrame:
 
 
 def sum_emissions(m: DataFrame) -> DataFrame:
-    """Sums over vehicle types by station, time and pollutant (the last word of the type), and a row of its impact as string_value."""
-    sums = m.groupBy("station_code", "ts", F.element_at(F.split("type_name", "-"), 1).alias("pollutant")).agg(F.sum("value").alias("value"))
-    total = sums.select("station_code", "ts", F.concat("pollutant", F.lit("-total")).alias("type_name"), "value", F.lit(None).cast("string").alias("string_value"))
-    impact = sums.select("station_code", "ts", F.concat("pollutant", F.lit("-impact")).alias("type_name"), F.lit(None).cast("double").alias("value"), emission_impact(F.col("pollutant"), F.col("value")).alias("string_value"))
+    """Sums over vehicle types by station, time and pollutant (the second part of the type's name), and a row of its impact as string_value."""
+    sums = m.groupBy("station_code", "ts", F.get(F.split("type_name", "-"), F.lit(1)).alias("pollutant")).agg(F.sum("value").alias("value"))
+    total = sums.select("station_code", "ts", F.concat("pollutant", F.lit("-emissions")).alias("type_name"), "value", F.lit(None).cast("string").alias("string_value"))
+    impact = sums.select("station_code", "ts", F.concat("pollutant", F.lit("-emissions-impact")).alias("type_name"), F.lit(None).cast("double").alias("value"), emission_impact(F.col("pollutant"), F.col("value")).alias("string_value"))
     return total.unionByName(impact)
 
 

@@ -54,7 +54,7 @@ def holiday_calendar(spark, sf):
 
 @query(
     """, p AS (SELECT CAST(s_nationkey AS VARCHAR) AS link_code, s_suppkey::DOUBLE AS x, s_acctbal AS y, lag(s_suppkey::DOUBLE) OVER w AS px, lag(s_acctbal) OVER w AS py FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_suppkey))
-SELECT CAST(n_nationkey AS VARCHAR) AS link_code, round(coalesce(sum(coalesce(sqrt((x - px) * (x - px) + (y - py) * (y - py)), 0)), -1), 4) AS length_m FROM nation LEFT JOIN p ON link_code = CAST(n_nationkey AS VARCHAR) GROUP BY 1"""
+SELECT CAST(n_nationkey AS VARCHAR) AS link_code, round(CASE WHEN count(x) = 0 THEN -1 ELSE sum(coalesce(sqrt((x - px) * (x - px) + (y - py) * (y - py)), 0)) END, 4) AS length_m FROM nation LEFT JOIN p ON link_code = CAST(n_nationkey AS VARCHAR) GROUP BY 1"""
 )
 def update_link_geometry(spark, sf):
     """Lines through the suppliers of each nation."""
@@ -175,7 +175,7 @@ def overall_confidence(spark, sf):
 @query("SELECT event_id, station_code AS station, CAST(event_id % 6 AS VARCHAR) AS lane, ascii(substr(type_name, 1, 1)) - 97 AS code FROM m")
 def split_codes(spark, sf):
     """Composed codes taken apart, letters as numbers."""
-    m = measurements(spark, sf).withColumn("code", F.concat_ws(":", F.lit("A22"), "station_code", F.col("event_id") % 6))
+    m = measurements(spark, sf).withColumn("code", F.concat_ws(":", F.lit("R1"), "station_code", F.col("event_id") % 6))
     return m.select("event_id", fn.code_part(F.col("code"), 1).alias("station"), fn.code_part(F.col("code"), 2).alias("lane"), fn.weather_code(F.substring("type_name", 1, 1)).alias("code"))
 
 

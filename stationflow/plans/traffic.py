@@ -203,12 +203,12 @@ def emission_pivot(spark, sf):
 
 @query(
     """, s AS (SELECT station_code, date_trunc('day', ts) AS t, CASE type_name WHEN 'view' THEN 'NOx' WHEN 'click' THEN 'CO2' ELSE 'PM' END AS p, sum(value) AS v FROM m GROUP BY ALL)
-SELECT station_code, epoch(t)::BIGINT AS ts, p || '-total' AS type_name, round(v, 6) AS value, NULL::VARCHAR AS string_value FROM s
-UNION ALL SELECT station_code, epoch(t)::BIGINT, p || '-impact', NULL, CASE p WHEN 'NOx' THEN CASE WHEN v > 120 THEN 'high' WHEN v > 60 THEN 'medium' ELSE 'low' END WHEN 'CO2' THEN CASE WHEN v > 70000 THEN 'high' WHEN v > 35000 THEN 'medium' ELSE 'low' END ELSE 'undefined' END FROM s"""
+SELECT station_code, epoch(t)::BIGINT AS ts, p || '-emissions' AS type_name, round(v, 6) AS value, NULL::VARCHAR AS string_value FROM s
+UNION ALL SELECT station_code, epoch(t)::BIGINT, p || '-emissions-impact', NULL, CASE p WHEN 'NOx' THEN CASE WHEN v > 120 THEN 'high' WHEN v > 60 THEN 'medium' ELSE 'low' END WHEN 'CO2' THEN CASE WHEN v > 70000 THEN 'high' WHEN v > 35000 THEN 'medium' ELSE 'low' END ELSE 'undefined' END FROM s"""
 )
 def sum_emissions(spark, sf):
     """Daily sums by pollutant and their impact."""
-    kind = F.when(F.col("type_name") == "view", "NOx-a").when(F.col("type_name") == "click", "CO2-a").otherwise("PM-a")
+    kind = F.when(F.col("type_name") == "view", "light-NOx").when(F.col("type_name") == "click", "light-CO2").otherwise("light-PM")
     m = measurements(spark, sf).select("station_code", F.date_trunc("day", "ts").alias("ts"), kind.alias("type_name"), "value")
     return emissions.sum_emissions(m).select("station_code", epoch("ts"), "type_name", r6("value", "value"), "string_value")
 
@@ -233,9 +233,9 @@ def traffic_entries(spark, sf):
     return emissions.traffic_entries(m).select("station_code", epoch("ts"), "vehicle_class", "nr_of_vehicles", "average_speed")
 
 
-@query("SELECT split_part(c, ':', 2) AS station, epoch(t)::BIGINT AS ts, cls AS vehicle_class, round(sum(value), 6) AS value FROM (SELECT 'A22:' || station_code || ':' || event_id % 3 AS c, date_trunc('day', ts) AS t, type_name AS cls, value FROM m) GROUP BY ALL")
+@query("SELECT split_part(c, ':', 2) AS station, epoch(t)::BIGINT AS ts, cls AS vehicle_class, round(sum(value), 6) AS value FROM (SELECT 'R1:' || station_code || ':' || event_id % 3 AS c, date_trunc('day', ts) AS t, type_name AS cls, value FROM m) GROUP BY ALL")
 def emissions_by_station(spark, sf):
     """Lanes added for each station."""
-    code = F.concat(F.lit("A22:"), F.col("station_code"), F.lit(":"), F.col("event_id") % 3)
+    code = F.concat(F.lit("R1:"), F.col("station_code"), F.lit(":"), F.col("event_id") % 3)
     m = measurements(spark, sf).select(code.alias("station_code"), F.date_trunc("day", "ts").alias("ts"), F.col("type_name").alias("vehicle_class"), F.lit("NOx").alias("pollutant"), "value")
     return emissions.emissions_by_station(m).select("station", epoch("ts"), "vehicle_class", r6("value", "value"))

@@ -161,7 +161,7 @@ def list_stations(spark, sf):
 @query()
 def combine_locations(spark, sf):
     """Suppliers as lanes of nations, combined into directions and locations."""
-    lanes = table(spark, sf, "supplier").select(F.concat_ws(":", F.lit("A22"), F.col("s_nationkey"), F.col("s_suppkey") % 6 + 1).alias("station_code"), F.concat(F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, " (corsia di marcia nord, direzione nord)").otherwise(" (corsia di marcia sud, direzione sud)")).alias("name"), F.col("s_acctbal").alias("x"), F.col("s_acctbal").alias("y"))
+    lanes = table(spark, sf, "supplier").select(F.concat_ws(":", F.lit("R1"), F.col("s_nationkey"), F.col("s_suppkey") % 6 + 1).alias("station_code"), F.concat(F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, " (corsia di marcia nord, direzione nord)").otherwise(" (corsia di marcia sud, direzione sud)")).alias("name"), F.col("s_acctbal").alias("x"), F.col("s_acctbal").alias("y"))
     return rollups.combine_locations(rollups.combine_directions(lanes)).select("station_code", "name", r6("x", "x"))
 
 

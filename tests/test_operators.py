@@ -146,10 +146,10 @@ def test_wind_direction(spark):
 def test_names(spark):
     name = F.lit("A KM. 227+600 (corsia di marcia nord, direzione nord)")
     assert one(spark, fn.direction_of(name)) == "nord" and one(spark, fn.name_without_lane(name)) == "A KM. 227+600 (direzione nord)"
-    lanes = spark.createDataFrame([("A22:1:1", "P KM. 1 (corsia di marcia nord, direzione nord)", 1.0, 2.0), ("A22:1:2", "P KM. 1 (corsia di sorpasso nord, direzione nord)", 3.0, 4.0), ("A22:1:3", "P KM. 1 (corsia di marcia sud, direzione sud)", 5.0, 6.0)], "station_code string, name string, x double, y double")
+    lanes = spark.createDataFrame([("R1:1:1", "P KM. 1 (corsia di marcia nord, direzione nord)", 1.0, 2.0), ("R1:1:2", "P KM. 1 (corsia di sorpasso nord, direzione nord)", 3.0, 4.0), ("R1:1:3", "P KM. 1 (corsia di marcia sud, direzione sud)", 5.0, 6.0)], "station_code string, name string, x double, y double")
     dirs = rollups.combine_directions(lanes)
-    assert sorted(values(dirs, "station_code", "x", "parent_code")) == [("A22:1:nord", 1.0, "A22:1"), ("A22:1:sud", 5.0, "A22:1")]
-    assert values(rollups.combine_locations(dirs), "station_code", "name", "x") == [("A22:1", "P KM. 1 (direzione", 3.0)]
+    assert sorted(values(dirs, "station_code", "x", "parent_code")) == [("R1:1:nord", 1.0, "R1:1"), ("R1:1:sud", 5.0, "R1:1")]
+    assert values(rollups.combine_locations(dirs), "station_code", "name", "x") == [("R1:1", "P KM. 1 (direzione", 3.0)]
     assert one(spark, fn.code_part(F.lit("a:b"), 1)) is None and one(spark, fn.code_part(F.lit("a:b:c"), 1)) == "b"
 
 
