@@ -48,8 +48,9 @@ def window_count(m: DataFrame, period: int, key: Sequence[str] = ("station_code"
 
 
 def _around(df: DataFrame, key: Sequence[str], order: str = "ts") -> tuple[Window, Window]:
-    w = Window.partitionBy(*key).orderBy(order)
-    return w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    """Frames of the rows up to each row, in time and against it: a frame to the end of a series would be read anew for every row."""
+    one = lambda o: Window.partitionBy(*key).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+    return one(F.col(order).asc()), one(F.col(order).desc())
 
 
 def _merged(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str) -> DataFrame:
@@ -60,10 +61,11 @@ def _merged(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str)
 
 
 def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(F.col("ts"), F.col("_p"))
-    before = F.last("_s", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    upto = Window.partitionBy(*key).orderBy(F.col("ts"), F.col("_p")).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last("_s", ignorenulls=True).over(upto)
     # rows of the series at the probe's own time come before it, so they are looked for on that side
-    after = F.first("_s", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    back = Window.partitionBy(*key).orderBy(F.col("ts").desc(), F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    after = F.last("_s", ignorenulls=True).over(back)
     both = _merged(probe, series, key, value).withColumns({"_b": before, "_a": after}).where("_p")
     exact = F.col("_b.ts") == F.col("ts")
     return both.withColumn("_a", F.when(exact, F.col("_b")).otherwise(F.col("_a"))).drop("_p", "_s")
@@ -96,7 +98,7 @@ def interpolate_linear(g: DataFrame, key: Sequence[str], value: str = "value", t
     """Gaps of a series on a grid: linear inside, the last value at the end (or NULL), NULL at the begin."""
     past, future = _around(g, key)
     s = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col(value).alias("v")))
-    out = g.withColumn("_s", s).withColumns({"_b": F.last("_s", ignorenulls=True).over(past), "_a": F.first("_s", ignorenulls=True).over(future)})
+    out = g.withColumn("_s", s).withColumns({"_b": F.last("_s", ignorenulls=True).over(past), "_a": F.last("_s", ignorenulls=True).over(future)})
     line = F.col("_b.v") + (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_b.t")) / (F.col("_a.t") - F.col("_b.t")) * (F.col("_a.v") - F.col("_b.v"))
     end = F.col("_b.v") if trailing == "hold" else F.lit(None).cast("double")
     filled = F.when(F.col(value).isNotNull(), F.col(value)).when(F.col("_a").isNull(), end).when(F.col("_b").isNotNull(), line)
