@@ -18,7 +18,7 @@ from .common import hash_sample, small_batches
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16  # hashed features
 SEGMENT = 64  # words of a segment; segments are chained by their transfer matrices
-MOST_WORDS = 400_000  # words whose scores a worker keeps; beyond that it begins anew
+MOST_WORDS = 150_000  # words whose scores a worker keeps; beyond that it begins anew
 
 
 def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
@@ -131,8 +131,8 @@ class Labeller:
     """Marginals of the labels of words, by forward and backward passes over segments of all texts of a batch."""
 
     def __init__(self, model: Model):
-        self.model, self.number, self.scores, self.used = model, {}, np.zeros((1 << 12, len(model.labels))), 0
-        self.move = np.exp(model.moves - model.moves.max())
+        self.model, self.number, self.scores, self.used = model, {}, np.zeros((1 << 12, len(model.labels)), np.float32), 0
+        self.move = np.exp(model.moves - model.moves.max()).astype(np.float32)
 
     def ids(self, words: list[str]) -> np.ndarray:
         new = list({w for w in words if w not in self.number})
@@ -140,7 +140,7 @@ class Labeller:
             while len(self.scores) < self.used + len(new):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
             s = _sums(self.model.weights, [features(w, self.model.lexicon) for w in new])
-            self.scores[self.used : self.used + len(new)] = np.exp(s - s.max(1, keepdims=True)) + 1e-30
+            self.scores[self.used : self.used + len(new)] = np.exp(s - s.max(1, keepdims=True)) + 1e-12
             self.number.update(zip(new, range(self.used, self.used + len(new))))
             self.used += len(new)
         return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
@@ -165,14 +165,14 @@ class Labeller:
         at = np.minimum(seg_at[:, None] + np.arange(SEGMENT)[None], len(score) - 1)
         live = np.arange(SEGMENT)[None] < seg_len[:, None]
         cells = score[at]
-        carry = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+        carry = np.broadcast_to(np.eye(k, dtype=np.float32), (n, k, k)).copy()
         for t in range(SEGMENT):  # what a segment does to whatever enters it
             on = np.flatnonzero(live[:, t])
             if not len(on):
                 break
             step = (carry[on] @ move) * cells[on, t][:, None, :]
             carry[on] = step / step.sum((1, 2), keepdims=True)
-        enter, leave = np.full((n, k), 1.0 / k), np.ones((n, k))
+        enter, leave = np.full((n, k), 1.0 / k, np.float32), np.ones((n, k), np.float32)
         for r in range(1, int(segs.max())):
             on = np.flatnonzero(seg_rank == r)
             x = np.einsum("ni,nij->nj", enter[on - 1], carry[on - 1])
@@ -181,7 +181,7 @@ class Labeller:
             on = np.flatnonzero((seg_rank == r) & (segs[seg_text] > r + 1))
             x = np.einsum("nij,nj->ni", carry[on + 1], leave[on + 1])
             leave[on] = x / x.sum(1, keepdims=True)
-        alpha, now = np.empty((n, SEGMENT, k)), enter
+        alpha, now = np.empty((n, SEGMENT, k), np.float32), enter
         for t in range(SEGMENT):
             x = (now @ move) * cells[:, t]
             now = np.where(live[:, t, None], x / x.sum(1, keepdims=True), now)
@@ -214,7 +214,7 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
     besides, but for those that have the name of a result.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 250)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     keep = tuple(c for c in keep if c not in {o.split()[0] for o in OUT.split(", ")})
     kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
@@ -246,7 +246,7 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
             share = np.zeros((len(texts), len(names)))
             switches = np.zeros(len(texts), np.int64)
             if len(some):
-                share[some] = np.add.reduceat(post, first[some], axis=0) / n[some, None]
+                share[some] = np.add.reduceat(post.astype(np.float64), first[some], axis=0) / n[some, None]
                 best = post.argmax(1)
                 change = np.r_[False, best[1:] != best[:-1]]
                 change[first[some]] = False

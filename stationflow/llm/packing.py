@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, written
 
-MOST_CACHED = 1_000_000  # pieces whose ids a worker keeps; beyond that it begins anew
+MOST_CACHED = 300_000  # pieces whose ids a worker keeps; beyond that it begins anew
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the public byte-level pattern
 
 
@@ -37,9 +37,7 @@ class Encoder:
     """
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_str(definition)
+        self.definition, self.whole = definition, None
         spec = json.loads(definition)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.quick = self._quick(spec)
@@ -70,6 +68,10 @@ class Encoder:
         return lambda text: quick.encode_to_numpy(text, disallowed_special=())
 
     def _slow(self, text: str) -> np.ndarray:
+        if self.whole is None:  # most texts don't need it, and it takes tens of megabytes
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_str(self.definition)
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def _learn(self, keys: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
@@ -221,7 +223,7 @@ class Packer:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, offset long, part int, ids binary"
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, block_tokens: int = 2_000_000, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, block_tokens: int = 1_000_000, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents in sequences of at most capacity tokens.
 
     docs needs doc_id and text; further columns are ignored. A null text is empty and has one token, end_id.
