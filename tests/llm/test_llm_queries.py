@@ -67,7 +67,7 @@ def test_op9_beats_its_base_on_held_out_texts(spark, entry):
 
 def test_pipeline_is_its_stages(spark, entry, texts):
     import corpus_pipeline
-    from test_operators import check_pieces
+    from test_llm_operators import check_pieces
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     now = docs
