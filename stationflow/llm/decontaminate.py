@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_bytes
+from .common import small_batches, text_bytes, written
 
 # Bytes outside of words become spaces, A-Z become a-z; bytes of 128 and above belong to words.
 WORD_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256))
@@ -190,7 +190,7 @@ class Shard:
         return out
 
 
-OUT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start: long, end: long>>"
+OUT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start: long, end: long>>, items array<string>"
 MOST_BENCHMARK = 64 << 20  # bytes of benchmark text that are broadcast
 HELD_BYTES = 32 << 20  # bytes of rows that a task holds until their shard is judged
 
@@ -200,20 +200,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard
 
     docs needs doc_id and text, benchmark item_id and text. Null texts have no words; items without words have no
     windows; an item that is there twice counts once. Repeated rows of documents give repeated rows. An empty
-    benchmark hits nothing, an empty table of documents gives no rows. The benchmark is broadcast, so it may have
-    most_benchmark bytes; a larger one raises ValueError (call with parts of it then). Documents aren't shuffled:
-    each task indexes what it reads, in shards of about shard_words words of the benchmark's vocabulary. Columns of
+    benchmark hits nothing, an empty table of documents gives no rows. The benchmark is broadcast if it has at most
+    most_benchmark bytes; a larger one is searched in blocks of items, whose spans are merged for each document. In
+    one block documents aren't shuffled: each task indexes what it reads, in shards of about shard_words words of the benchmark's vocabulary. Columns of
     docs that are named in keep are returned besides, but for those that have the name of a result.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    keep = tuple(c for c in keep if c not in {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"})
+    keep = tuple(c for c in keep if c not in {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"})
     items = benchmark.select(F.col("item_id").alias("item_id"), F.col("text").cast("binary").alias("text")).dropDuplicates()
     size = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     if size > most_benchmark:
-        raise ValueError(f"the benchmark has {size} bytes; {most_benchmark} can be broadcast")
+        return _in_blocks(docs, items, -(-size // most_benchmark) + 1, window, shard_words, share, keep)
     shared = spark.sparkContext.broadcast(sorted(((r.item_id, bytes(r.text) if r.text is not None else None) for r in items.collect()), key=lambda r: (str(r[0]), r[1] or b"")))
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(shared.value, window)
@@ -227,10 +227,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard
                     spans, which = hits.get(k, ((), ()))
                     names = sorted({phrases.items[i] for i in which})
                     hit = sum(b - a for a, b in spans)
-                    rows.append((shard.docs[k], n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0 and share * hit >= n, [{"start": a, "end": b} for a, b in spans]))
+                    rows.append((shard.docs[k], n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0 and share * hit >= n, [{"start": a, "end": b} for a, b in spans], names))
                 at += batch.num_rows
                 cols = list(zip(*rows)) or [()] * len(types)
-                yield pa.record_batch([*(pa.array(c, t) for c, t in zip(cols, types)), *(batch.columns if keep else ())], [*(c.split()[0] for c in OUT.split(", ")[:6]), "spans", *keep])
+                yield pa.record_batch([*(pa.array(c, t) for c, t in zip(cols, types)), *(batch.columns if keep else ())], [*(c.split()[0] for c in OUT.split(", ")[:6]), "spans", "items", *keep])
 
         shard, held, size = Shard(phrases), [], 0
         for batch in batches:
@@ -253,3 +253,33 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     named = docs.withColumnsRenamed({c: f"own_{c}" for c in others}).withColumn("text", F.col("own_text"))
     found = contamination(named, benchmark, keep=tuple(f"own_{c}" for c in others), **options).where(~F.col("contaminated"))
     return found.select(*("doc_id" if c == "doc_id" else F.col(f"own_{c}").alias(c) for c in docs.columns))
+
+
+def _in_blocks(docs: DataFrame, items: DataFrame, blocks: int, window: int, shard_words: int, share: int, keep: tuple[str, ...]) -> DataFrame:
+    """contamination() for a benchmark of several blocks: rows are numbered once, and each block's hits are merged by row."""
+    kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
+    rows = written(docs.select("doc_id", "text", *kept).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    hits = None
+    for b in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).select("item_id", F.col("text").cast("string").alias("text"))
+        found = contamination(rows, own, window, shard_words, share, 1 << 62, keep=("row",)).where("n_hit > 0").select("row", "spans", "items")
+        hits = found if hits is None else hits.unionByName(found)
+    # no more spans than a document has words
+    each = hits.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    none = F.lit(None).cast("array<struct<start: long, end: long>>")
+
+    def add(done, s):
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last.start.alias("start"), F.greatest(last.end, s.end).alias("end"))))
+        return F.when((F.size(done) > 0) & (s.start <= last.end), joined).otherwise(F.concat(done, F.array(F.struct(s.start.alias("start"), s.end.alias("end")))))
+
+    merged = F.aggregate("s", F.coalesce(none, F.array().cast("array<struct<start: long, end: long>>")), add)
+    counted = contamination(rows, items.limit(0).select("item_id", F.col("text").cast("string").alias("text")), window, keep=("row", *(f"kept_{i}" for i in range(len(keep)))))
+    both = counted.drop("spans", "items").join(each.select("row", merged.alias("spans"), "items"), "row", "left")
+    both = both.withColumns({"spans": F.coalesce("spans", F.array().cast("array<struct<start: long, end: long>>")), "items": F.coalesce("items", F.array().cast("array<string>"))})
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    both = both.withColumn("n_hit", n_hit)
+    return both.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "spans", "items", *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)),
+    )

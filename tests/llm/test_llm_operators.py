@@ -124,12 +124,14 @@ def test_decontamination(spark, docs, data):
     body = next(t for d, t, *_ in data if d == 7)
     items = [(1, " ".join(body.split()[10:40])), (2, "one"), (3, None), (4, "!!"), (10, "nothing of this is anywhere at all"), (1, " ".join(body.split()[10:40])), (5, "12 34")]
     got = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), shard_words=50)
-    same(got.drop("spans").collect(), brute.contamination([(d, t) for d, t, *_ in data], list(dict.fromkeys(items))))
+    want = brute.contamination([(d, t) for d, t, *_ in data], list(dict.fromkeys(items)))
+    same(got.drop("spans", "items").collect(), want)
     assert all(sum(s.end - s.start for s in r.spans) == r.n_hit for r in got.collect())
     none = decontaminate.contamination(docs, spark.createDataFrame([], "item_id long, text string"))
     assert none.count() == len(data) and none.where("n_hit > 0 OR contaminated").count() == 0
-    with pytest.raises(ValueError):
-        decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), most_benchmark=5)
+    blocks = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), most_benchmark=100, keep=("lang", "n_hit"))
+    same(blocks.drop("spans", "items", "lang").collect(), want)
+    assert sorted(map(str, blocks.select("doc_id", "spans").collect())) == sorted(map(str, got.select("doc_id", "spans").collect()))
 
 
 def test_fm_index_against_search():
