@@ -106,19 +106,25 @@ class Block:
         for w in set(words).difference(ids):
             ids[w] = len(ids)
         seq = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=len(words))
-        self.docs.append((seq, held))
+        self.docs.append((seq.astype(np.int32), held))
         self.size += len(text or b"")
         return self.number, doc, held, len(words), _planes(seq), None, None, None, None, 2
 
     def summary(self) -> tuple:
         words = list(self.ids)
-        seqs = [s for s, _ in self.docs]
-        every = np.concatenate(seqs)
-        before = np.concatenate([np.r_[0, s[:-1]] for s in seqs])
-        learn = np.repeat([not h for _, h in self.docs], [len(s) for s in seqs])
-        counts = np.bincount(every[learn], minlength=len(words)).astype("<i8")
-        key, at = np.unique(before.astype(np.uint64) << np.uint64(HASH) | _hashes(words)[every], return_inverse=True)
-        times = np.bincount(at, weights=learn, minlength=len(key)).astype("<u4")
+        hashes = _hashes(words)
+        learned = [s for s, held in self.docs if not held]
+        counts = np.bincount(np.concatenate(learned), minlength=len(words)).astype("<i8") if learned else np.zeros(len(words), "<i8")
+        key: dict[bool, list[np.ndarray]] = {False: [], True: []}
+        while self.docs:  # a document's numbers make room for its continuations
+            seq, held = self.docs.pop()
+            key[held].append(np.r_[0, seq[:-1]].astype(np.uint64) << np.uint64(HASH) | hashes[seq])
+        pairs, times = np.unique(np.concatenate(key.pop(False)), return_counts=True) if key[False] else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        more = np.unique(np.concatenate(key.pop(True))) if key[True] else np.zeros(0, np.uint64)
+        more = more[~np.isin(more, pairs, assume_unique=True)]
+        pairs, times = np.concatenate([pairs, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
+        by = np.argsort(pairs, kind="stable")
+        key, times = pairs[by], times[by].astype("<u4")
         per_word = np.bincount((key >> np.uint64(HASH)).astype(np.int64), minlength=len(words)).astype("<u4")
         return self.number, None, None, None, b" ".join(words), counts.tobytes(), per_word.tobytes(), _five(key & MASK), _planes(times), 0
 
