@@ -65,7 +65,7 @@ def trie_pairs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray, budget: int)
     spent = np.zeros(len(begin), np.int64)
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
-    for level in range(BITS - 1, -1, -1):
+    for level in range(BITS - 1, -2, -1):  # below bit 0 nothing is split, but what its split has made is taken
         single = (a1 - a0 == 1) & (b1 - b0 == 1)
         if single.any():
             i, j = a0[single], b0[single]
@@ -73,7 +73,7 @@ def trie_pairs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray, budget: int)
             left.append(i[near])
             right.append(j[near])
             a0, a1, b0, b1, spent = (x[~single] for x in (a0, a1, b0, b1, spent))
-        if not len(a0):
+        if not len(a0) or level < 0:
             break
         ones = np.r_[0, np.cumsum((fp >> np.uint64(level)).astype(np.int64) & 1)]
         am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])

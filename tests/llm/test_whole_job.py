@@ -1,0 +1,16 @@
+"""Cases that operators once left out."""
+
+import itertools
+
+import numpy as np
+import pytest
+from stationflow.llm import simhash
+
+
+@pytest.mark.parametrize("apart", [(0, 1), (0, 1, 3), (0, 1, 2, 3, 1 << 63)])
+def test_trie_pairs_that_part_in_the_last_bit(apart):
+    x = 0x9E3779B97F4A7C14
+    fp = np.array(sorted(x ^ a for a in apart), np.uint64)
+    i, j = simhash.trie_pairs(fp, np.array([0]), np.array([len(fp)]), 2)
+    want = {(a, b) for a, b in itertools.combinations(range(len(fp)), 2) if int(fp[a] ^ fp[b]).bit_count() <= 2}
+    assert len(i) == len(want) and {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())} == want
