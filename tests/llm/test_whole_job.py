@@ -1,11 +1,14 @@
 """Cases that operators once left out."""
 
 import itertools
+import os
 
 import numpy as np
 import pytest
 from stationflow.llm import simhash
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.mark.parametrize("apart", [(0, 1), (0, 1, 3), (0, 1, 2, 3, 1 << 63)])
 def test_trie_pairs_that_part_in_the_last_bit(apart):
@@ -14,3 +17,49 @@ def test_trie_pairs_that_part_in_the_last_bit(apart):
     i, j = simhash.trie_pairs(fp, np.array([0]), np.array([len(fp)]), 2)
     want = {(a, b) for a, b in itertools.combinations(range(len(fp)), 2) if int(fp[a] ^ fp[b]).bit_count() <= 2}
     assert len(i) == len(want) and {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())} == want
+
+
+def jaccard_keeps(texts, width=5, least=0.8):
+    """Lowest ids of the components of texts (id to text) whose shingles have a Jaccard similarity of least or more."""
+    sets = {}
+    for d, t in texts.items():
+        w = (t or "").encode().lower().split()
+        sets[d] = {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else {None}
+    ids = sorted(sets)
+    root = {d: d for d in ids}
+    for a, b in itertools.combinations(ids, 2):
+        if root[a] != root[b] and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = {d: low if r == high else r for d, r in root.items()}
+    return set(root.values())
+
+
+def test_pipeline_near_dedup_against_jaccard(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(4)
+    texts = {}
+    for g in range(6):
+        words = [f"w{x}" for x in rng.integers(0, 4000, 60 + 60 * g)]
+        for c in range(12):
+            copy = list(words)
+            for at in rng.integers(0, len(words), c * len(words) // 200):
+                copy[at] = f"new{c}"
+            texts[len(texts)] = " ".join(copy)
+    start = [f"v{x}" for x in rng.integers(0, 4000, 300)]
+    for c in range(20):  # a chain: neighbours are similar, and the ends are not
+        texts[len(texts)] = " ".join([f"c{i}" for i in range(12 * c)] + start[12 * c :])
+    texts |= {500: "", 501: None, 502: "one two", 503: "One  two", 504: "one two three"}
+    docs = spark.createDataFrame([(d, t) for d, t in texts.items()] + [(None, "one two")], "doc_id long, text string")
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    want = jaccard_keeps(texts)
+    assert sorted(d for d in kept if d is not None) == sorted(want) and kept.count(None) == 1 and 10 < len(want) < 90
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+def test_pipeline_near_dedup_of_the_smallest_table_against_jaccard(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    assert kept == sorted(jaccard_keeps({r.doc_id: r.text for r in docs.collect()}))
