@@ -24,10 +24,9 @@ def _share(c: Column, outside: str) -> Column:
     return F.length(F.regexp_replace(c, outside, "")) / F.length(c)
 
 
-def dictionary(docs: DataFrame, most_docs: int = 2000, most_words: int = 300) -> list[str]:
-    """The most_words most frequent words of three to ten letters of most_docs documents, chosen by a hash of doc_id."""
-    chosen = hash_sample(docs.select("doc_id", "text"), F.xxhash64("doc_id"), most_docs, "doc_id", "text")
-    words = chosen.select(F.explode(F.split(F.lower("text"), "[^\\p{L}]+")).alias("w")).where(F.length("w").between(3, 10))
+def dictionary(docs: DataFrame, most_words: int = 300) -> list[str]:
+    """The most_words most frequent words of three to ten letters of all documents."""
+    words = docs.select(F.explode(F.split(F.lower("text"), "[^\\p{L}]+")).alias("w")).where(F.length("w").between(3, 10))
     return [r.w for r in words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most_words).collect()]
 
 
@@ -81,12 +80,18 @@ def findings(rows: DataFrame) -> Column:
 
 
 def train(rows: DataFrame, label: Column, most_rows: int = 20_000, trees: int = 20, depth: int = 8, seed: int = 11) -> RandomForestClassificationModel | None:
-    """A forest on at most most_rows labelled rows, chosen by a hash; None if they don't have both labels."""
+    """A forest on the labelled rows; None if they don't have both labels.
+
+    Of over most_rows rows, each label gives at most half as many, chosen by a hash, which weigh as much as all of its rows.
+    """
     labelled = rows.withColumn("label", label).where(F.col("label").isNotNull())
-    chosen = written(hash_sample(labelled, F.xxhash64("doc_id", "word_no", "part_no"), most_rows, "doc_id", "word_no", "part_no"), "findings")
-    if chosen.agg(F.count_distinct("label")).first()[0] < 2:
+    n = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
+    if len(n) < 2:
         return None
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
+    most = most_rows // 2 if sum(n.values()) > most_rows else most_rows
+    drawn = [hash_sample(labelled.where(F.col("label") == x), F.xxhash64("doc_id", "word_no", "part_no"), most, "doc_id", "word_no", "part_no").withColumn("weight", F.lit(max(1.0, n[x] / most))) for x in sorted(n)]
+    chosen = written(drawn[0].unionByName(drawn[1]), "findings")
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed)
     return forest.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(chosen))
 
 

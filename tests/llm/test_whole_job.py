@@ -5,7 +5,9 @@ import os
 
 import numpy as np
 import pytest
-from stationflow.llm import simhash
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+from stationflow.llm import secrets, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +65,18 @@ def test_pipeline_near_dedup_of_the_smallest_table_against_jaccard(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
     assert kept == sorted(jaccard_keeps({r.doc_id: r.text for r in docs.collect()}))
+
+
+def test_dictionary_counts_all_documents(spark):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "even apple").otherwise("odd apple").alias("text"))
+    more = docs.unionByName(spark.range(9000, 9003).select(F.col("id").alias("doc_id"), F.expr("repeat('rare ', 4000)").alias("text")))
+    assert secrets.dictionary(more, most_words=2) == ["rare", "apple"]
+
+
+def test_forest_learns_rare_findings(spark):
+    flat = {x: F.lit(0.0) for x in secrets.FEATURES} | {"named": (F.col("id") % 1000 == 0).cast("double")}
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("word_no"), F.lit(0).cast("long").alias("part_no"), *(c.alias(x) for x, c in flat.items()))
+    model = secrets.train(rows, F.col("named"), most_rows=12, trees=5)
+    at = secrets.FEATURES.index("named")
+    score = lambda named: model.predictProbability(Vectors.dense([named if i == at else 0.0 for i in range(len(secrets.FEATURES))]))[1]
+    assert model is not None and score(1.0) > 0.5 > score(0.0)
