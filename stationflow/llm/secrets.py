@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from .common import hash_sample, written
 
-CANDIDATE = "[A-Za-z0-9+/_-]{16,256}"
+CANDIDATE = "[A-Za-z0-9+/_-]{16,}"
 KEY_FORMAT = "^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$"  # fixed values: published formats of access keys
 SECRET_NAME = "(?i)(passw(or)?d|passwd|pwd|secret|token|api.?key|access.?key|auth|credential)"  # fixed values: names that hold secrets
+# fixed values: what separates a name from its value in one word, and what a value has not
+ASSIGNED = SECRET_NAME + r"[A-Za-z0-9_.\]-]{0,40}[\"'`]{0,2}[:=]{1,2}[\"'`]{0,2}"
+VALUE = r"(?![=:])[^\s\"'`,;<>]{4,}"
 FEATURES = ("n", "digit_share", "upper_share", "hex_share", "vowel_share", "distinct_share", "change_share", "coverage", "slashes", "in_path", "assigned", "named", "quoted", "before_known", "after_known")
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -33,19 +36,25 @@ def dictionary(docs: DataFrame, most_words: int = 300) -> list[str]:
 def candidates(docs: DataFrame, known: list[str]) -> DataFrame:
     """One row for each candidate: doc_id, word_no, part_no, candidate, named, label (None) and the features.
 
-    Words are cut at white space; a candidate is a run of 16 to 256 key characters with a digit in it. Texts without
-    candidates, null and empty ones give no rows. Repeated rows give repeated rows.
+    Words are cut at white space; a candidate is a run of 16 or more key characters with a digit in it, or, after an
+    assignment to a secret's name, a value of four or more characters up to a quote, comma, semicolon or bracket.
+    Texts without candidates, null and empty ones give no rows. Repeated rows give repeated rows.
     """
     words = F.split("text", r"\s+")
+    follows = lambda p1, p2: (p1.rlike(SECRET_NAME) & p1.rlike("[=:]$")) | (p1.rlike("^(=|:|:=|=>)$") & p2.rlike(SECRET_NAME))
+    get = lambda i: F.coalesce(F.get("words", i), F.lit(""))
     picked = F.filter(
-        F.transform(F.col("words"), lambda w, i: F.when((F.length(w) >= 16) & w.rlike("[0-9]") & w.rlike(CANDIDATE), i)),
+        F.transform(F.col("words"), lambda w, i: F.when(((F.length(w) >= 16) & w.rlike("[0-9]") & w.rlike(CANDIDATE)) | w.rlike(ASSIGNED + VALUE) | ((F.length(w) >= 4) & follows(get(i - 1), get(i - 2))), i)),
         lambda i: i.isNotNull(),
     )
-    at = lambda k: F.coalesce(F.get("words", F.col("i") + k), F.lit(""))
-    base = docs.where(F.length("text") >= 16).select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
+    at = lambda k: get(F.col("i") + k)
+    base = docs.where(F.length("text") >= 8).select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
     base = base.select("doc_id", "words", F.explode(picked).alias("i"))
     base = base.select("doc_id", F.col("i").cast("long").alias("word_no"), at(0).alias("word"), at(-1).alias("p1"), at(-2).alias("p2"), at(1).alias("n1"))
-    base = base.select("*", F.posexplode(F.expr(f"regexp_extract_all(word, '{CANDIDATE}', 0)")).alias("part_no", "candidate")).where(F.col("candidate").rlike("[0-9]"))
+    # a value comes before the runs that it has
+    alone = F.regexp_extract_all("word", F.lit(f"((?<=^[\"'`(]{{0,2}}){VALUE}|{CANDIDATE})"), F.lit(0))
+    within = F.regexp_extract_all("word", F.lit(f"((?<={ASSIGNED}){VALUE}|{CANDIDATE})"), F.lit(0))
+    base = base.select("*", F.posexplode(F.when(follows(F.col("p1"), F.col("p2")), alone).otherwise(within)).alias("part_no", "candidate"))
     c, n = F.col("candidate"), F.length("candidate")
     shape = F.translate(F.translate(F.translate(c, LETTERS, "a" * 26), LETTERS.upper(), "A" * 26), "0123456789", "0" * 10)
     before = F.expr("substring_index(word, candidate, 1)")
@@ -53,7 +62,7 @@ def candidates(docs: DataFrame, known: list[str]) -> DataFrame:
     clean = lambda w: F.regexp_replace(F.lower(w), "[^\\p{L}]", "")
     covered = "(" + "|".join(sorted((w for w in known if w.isalpha()), key=lambda w: (-len(w), w))) + ")" if known else "(?!)"
     flag = lambda x: x.cast("double")
-    return base.select(
+    found = base.select(
         "doc_id", "word_no", F.col("part_no").cast("long").alias("part_no"), "candidate",
         n.cast("double").alias("n"),
         _share(c, "[^0-9]").alias("digit_share"),
@@ -71,11 +80,12 @@ def candidates(docs: DataFrame, known: list[str]) -> DataFrame:
         flag(clean(F.col("p1")).isin(known)).alias("before_known") if known else F.lit(0.0).alias("before_known"),
         flag(clean(F.col("n1")).isin(known)).alias("after_known") if known else F.lit(0.0).alias("after_known"),
     )
+    return found.where(((F.col("n") >= 16) & F.col("candidate").rlike("[0-9]")) | ((F.col("assigned") == 1) & (F.col("named") == 1)))
 
 
 def findings(rows: DataFrame) -> Column:
-    """The label that a review gives a finding: 1 for a published key format or a value assigned to a secret's name, else 0."""
-    value = (F.col("assigned") == 1) & (F.col("named") == 1) & (F.col("digit_share") < 1) & (F.col("in_path") == 0)
+    """The label that a review gives a finding: 1 for a published key format or a value assigned to a secret's name, but for dictionary words, else 0."""
+    value = (F.col("coverage") < 1) & (F.col("assigned") == 1) & (F.col("named") == 1) & (F.col("digit_share") < 1) & (F.col("in_path") == 0)
     return F.when(F.col("candidate").rlike(KEY_FORMAT) | value, 1.0).otherwise(0.0)
 
 

@@ -80,3 +80,10 @@ def test_forest_learns_rare_findings(spark):
     at = secrets.FEATURES.index("named")
     score = lambda named: model.predictProbability(Vectors.dense([named if i == at else 0.0 for i in range(len(secrets.FEATURES))]))[1]
     assert model is not None and score(1.0) > 0.5 > score(0.0)
+
+
+def test_candidates_of_assigned_values_and_long_runs(spark):
+    long = "a1B2" * 100
+    text = f"password=hunter2abc then secret: swordfishes and token = 'ab.c$d@e!f=' or api_key=\"Qwertz.uiopasdf123456789\" and {long} plain words"
+    rows = secrets.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["plain"]).collect()
+    assert sorted(r.candidate for r in rows) == sorted(["hunter2abc", "swordfishes", "ab.c$d@e!f=", "Qwertz.uiopasdf123456789", long])
