@@ -64,12 +64,12 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, most_bad: float
     The longest fitting rule decides; where none fits, a page is blocked if the lower posterior bound of its host's
     rate of bad pages is over most_bad. A page is labelled by the row of labels whose doc_id is its page_id, and bad
     if that is of low quality or toxic. Null urls, and those without ://, have an empty host and path, no rule and
-    the reputation of the empty host. Pages without label, hosts without labelled pages: allowed. Repeated labels
+    the reputation of the empty host. Hosts without labelled pages have their domain's posterior (a domain without, its suffix's). Repeated labels
     of an id count once (bad if any is). Labels are summed before hosts are shuffled.
     """
     base = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
-    outcomes = base.select("page_id", "host").join(known, "page_id").groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("bad").alias("bad"))
+    outcomes = base.select("page_id", "host").join(known, "page_id", "left").groupBy("host").agg(F.count("bad").alias("pages"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     blocked = reputations(outcomes, strength, deviations).where(F.col("bound") > most_bad).select(F.col("host").alias("bad_host"))
     ruled = base.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
     judged = ruled.join(blocked, F.col("host") == F.col("bad_host"), "left")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
-from stationflow.llm import secrets, simhash
+from stationflow.llm import secrets, simhash, urls
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +87,10 @@ def test_candidates_of_assigned_values_and_long_runs(spark):
     text = f"password=hunter2abc then secret: swordfishes and token = 'ab.c$d@e!f=' or api_key=\"Qwertz.uiopasdf123456789\" and {long} plain words"
     rows = secrets.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["plain"]).collect()
     assert sorted(r.candidate for r in rows) == sorted(["hunter2abc", "swordfishes", "ab.c$d@e!f=", "Qwertz.uiopasdf123456789", long])
+
+
+def test_host_without_outcomes_takes_its_domains(spark):
+    pages = [(i, f"http://h{i % 7}.bad.org/{i}") for i in range(200)] + [(i, f"http://h{i % 7}.good.org/{i}") for i in range(200, 400)] + [(900, "http://new.bad.org/"), (901, "http://new.good.org/"), (902, "http://else.net/")]
+    labels = spark.createDataFrame([(i, int(i >= 200), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), labels, most_bad=0.45).collect()}
+    assert got[900] == "block" and got[901] == got[902] == "allow"
