@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -17,8 +16,7 @@ from .traffic import TRIPS
 
 def _folder(spark) -> str:
     """A new folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-files-")
-    return f"{base}/{uuid.uuid4().hex}"
+    return f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
 
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS station_code, round(s_acctbal / 1000, 6) AS km FROM supplier WHERE s_acctbal / 1000 > 0 AND s_nationkey % 3 <> 0 AND s_nationkey % 5 <> 0")

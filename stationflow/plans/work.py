@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import sources
@@ -211,11 +213,7 @@ def follow_type(spark, sf):
 @query("SELECT type_name, epoch(date_trunc('day', ts))::BIGINT + 86400 AS ts, round(sum(value), 4) AS value FROM m WHERE ts < (SELECT date_trunc('day', max(ts)) FROM m) GROUP BY 1, 2")
 def stream_window(spark, sf, make=stream_window):
     """Daily sums of a stream of all events; days that the watermark has passed."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
-    run = f"{base}/stream-{uuid.uuid4().hex}"
+    run = f"{sources.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     files = f"{sf}/event*.parquet"
     source = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(files)
     m = source.select(F.col("event_type").alias("type_name"), F.col("ts").cast("timestamp").alias("ts"), "value")

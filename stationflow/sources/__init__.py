@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,25 @@ from pyspark.sql import functions as F
 from ..schema import MEASUREMENTS
 
 
+_LOCAL: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where both are unset, a session of one machine (master local) gets a folder of its own; on a cluster there is none
+    that all could read, which is an error.
+    """
+    if base := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="spark-stationflow-")
+    return _LOCAL[app]
+
+
 def read_measurements(spark: SparkSession, path: str, types: Sequence[str] | None = None, since: Column | None = None, until: Column | None = None) -> DataFrame:
     """Measurement history in Parquet; types and times are pushed down to the scan."""
     m = spark.read.schema(MEASUREMENTS).parquet(path)
