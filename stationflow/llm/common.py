@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir of the session, one of our own only where it is unset."""
-    if base := spark.conf.get("spark.checkpoint.dir", None):
-        return base.rstrip("/")
-    if base := spark.sparkContext.getCheckpointDir():
-        return base.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="spark-stationflow-")
-        spark.sparkContext.setCheckpointDir(_LOCAL[app])
-    return _LOCAL[app]
-
+from ..sources import shared_dir
 
 def written(df: DataFrame, name: str, codec: str = "zstd", by: str | None = None) -> DataFrame:
     """df as a table in the shared folder (in a folder for each value of by): cuts the lineage, survives lost executors, is computed once."""
@@ -45,25 +31,60 @@ def forget(table: DataFrame, part: str = "") -> None:
     path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of few rows, since a document may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes, however long a document is; a limit that the session has already stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `most` bytes of a text or binary column (a longer value is a slice of its own)."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - size) // most
+        cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, batch.num_rows] if batch.num_rows else [0, 0]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield batch.slice(int(a), int(b - a))
+
+
+HOTTEST = 4096  # keys that join_spread() looks after
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def hash_sample(df: DataFrame, by: Column, most: int, *ties: str) -> DataFrame:
-    """At most `most` rows of df with the lowest hashes by; ties: columns that settle equal ones.
+def hash_sample(df: DataFrame, by: Column, most: int, columns: Sequence[str]) -> DataFrame:
+    """At most `most` different rows of df[columns], those of the lowest hashes by; equal hashes are settled by the columns.
 
-    Hashes that can't be among the lowest are filtered first (a share that follows from a count), so that no more
-    than a few times `most` rows leave the tasks, at any number of tasks.
+    The highest hash that is taken is found from the different hashes first, 8 bytes each, so that only rows at or
+    below it leave their tasks. Repeated rows are one row of the sample, and take no other row's place.
     """
-    n = df.select(by.alias("h")).count()
-    if n > 4 * most:
-        df = df.where(F.pmod(by, F.lit(1 << 40)) < int((1 << 40) * 3 * most / n))
-    return df.orderBy(F.pmod(by, F.lit(1 << 40)), *ties).limit(most)
+    spread = F.pmod(by, F.lit(1 << 62))
+    top = df.select(spread.alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if top is None:
+        return df.select(*columns).limit(0)
+    return df.where(spread <= top).select(spread.alias("_h"), *columns).distinct().orderBy("_h", *columns).limit(most).drop("_h")
+
+
+def join_spread(many: DataFrame, one: DataFrame, key: str, weight: str, by: Sequence[str], how: str = "inner", most: int = 50_000) -> DataFrame:
+    """many joined with one, which has each key once; keys that are frequent in many are dealt over several tasks.
+
+    weight names the column of one that tells how many rows of many have the key (it isn't returned). The rows of a
+    key with more than `most` are dealt by the hash of the columns by, and the key's row of one is repeated for each
+    deal. Only the HOTTEST most frequent keys are broadcast; any other has fewer than one in HOTTEST of all rows.
+    """
+    hot = one.where(F.col(weight) > most).orderBy(F.desc(weight)).limit(HOTTEST)
+    hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.least(F.ceil(F.col(weight) / most), F.lit(1024)).cast("int").alias("_deals")))
+    left = many.join(hot, F.col(key) == F.col("_hot"), "left")
+    left = left.withColumn("_deal", F.coalesce(F.pmod(F.xxhash64(*by), F.col("_deals")), F.lit(0)).cast("int")).drop("_hot", "_deals")
+    right = one.join(hot, F.col(key) == F.col("_hot"), "left").drop(weight)
+    right = right.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.coalesce("_deals", F.lit(1)) - 1))).drop("_hot", "_deals")
+    return left.join(right, [key, "_deal"], how).drop("_deal")
 
 
 def ascii_lower(c):
@@ -71,8 +92,6 @@ def ascii_lower(c):
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-
-
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding them."""
     a = batch.column(column)
@@ -96,7 +115,8 @@ class TwiceFilter:
 
     Each hash has two places. Places that were set by two sightings are in the twice-seen filter; a hash is
     suspected when both of its places are. No hash that was seen twice is missed, whatever the load: a filter
-    that is too small only suspects more. The size is fixed, and so is what is broadcast (2 ** bits / 8 bytes).
+    that is too small only suspects more. filter_bits() gives the size for a number of hashes, up to a bound of what
+    is broadcast (2 ** MOST_BITS / 8 bytes).
     """
 
     def __init__(self, packed: bytes, bits: int):
@@ -113,6 +133,14 @@ class TwiceFilter:
         return (self.map[a >> 3] >> (a & 7).astype(np.uint8) & 1 & (self.map[b >> 3] >> (b & 7).astype(np.uint8))).astype(bool)
 
 
+MOST_BITS = 29
+
+
+def filter_bits(hashes: int) -> int:
+    """Bits of a filter's size for about so many hashes: 16 places for each, MOST_BITS at most."""
+    return min(MOST_BITS, max(SLICE_BITS, (16 * max(1, hashes) - 1).bit_length()))
+
+
 SLICE_BITS = 18  # places of a slice of the filter; a slice is merged as a whole
 
 
@@ -120,7 +148,8 @@ def seen_twice(hashes: DataFrame, bits: int) -> bytes:
     """The twice-seen filter over a column h of packed 64-bit hashes, each row holding what one document or block saw.
 
     Tasks send the places that they saw, once or more, by slice; a slice's task merges them as they come, in
-    2 ** SLICE_BITS bytes of memory. The driver gets the bits of the twice-seen filter, 2 ** bits / 8 bytes.
+    2 ** SLICE_BITS bytes of memory. The merged slices are written, and the driver reads the bits of the twice-seen
+    filter at once, 2 ** bits / 8 bytes.
     """
     spark, most = hashes.sparkSession, 2_000_000
 
@@ -180,7 +209,9 @@ def seen_twice(hashes: DataFrame, bits: int) -> bytes:
     sent = hashes.mapInArrow(send, "slice int, at binary, twice binary")
     slices = max(1, (1 << bits) >> SLICE_BITS)
     parts = sent.repartition(min(slices, int(spark.conf.get("spark.sql.shuffle.partitions"))), "slice").mapInArrow(merge, "slice int, bits binary")
+    merged = written(parts, "filter")
     out = bytearray((1 << bits) // 8)
-    for row in parts.toLocalIterator():
+    for row in merged.collect():
         out[row.slice << (SLICE_BITS - 3) : (row.slice + 1) << (SLICE_BITS - 3)] = row.bits
+    forget(merged)
     return bytes(out)

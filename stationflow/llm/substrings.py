@@ -4,7 +4,9 @@ Windows of `width` bytes can only be equal if the smallest hash of the q-grams i
 into slices, runs of windows with one smallest hash; slices whose hash was seen once can't repeat and stay where
 they are. The others meet by that hash, and within it their suffixes are sorted by bucket-pointer refinement: first
 into buckets by q-gram, then each bucket by the bucket pointers of later offsets, whose updates the next round
-reuses, until buckets agree over the whole width. Windows whose bucket has company are repeated.
+reuses, until buckets agree over the whole width. Windows whose bucket has company are repeated. A hash with too many
+slices for one task is refined by Spark: its suffixes are shuffled by the bucket of their first half and that of the
+offset where the second half begins.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwiceFilter, mix64, seen_twice, small_batches, written
+from .common import TwiceFilter, filter_bits, forget, join_spread, mix64, portions, seen_twice, small_batches, written
 
 WIDTH = 200
+BUCKETS = ("h0", "h1", "h2", "h3")  # the two buckets of a suffix
 GRAM = 96  # bytes of the q-grams whose smallest hash routes a window
 MOST_WINDOWS = 512  # windows of a slice
-MOST_SLICES = 1000  # different slices of a smallest hash that one task sorts; beyond that windows are counted one by one
+MOST_SLICES = 1000  # different slices of a smallest hash that one task sorts; those of more are refined over several tasks
+STRETCH = 512 << 10  # bytes of slices that are sorted at once
 
 
 def _words(data: bytes) -> np.ndarray:
@@ -72,80 +76,86 @@ def slices(data: bytes, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarra
 
 def repeated_windows(parts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     """For each part, which of its windows of width bytes start more than once in all parts: bucket-pointer refinement."""
-    data = b"".join(parts)
-    size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-    end = np.repeat(np.cumsum(size), size)  # where the part of each position ends
-    n = len(data)
+    size = np.fromiter(map(len, parts), dtype=np.int32, count=len(parts))
+    first = np.cumsum(size, dtype=np.int32) - size
+    end = np.repeat(first + size, size)  # where the part of each position ends
+    n = len(end)
     gram = 8
-    place = np.arange(n)
-    active = place[place + gram <= end]
-    bucket = -1 - place  # pointers of suffixes that are alone; those of a bucket get the first place of the bucket
+    bucket = -1 - np.arange(n, dtype=np.int32)  # pointers of suffixes that are alone; those of a bucket get its first place
+    active = np.flatnonzero(np.arange(n, dtype=np.int32) + gram <= end).astype(np.int32)
     if len(active):
-        key = _words(data)[active]
-        active = _refined(bucket, active, np.argsort(key, kind="stable"), key)
+        active = _refined(bucket, active, _words(b"".join(parts))[active])
     depth = gram
     while depth < width and len(active):
         step = min(depth, width - depth)
-        fits = active + depth + step <= end[active]
+        fits = active + (depth + step) <= end[active]
         short, active = active[~fits], active[fits]
         if not len(active):
             break
-        own, later = bucket[active], bucket[active + step]
+        # a bucket's pointer and that of the later offset, as one key
+        pair = bucket[active].astype(np.int64) << 32
+        pair |= bucket[active + step].astype(np.int64) & 0xFFFFFFFF
         bucket[short] = -1 - short
-        order = np.lexsort((later, own))
-        active = _refined(bucket, active, order, own, later)
+        active = _refined(bucket, active, pair)
         depth += step
     flag = np.zeros(n, bool)
     flag[active] = True
-    first = np.cumsum(size) - size
     return [flag[a : a + max(0, s - width + 1)] for a, s in zip(first.tolist(), size.tolist())]
 
 
-def _refined(bucket: np.ndarray, active: np.ndarray, order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+def _refined(bucket: np.ndarray, active: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Gives each run of equal keys its bucket pointer; returns the places that still have company."""
-    at = active[order]
-    new = np.zeros(len(order), bool)
-    new[0] = True
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    start = np.flatnonzero(new)
-    count = np.diff(np.r_[start, len(order)])
-    pointer = np.repeat(start, count)
+    order = np.argsort(key, kind="stable")
+    at, key = active[order], key[order]
+    start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    del key, order
+    count = np.diff(np.r_[start, len(at)])
     many = np.repeat(count > 1, count)
-    bucket[at] = np.where(many, at[pointer], -1 - at)
+    bucket[at] = np.where(many, np.repeat(at[start], count), -1 - at)
     return at[many]
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, filter_bits: int = 27, with_kept: bool = False) -> DataFrame:
+def halves(data: bytes, width: int) -> np.ndarray:
+    """The buckets of each window: digests of its first half, and of the offset where its second half begins; both 128 bits."""
+    half = -(-width // 2)
+    digests = b"".join(xxhash.xxh3_128_digest(data[i : i + half]) for i in range(len(data) - half + 1))
+    each = np.frombuffer(digests, "<i8").reshape(-1, 2)
+    n = len(data) - width + 1
+    return np.concatenate([each[:n], each[width - half : width - half + n]], axis=1)
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, with_kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document, and kept (binary) if asked for.
 
     Texts are bytes of UTF-8; null and empty ones have none. Each byte of a window of `width` bytes that also starts
     anywhere else in the table, in the same text too, is removed; windows are judged on the input. Repeated rows are
     different places. An empty table gives no rows. width may be GRAM or more.
 
-    A first pass finds the smallest hashes that may have been seen twice, by a filter of 2 ** filter_bits bits (what
-    is broadcast doesn't grow; a fuller filter only lets more slices through). Equal slices meet by digest, in counts
-    that are summed before they are shuffled. Different slices of a hash are sorted in one task if they are
-    MOST_SLICES or fewer; for more, their windows' digests are counted.
+    A first pass finds the smallest hashes that may have been seen twice, by a filter whose size follows from the
+    bytes of text, up to a bound of what is broadcast; a fuller filter only lets more slices through. Equal slices meet
+    by digest, in counts that are summed before they are shuffled: each of them stands for equal suffixes, so one goes
+    on. Different slices of a hash are sorted in one task if they are MOST_SLICES or fewer; the suffixes of more are
+    dealt by their buckets, as halves() has them. What many texts share is dealt over several tasks where it is joined.
     """
     if width < GRAM:
         raise ValueError(f"width must be {GRAM} or more")
     spark = docs.sparkSession
     small_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    named = base.withColumn("text_id", F.unhex(F.md5("text")))
+    long = base.where(F.length("text") >= width).withColumn("text_id", F.unhex(F.md5("text")))
+    windows = long.agg(F.sum(F.length("text") - width + 1).alias("n")).first().n or 0
+    bits = filter_bits(2 * windows // (width - GRAM + 2))  # smallest hashes change about so often
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            each = [slices(t or b"", width) for t in batch.column(0).to_pylist()]
+        for batch in portions(batches):
+            each = (slices(t or b"", width) for t in batch.column("text").to_pylist())
             yield pa.record_batch([pa.array([np.concatenate([low, low[again]]).tobytes() for _, _, low, again in each], pa.binary())], ["h"])
 
-    twice = spark.sparkContext.broadcast(seen_twice(base.where(F.length("text") >= width).select("text").mapInArrow(hashed, "h binary"), filter_bits))
+    twice = spark.sparkContext.broadcast(seen_twice(long.select("text").mapInArrow(hashed, "h binary"), bits))
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = TwiceFilter(twice.value, filter_bits)
-        for batch in batches:
+        seen = TwiceFilter(twice.value, bits)
+        for batch in portions(batches):
             node, start, count, key, text_id, data = [], [], [], [], [], []
             for t, text in zip(batch.column("text_id").to_pylist(), batch.column("text").to_pylist()):
                 begin, n, low, _ = slices(text, width)
@@ -163,13 +173,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, filter_bits: int = 27, w
                     ["node", "start", "n", "key", "text_id", "data"],
                 )
 
-    table = written(named.where(F.length("text") >= width).select("text_id", "text").mapInArrow(sliced, "node long, start int, n int, key binary, text_id binary, data binary"), "slices")
+    table = written(long.select("text_id", "text").mapInArrow(sliced, "node long, start int, n int, key binary, text_id binary, data binary"), "slices")
     different = written(table.groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.first("node").alias("node"), F.first("data").alias("data")), "different-slices")
     per_node = different.groupBy("node").count()
     large = written(per_node.where(F.col("count") > MOST_SLICES).select("node"), "large-nodes")
 
     def sort_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a node come one after another; nodes are sorted together in stretches of a few megabytes."""
+        """Rows of a node come one after another; nodes are sorted together in stretches of about STRETCH bytes."""
 
         def done(held: list[tuple]) -> Iterator[pa.RecordBatch]:
             flags = repeated_windows([d for _, _, _, d in held], width)
@@ -187,7 +197,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, filter_bits: int = 27, w
                         held += group
                         size += sum(len(g[3]) for g in group)
                     group = []
-                    if size >= 4 << 20:
+                    if size >= STRETCH:
                         yield from done(held)
                         held, size = [], 0
                 group.append(row)
@@ -201,15 +211,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, filter_bits: int = 27, w
     if not large.isEmpty():
         crowd = different.join(large, "node", "left_semi")
 
-        def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for key, times, data in zip(*(batch.column(c).to_pylist() for c in ("key", "times", "data"))):
-                    n = len(data) - width + 1
-                    d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[i : i + width]) for i in range(n)), "<i8").reshape(-1, 2)
-                    yield pa.record_batch([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array([key] * n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, times, np.int64))], ["d0", "d1", "key", "at", "times"])
+                    d = halves(data, width)
+                    n = len(d)
+                    yield pa.record_batch([*(pa.array(np.ascontiguousarray(d[:, k])) for k in range(4)), pa.array([key] * n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, times, np.int64))], [*BUCKETS, "key", "at", "times"])
 
-        each = written(crowd.select("key", "times", "data").mapInArrow(windows, "d0 long, d1 long, key binary, at int, times long"), "windows")
-        again = written(each.groupBy("d0", "d1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("d0", "d1"), "repeated-windows")
+        each = written(crowd.select("key", "times", "data").mapInArrow(bucketed, ", ".join(f"{b} long" for b in BUCKETS) + ", key binary, at int, times long").withColumn("bucket", F.struct(*BUCKETS)).drop(*BUCKETS), "suffixes")
+        again = written(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "repeated-suffixes")
 
         def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -221,17 +231,25 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, filter_bits: int = 27, w
                 if out:
                     yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*out)], ["key", "mask"])
 
-        found = each.where("times = 1").join(again, ["d0", "d1"]).groupBy("key").agg(F.collect_list("at").alias("ats"))
+        found = join_spread(each.where("times = 1"), again, "bucket", "c", ["key", "at"]).groupBy("key").agg(F.collect_list("at").alias("ats"))
         masks = masks.unionByName(found.mapInArrow(masked, "key binary, mask binary"))
 
     whole = different.where("times > 1").select("key", F.lit(None).cast("binary").alias("mask"))
-    marks = written(whole.unionByName(masks), "marks")
-    places = table.select("key", "text_id", "start", "n").join(marks, "key")
-    places = places.groupBy(F.col("text_id").alias("of")).agg(F.collect_set(F.struct("start", "n", "mask")).alias("marks"))  # no more than the text has slices
-    joined = named.join(written(places, "places"), F.col("text_id") == F.col("of"), "left").select("doc_id", "text", "marks")
+    marks = whole.unionByName(masks).join(different.select("key", "times"), "key")
+    marks = written(marks, "marks")
+    # copies of a text have the same slices, and one of them is joined; a slice may be at several places of a text
+    held = table.groupBy("key", "text_id", "start", "n").agg(F.count(F.lit(1)).alias("copies"))
+    places = join_spread(held, marks, "key", "times", ["text_id", "start"])
+    # no more than the text has slices
+    places = written(places.groupBy("text_id").agg(F.collect_list(F.struct("start", "n", "mask")).alias("marks"), F.max("copies").alias("copies")), "places")
+    for done in (table, different, large):
+        forget(done)
+    joined = join_spread(long, places, "text_id", "copies", ["doc_id"], "left", 5000).select("doc_id", "text", "marks")
+    short = base.where(F.coalesce(F.length("text"), F.lit(0)) < width).select("doc_id", "text", F.lit(None).cast(joined.schema["marks"].dataType).alias("marks"))
+    joined = joined.unionByName(short)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc, text, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "marks"))):
                 text = text or b""
