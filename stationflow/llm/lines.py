@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwiceFilter, seen_twice, small_batches, written
+from .common import TwiceFilter, filter_bits, forget, join_spread, portions, seen_twice, small_batches, written
 
 
 def keys(text: bytes | None, least: int) -> list[bytes | None]:
@@ -24,7 +24,10 @@ def keys(text: bytes | None, least: int) -> list[bytes | None]:
     return out
 
 
-def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, filter_bits: int = 26) -> DataFrame:
+MOST_SHARED = 200_000  # repeated keys that are broadcast; a worker holds some 30 MB of them
+
+
+def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, most_shared: int = MOST_SHARED) -> DataFrame:
     """The documents without repeated lines, and n_lines, n_dropped and kept_sha256 of each.
 
     A line's key is the line without ASCII white space at its ends and with A-Z lower-cased. Keys of at least
@@ -33,9 +36,10 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, filter_bit
     empty line. Repeated rows are treated alike. docs needs doc_id and text; its other columns are returned as
     they are, but for those named n_lines, n_dropped and kept_sha256.
 
-    The first pass sends places of key hashes, the second only the digests of suspected lines. The filters have
-    2 ** filter_bits bits, so what is broadcast doesn't grow; fuller filters suspect more lines, and all suspects
-    are confirmed exactly.
+    The first pass sends places of key hashes, the second only the digests of suspected lines. The filters' size
+    follows from the number of lines, up to a bound of what is broadcast; fuller filters suspect more lines, and all
+    suspects are confirmed exactly. Up to most_shared repeated keys are broadcast, and texts stay where
+    they are; more are joined with the documents that lose lines, hot keys dealt over several tasks.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -44,18 +48,20 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, filter_bit
     lean = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             out = []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column("text").to_pylist():
                 own = {xxhash.xxh3_64_intdigest(k) for k in keys(text, least) if k is not None}
                 out.append(np.fromiter(own, dtype=np.uint64, count=len(own)).tobytes())
             yield pa.record_batch([pa.array(out, pa.binary())], ["h"])
 
-    twice = spark.sparkContext.broadcast(seen_twice(lean.select("text").mapInArrow(hashed, "h binary"), filter_bits))
+    lines = docs.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n"))
+    bits = filter_bits(lines.first().n or 0)
+    twice = spark.sparkContext.broadcast(seen_twice(lean.select("text").mapInArrow(hashed, "h binary"), bits))
 
     def suspected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = TwiceFilter(twice.value, filter_bits)
-        for batch in batches:
+        once = TwiceFilter(twice.value, bits)
+        for batch in portions(batches):
             found: list[tuple] = []
             each = [list({k for k in keys(t, least) if k is not None}) for t in batch.column("text").to_pylist()]
             flat = [(d, k) for d, ks in zip(batch.column("doc_id").to_pylist(), each) for k in ks]
@@ -67,23 +73,30 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, filter_bit
     # 128-bit digests stand for the keys: no two of them are equal by chance
     suspects = written(lean.mapInArrow(suspected, "doc_id long, key binary"), "suspects")
     held = suspects.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
-    repeated = written(held.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= least_docs).select("key", "keeper"), "repeated-lines")
-    drops = suspects.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
-    drops = drops.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("key").alias("drops"))  # no more than the document has lines
-    joined = docs.join(drops, docs.doc_id.eqNullSafe(drops.of), "left").drop("of")
-
+    repeated = held.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
+    repeated = written(repeated.where(F.col("docs") >= least_docs), "repeated-lines")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     names = ["doc_id", "text", *others]
+    small = repeated.count() <= most_shared
+    if small:
+        rows = repeated.select("key", "keeper").toPandas().sort_values("key")
+        held_by = spark.sparkContext.broadcast((b"".join(rows["key"]), [None if x != x else int(x) for x in rows["keeper"].tolist()]))
+        joined = docs.withColumn("drops", F.lit(None).cast("array<binary>"))
+    else:
+        drops = join_spread(suspects, repeated, "key", "docs", ["doc_id"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
+        drops = drops.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("key").alias("drops"))  # no more than the document has lines
+        joined = docs.join(drops, docs.doc_id.eqNullSafe(drops.of), "left").drop("of")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        keeper = _keepers(held_by.value) if small else {}
+        for batch in portions(batches):
             rows = []
-            for text, gone in zip(batch.column("text").to_pylist(), batch.column("drops").to_pylist()):
+            for doc, text, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "drops"))):
                 lines = (text or "").encode().split(b"\n")
-                left = lines
-                if gone:
-                    drop = set(gone)
-                    left = [a for a, k in zip(lines, keys(b"\n".join(lines), least)) if k is None or xxhash.xxh3_128_digest(k) not in drop]
+                left, drop = lines, set(gone or ())
+                if small or drop:
+                    digests = [None if k is None else xxhash.xxh3_128_digest(k) for k in keys(b"\n".join(lines), least)]
+                    left = [a for a, d in zip(lines, digests) if d is None or (d not in drop and keeper.get(d, doc) == doc)]
                 out = b"\n".join(left)
                 rows.append((None if text is None else out.decode(), len(lines), len(lines) - len(left), hashlib.sha256(out).hexdigest()))
             cols = list(zip(*rows)) or [()] * 4
@@ -96,6 +109,17 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, filter_bit
     return joined.select(*names, "drops").mapInArrow(kept, schema + ", n_lines long, n_dropped long, kept_sha256 string")
 
 
+_KEEPERS: list = [None, {}]
+
+
+def _keepers(shared: tuple[bytes, list]) -> dict[bytes, int | None]:
+    """The document that keeps each repeated key, as one map for each Python worker."""
+    if _KEEPERS[0] is not shared:
+        digests, ids = shared
+        _KEEPERS[:] = shared, {digests[16 * i : 16 * i + 16]: d for i, d in enumerate(ids)}
+    return _KEEPERS[1]
+
+
 ORACLE = r"""
 WITH lines AS (
   SELECT doc_id, i, l, translate(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
