@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -13,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, small_batches
+from .common import hash_sample, portions, small_batches
 
-WORD = re.compile(r"[^\W\d_]+")
+# word characters that are neither letters nor decimal digits: fractions, powers, Roman and circled numbers
+NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
 BUCKETS = 1 << 16  # hashed features
 SEGMENT = 64  # words of a segment; segments are chained by their transfer matrices
 MOST_WORDS = 150_000  # words whose scores a worker keeps; beyond that it begins anew
@@ -88,38 +91,26 @@ def fit(samples: list[tuple[str, str]], epochs: int = 30, mixed: int = 1500, see
     grid, gold = np.zeros((steps, n), np.int64), np.full((steps, n), -1)
     for c, (x, (_, y)) in enumerate(zip(ids, sequences)):
         grid[: len(x), c], gold[: len(x), c] = x, y
-    live = gold >= 0
-    hot = np.eye(k + 1)[gold][:, :, :k]
-    tokens = float(live.sum())
-    gold_moves = np.einsum("tni,tnj->ij", hot[:-1] * live[1:, :, None], hot[1:])
+    tokens = float((gold >= 0).sum())
+    gold_moves = np.zeros((k, k))
+    both = (gold[:-1] >= 0) & (gold[1:] >= 0)
+    np.add.at(gold_moves, (gold[:-1][both], gold[1:][both]), 1.0)
+    few = max(1, min(FIT_CELLS // (k * k), FIT_CELLS // (steps * k)))  # sequences of a block
+    some = max(1, FIT_CELLS // (k * int(size.max())))  # words of a block
     params = [model.weights, model.moves]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for epoch in range(1, epochs + 1):
-        score = np.add.reduceat(model.weights[flat], begin, axis=0)[grid]
-        score = np.exp(score - score.max(axis=2, keepdims=True))
-        move = np.exp(model.moves - model.moves.max())
-        alpha, beta = np.empty((steps, n, k)), np.ones((steps, n, k))
-        alpha[0] = score[0] / score[0].sum(1, keepdims=True)
-        for t in range(1, steps):
-            a = (alpha[t - 1] @ move) * score[t]
-            alpha[t] = np.where(live[t, :, None], a / a.sum(1, keepdims=True), alpha[t - 1])
-        moved = np.zeros((k, k))
-        for t in range(steps - 2, -1, -1):
-            ahead = score[t + 1] * beta[t + 1]
-            pair = alpha[t][:, :, None] * move[None] * ahead[:, None, :]
-            total = pair.sum((1, 2), keepdims=True)
-            moved += (pair / total)[live[t + 1]].sum(0)
-            b = ahead @ move.T
-            beta[t] = np.where(live[t + 1, :, None], b / b.sum(1, keepdims=True), 1.0)
-        post = alpha * beta
-        post /= post.sum(2, keepdims=True)
-        off = (hot - post) * live[:, :, None]
-        by_word = np.stack([np.bincount(grid.ravel(), weights=off[:, :, y].ravel(), minlength=len(each)) for y in range(k)], 1)
-        spread = np.repeat(by_word, size, axis=0)
-        grads = [
-            np.stack([np.bincount(flat, weights=spread[:, y], minlength=BUCKETS) for y in range(k)], 1) / tokens - 1e-6 * model.weights,
-            (gold_moves - moved) / tokens - 1e-6 * model.moves,
-        ]
+        of_word = np.empty((len(each), k))
+        for a in range(0, len(each), some):
+            b = min(a + some, len(each))
+            of_word[a:b] = np.add.reduceat(model.weights[flat[begin[a] : begin[b - 1] + size[b - 1]]], begin[a:b] - begin[a], axis=0)
+        by_word, moved = np.zeros((len(each), k)), np.zeros((k, k))
+        for a in range(0, n, few):
+            now = slice(a, a + few)
+            t = int(length[now].max())
+            moved += _expected(of_word[grid[:t, now]], model.moves, gold[:t, now], grid[:t, now], by_word)
+        by_feature = np.stack([np.bincount(flat, weights=np.repeat(by_word[:, y], size), minlength=BUCKETS) for y in range(k)], 1)
+        grads = [by_feature / tokens - 1e-6 * model.weights, (gold_moves - moved) / tokens - 1e-6 * model.moves]
         for p, g, m, v in zip(params, grads, first, second):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -127,6 +118,37 @@ def fit(samples: list[tuple[str, str]], epochs: int = 30, mixed: int = 1500, see
     return model
 
 
+FIT_CELLS = 4 << 20  # numbers of an array while fitting, whatever the number of labels
+
+
+def _expected(score: np.ndarray, moves: np.ndarray, gold: np.ndarray, grid: np.ndarray, by_word: np.ndarray) -> np.ndarray:
+    """Expected transitions of a block of sequences (steps, sequences, labels); adds gold less expected labels to by_word."""
+    steps, n, k = score.shape
+    live = gold >= 0
+    score = np.exp(score - score.max(axis=2, keepdims=True))
+    move = np.exp(moves - moves.max())
+    alpha, beta = np.empty((steps, n, k)), np.ones((steps, n, k))
+    alpha[0] = score[0] / score[0].sum(1, keepdims=True)
+    for t in range(1, steps):
+        a = (alpha[t - 1] @ move) * score[t]
+        alpha[t] = np.where(live[t, :, None], a / a.sum(1, keepdims=True), alpha[t - 1])
+    moved = np.zeros((k, k))
+    for t in range(steps - 2, -1, -1):
+        ahead = score[t + 1] * beta[t + 1]
+        b = ahead @ move.T
+        on = live[t + 1]
+        # the sum of all pairs of a step is alpha's product with b
+        total = (alpha[t] * b).sum(1, keepdims=True)
+        moved += ((alpha[t] / total)[on].T @ ahead[on]) * move
+        beta[t] = np.where(on[:, None], b / b.sum(1, keepdims=True), 1.0)
+    off = -alpha * beta
+    off /= -off.sum(2, keepdims=True)
+    off[live, gold[live]] += 1.0
+    for y in range(k):
+        by_word[:, y] += np.bincount(grid[live], weights=off[..., y][live], minlength=len(by_word))
+    return moved
+
+
 class Labeller:
     """Marginals of the labels of words, by forward and backward passes over segments of all texts of a batch."""
 
@@ -203,30 +225,33 @@ def bucket(doc_id: Column, n: int) -> Column:
 OUT = "doc_id long, held_out boolean, lang_pred string, score double, n_words long, n_switches long"
 
 
-def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: int = 3000, sample_words: int = 80, keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: int = 3000, sample_chars: int = 600, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, lang_pred, score (the predicted language's share of the words), n_words and n_switches.
 
     docs needs doc_id, text and lang. Learns from documents with text and lang whose crc32(doc_id) modulo folds is
-    not held_out: a sample of at most most_samples of them by a hash of their text, from each a stretch of at most
-    sample_words words at a place that the hash gives. All texts are labelled whole. Rows whose text is null or has
+    not held_out: a sample of at most most_samples different ones by a hash of id, language and text, from each a
+    stretch of at most sample_chars characters at a place that the hash gives (words that the cut breaks are left out
+    where there are others). Rows that are there many times are one row of the sample. All texts are labelled whole. Rows whose text is null or has
     no letter get `und` and score 0; a null doc_id is never held out and never learned from. Repeated rows give
     repeated rows. If nothing can be learned, every row is `und`. Columns of docs that are named in keep are returned
     besides, but for those that have the name of a result.
     """
     spark = docs.sparkSession
-    small_batches(spark, 250)
+    small_batches(spark)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     keep = tuple(c for c in keep if c not in {o.split()[0] for o in OUT.split(", ")})
     kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *kept)
     fold = F.coalesce(bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
-    words = F.split("text", r"\s+")
-    place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(words) - sample_words + 1, F.lit(1)).cast("long")).cast("int") + 1
-    learn = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~fold)
+    learn = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~fold)
+    by = F.xxhash64("doc_id", "lang", "text")
+    place = F.pmod(by, F.greatest(F.length("text") - sample_chars + 1, F.lit(1)).cast("long")).cast("int") + 1
     # stretches are cut before rows are compared, so that no whole text leaves its task
-    stretch = F.substring(F.array_join(F.slice(words, place, sample_words), " "), 1, 4000)
-    rows = hash_sample(learn.select("doc_id", "lang", stretch.alias("text")), F.xxhash64("doc_id", F.lit("sample")), most_samples, "doc_id", "text", "lang").collect()
-    model = spark.sparkContext.broadcast(fit(sorted((r.text, r.lang) for r in rows if r.text is not None)))
+    stretch = F.col("text").substr(place, F.lit(sample_chars))
+    stretch = F.when(place > 1, F.regexp_replace(stretch, r"^\S+\s", "")).otherwise(stretch)
+    stretch = F.when(F.length("text") - place >= sample_chars, F.regexp_replace(stretch, r"\s\S+$", "")).otherwise(stretch)
+    rows = hash_sample(learn.select("doc_id", "lang", "text", stretch.alias("stretch")), by, most_samples, ["lang", "stretch"]).collect()
+    model = spark.sparkContext.broadcast(fit(sorted((r.stretch, r.lang) for r in rows)))
 
     names_out = [*(c.split()[0] for c in OUT.split(", ")), *keep]
     extra = lambda batch: [batch.column(f"kept_{i}") for i in range(len(keep))]
@@ -238,7 +263,7 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
                 yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(["und"] * n, pa.string()), pa.array([0.0] * n), pa.array([0] * n, pa.int64()), pa.array([0] * n, pa.int64()), *extra(batch)], names_out)
             return
         labeller, names = Labeller(model.value), np.array(model.value.labels, dtype=object)
-        for batch in batches:
+        for batch in portions(batches, most=max(1 << 14, (1 << 24) // len(names) ** 2)):
             texts = [WORD.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
             post, first = labeller.marginals(texts)
             n = np.array([len(t) for t in texts], np.int64)
