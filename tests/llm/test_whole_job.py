@@ -158,3 +158,19 @@ def test_reviewed_findings_teach(spark):
     reviewed = secrets.candidates(docs.where("doc_id % 2 = 0"), []).select(F.sha2("candidate", 256).alias("candidate_sha256"), F.lit(1).alias("label"))
     got = secrets.scan(docs, findings=reviewed).where("doc_id % 2 = 1")
     assert got.where("is_secret").count() == got.count() == 200
+
+
+def test_registered_domains(spark):
+    hosts = {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.org:8080": ("org", "y.org"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "": ("", ""), "localhost": ("localhost", "localhost")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    assert {r.host: (r.s, r.d) for r in df.select("host", *(c.alias(n) for c, n in zip(urls.suffix_and_domain(F.col("host")), "sd"))).collect()} == hosts
+
+
+def test_prior_strength_is_estimated(spark):
+    rng = np.random.default_rng(1)
+    for weight in (4.0, 40.0):
+        rows = [(f"d{i % 50}", n, int(rng.binomial(n, rng.beta(weight * 0.3, weight * 0.7)))) for i, n in enumerate(rng.integers(5, 60, 4000).tolist())]
+        got = urls.prior_strength(spark.createDataFrame(rows, "domain string, n long, bad long"), "domain", "n", "bad", 20.0)
+        assert 0.7 * weight < got < 1.4 * weight
+    one = spark.createDataFrame([("a", 5, 1), ("b", 6, 2)], "domain string, n long, bad long")
+    assert urls.prior_strength(one, "domain", "n", "bad", 20.0) == 20.0
