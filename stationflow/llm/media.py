@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import portions, small_batches
 
 SAMPLE = 576  # bytes of a sample
 PER_CHUNK = 64  # samples of a chunk
@@ -88,54 +88,178 @@ def boxes(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, int
         at += size
 
 
-def probe(data: bytes) -> dict:
-    """Codec, timescale, duration, and where samples and sync samples lie, from the boxes of the first track."""
-    view, found, mdat = memoryview(data), {}, []
-
-    def walk(at: int, end: int, depth: int) -> None:
-        if depth > 16:
-            raise ValueError("boxes are nested too deeply")
-        for kind, a, b in boxes(view, at, end):
-            if kind == b"mdat":
-                mdat.append((a, b))
-            elif kind in CONTAINERS:
-                walk(a, b, depth + 1)
-            else:
-                found.setdefault(kind, (a, b))
-
-    walk(0, len(view), 0)
-
-    def ints(kind: bytes, skip: int, width: int = 1, form: str = ">u4") -> np.ndarray:
-        a, b = found[kind]
-        n = struct.unpack_from(">I", view, a + skip)[0] * width
-        if a + skip + 4 + n * int(form[-1]) > b:
+def tree(view: memoryview, at: int, end: int, depth: int = 0) -> list[tuple]:
+    """The boxes of a range as (kind, begin, end of content, boxes inside), with those inside of CONTAINERS."""
+    if depth > 16:
+        raise ValueError("boxes are nested too deeply")
+    return [(kind, a, b, tree(view, a, b, depth + 1) if kind in CONTAINERS else []) for kind, a, b in boxes(view, at, end)]
+
+
+def _under(nodes: list[tuple], *path: bytes) -> list[tuple]:
+    """All boxes at a path of kinds."""
+    for kind in path[:-1]:
+        nodes = [inner for n in nodes if n[0] == kind for inner in n[3]]
+    return [n for n in nodes if n[0] == path[-1]]
+
+
+class _Reader:
+    """Big-endian fields of a box, one after another."""
+
+    def __init__(self, view: memoryview, node: tuple):
+        self.view, self.at, self.end = view, node[1], node[2]
+        self.version, flags = self.take("B3s")
+        self.flags = int.from_bytes(flags, "big")
+
+    def take(self, form: str) -> tuple:
+        size = struct.calcsize(">" + form)
+        if self.at + size > self.end:
+            raise ValueError("a box is cut off")
+        self.at += size
+        return struct.unpack_from(">" + form, self.view, self.at - size)
+
+    def one(self, form: str) -> int:
+        return self.take(form)[0]
+
+    def table(self, n: int, width: int = 1, form: str = ">u4") -> np.ndarray:
+        """n rows of width integers."""
+        size = n * width * int(form[-1])
+        if self.at + size > self.end:
             raise ValueError("a table is cut off")
-        return np.frombuffer(view, dtype=form, count=n, offset=a + skip + 4).astype(np.int64)
-
-    try:
-        a = found[b"mdhd"][0]
-        version = view[a]
-        timescale, duration = struct.unpack_from(">IQ" if version else ">II", view, a + (20 if version else 12))
-        codec = bytes(view[found[b"stsd"][0] + 12 : found[b"stsd"][0] + 16]).decode("latin-1")
-        a = found[b"stsz"][0]
-        same, n = struct.unpack_from(">II", view, a + 4)
-        sizes = np.full(n, same, np.int64) if same else ints(b"stsz", 8)
-        starts = ints(b"co64", 4, form=">u8") if b"co64" in found else ints(b"stco", 4)
-        runs = ints(b"stsc", 4, 3).reshape(-1, 3)
-    except KeyError as e:
-        raise ValueError(f"no box {e.args[0].decode('latin-1')}") from None
-    if len(runs):
-        per = np.repeat(runs[:, 1], np.diff(np.r_[runs[:, 0], len(starts) + 1]))
+        out = np.frombuffer(self.view, dtype=form, count=n * width, offset=self.at).astype(np.int64)
+        self.at += size
+        return out.reshape(n, width) if width > 1 else out
+
+
+def _samples(view: memoryview, stbl: list[tuple]) -> dict:
+    """Places, sizes, decoding times and sync samples of a track, from the tables of its stbl box."""
+
+    def reader(*kinds: bytes) -> _Reader | None:
+        return next((_Reader(view, n) for k in kinds for n in _under(stbl, k)), None)
+
+    sized = reader(b"stsz", b"stz2")
+    if sized is None or (runs := reader(b"stsc")) is None or (chunked := reader(b"co64", b"stco")) is None:
+        raise ValueError("no box " + ("stsz" if sized is None else "stsc" if runs is None else "stco"))
+    same, n = sized.take("II")
+    if _under(stbl, b"stsz"):
+        sizes = np.full(n, same, np.int64) if same else sized.table(n)
+    elif same == 4:  # two sizes in a byte
+        sizes = np.stack([(x := sized.table(-(-n // 2), form=">u1")) >> 4, x & 15], 1).ravel()[:n]
     else:
-        per = np.zeros(0, np.int64)
+        sizes = sized.table(n, form=f">u{same // 8}")
+    starts = chunked.table(chunked.one("I"), form=">u8" if _under(stbl, b"co64") else ">u4")
+    runs = runs.table(runs.one("I"), 3).reshape(-1, 3)
+    per = np.repeat(runs[:, 1], np.maximum(np.diff(np.r_[runs[:, 0], len(starts) + 1]), 0)) if len(runs) else np.zeros(0, np.int64)
     if per.sum() != n or len(per) != len(starts):
         raise ValueError("chunks and samples don't agree")
-    before = np.cumsum(sizes) - sizes
-    first = np.cumsum(per) - per
-    chunk = np.repeat(np.arange(len(starts)), per)
+    before, first, chunk = np.cumsum(sizes) - sizes, np.cumsum(per) - per, np.repeat(np.arange(len(starts)), per)
     offset = starts[chunk] + before - before[np.minimum(first, max(n - 1, 0))][chunk] if n else np.zeros(0, np.int64)
-    keys = ints(b"stss", 4) - 1 if b"stss" in found else np.arange(n)
-    return {"codec": codec, "timescale": timescale, "duration": duration, "samples": n, "chunks": len(starts), "offset": offset, "size": sizes, "keys": keys}
+
+    def spread(kind: bytes, form: str = ">u4") -> np.ndarray | None:
+        """A table of (samples, value) runs as a value for each sample."""
+        found = reader(kind)
+        if found is None:
+            return None
+        rows = found.table(found.one("I"), 2, form if kind == b"stts" or not found.version else ">i4").reshape(-1, 2)
+        each = np.repeat(rows[:, 1], rows[:, 0])
+        if len(each) != n:
+            raise ValueError(f"{kind.decode()} and samples don't agree")
+        return each
+
+    last = spread(b"stts")
+    last = np.zeros(n, np.int64) if last is None else last
+    shift = spread(b"ctts")
+    sync = reader(b"stss")
+    return {
+        "chunks": len(starts), "offset": offset, "size": sizes, "lasts": last, "shift": np.zeros(n, np.int64) if shift is None else shift,
+        "sync": np.ones(n, bool) if sync is None else np.isin(np.arange(1, n + 1), sync.table(sync.one("I"))),
+    }
+
+
+def _fragments(view: memoryview, top: list[tuple]) -> dict[int, list[dict]]:
+    """Samples of each track id in the movie fragments, in order."""
+    defaults = {}
+    for node in _under(top, b"moov", b"mvex", b"trex"):
+        track, _, last, size, flags = _Reader(view, node).take("IIIII")
+        defaults[track] = (last, size, flags)
+    out: dict[int, list[dict]] = {}
+    for moof in (n for n in top if n[0] == b"moof"):
+        begin = moof[1] - 8 if struct.unpack_from(">I", view, moof[1] - 8)[0] == moof[2] - moof[1] + 8 else moof[1] - 16
+        where = begin
+        for traf in (n for n in moof[3] if n[0] == b"traf"):
+            head = next((_Reader(view, n) for n in _under(traf[3], b"tfhd")), None)
+            if head is None:
+                raise ValueError("no box tfhd")
+            track = head.one("I")
+            last, size, flags = defaults.get(track, (0, 0, 0))
+            base = head.one("Q") if head.flags & 0x1 else begin if head.flags & 0x20000 else where
+            if head.flags & 0x2:
+                head.one("I")
+            last = head.one("I") if head.flags & 0x8 else last
+            size = head.one("I") if head.flags & 0x10 else size
+            flags = head.one("I") if head.flags & 0x20 else flags
+            where = base
+            for node in _under(traf[3], b"trun"):
+                run = _Reader(view, node)
+                n = run.one("I")
+                where = base + run.one("i") if run.flags & 0x1 else where
+                first = run.one("I") if run.flags & 0x4 else None
+                fields = [f for f in (0x100, 0x200, 0x400, 0x800) if run.flags & f]
+                rows = run.table(n, len(fields)).reshape(n, len(fields)) if fields else np.zeros((n, 0), np.int64)
+                get = lambda f, default: rows[:, fields.index(f)] if f in fields else np.full(n, default, np.int64)  # noqa: B023, E731
+                sizes, each = get(0x200, size), get(0x400, flags)
+                if first is not None and n:
+                    each = np.r_[first, each[1:]]
+                shift = get(0x800, 0)
+                shift = shift.astype(np.int32).astype(np.int64) if run.version else shift
+                ends = np.cumsum(sizes)
+                out.setdefault(track, []).append({"chunks": 1, "offset": where + ends - sizes, "size": sizes, "lasts": get(0x100, last), "shift": shift, "sync": each & 0x10000 == 0})
+                where += int(ends[-1]) if n else 0
+    return out
+
+
+def tracks(data: bytes) -> list[dict]:
+    """Each track by itself: id, handler, codec, timescale, duration, and for its samples (those of fragments follow those of
+    the tables) offset, size, decoding time, presentation time and which are sync samples; payloads aren't decoded."""
+    view = memoryview(data)
+    top = tree(view, 0, len(view))
+    fragments, out = _fragments(view, top), []
+    for trak in _under(top, b"moov", b"trak"):
+        need = {k: next(iter(_under(trak[3], *k)), None) for k in ((b"mdia", b"mdhd"), (b"mdia", b"minf", b"stbl", b"stsd"), (b"mdia", b"minf", b"stbl"))}
+        for k, node in need.items():
+            if node is None:
+                raise ValueError(f"no box {k[-1].decode()}")
+        mdhd, stsd, stbl = need.values()
+        read = _Reader(view, mdhd)
+        timescale, duration = read.take("QQIQ" if read.version else "IIII")[2:]
+        read = _Reader(view, stsd)
+        codec = read.take("II4s")[2].decode("latin-1")
+        number = next((_Reader(view, n) for n in _under(trak[3], b"tkhd")), None)
+        number = number.take("QQI" if number.version else "III")[2] if number else len(out) + 1
+        handler = next((_Reader(view, n).take("I4s")[1].decode("latin-1") for n in _under(trak[3], b"mdia", b"hdlr")), "")
+        parts = [_samples(view, stbl[3]), *fragments.get(number, ())]
+        now = {k: np.concatenate([p[k] for p in parts]) for k in ("offset", "size", "lasts", "shift", "sync")}
+        ends = np.cumsum(now["lasts"])
+        time = ends - now["lasts"]
+        out.append({
+            "id": number, "handler": handler, "codec": codec, "timescale": timescale, "duration": max(duration, int(ends[-1]) if len(ends) else 0) if fragments else duration,
+            "samples": len(ends), "chunks": sum(p["chunks"] for p in parts), "offset": now["offset"], "size": now["size"], "time": time, "shown": time + now["shift"], "keys": np.flatnonzero(now["sync"]),
+        })
+    if not out:
+        raise ValueError("no box trak")
+    return out
+
+
+HANDLERS = ("vide", "soun")  # fixed values: the media of tracks; the first of the first kind that is there is the main track
+
+
+def main_track(found: list[dict]) -> dict:
+    """The first track of the first of HANDLERS that there is, else the first track."""
+    return min(found, key=lambda t: HANDLERS.index(t["handler"]) if t["handler"] in HANDLERS else len(HANDLERS))
+
+
+def probe(data: bytes) -> dict:
+    """The main track of a container."""
+    return main_track(tracks(data))
 
 
 def payload_of(data: bytes, seen: dict) -> bytes:
@@ -156,7 +280,7 @@ def store_media(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array([store(padded(t)) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
 
@@ -165,40 +289,44 @@ def store_media(docs: DataFrame) -> DataFrame:
 
 COLUMNS = (
     "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, codec string, "
-    "timescale long, duration long, n_samples long, n_keyframes long, keyframes array<struct<offset: long, size: long>>, error string"
+    "timescale long, duration long, n_samples long, n_keyframes long, keyframes array<struct<offset: long, size: long, time: long>>, "
+    "tracks array<struct<id: long, handler: string, codec: string, timescale: long, duration: long, n_samples: long, n_keyframes: long, bytes: long>>, error string"
 )
 
 
 def media_columns(media: DataFrame, column: str = "media", keep: tuple[str, ...] = ("doc_id", "n_bytes")) -> DataFrame:
-    """Columns of each container: sizes and digests, codec, duration and the byte range of every sync sample.
+    """Columns of each container: sizes and digests, codec, duration, and byte range and time of every sync sample.
 
-    A null container, and one whose boxes can't be read, has null features; error says why. Clashing names are
+    They tell of the main track (the first video track, else the first sound track, else the first); tracks has a row
+    for each. Samples of fragments count like those of the tables. A null container, and one whose boxes can't be read, has null features; error says why. Clashing names are
     no matter, as only keep and column are read.
     """
     small_batches(media.sparkSession)
     kinds = {f.name: f.dataType.simpleString() for f in media.schema}
-    names = [*keep, *(c.split()[0] for c in COLUMNS.split(", ") if " " in c)]
-    names = [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "codec", "timescale", "duration", "n_samples", "n_keyframes", "keyframes", "error"]
-    key_type = pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64())]))
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), key_type, pa.string()]
+    names = [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "codec", "timescale", "duration", "n_samples", "n_keyframes", "keyframes", "tracks", "error"]
+    key_type = pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64()), ("time", pa.int64())]))
+    track_type = pa.list_(pa.struct([("id", pa.int64()), ("handler", pa.string()), ("codec", pa.string()), *((c, pa.int64()) for c in ("timescale", "duration", "n_samples", "n_keyframes", "bytes"))]))
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), key_type, track_type, pa.string()]
 
     def row(data: bytes | None) -> tuple:
         if data is None:
-            return (None,) * 12 + ("no container",)
+            return (None,) * 13 + ("no container",)
         whole = hashlib.sha256(data).hexdigest()
         try:
-            seen = probe(data)
+            every = tracks(data)
+            seen = main_track(every)
             payload = payload_of(data, seen)
         except (ValueError, struct.error, IndexError, OverflowError) as e:
-            return (None, None, None, len(data), whole) + (None,) * 7 + (str(e),)
-        at, size = seen["offset"][seen["keys"]], seen["size"][seen["keys"]]
-        ranges = hashlib.sha256(np.stack([at, size]).astype("<i8").tobytes()).hexdigest()[:16]
+            return (None, None, None, len(data), whole) + (None,) * 8 + (str(e),)
+        at, size, time = (seen[c][seen["keys"]] for c in ("offset", "size", "time"))
+        ranges = hashlib.sha256(np.stack([at, size, time]).astype("<i8").tobytes()).hexdigest()[:16]
         feature = f"codec={seen['codec'].strip()};timescale={seen['timescale']};duration={seen['duration']};samples={seen['samples']};chunks={seen['chunks']};keyframes={len(at)};ranges={ranges}"
-        keys = [{"offset": a, "size": s} for a, s in zip(at.tolist(), size.tolist())]
-        return (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), whole, feature, seen["codec"], seen["timescale"], seen["duration"], seen["samples"], len(keys), keys, None)
+        keys = [{"offset": a, "size": s, "time": t} for a, s, t in zip(at.tolist(), size.tolist(), time.tolist())]
+        told = [{"id": t["id"], "handler": t["handler"], "codec": t["codec"], "timescale": t["timescale"], "duration": t["duration"], "n_samples": t["samples"], "n_keyframes": len(t["keys"]), "bytes": int(t["size"].sum())} for t in every]
+        return (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), whole, feature, seen["codec"], seen["timescale"], seen["duration"], seen["samples"], len(keys), keys, told, None)
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches, column):
             cols = list(zip(*map(row, batch.column(column).to_pylist()))) or [()] * len(types)
             yield pa.record_batch([*(batch.column(k) for k in keep), *(pa.array(c, t) for c, t in zip(cols, types))], names)
 
