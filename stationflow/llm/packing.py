@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import portions, small_batches, written
 
 MOST_CACHED = 300_000  # pieces whose ids a worker keeps; beyond that it begins anew
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the public byte-level pattern
@@ -189,7 +189,7 @@ class Packer:
     def place(self, pieces: list[tuple]) -> Iterator[tuple]:
         at = 0
         for doc, tokens, start, ids in pieces:
-            yield doc, start, len(ids) // 4, zlib.crc32(ids), tokens, self.sequence, at
+            yield doc, start, len(ids) // 4, zlib.crc32(ids), tokens, self.sequence, at, ids
             at += len(ids) // 4
         self.sequence += 1
 
@@ -242,45 +242,36 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
         encoder, packer, held, part = _encoder(definition.value), Packer(capacity), 0, TaskContext.get().partitionId()
         rows: list[tuple] = []
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            if rows:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)] + [pa.array([part] * len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], PIECE_NAMES)
-                rows.clear()
+        def sent(least: int = 0) -> Iterator[pa.RecordBatch]:
+            """What has been placed, in batches of a few megabytes."""
+            most = 1000 if with_ids else 20_000
+            while len(rows) > least:
+                *cols, ids = zip(*rows[:most])
+                del rows[:most]
+                yield pa.record_batch([*(pa.array(c, pa.int64()) for c in cols), pa.array([part] * len(ids), pa.int32()), pa.array(ids if with_ids else [None] * len(ids), pa.binary())], PIECE_NAMES)
 
-        for batch in batches:
+        def place(pieces: Iterator[tuple]) -> None:
+            rows.extend(pieces if with_ids else ((*p[:-1], None) for p in pieces))
+
+        for batch in portions(batches):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids = ids.astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 whole = n // capacity * capacity
                 for s in range(0, whole, capacity):
-                    rows.extend(packer.place([(doc, n, s, ids[4 * s : 4 * (s + capacity)])]))
+                    place(packer.place([(doc, n, s, ids[4 * s : 4 * (s + capacity)])]))
                 if n > whole:
                     packer.add((doc, n, whole, ids[4 * whole :]))
                 held += n
                 if held >= block_tokens:
-                    rows.extend(packer.windows())
+                    place(packer.windows())
                     held = 0
-            if len(rows) >= 20_000:
-                yield from sent()
-        rows.extend(packer.windows())
-        rows.extend(packer.rest())
+            yield from sent(1000)
+        place(packer.windows())
+        place(packer.rest())
         yield from sent()
 
-    def run_with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict = {}
-
-        def watch(source):
-            encoder = _encoder(definition.value)
-            for batch in source:
-                for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
-                    kept[doc] = ids.astype("<u4").tobytes() + end
-                yield batch
-
-        for batch in run(watch(batches)):
-            ids = [kept[d][4 * s : 4 * (s + n)] for d, s, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "length")))]
-            yield batch.set_column(batch.schema.get_field_index("ids"), "ids", pa.array(ids, pa.binary()))
-
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run_with_ids if with_ids else run, PIECES)
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
     pieces = written(pieces if with_ids else pieces.drop("ids"), "pieces")
     ends = pieces.groupBy("part").agg((F.max("sequence") + 1).alias("n"))
     # one row for each task that read documents

@@ -2,13 +2,14 @@
 
 import itertools
 import os
+import struct
 
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 import brute
-from stationflow.llm import language, secrets, simhash, urls
+from stationflow.llm import language, media, packing, secrets, simhash, urls
 
 SF = "/root/testdata/sf0.001"
 
@@ -174,3 +175,51 @@ def test_prior_strength_is_estimated(spark):
         assert 0.7 * weight < got < 1.4 * weight
     one = spark.createDataFrame([("a", 5, 1), ("b", 6, 2)], "domain string, n long, bad long")
     assert urls.prior_strength(one, "domain", "n", "bad", 20.0) == 20.0
+
+
+def track(number, kind, codec, sizes, lasts, offset, keys=None, shifts=()):
+    """A trak box, put together by hand; offset: of its one chunk."""
+    box, full = media._box, media._full
+    u = lambda *x: struct.pack(f">{len(x)}I", *x)
+    tables = [full(b"stsd", u(1), box(codec, bytes(8))), full(b"stts", u(len(lasts)), *(u(1, x) for x in lasts)), full(b"stsc", u(1, 1, len(sizes), 1) if sizes else u(0)), full(b"stsz", u(0, len(sizes), *sizes))]
+    tables += [full(b"co64", u(1), struct.pack(">Q", offset)) if number == 2 else full(b"stco", u(1, offset) if sizes else u(0))]
+    tables += [full(b"stss", u(len(keys), *keys))] if keys is not None else []
+    tables += [full(b"ctts", u(len(shifts)), *(u(1, x) for x in shifts))] if shifts else []
+    return box(b"trak", full(b"tkhd", u(0, 0, number, 0, 0), bytes(60)), box(b"mdia", full(b"mdhd", u(0, 0, 1000, sum(lasts)), bytes(4)), full(b"hdlr", bytes(4), kind, bytes(13)), box(b"minf", box(b"stbl", *tables))))
+
+
+def test_tracks_are_read_by_themselves():
+    data = bytes(range(200))
+    moov = lambda at: media._box(b"moov", track(1, b"soun", b"mp4a", [10, 20], [5, 6], at), track(2, b"vide", b"avc1", [50, 30, 40], [100, 200, 300], at + 60, [1, 3], [0, 400, 7]))
+    head = len(moov(0)) + 8
+    whole = moov(head) + media._box(b"mdat", data)
+    sound, video = media.tracks(whole)
+    assert [sound["id"], sound["codec"], sound["offset"].tolist(), sound["keys"].tolist(), sound["time"].tolist()] == [1, "mp4a", [head, head + 10], [0, 1], [0, 5]]
+    assert [video["handler"], video["offset"].tolist(), video["size"].tolist(), video["keys"].tolist(), video["time"].tolist(), video["shown"].tolist(), video["duration"]] == ["vide", [head + 60, head + 110, head + 140], [50, 30, 40], [0, 2], [0, 100, 300], [0, 500, 307], 600]
+    assert media.payload_of(whole, media.probe(whole)) == data[60:180] and media.payload_of(whole, sound) == data[:30]
+
+
+def test_fragmented_container():
+    u = lambda *x: struct.pack(f">{len(x)}I", *x)
+    flagged = lambda kind, flags, *parts: media._box(kind, struct.pack(">I", flags), *parts)
+    moov = media._box(b"moov", track(7, b"vide", b"avc1", [], [], 0), media._box(b"mvex", media._full(b"trex", u(7, 1, 40, 0, 0x10000))))
+    data = bytes(range(100))
+
+    def moof(at):
+        run = flagged(b"trun", 0x1 | 0x4 | 0x200, u(3), struct.pack(">i", at), u(0), u(10, 20, 30))
+        return media._box(b"moof", media._full(b"mfhd", u(1)), media._box(b"traf", flagged(b"tfhd", 0x20000, u(7)), run, flagged(b"trun", 0x100 | 0x200, u(1), u(60, 40))))
+
+    part = moof(len(moof(0)) + 8) + media._box(b"mdat", data)
+    seen = media.probe(moov + part + part)
+    assert seen["samples"] == 8 and seen["keys"].tolist() == [0, 4] and seen["time"].tolist() == [0, 40, 80, 120, 180, 220, 260, 300] and seen["duration"] == 360
+    assert media.payload_of(moov + part + part, seen) == data * 2
+
+
+def test_packing_with_ids_of_repeated_rows(spark):
+    import zlib
+
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(1, "one text of words"), (1, "another text"), (None, "no id"), (None, None), (2, "long words " * 3000)], "doc_id long, text string")
+    got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True).collect()
+    assert len(got) >= 5 and all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in got)
