@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_bytes, written
+from .common import forget, portions, small_batches, text_bytes, written
 
 # Bytes outside of words become spaces, A-Z become a-z; bytes of 128 and above belong to words.
 WORD_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256))
@@ -22,25 +23,59 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
+def _digests(found: list[bytes]) -> np.ndarray:
+    """128-bit digests, which stand for words, as rows of two integers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), "<u8").reshape(-1, 2)
+
+
+def pack_phrases(pieces: list[tuple[str, bytes]], window: int) -> tuple:
+    """What is broadcast of a block of pieces (item, its words joined by spaces): digests of the distinct words in order, the pieces'
+    words as numbers (1 ...) one after another, where each piece begins, its item, and the items; 4 bytes a word and 16 a distinct one."""
+    pieces = sorted(pieces)
+    items = sorted({i for i, _ in pieces})
+    each = [w.split(b" ") for _, w in pieces]
+    vocabulary = list(set(chain.from_iterable(each)))
+    digests = _digests(vocabulary)
+    by = np.lexsort((digests[:, 1], digests[:, 0]))
+    number = dict(zip((vocabulary[i] for i in by.tolist()), range(1, len(by) + 1)))
+    begin = np.cumsum([0, *map(len, each)]).astype(np.int32)
+    seq = np.fromiter(map(number.__getitem__, chain.from_iterable(each)), dtype=np.int32, count=int(begin[-1]))
+    at = {x: k for k, x in enumerate(items)}
+    return digests[by], seq, begin, np.array([at[i] for i, _ in pieces], np.int32), items, window
+
+
 class Phrases:
-    """The windows of the benchmark's items, as rows of word numbers (1 ...), and the items that each belongs to."""
-
-    def __init__(self, items: list[tuple[object, bytes | None]], window: int):
-        self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = {}
-        self.items = [str(i) for i, _ in items]
-        for k, (_, text) in enumerate(items):
-            ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text))
-            for s in range(max(1, len(ids) - window + 1) if ids else 0):
-                owners.setdefault(ids[s : s + window], set()).add(k)
-        self.rows = list(owners)
-        self.owners = [sorted(owners[r]) for r in self.rows]
-        self.shortest = min(map(len, self.rows), default=0)
-        self.size = np.array([len(r) for r in self.rows], np.int64)
-        width = max(map(len, self.rows), default=1)
-        self.matrix = np.zeros((len(self.rows), width), np.int64)  # right-aligned: the last word is in the last column
-        for k, r in enumerate(self.rows):
-            self.matrix[k, width - len(r) :] = r
+    """The windows of a block of the benchmark: where each ends in the pieces' words, how long it is, and its item."""
+
+    def __init__(self, packed: tuple):
+        self.digests, self.seq, begin, item, self.items, window = packed
+        self.known: dict[bytes, int] = {}
+        n = np.diff(begin).astype(np.int64)
+        windows = np.maximum(1, n - window + 1)
+        piece = np.repeat(np.arange(len(n)), windows)
+        first = begin[piece] + np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
+        self.size = np.minimum(window, n[piece]).astype(np.int64)
+        self.end = first + self.size
+        self.item = item[piece] if len(piece) else np.zeros(0, np.int32)
+        self.symbols = len(self.digests)
+        self.shortest = int(self.size.min()) if len(self.size) else 0
+
+    def ids(self, found: list[bytes]) -> np.ndarray:
+        """The numbers of words, 0 for those that the block doesn't have."""
+        if len(self.known) > MOST_KNOWN:
+            self.known.clear()
+        new = list(set(found).difference(self.known))
+        if new:
+            d = _digests(new)
+            at = np.minimum(np.searchsorted(self.digests[:, 0], d[:, 0]), self.symbols - 1)
+            same = (self.digests[at] == d).all(axis=1)
+            for k in np.flatnonzero((self.digests[at, 0] == d[:, 0]) & ~same).tolist():  # first halves that several digests share
+                i = int(at[k])
+                while i < self.symbols and self.digests[i, 0] == d[k, 0] and not same[k]:
+                    at[k], same[k] = i, self.digests[i, 1] == d[k, 1]
+                    i += 1
+            self.known.update(zip(new, np.where(same, at + 1, 0).tolist()))
+        return np.fromiter(map(self.known.__getitem__, found), dtype=np.int64, count=len(found))
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -98,15 +133,14 @@ class FMIndex:
             begin = np.where(bit, self.zeros[k] + one_begin, begin - one_begin)
         return at - begin
 
-    def search(self, matrix: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each phrase, the range of suffixes that begin with it."""
-        lo, hi = np.zeros(len(matrix), np.int64), np.full(len(matrix), len(self.last), np.int64)
-        width = matrix.shape[1]
-        for step in range(width):
+    def search(self, seq: np.ndarray, end: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each phrase (size words of seq before end), the range of suffixes that begin with it."""
+        lo, hi = np.zeros(len(end), np.int64), np.full(len(end), len(self.last), np.int64)
+        for step in range(int(size.max()) if len(size) else 0):
             live = np.flatnonzero((size > step) & (lo < hi))
             if not len(live):
                 break
-            symbol = matrix[live, width - 1 - step]
+            symbol = seq[end[live] - 1 - step].astype(np.int64)
             lo[live], hi[live] = self.first[symbol] + self.rank(symbol, lo[live]), self.first[symbol] + self.rank(symbol, hi[live])
         return lo, hi
 
@@ -127,22 +161,19 @@ class FMIndex:
 
 
 class Shard:
-    """Documents whose runs of benchmark words are indexed together."""
+    """Documents whose runs of a block's words are indexed together."""
 
     def __init__(self, phrases: Phrases):
-        self.phrases, self.docs, self.counts, self.parts, self.owner, self.place, self.size = phrases, [], [], [], [], [], 0
+        self.phrases, self.docs, self.parts, self.owner, self.place, self.size = phrases, 0, [], [], [], 0
 
-    def add(self, docs: list, texts: list[bytes | None]) -> None:
-        """Keeps the runs of words that occur in the benchmark and are as long as its shortest window; no other word can be hit."""
-        each = [words(t) for t in texts]
+    def add(self, each: list[list[bytes]]) -> None:
+        """Keeps the runs of words that the block has and that are as long as its shortest window; no other word can be hit."""
         n = np.array([len(w) for w in each], np.int64)
-        base = len(self.docs)
-        self.docs += docs
-        self.counts += n.tolist()
-        if not self.phrases.rows or not n.sum():
+        base = self.docs
+        self.docs += len(each)
+        if not n.sum() or not len(self.phrases.size):
             return
-        total = int(n.sum())
-        ids = np.fromiter(map(self.phrases.vocabulary.get, chain.from_iterable(each), repeat(0)), dtype=np.int64, count=total)
+        ids = self.phrases.ids(list(chain.from_iterable(each)))
         doc = np.repeat(np.arange(len(each)), n)
         known = np.r_[False, ids > 0, False]
         change = np.r_[True, doc[1:] != doc[:-1], True]
@@ -162,91 +193,156 @@ class Shard:
         self.place.append(np.insert(at - first[doc[at]], gaps, -1))
         self.size += len(self.parts[-1])
 
-    def hits(self) -> dict[int, tuple[list[tuple[int, int]], set[int]]]:
-        """For each document that is hit: merged spans of words, and the items."""
+    def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Documents, begins and ends of the merged spans of words; documents and items (numbers) of what was found."""
+        none = np.zeros(0, np.int64)
         if not self.parts:
-            return {}
+            return none, none, none, none, none
         text, owner, place = map(np.concatenate, (self.parts, self.owner, self.place))
-        index = FMIndex(text, len(self.phrases.vocabulary))
-        lo, hi = index.search(self.phrases.matrix, self.phrases.size)
-        found = np.flatnonzero(lo < hi)
-        if not len(found):
-            return {}
-        n = (hi - lo)[found]
-        rows = np.arange(n.sum()) + np.repeat(lo[found] - (np.cumsum(n) - n), n)
-        which = np.repeat(found, n)
-        at = index.locate(rows)
-        doc, start = owner[at], place[at]
-        order = np.lexsort((start, doc))
-        out: dict[int, tuple[list[tuple[int, int]], set[int]]] = {}
-        for d, s, w in zip(doc[order].tolist(), start[order].tolist(), which[order].tolist()):
-            spans, items = out.setdefault(d, ([], set()))
-            end = s + int(self.phrases.size[w])
-            if spans and s <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
-            else:
-                spans.append((s, end))
-            items.update(self.phrases.owners[w])
-        return out
+        p, spans, pairs = self.phrases, [np.zeros((0, 3), np.int64)], [np.zeros((0, 2), np.int64)]
+        index = FMIndex(text, p.symbols)
+        for s in range(0, len(p.size), MOST_SEARCHED):
+            part = slice(s, s + MOST_SEARCHED)
+            lo, hi = index.search(p.seq, p.end[part], p.size[part])
+            found = np.flatnonzero(lo < hi)
+            ends = np.cumsum((hi - lo)[found])
+            for a in range(0, int(ends[-1]) if len(ends) else 0, MOST_SEARCHED):  # a window may be anywhere in the shard
+                rank = np.arange(a, min(a + MOST_SEARCHED, int(ends[-1])))
+                of = np.searchsorted(ends, rank, side="right")
+                which = found[of]
+                at = index.locate(hi[which] - (ends[of] - rank))
+                doc, begin = owner[at], place[at]
+                spans.append(merge(np.stack([doc, begin, begin + p.size[part][which]], 1)))
+                pairs.append(np.unique(np.stack([doc, p.item[part][which]], 1), axis=0))
+        merged, pair = merge(np.concatenate(spans)), np.unique(np.concatenate(pairs), axis=0)
+        return merged[:, 0], merged[:, 1], merged[:, 2], pair[:, 0], pair[:, 1]
+
+
+def merge(spans: np.ndarray) -> np.ndarray:
+    """Rows (document, begin, end) in order, with those of a document that touch or overlap as one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    wide = int(spans[:, 2].max()) + 1
+    reach = np.maximum.accumulate(spans[:, 0] * wide + spans[:, 2])
+    new = np.flatnonzero(np.r_[True, (spans[1:, 0] * wide + spans[1:, 1] > reach[:-1])])
+    return np.stack([spans[new, 0], spans[new, 1], reach[np.r_[new[1:] - 1, len(spans) - 1]] - spans[new, 0] * wide], 1)
 
 
 OUT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start: long, end: long>>, items array<string>"
-MOST_BENCHMARK = 64 << 20  # bytes of benchmark text that are broadcast
+BLOCK_BYTES = 16 << 20  # bytes of benchmark words that are packed and broadcast as one block
+MOST_BLOCKS = 4  # blocks that one pass over the documents searches
+PIECE_WORDS = 50_000  # words of a longer item that stay together
+MOST_KNOWN = 200_000  # words of documents whose numbers a worker keeps for each block
+MOST_SEARCHED = 1 << 18  # windows, and occurrences, that are looked at together
 HELD_BYTES = 32 << 20  # bytes of rows that a task holds until their shard is judged
+RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items")
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
+
+
+def _row(doc, n: int, spans: list[tuple[int, int]], names: list[str], share: int) -> tuple:
+    hit = sum(b - a for a, b in spans)
+    return doc, n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0 and share * hit >= n, [{"start": a, "end": b} for a, b in spans], names
+
+
+def _batch(rows: list[tuple], kept: list, keep: tuple[str, ...]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(TYPES)
+    return pa.record_batch([*(pa.array(c, t) for c, t in zip(cols, TYPES)), *kept], ["doc_id", *RESULTS, *keep])
+
+
+def _pieces(benchmark: DataFrame, window: int) -> DataFrame:
+    """item, words (joined by spaces) of the items' stretches: whole items of up to PIECE_WORDS words, longer ones in stretches that share window - 1 words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches):
+            out = []
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                w = words(text)
+                out += [(item, b" ".join(w[s : s + PIECE_WORDS + window - 1])) for s in range(0, max(1, len(w) - window + 1), PIECE_WORDS) if w]
+            yield pa.record_batch([pa.array([i for i, _ in out], pa.string()), pa.array([w for _, w in out], pa.binary())], ["item", "words"])
+
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("text"))
+    return items.mapInArrow(cut, "item string, words binary").distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = 1_500_000, share: int = 20, most_benchmark: int = MOST_BENCHMARK, keep: tuple[str, ...] = ()) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = 1_500_000, share: int = 20, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row for each document: how many of its words lie in occurrences of benchmark windows, and the merged spans.
 
     docs needs doc_id and text, benchmark item_id and text. Null texts have no words; items without words have no
-    windows; an item that is there twice counts once. Repeated rows of documents give repeated rows. An empty
-    benchmark hits nothing, an empty table of documents gives no rows. The benchmark is broadcast if it has at most
-    most_benchmark bytes; a larger one is searched in blocks of items, whose spans are merged for each document. In
-    one block documents aren't shuffled: each task indexes what it reads, in shards of about shard_words words of the benchmark's vocabulary. Columns of
-    docs that are named in keep are returned besides, but for those that have the name of a result.
+    windows; an item that is there twice counts once, and a null item_id is an empty name. Repeated rows of documents
+    give repeated rows. An empty benchmark hits nothing, an empty table of documents gives no rows.
+
+    The benchmark is packed in blocks of about block_bytes bytes of words (20 bytes a word in memory at most), each of
+    which is broadcast; up to MOST_BLOCKS are searched in one pass, in which documents are read and cut into words once
+    and aren't shuffled: each task indexes what it reads, in shards of about shard_words words of a block's vocabulary.
+    A benchmark of more blocks takes more passes, whose spans are merged for each document. Columns of docs that are
+    named in keep are returned besides, but for those that have the name of a result.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    keep = tuple(c for c in keep if c not in {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"})
-    items = benchmark.select(F.col("item_id").alias("item_id"), F.col("text").cast("binary").alias("text")).dropDuplicates()
-    size = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    if size > most_benchmark:
-        return _in_blocks(docs, items, -(-size // most_benchmark) + 1, window, shard_words, share, keep)
-    shared = spark.sparkContext.broadcast(sorted(((r.item_id, bytes(r.text) if r.text is not None else None) for r in items.collect()), key=lambda r: (str(r[0]), r[1] or b"")))
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
+    keep = tuple(c for c in keep if c not in {"doc_id", *RESULTS})
+    pieces = written(_pieces(benchmark, window), "pieces-of-items")
+    size = pieces.agg(F.sum(F.length("words") + 1).alias("n")).first().n or 0
+    blocks = 1 if size <= block_bytes else -(-size * 5 // (block_bytes * 4))  # a fifth to spare, as hashes deal unevenly
+    block = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
+    if blocks > MOST_BLOCKS:
+        return _in_passes(docs, pieces.withColumn("pass", F.floor(block / MOST_BLOCKS)), -(-blocks // MOST_BLOCKS), window, shard_words, share, block_bytes, keep)
+    shared = [spark.sparkContext.broadcast(pack_phrases([(r.item, bytes(r.words)) for r in pieces.where(block == b).collect()], window)) for b in range(blocks)]
+    forget(pieces)
+    return _search(docs, shared, shard_words, share, keep)
+
+
+def _search(docs: DataFrame, shared: list, shard_words: int, share: int, keep: tuple[str, ...]) -> DataFrame:
+    """One pass over docs with the blocks that shared has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = Phrases(shared.value, window)
-
-        def judged(shard: Shard, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hits, at = shard.hits(), 0
-            for batch in held:
-                rows = []
-                for k in range(at, at + batch.num_rows):
-                    n = shard.counts[k]
-                    spans, which = hits.get(k, ((), ()))
-                    names = sorted({phrases.items[i] for i in which})
-                    hit = sum(b - a for a, b in spans)
-                    rows.append((shard.docs[k], n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0 and share * hit >= n, [{"start": a, "end": b} for a, b in spans], names))
-                at += batch.num_rows
-                cols = list(zip(*rows)) or [()] * len(types)
-                yield pa.record_batch([*(pa.array(c, t) for c, t in zip(cols, types)), *(batch.columns if keep else ())], [*(c.split()[0] for c in OUT.split(", ")[:6]), "spans", "items", *keep])
-
-        shard, held, size = Shard(phrases), [], 0
-        for batch in batches:
-            shard.add(batch.column("doc_id").to_pylist(), text_bytes(batch))
-            held.append(batch.select([f"kept_{i}" for i in range(len(keep))]) if keep else batch.select(["doc_id"]))
+        phrases = [_phrases(b.value) for b in shared]
+
+        def judged(shards: list[Shard], held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            found = [s.hits() for s in shards]
+            spans = merge(np.concatenate([np.stack(f[:3], 1) for f in found]))
+            first = np.searchsorted(spans[:, 0], np.arange(sum(len(h[0]) for h in held) + 1)).tolist()
+            spans = spans[:, 1:].tolist()
+            items: dict[int, set[str]] = {}
+            for p, f in zip(phrases, found):
+                for d, i in zip(f[3].tolist(), f[4].tolist()):
+                    items.setdefault(d, set()).add(p.items[i])
+            at = 0
+            for docs_, n, kept in held:
+                rows = [_row(d, c, spans[first[k] : first[k + 1]], sorted(items.get(k, ())), share) for k, (d, c) in enumerate(zip(docs_, n), at)]
+                at += len(rows)
+                yield _batch(rows, kept, keep)
+
+        shards, held, size = [Shard(p) for p in phrases], [], 0
+        for batch in portions(batches):
+            each = [words(t) for t in text_bytes(batch)]
+            for s in shards:
+                s.add(each)
+            held.append((batch.column("doc_id").to_pylist(), list(map(len, each)), [batch.column(f"kept_{i}") for i in range(len(keep))]))
             size += batch.nbytes if keep else 0
-            if shard.size >= shard_words or len(shard.docs) >= 50_000 or size >= HELD_BYTES:
-                yield from judged(shard, held)
-                shard, held, size = Shard(phrases), [], 0
-        yield from judged(shard, held)
+            if max(s.size for s in shards) >= shard_words or shards[0].docs >= 50_000 or size >= HELD_BYTES:
+                yield from judged(shards, held)
+                shards, held, size = [Shard(p) for p in phrases], [], 0
+        yield from judged(shards, held)
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)))
     return lean.mapInArrow(run, ", ".join([OUT, *(f"`{c}` {kinds[c]}" for c in keep)]))
 
 
+_PHRASES: dict[int, tuple] = {}
+
+
+def _phrases(packed: tuple) -> Phrases:
+    """One for each block and Python worker; those of other queries make room."""
+    key = id(packed)
+    if key not in _PHRASES or _PHRASES[key][0] is not packed:
+        if len(_PHRASES) >= MOST_BLOCKS:
+            _PHRASES.clear()
+        _PHRASES[key] = packed, Phrases(packed)
+    return _PHRASES[key][1]
+
+
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of docs that aren't contaminated."""
     others = tuple(c for c in docs.columns if c != "doc_id")
@@ -255,31 +351,31 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return found.select(*("doc_id" if c == "doc_id" else F.col(f"own_{c}").alias(c) for c in docs.columns))
 
 
-def _in_blocks(docs: DataFrame, items: DataFrame, blocks: int, window: int, shard_words: int, share: int, keep: tuple[str, ...]) -> DataFrame:
-    """contamination() for a benchmark of several blocks: rows are numbered once, and each block's hits are merged by row."""
-    kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
-    rows = written(docs.select("doc_id", "text", *kept).withColumn("row", F.monotonically_increasing_id()), "numbered")
+def _in_passes(docs: DataFrame, pieces: DataFrame, passes: int, window: int, shard_words: int, share: int, block_bytes: int, keep: tuple[str, ...]) -> DataFrame:
+    """contamination() for a benchmark of many blocks: rows are numbered once, and the passes' hits are merged by row."""
+    spark = docs.sparkSession
+    rows = written(docs.select("doc_id", "text", *(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep))).withColumn("row", F.monotonically_increasing_id()), "numbered")
     hits = None
-    for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).select("item_id", F.col("text").cast("string").alias("text"))
-        found = contamination(rows, own, window, shard_words, share, 1 << 62, keep=("row",)).where("n_hit > 0").select("row", "spans", "items")
+    for p in range(passes):
+        own = pieces.where(F.col("pass") == p)
+        block = F.pmod(F.xxhash64("words", "item", F.lit("block")), F.lit(MOST_BLOCKS))
+        shared = [spark.sparkContext.broadcast(pack_phrases([(r.item, bytes(r.words)) for r in own.where(block == b).collect()], window)) for b in range(MOST_BLOCKS)]
+        found = written(_search(rows, shared, shard_words, share, ("row",)).where("n_hit > 0").select("row", "spans", "items"), "hits")
+        for b in shared:
+            b.destroy()
         hits = found if hits is None else hits.unionByName(found)
     # no more spans than a document has words
-    each = hits.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    none = F.lit(None).cast("array<struct<start: long, end: long>>")
-
-    def add(done, s):
-        last = F.try_element_at(done, F.lit(-1))
-        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last.start.alias("start"), F.greatest(last.end, s.end).alias("end"))))
-        return F.when((F.size(done) > 0) & (s.start <= last.end), joined).otherwise(F.concat(done, F.array(F.struct(s.start.alias("start"), s.end.alias("end")))))
-
-    merged = F.aggregate("s", F.coalesce(none, F.array().cast("array<struct<start: long, end: long>>")), add)
-    counted = contamination(rows, items.limit(0).select("item_id", F.col("text").cast("string").alias("text")), window, keep=("row", *(f"kept_{i}" for i in range(len(keep)))))
-    both = counted.drop("spans", "items").join(each.select("row", merged.alias("spans"), "items"), "row", "left")
-    both = both.withColumns({"spans": F.coalesce("spans", F.array().cast("array<struct<start: long, end: long>>")), "items": F.coalesce("items", F.array().cast("array<string>"))})
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
-    both = both.withColumn("n_hit", n_hit)
-    return both.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "spans", "items", *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)),
-    )
+    each = hits.groupBy(F.col("row").alias("of")).agg(F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("found"))
+    counted = _search(rows, [spark.sparkContext.broadcast(pack_phrases([], window))], shard_words, share, ("row", *(f"kept_{i}" for i in range(len(keep)))))
+    both = counted.drop("spans", "items").join(each, F.col("row") == F.col("of"), "left")
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, n, spans, names in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_words", "s", "found"))):
+                spans = merge(np.array([(0, x["start"], x["end"]) for x in spans or ()], np.int64).reshape(-1, 3))
+                out.append(_row(doc, n, [tuple(x) for x in spans[:, 1:].tolist()], names or [], share))
+            yield _batch(out, [batch.column(f"kept_{i}") for i in range(len(keep))], keep)
+
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    return both.select("doc_id", "n_words", "s", "found", *(f"kept_{i}" for i in range(len(keep)))).mapInArrow(merged, ", ".join([OUT, *(f"`{c}` {kinds[c]}" for c in keep)]))

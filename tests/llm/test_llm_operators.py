@@ -129,9 +129,10 @@ def test_decontamination(spark, docs, data):
     assert all(sum(s.end - s.start for s in r.spans) == r.n_hit for r in got.collect())
     none = decontaminate.contamination(docs, spark.createDataFrame([], "item_id long, text string"))
     assert none.count() == len(data) and none.where("n_hit > 0 OR contaminated").count() == 0
-    blocks = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), most_benchmark=100, keep=("lang", "n_hit"))
-    same(blocks.drop("spans", "items", "lang").collect(), want)
-    assert sorted(map(str, blocks.select("doc_id", "spans").collect())) == sorted(map(str, got.select("doc_id", "spans").collect()))
+    for size in (80, 10):  # several blocks in one pass, and several passes
+        blocks = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=size, keep=("lang", "n_hit"))
+        same(blocks.drop("spans", "items", "lang").collect(), want)
+        assert sorted(map(str, blocks.select("doc_id", "spans").collect())) == sorted(map(str, got.select("doc_id", "spans").collect()))
 
 
 def test_fm_index_against_search():
@@ -141,7 +142,7 @@ def test_fm_index_against_search():
     index = decontaminate.FMIndex(text, 4)
     for n in (1, 2, 3, 5):
         rows = rng.integers(1, 5, (60, n))
-        lo, hi = index.search(rows, np.full(60, n))
+        lo, hi = index.search(rows.ravel(), np.arange(n, 60 * n + 1, n), np.full(60, n))
         for r, a, b in zip(rows, lo, hi):
             want = [i for i in range(len(text) - n + 1) if (text[i : i + n] == r).all()]
             assert sorted(index.locate(np.arange(a, b)).tolist()) == want

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 import brute
-from stationflow.llm import language, media, packing, secrets, simhash, urls
+from stationflow.llm import decontaminate, language, media, packing, secrets, simhash, urls
 
 SF = "/root/testdata/sf0.001"
 
@@ -223,3 +223,23 @@ def test_packing_with_ids_of_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "one text of words"), (1, "another text"), (None, "no id"), (None, None), (2, "long words " * 3000)], "doc_id long, text string")
     got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True).collect()
     assert len(got) >= 5 and all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in got)
+
+
+def test_decontamination_of_long_items_and_frequent_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 40)
+    monkeypatch.setattr(decontaminate, "MOST_SEARCHED", 7)
+    monkeypatch.setattr(decontaminate, "MOST_KNOWN", 30)
+    rng = np.random.default_rng(8)
+    words = lambda n, k=400: " ".join(f"w{x}" for x in rng.integers(0, k, n))
+    long = words(300)
+    items = [("long", long), ("other", words(20)), (None, "a null item of two"), ("same", "again " * 30), ("short", "solo")]
+    texts = [(i, words(30) + " " + " ".join(long.split()[8 * i : 8 * i + 20]) + " " + words(10)) for i in range(25)] + [(90, "again " * 50), (91, "Solo, and x"), (92, "so A NULL item of two"), (93, long)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id string, text string"), shard_words=60).drop("spans", "items").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.contamination(texts, [(i or "", t) for i, t in items]))
+
+
+def test_words_whose_digests_share_a_half(monkeypatch):
+    monkeypatch.setattr(decontaminate, "_digests", lambda w: np.array([(7, int(x[1:])) for x in w], np.uint64).reshape(-1, 2))
+    p = decontaminate.Phrases(decontaminate.pack_phrases([("i", b"w1 w5 w3")], 13))
+    assert [p.digests[k - 1, 1] if k else 0 for k in p.ids([b"w5", b"w9", b"w1", b"w3", b"w2"]).tolist()] == [5, 0, 1, 3, 0]
