@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..sources import shared_dir
 
@@ -76,10 +77,13 @@ def join_spread(many: DataFrame, one: DataFrame, key: str, weight: str, by: Sequ
 
     weight names the column of one that tells how many rows of many have the key (it isn't returned). The rows of a
     key with more than `most` are dealt by the hash of the columns by, and the key's row of one is repeated for each
-    deal. Only the HOTTEST most frequent keys are broadcast; any other has fewer than one in HOTTEST of all rows.
+    deal. Only the HOTTEST most frequent keys are looked up; any other has fewer than one in HOTTEST of all rows.
     """
-    hot = one.where(F.col(weight) > most).orderBy(F.desc(weight)).limit(HOTTEST)
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.least(F.ceil(F.col(weight) / most), F.lit(1024)).cast("int").alias("_deals")))
+    found = one.where(F.col(weight) > most).select(F.col(key).alias("_hot"), F.least(F.ceil(F.col(weight) / most), F.lit(1024)).cast("int").alias("_deals"))
+    rows = found.orderBy(F.desc("_deals")).limit(HOTTEST).collect()
+    if not rows:
+        return many.join(one.drop(weight), key, how)
+    hot = F.broadcast(many.sparkSession.createDataFrame(rows, found.schema))
     left = many.join(hot, F.col(key) == F.col("_hot"), "left")
     left = left.withColumn("_deal", F.coalesce(F.pmod(F.xxhash64(*by), F.col("_deals")), F.lit(0)).cast("int")).drop("_hot", "_deals")
     right = one.join(hot, F.col(key) == F.col("_hot"), "left").drop(weight)
@@ -87,6 +91,31 @@ def join_spread(many: DataFrame, one: DataFrame, key: str, weight: str, by: Sequ
     return left.join(right, [key, "_deal"], how).drop("_deal")
 
 
+MOST_IDS = 2_000_000  # ids that are broadcast, 16 bytes each
+
+
+def of_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """The rows whose doc_id is (left_semi) or isn't (left_anti) in the written table ids; rows stay in place if ids are few."""
+    ids = ids.select(F.col("doc_id").alias("_id"))
+    return rows.join(F.broadcast(ids) if ids.count() <= MOST_IDS else ids, F.col("doc_id") == F.col("_id"), how)
+
+
+def without(docs: DataFrame, gone: DataFrame, every: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id isn't in gone, each doc_id once; rows without doc_id stay.
+
+    every: the doc_id of each row. Of the rows of a doc_id, the one with the lowest text stays (then by a hash of all
+    columns). Rows are only shuffled where their doc_id is there several times.
+    """
+    kept = of_ids(docs, written(gone, "gone"), "left_anti")
+    again = written(every.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    hash_ = F.xxhash64(*(F.to_json(F.struct(F.col(c))) if isinstance(docs.schema[c].dataType, MapType) else F.col(c) for c in docs.columns))
+    one = of_ids(kept, again, "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct(F.col("text").cast("string"), hash_)).alias("row")).select("row.*")
+    return of_ids(kept, again, "left_anti").unionByName(one)
+
+
 def ascii_lower(c):
     """A-Z lower-cased, all else as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import forget, join_spread, portions, small_batches, without, written
 
 BITS = 64
 MOST_IN_NODE = 256  # fingerprints below a trie node that one task joins; larger nodes are refined
@@ -38,7 +38,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             fp = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64)
             yield pa.record_batch([batch.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
@@ -55,13 +55,14 @@ def _mask(bits: list[int]) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def trie_pairs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions in fp (unsigned, sorted within each range) of the same range that differ in at most budget bits.
+def trie_pairs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray, budget: int, other: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions in fp (unsigned, sorted within each range) that differ in at most budget bits: of the same range,
+    or, if other has the begins and ends of further ranges, one of a range and one of the other range.
 
     Pairs of trie nodes are traversed together, level by level. A pair of nodes stands for two ranges of the sorted
     fingerprints; its children get one more differing bit where they part, and are dropped beyond the budget.
     """
-    a0, a1, b0, b1 = begin, end, begin, end
+    a0, a1, b0, b1 = begin, end, *(other or (begin, end))
     spent = np.zeros(len(begin), np.int64)
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
@@ -194,12 +195,16 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lowest")
-        links = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        links = written(links, "links")
-        low = written(links.groupBy("a").agg(F.min("b").alias("m")), "lowest")
-        links = links.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b")
-        links = written(links.where("a != b").distinct(), "links")
+        low = written(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n"), "lowest")
+        upper = join_spread(both.where("b > a"), low, "a", "n", ["b"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        upper = written(upper, "links")
+        forget(links)
+        forget(low)
+        low = written(upper.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "lowest")
+        lower = join_spread(upper, low, "a", "n", ["b"]).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b")
+        links = written(lower.where("a != b").distinct(), "links")
+        forget(upper)
+        forget(low)
         now = _total(links)
         if now == before:
             return links.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
@@ -213,21 +218,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2) -> DataFra
     empty ones too) have fingerprint 0 and link like others. Repeated rows give repeated rows. Rows whose doc_id is
     null take the component of documents with the same fingerprint and link nothing else: null if there is none.
     An empty table gives no rows. Equal fingerprints are one class before anything is joined, so groups of copies
-    cost one row each.
+    cost one row each, and their documents are dealt over several tasks where they get their component.
     """
     each = written(fingerprints(docs, width), "fingerprints")
-    classes = written(each.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
-    roots = components(near_links(classes, budget))
-    named = written(classes.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id")), "components")
-    return each.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = written(each.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")).where(F.col("id").isNotNull()), "classes")
+    roots = components(near_links(classes.select("id", "fp"), budget))
+    named = written(classes.join(roots, "id", "left").select("fp", "n", F.coalesce("root", "id").alias("component_id")), "components")
+    forget(classes)
+    return join_spread(each, named, "fp", "n", ["doc_id"], "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 3, budget: int = 2) -> DataFrame:
     """The rows of docs whose document has the lowest doc_id of its component, each doc_id once; columns stay as they are.
 
-    Rows whose doc_id is null can't be told apart by it and stay.
+    Rows whose doc_id is null can't be told apart by it and stay. Of several rows of a doc_id the one with the lowest
+    text stays.
     """
-    near = near_duplicates(docs, width, budget)
-    gone = near.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.where(F.col("doc_id").isNotNull()).join(gone, docs.doc_id == F.col("gone"), "left_anti")
-    return left.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    near = written(near_duplicates(docs, width, budget).select("doc_id", "component_id"), "near")
+    return without(docs, near.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), near)
