@@ -68,6 +68,7 @@ def test_op9_beats_its_base_on_held_out_texts(spark, entry):
 def test_pipeline_is_its_stages(spark, entry, texts):
     import corpus_pipeline
     from test_llm_operators import check_pieces
+    from test_whole_job import jaccard_keeps
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     now = docs
@@ -77,8 +78,7 @@ def test_pipeline_is_its_stages(spark, entry, texts):
         assert now.columns == docs.columns
         seen.append({r.doc_id: r.text for r in now.collect()})
     dropped = {d: t for d, t in seen[0].items() if d not in seen[2]}
-    comps = brute.components([(d, brute.fingerprint(t)) for d, t in seen[1].items()])
-    assert set(seen[0]) == {d for d, t in texts if t} and set(seen[2]) == set(comps.values()) and len(dropped) > 0
+    assert set(seen[0]) == {d for d, t in texts if t} and set(seen[2]) == jaccard_keeps(seen[1]) and len(dropped) > 0
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     clean = {r[0] for r in brute.contamination(list(seen[2].items()), items) if not r[5]}
     assert set(seen[3]) == clean
