@@ -1,13 +1,13 @@
 """LM scoring: a weighted backoff automaton of smoothed n-grams, traversed from left to right.
 
-Each token of the vocabulary is a state. A state has an arc for each continuation that training showed often enough,
-and a failure arc, at the weight that discounting left over, to the root, whose arcs are the smoothed unigrams. A
-text begins in the state of the text's end, which is a token too.
+Each n-gram of up to order - 1 tokens that training showed is a state. A state has an arc for each token that followed
+it, and a failure arc to the state without its first token, at the weight that smoothing leaves; the last one's failure
+arc ends at the smoothed unigrams. A text begins in the state of the text's end, which is a token too; the traversal
+carries the state of the last tokens, follows arcs and failure arcs, and adds up log10 probabilities.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,61 +17,73 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, small_batches, written
+from .common import mix64, portions, small_batches, written
 from .language import bucket
 
 LAST = b"\n"  # the end of a text, among the tokens
 BLOCK_BYTES = 24 << 20
-HASH = 40  # bits of a continuation's hash; within one context only
-MASK = np.uint64((1 << HASH) - 1)
+PART_KEYS = 2_000_000  # n-grams of a part that one task sums
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words)) & MASK
+def _squeezed(x: np.ndarray) -> bytes:
+    """Integers as planes of bytes, of which the high ones are mostly zeros, compressed."""
+    width = x.dtype.itemsize
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, width).T).data, codec="zstd", asbytes=True) if len(x) else b""
 
 
-def _five(h: np.ndarray) -> bytes:
-    """40-bit integers as five planes of bytes."""
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
+def _spread(data: bytes, n: int, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data, n * width, codec="zstd"), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _from_five(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(5, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :5] = planes.T
-    return out.view("<u8").ravel().astype(np.uint64)
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)).astype("<u8"))
 
 
-def _planes(ids: np.ndarray) -> bytes:
-    """32-bit integers as four planes of bytes, most of which are zeros and compress well."""
-    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each key; sorted keys have sorted parts."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+class Text:
+    """The documents of a block as token numbers, each with the end of a text before it, and the keys of their n-grams."""
 
+    def __init__(self, words: bytes, ids: np.ndarray, lengths: np.ndarray, held: np.ndarray, order: int):
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.split(b" ")), dtype=np.uint64, count=words.count(b" ") + 1)
+        self.by = np.argsort(hashes, kind="stable")
+        self.words = hashes[self.by]  # the keys of the tokens, sorted
+        self.number = np.empty(len(hashes), np.int32)
+        self.number[self.by] = np.arange(len(hashes), dtype=np.int32)
+        self.ids, self.lengths = self.number[ids], lengths
+        begin = np.cumsum(lengths) - lengths
+        self.rank = (np.arange(len(ids)) - np.repeat(begin, lengths)).astype(np.int32)  # tokens before each token
+        self.learned = np.repeat(~held, lengths)
+        self.before = np.roll(self.ids, 1)
+        self.before[begin] = self.number[0]  # number 0 is the end of a text
+        h = self.words[self.ids]
+        key, self.keys = self.words[self.before], []
+        for k in range(2, order + 1):
+            # the key of k tokens follows from that of the k - 1 up to the last but one, and the last
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + h + np.uint64(k))
+            self.keys.append((k, key))  # valid from rank k - 2 on
+            key = np.roll(key, 1)
 
-class Automaton:
-    """Arcs (state << HASH | hash of the next token), their probabilities, and each state's failure weight and root probability."""
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of all n-grams of two tokens or more, one order after another, whether training has them, and their number."""
+        valid = [self.rank >= k - 2 for k, _ in self.keys]
+        return np.concatenate([key[v] for (_, key), v in zip(self.keys, valid)]), np.concatenate([self.learned[v] for v in valid]), np.array([int(v.sum()) for v in valid])
 
-    def __init__(self, arcs: np.ndarray, probs: np.ndarray, fail: np.ndarray, root: np.ndarray, hashes: np.ndarray):
-        by = np.argsort(arcs, kind="stable")
-        self.arcs, self.probs, self.fail, self.root, self.hashes = arcs[by], probs[by], fail, root, hashes
+    def token_counts(self) -> np.ndarray:
+        return np.bincount(self.ids[self.learned], minlength=len(self.words))
 
-    def walk(self, tokens: np.ndarray, start: int) -> np.ndarray:
-        """log10 probability of each token; the state that a token leads to is its own."""
-        state = np.r_[start, tokens[:-1]]
-        wanted = state.astype(np.uint64) << np.uint64(HASH) | self.hashes[tokens]
-        prob = self.fail[state] * self.root[tokens]
-        if len(self.arcs):
-            at = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
-            prob += np.where(self.arcs[at] == wanted, self.probs[at], 0.0)
-        return np.log10(prob)
 
-
-BLOCKS = "block long, doc_id long, held_out boolean, n_tokens long, words binary, counts binary, per_word binary, nexts binary, times binary, kind int"
-SENT = "part int, block long, words binary, counts binary, per_word binary, nexts binary, times binary"
-SUMS = "kind int, block long, part int, n long, counts binary, fail binary, per_word binary, nexts binary, times binary"
+BLOCKS = "block long, n_docs long, words binary, n_tokens long, ids binary, lengths binary, held binary, docs binary, null_docs binary"
+SENT = "part int, block long, kind int, n int, keys binary, times binary"
+SUMS = "kind int, block long, part int, n int, rest binary, tokens long, distinct long"
 DIGEST = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 TYPES = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
 
@@ -86,64 +98,60 @@ def _rows(batch: pa.RecordBatch, schema: str) -> Iterator[tuple]:
     return zip(*(batch.column(c.split()[0]).to_pylist() for c in schema.split(", ")))
 
 
-def _spread(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the words by part, and where each part begins in it."""
-    part = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % parts
-    by = np.argsort(part, kind="stable")
-    return by, np.searchsorted(part[by], np.arange(parts + 1))
-
-
 class Block:
-    """Distinct tokens and continuations of a stretch of documents, with their training counts."""
+    """A stretch of documents as numbers of its distinct tokens."""
 
     def __init__(self, number: int):
-        self.number, self.ids, self.docs, self.size = number, {LAST: 0}, [], 0
+        self.number, self.ids, self.docs, self.held, self.seqs, self.size = number, {LAST: 0}, [], [], [], 0
 
-    def add(self, doc: int | None, held: bool, text: bytes | None) -> tuple:
+    def add(self, doc: int | None, held: bool, text: bytes | None) -> None:
         words = (text or b"").lower().split()
         words.append(LAST)
         ids = self.ids
         for w in set(words).difference(ids):
             ids[w] = len(ids)
-        seq = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=len(words))
-        self.docs.append((seq.astype(np.int32), held))
+        self.seqs.append(np.fromiter(map(ids.__getitem__, words), dtype=np.int32, count=len(words)))
+        self.docs.append(doc)
+        self.held.append(held)
         self.size += len(text or b"")
-        return self.number, doc, held, len(words), _planes(seq), None, None, None, None, 2
 
-    def summary(self) -> tuple:
+    def row(self) -> tuple:
+        lengths = np.array([len(s) for s in self.seqs], "<i8")
+        ids = np.concatenate(self.seqs)
+        # frequent tokens get low numbers, which compress better; the end of a text keeps 0
+        count = np.bincount(ids, minlength=len(self.ids))
+        count[0] = len(ids) + 1
+        by = np.argsort(-count, kind="stable")
+        new = np.empty(len(by), np.int32)
+        new[by] = np.arange(len(by), dtype=np.int32)
         words = list(self.ids)
-        hashes = _hashes(words)
-        learned = [s for s, held in self.docs if not held]
-        counts = np.bincount(np.concatenate(learned), minlength=len(words)).astype("<i8") if learned else np.zeros(len(words), "<i8")
-        key: dict[bool, list[np.ndarray]] = {False: [], True: []}
-        while self.docs:  # a document's numbers make room for its continuations
-            seq, held = self.docs.pop()
-            key[held].append(np.r_[0, seq[:-1]].astype(np.uint64) << np.uint64(HASH) | hashes[seq])
-        pairs, times = np.unique(np.concatenate(key.pop(False)), return_counts=True) if key[False] else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        more = np.unique(np.concatenate(key.pop(True))) if key[True] else np.zeros(0, np.uint64)
-        more = more[~np.isin(more, pairs, assume_unique=True)]
-        pairs, times = np.concatenate([pairs, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
-        by = np.argsort(pairs, kind="stable")
-        key, times = pairs[by], times[by].astype("<u4")
-        per_word = np.bincount((key >> np.uint64(HASH)).astype(np.int64), minlength=len(words)).astype("<u4")
-        return self.number, None, None, None, b" ".join(words), counts.tobytes(), per_word.tobytes(), _five(key & MASK), _planes(times), 0
-
-
-def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: float = 0.5, discount: float = 0.9, least: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+        docs = np.array([d or 0 for d in self.docs], "<i8")
+        bits = lambda x: np.packbits(np.array(x, bool)).tobytes()
+        return self.number, len(docs), b" ".join([words[i] for i in by.tolist()]), len(ids), _squeezed(new[ids].astype("<u4")), _squeezed(lengths), bits(self.held), _squeezed(docs), bits([d is None for d in self.docs])
+
+
+def _text(words: bytes, n_tokens: int, ids: bytes, lengths: bytes, held: bytes, n_docs: int, order: int) -> Text:
+    held_ = np.unpackbits(np.frombuffer(held, np.uint8), count=n_docs).astype(bool)
+    return Text(words, _spread(ids, n_tokens, "<u4"), _spread(lengths, n_docs, "<i8"), held_, order)
+
+
+def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: float = 0.5, strength: float = 8.0, order: int = 3, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     A-Z are lower-cased, tokens are what ASCII white space separates, and one end of the text. Documents whose
     crc32(doc_id) modulo folds is held_out are scored, not learned from; a null doc_id is never held out. A null
     text is empty: its end is its only token. Repeated rows are learned from, and scored, as often as they are there.
 
-    base_score has the smoothed unigrams alone. score is the automaton's: a token that followed its predecessor
-    `least` times or more in training has (times - discount) / (the predecessor's count) besides the failure weight
-    times its unigram; the weights of each state add up to one over the vocabulary and one unknown token.
+    base_score has the smoothed unigrams alone. score is the automaton's: a state that training showed c times has an
+    arc of (times) / (c + strength) for each token that followed it, and a failure arc of strength / (c + strength) to
+    the next shorter state; what arcs and failure arcs lead to adds up to one over the vocabulary and one unknown token.
+    All n-grams of training up to `order` tokens have their arcs, whatever their number.
 
-    Each task turns what it reads into blocks of about block_bytes of text: the block's distinct tokens and
-    continuations with training counts, and each document as numbers of these tokens. Only the distinct ones travel,
-    to the part that sums them over all blocks (by the token, for continuations the first one), and back with the
-    sums; texts aren't shuffled. No task holds more than a part or a block, whatever is frequent.
+    Each task turns what it reads into blocks of about block_bytes of text: documents as numbers of the block's distinct
+    tokens. Only distinct n-grams travel, as sorted 64-bit keys with their counts, to the part that sums them over all
+    blocks, and back goes what other blocks add, in the same order. Parts are ranges of keys, which are hashes: a
+    frequent n-gram is one key of each block, so no part is larger than others, and their number follows from the
+    tokens. Texts aren't shuffled.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -151,107 +159,119 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fold.alias("held_out"), F.col("text").cast("binary").alias("text"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 24
-        block = Block(first)
-        for batch in batches:
-            yield _batch(BLOCKS, [block.add(*r) for r in _rows(batch, "doc_id long, held_out boolean, text binary")])
+        block = Block(TaskContext.get().partitionId() << 24)
+        for batch in portions(batches):
+            for r in _rows(batch, "doc_id long, held_out boolean, text binary"):
+                block.add(*r)
             if block.size >= block_bytes:
-                yield _batch(BLOCKS, [block.summary()])
+                yield _batch(BLOCKS, [block.row()])
                 block = Block(block.number + 1)
         if block.docs:
-            yield _batch(BLOCKS, [block.summary()])
+            yield _batch(BLOCKS, [block.row()])
 
-    table = written(lean.mapInArrow(blocks, BLOCKS), "blocks", by="kind")
-    own = table.where("kind = 0")
-    parts = min(max(16, own.count()), 4096)
+    table = written(lean.mapInArrow(blocks, BLOCKS), "blocks")
+    tokens = int(table.agg(F.sum("n_tokens").alias("n")).first().n or 0)
+    parts = max(16, -(-tokens * (order - 1) // PART_KEYS))
+    own = "block long, n_docs long, words binary, n_tokens long, ids binary, lengths binary, held binary"
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, words, counts, per_word, nexts, times in _rows(batch, "block long, words binary, counts binary, per_word binary, nexts binary, times binary"):
-                words, counts, per_word = words.split(b" "), np.frombuffer(counts, "<i8"), np.frombuffer(per_word, "<u4").astype(np.int64)
-                nexts, times = _from_five(nexts), _from_planes(times)
-                begin = np.cumsum(per_word) - per_word
-                by, cuts = _spread(words, parts)
-                rows = []
-                for p in np.flatnonzero(np.diff(cuts)).tolist():
-                    g = by[cuts[p] : cuts[p + 1]]
-                    n = per_word[g]
-                    at = np.arange(n.sum()) + np.repeat(begin[g] - (np.cumsum(n) - n), n)
-                    rows.append((p, block, b" ".join([words[i] for i in g.tolist()]), counts[g].tobytes(), n.astype("<u4").tobytes(), _five(nexts[at]), _planes(times[at])))
-                yield _batch(SENT, rows)
+            for block, n_docs, *row in _rows(batch, own):
+                text = _text(*row, n_docs, order)
+                keys, learned, _ = text.grams()
+                grams, times = np.unique(keys[learned], return_counts=True)
+                more = np.unique(keys[~learned])
+                more = more[~np.isin(more, grams, assume_unique=True)]
+                grams, times = np.concatenate([grams, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
+                by = np.argsort(grams)
+                for kind, keys, times in ((1, text.words, text.token_counts()), (2, grams[by], times[by])):
+                    cuts = np.searchsorted(part_of(keys, parts), np.arange(parts + 1)).tolist()
+                    for first in range(0, parts, 64):
+                        slices = [(p, cuts[p], cuts[p + 1]) for p in range(first, min(first + 64, parts)) if cuts[p] < cuts[p + 1]]
+                        if slices:
+                            yield _batch(SENT, [(p, block, kind, b - a, _steps(keys[a:b]), _squeezed(times[a:b].astype("<u4"))) for p, a, b in slices])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of one part come one after another; their sums are known when the next part begins."""
-
-        def close(part: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            number: dict[bytes, int] = {}
-            ids = [np.fromiter((number.setdefault(w, len(number)) for w in r[0]), dtype=np.int64, count=len(r[0])) for r in held]
-            total = np.bincount(np.concatenate(ids), weights=np.concatenate([r[2] for r in held]), minlength=len(number))
-            keys = [np.repeat(i, r[3]).astype(np.uint64) << np.uint64(HASH) | r[4] for i, r in zip(ids, held)]
-            pair, at = np.unique(np.concatenate(keys), return_inverse=True)
-            times = np.bincount(at, weights=np.concatenate([r[5] for r in held]), minlength=len(pair))
-            kept = times >= least
-            owner = (pair >> np.uint64(HASH)).astype(np.int64)
-            taken = np.bincount(owner[kept], weights=times[kept] - discount, minlength=len(number))
-            fail = np.where(total > 0, 1.0 - taken / np.maximum(total, 1.0), 1.0)
-            yield _batch(SUMS, [(3, int((total > 0).sum()), part, int(total.sum()), None, None, None, None, None)])
-            cut = 0
-            for i, r in zip(ids, held):
-                mine = at[cut : cut + len(r[4])]
-                cut += len(r[4])
-                yes = kept[mine]
-                of = np.repeat(np.arange(len(i)), r[3])[yes]
-                yield _batch(SUMS, [(1, r[1], part, None, total[i].astype("<i8").tobytes(), fail[i].astype("<f8").tobytes(), np.bincount(of, minlength=len(i)).astype("<u4").tobytes(), _five(r[4][yes]), _planes(times[mine][yes]))])
+        """Rows of one part and kind come one after another; their sums are known when the next ones begin."""
+
+        def close(part: int, kind: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            times = np.concatenate([t for *_, t in held]).astype(np.int64)
+            found, at = np.unique(np.concatenate([k for _, k, _ in held]), return_inverse=True)
+            total = np.bincount(at, weights=times, minlength=len(found)).astype(np.int64)
+            if kind == 1:
+                yield _batch(SUMS, [(3, None, part, None, None, int(total.sum()), int((total > 0).sum()))])
+            rest, a = total[at] - times, 0
+            for block, keys, _ in held:
+                yield _batch(SUMS, [(kind, block, part, len(keys), _squeezed(rest[a : a + len(keys)].astype("<i8")), None, None)])
+                a += len(keys)
 
         now, held = None, []
         for batch in batches:
-            for part, block, words, counts, per_word, nexts, times in _rows(batch, SENT):
-                if part != now:
+            for part, block, kind, n, keys, times in _rows(batch, SENT):
+                if (part, kind) != now:
                     if held:
-                        yield from close(now, held)
-                    now, held = part, []
-                held.append((words.split(b" "), block, np.frombuffer(counts, "<i8"), np.frombuffer(per_word, "<u4").astype(np.int64), _from_five(nexts), _from_planes(times)))
+                        yield from close(*now, held)
+                    now, held = (part, kind), []
+                held.append((block, np.cumsum(_spread(keys, n, "<u8")), _spread(times, n, "<u4")))
         if held:
-            yield from close(now, held)
+            yield from close(*now, held)
 
-    messages = own.mapInArrow(sent, SENT).repartition("part").sortWithinPartitions("part", "block")
+    messages = table.select(*(c.split()[0] for c in own.split(", "))).mapInArrow(sent, SENT).repartition("part").sortWithinPartitions("part", "kind", "block")
     answers = written(messages.mapInArrow(summed, SUMS), "sums")
-    # the blocks' continuations aren't read again; their tokens are
-    tokens = written(own.select("block", "words"), "tokens")
-    forget(table, "kind=0")
-    sums = answers.where("kind = 3").agg(F.sum("n").alias("n"), F.sum("block").alias("v")).first()
+    sums = answers.where("kind = 3").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     train_tokens, kinds = int(sums.n or 0), int(sums.v or 0)
-    joined = "kind int, block long, part int, doc_id long, held_out boolean, n_tokens long, words binary, counts binary, fail binary, per_word binary, nexts binary, times binary"
+    joined = f"{BLOCKS}, kind int, part int, n int, rest binary"
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's rows in order: its tokens, their sums by part, then its documents."""
-        automaton = base = None
+        """A block's rows in order: its documents, then what other blocks add to its n-grams by kind and part."""
+        open_: Counted | None = None
         for batch in batches:
-            rows = []
-            for kind, _, part, doc, held, n_tokens, words, counts, fail, per_word, nexts, times in _rows(batch, joined):
+            for block, n_docs, words, n_tokens, ids, lengths, held, doc_ids, null_docs, kind, part, n, rest in _rows(batch, joined):
                 if kind == 0:
-                    words = words.split(b" ")
-                    hashes = _hashes(words)
-                    by, cuts = _spread(words, parts)
-                    count, lost, arcs, gains, automaton = np.zeros(len(words)), np.ones(len(words)), [], [], None
-                elif kind == 1:
-                    i = by[cuts[part] : cuts[part + 1]]
-                    count[i], lost[i] = np.frombuffer(counts, "<i8"), np.frombuffer(fail, "<f8")
-                    state = np.repeat(i, np.frombuffer(per_word, "<u4").astype(np.int64))
-                    arcs.append(state.astype(np.uint64) << np.uint64(HASH) | _from_five(nexts))
-                    gains.append((_from_planes(times) - discount) / count[state])
+                    if open_ is not None:
+                        yield _batch(DIGEST, open_.rows(smoothing, strength, train_tokens, kinds))
+                    held_ = np.unpackbits(np.frombuffer(held, np.uint8), count=n_docs).astype(bool).tolist()
+                    none = np.unpackbits(np.frombuffer(null_docs, np.uint8), count=n_docs).astype(bool).tolist()
+                    named = [None if x else d for d, x in zip(_spread(doc_ids, n_docs, "<i8").tolist(), none)]
+                    open_ = Counted(_text(words, n_tokens, ids, lengths, held, n_docs, order), named, held_, parts)
                 else:
-                    if automaton is None:
-                        root = (count + smoothing) / (train_tokens + smoothing * (kinds + 1))
-                        base = np.log10(root)
-                        automaton = Automaton(np.concatenate(arcs), np.concatenate(gains), lost, root, hashes)
-                    ids = _from_planes(words)
-                    rows.append((doc, held, n_tokens, int((count[ids] > 0).sum()), train_tokens, float(base[ids].sum()), float(automaton.walk(ids, 0).sum())))
-            if rows:
-                yield _batch(DIGEST, rows)
-
-    texts = table.where("kind = 2").select("kind", "block", "doc_id", "held_out", "n_tokens", "words")
-    back = answers.where("kind = 1").drop("n")
-    both = texts.unionByName(tokens.withColumn("kind", F.lit(0)), allowMissingColumns=True).unionByName(back, allowMissingColumns=True)
+                    open_.add(kind, part, _spread(rest, n, "<i8"))
+        if open_ is not None:
+            yield _batch(DIGEST, open_.rows(smoothing, strength, train_tokens, kinds))
+
+    both = table.withColumn("kind", F.lit(0)).unionByName(answers.where("kind < 3").select("kind", "block", "part", "n", "rest"), allowMissingColumns=True)
     both = both.select(*(c.split()[0] for c in joined.split(", ")))
     return both.repartition("block").sortWithinPartitions("block", "kind", "part").mapInArrow(scored, DIGEST)
+
+
+class Counted:
+    """A block's documents with the counts of their n-grams in all of training: the part of the automaton that they traverse."""
+
+    def __init__(self, text: Text, docs: list, held: list[bool], parts: int):
+        self.text, self.docs, self.held = text, docs, held
+        keys, learned, self.valid = text.grams()
+        grams, self.at = np.unique(keys, return_inverse=True)
+        self.counts = {1: text.token_counts(), 2: np.bincount(self.at[learned], minlength=len(grams))}
+        self.cuts = {1: np.searchsorted(part_of(text.words, parts), np.arange(parts + 1)), 2: np.searchsorted(part_of(grams, parts), np.arange(parts + 1))}
+
+    def add(self, kind: int, part: int, rest: np.ndarray) -> None:
+        self.counts[kind][self.cuts[kind][part] : self.cuts[kind][part + 1]] += rest
+
+    def rows(self, smoothing: float, strength: float, train_tokens: int, kinds: int) -> list[tuple]:
+        """Walks all texts from left to right at once: at each token the chain of states is one n-gram after another."""
+        t, tokens, grams = self.text, self.counts[1], self.counts[2][self.at]
+        seen = tokens[t.ids]
+        prob = (seen + smoothing) / (train_tokens + smoothing * (kinds + 1))
+        base = np.log10(prob)
+        state, a = tokens[t.before].astype(np.float64), 0  # how often training showed the state before each token
+        for (k, _), n in zip(t.keys, self.valid.tolist()):
+            on = t.rank >= k - 2
+            arc = np.zeros(len(prob))
+            arc[on] = grams[a : a + n]
+            a += n
+            # an arc besides the failure arc to the shorter state; a state that training never showed has the latter alone
+            prob = np.where(on, (arc + strength * prob) / (state + strength), prob)
+            state = np.roll(arc, 1)
+        begin = np.cumsum(t.lengths) - t.lengths
+        score, known = np.add.reduceat(np.log10(prob), begin), np.add.reduceat((seen > 0).astype(np.int64), begin)
+        return list(zip(self.docs, self.held, t.lengths.tolist(), known.tolist(), [train_tokens] * len(begin), np.add.reduceat(base, begin).tolist(), score.tolist()))

@@ -268,30 +268,32 @@ def test_urls(spark):
 
 def test_lm_scores(docs, data):
     tokens = [(d, [*raw(t).lower().split(), b"\n"]) for d, t, *_ in data]
-    counts, pairs = Counter(), Counter()
+    grams = Counter()
     for d, w in tokens:
         if d is None or brute.fold(d, 5) != 1:
-            counts.update(w)
-            pairs.update(zip([b"\n", *w], w))
-    n, v = counts.total(), len(counts)
-    root = lambda w: (counts[w] + 0.5) / (n + 0.5 * (v + 1))
-    taken = Counter()
-    for (a, _), c in pairs.items():
-        if c >= 2:
-            taken[a] += c - 0.9
-    fail = lambda a: 1 - taken[a] / counts[a] if counts[a] else 1.0
-    arc = lambda a, b: (pairs[a, b] - 0.9) / counts[a] if pairs[a, b] >= 2 else 0.0
-    want = []
-    for d, w in tokens:
-        base = sum(math.log10(root(x)) for x in w)
-        score = sum(math.log10(arc(a, b) + fail(a) * root(b)) for a, b in zip([b"\n", *w], w))
-        want.append((d, d is not None and brute.fold(d, 5) == 1, len(w), sum(counts[x] > 0 for x in w), n, round(base, 6), round(score, 6)))
-    for size in (1000, 1 << 24):
-        got = scoring.lm_scores(docs, block_bytes=size)
+            w = (b"\n", *w)
+            grams.update(w[i : i + k] for k in (1, 2, 3, 4) for i in range(k == 1, len(w) - k + 1))
+    counts = {g[0]: c for g, c in grams.items() if len(g) == 1}
+    n, v, strength = sum(counts.values()), len(counts), 3.0
+    root = lambda w: (counts.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))
+
+    def prob(context, w):
+        """By its definition: the arc of a state and what its failure arc leads to."""
+        if not context:
+            return root(w)
+        return (grams[(*context, w)] + strength * prob(context[1:], w)) / (grams[context] + strength)
+
+    for order, size in ((3, 1000), (3, 1 << 24), (2, 5000), (4, 1 << 24)):
+        want = []
+        for d, w in tokens:
+            before = (b"\n", *w)
+            score = sum(math.log10(prob(before[max(0, i + 2 - order) : i + 1], x)) for i, x in enumerate(w))
+            want.append((d, d is not None and brute.fold(d, 5) == 1, len(w), sum(x in counts for x in w), n, round(sum(math.log10(root(x)) for x in w), 6), round(score, 6)))
+        got = scoring.lm_scores(docs, block_bytes=size, order=order, strength=strength)
         same([(*r[:5], round(r[5], 6), round(r[6], 6)) for r in got.collect()], want)
-    # the weights of a state add up to one over the vocabulary and the unknown token
-    for a in list(counts)[:20]:
-        assert abs(sum(arc(a, b) + fail(a) * root(b) for b in counts) + fail(a) * root(b"?") - 1) < 1e-9
+    # what a state's arcs and failure arcs lead to adds up to one over the vocabulary and the unknown token
+    for context in [g for g in grams if len(g) == 2 and g[1] != b"\n"][:20]:
+        assert abs(sum(prob(context, b) for b in counts) + prob(context, b"?") - 1) < 1e-9
 
 
 def test_secrets(spark, docs):
