@@ -135,7 +135,7 @@ def _text(words: bytes, n_tokens: int, ids: bytes, lengths: bytes, held: bytes,
     return Text(words, _spread(ids, n_tokens, "<u4"), _spread(lengths, n_docs, "<i8"), held_, order)
 
 
-def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: float = 0.5, strength: float = 8.0, order: int = 3, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: float = 0.5, strength: float = 64.0, order: int = 3, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     A-Z are lower-cased, tokens are what ASCII white space separates, and one end of the text. Documents whose
