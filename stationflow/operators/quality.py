@@ -24,8 +24,8 @@ def day_type(df: DataFrame, holidays: DataFrame, day: str = "date") -> DataFrame
     return df.join(h, df[day] == h["_h"], "left").withColumn("day_type", F.when(off, "Festivo").otherwise("Feriale")).drop("_h")
 
 
-def nearest_by_km(stations: DataFrame, n: int, probes: DataFrame | None = None, by: Sequence[str] = (), order: str = "station_code") -> DataFrame:
-    """For each probe the n stations nearest by km (itself left out), equals by order, with their rank.
+def nearest_by_km(stations: DataFrame, n: int, probes: DataFrame | None = None, by: Sequence[str] = (), order: str = "station_code", itself: bool = False) -> DataFrame:
+    """For each probe the n stations nearest by km (itself left out unless asked for), equals by order, with their rank.
 
     Per group (by) both sides are put in one sequence by km: the n nearest are among the n before and the n after a
     probe, so frames of that width take the place of a self-join.
@@ -39,27 +39,42 @@ def nearest_by_km(stations: DataFrame, n: int, probes: DataFrame | None = None,
     ranked = both.withColumn("station_no", F.sum(F.when(F.col("probe"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     places = ranked.where("NOT probe").select(*by, F.col("code").alias("near_code"), F.col("km").alias("near_km"), F.col("station_no"))
     reach = ranked.where("probe").select(*by, "code", "km", F.explode(F.sequence(F.col("station_no") - width, F.col("station_no") + width + 1)).alias("station_no"))
-    near = reach.join(places, [*by, "station_no"]).where("near_code <> code").withColumn("distance", F.abs(F.col("near_km") - F.col("km")))
+    near = reach.join(places, [*by, "station_no"])
+    near = (near if itself else near.where("near_code <> code")).withColumn("distance", F.abs(F.col("near_km") - F.col("km")))
     rank = F.row_number().over(Window.partitionBy(*by, "code").orderBy("distance", "near_code"))
     return near.withColumn("rank", rank).where(F.col("rank") <= n).select(*by, F.col("code").alias(order), "near_code", "distance", "rank")
 
 
-def history_stats(history: DataFrame, stations: DataFrame, n: int, least: int = 10) -> DataFrame:
-    """Mean and sample deviation of the daily totals of each station, direction and day type.
+DAY = ("month", "day_type")  # days are compared with history of their month and type
 
-    history: station, direction, lane, date, day_type, total_traffic. Stations with fewer than `least` rows get the
-    statistics of the mean lane totals of their 2 n nearest stations that have history.
+
+def lane_history(history: DataFrame, wanted: DataFrame, n: int, least: int = 10) -> DataFrame:
+    """Daily values of the lanes that each wanted station, direction, month and day type is compared with, and whether they are borrowed.
+
+    history: station, lane, date, day_type, total_traffic; wanted: station, km, direction, month, day_type. The rows of
+    a station are counted within the month and day type, over all of its lanes. With fewer than `least` of them, the
+    values are means over the 2 n nearest stations with history of that month and day type, itself too if it has any;
+    without km there are none. Lanes are 1 and 2 of the one direction, 3 and 4 of the other.
     """
-    rows = history.groupBy("station").agg(F.count(F.lit(1)).alias("rows"))
-    wanted = stations.select("station", "km", "direction").join(rows, "station", "left")
-    own = history.join(rows.where(F.col("rows") >= least), "station").groupBy("station", "direction", "date", "day_type").agg(F.sum("total_traffic").alias("total"))
-    short = wanted.where(F.coalesce("rows", F.lit(0)) < least).where("km IS NOT NULL")
-    known = stations.join(rows, "station", "left_semi").select("station", "km").distinct()
-    near = nearest_by_km(known, 2 * n, short.select("station", "km").distinct(), order="station").select("station", F.col("near_code").alias("near"))
-    lanes = near.join(history.withColumnRenamed("station", "near"), "near").groupBy("station", "direction", "date", "day_type", "lane").agg(F.avg("total_traffic").alias("lane_mean"))
-    borrowed = lanes.join(short.select("station", "direction"), ["station", "direction"], "left_semi").groupBy("station", "direction", "date", "day_type").agg(F.sum("lane_mean").alias("total"))
-    every = own.withColumn("borrowed", F.lit(False)).unionByName(borrowed.withColumn("borrowed", F.lit(True)))
-    return every.groupBy("station", "direction", "day_type", "borrowed").agg(F.avg("total").alias("mean"), F.stddev_samp("total").alias("std"), F.count(F.lit(1)).alias("days"))
+    history = history.withColumn("month", F.month("date"))
+    rows = history.groupBy("station", *DAY).agg(F.count(F.lit(1)).alias("rows"))
+    lanes = history.where(F.col("lane").cast("int").between(1, 4)).withColumn("direction", lane_direction(F.col("lane")))
+    wanted = wanted.join(rows, ["station", *DAY], "left")
+    key = ["station", "direction", *DAY]
+    own = lanes.join(wanted.where(F.col("rows") >= least).select(*key), key).groupBy(*key, "date", "lane").agg(F.sum("total_traffic").alias("v"), F.avg("total_traffic").alias("mean_v"))
+    short = wanted.where((F.coalesce("rows", F.lit(0)) < least) & F.col("km").isNotNull())
+    known = rows.join(wanted.select("station", "km").where("km IS NOT NULL").distinct(), "station").select("station", "km", *DAY)
+    near = nearest_by_km(known, 2 * n, short.select("station", "km", *DAY).distinct(), by=DAY, order="station", itself=True).select(*DAY, "station", F.col("near_code").alias("near"))
+    far = lanes.withColumnRenamed("station", "near").join(near, ["near", *DAY]).join(short.select(*key), key)
+    far = far.groupBy(*key, "date", "lane").agg(F.avg("total_traffic").alias("v"))
+    return own.withColumn("borrowed", F.lit(False)).unionByName(far.withColumns({"mean_v": F.col("v"), "borrowed": F.lit(True)}))
+
+
+def history_stats(lanes: DataFrame) -> DataFrame:
+    """Mean and sample deviation of the daily totals of lane_history()."""
+    key = ["station", "direction", *DAY, "borrowed"]
+    total = lanes.groupBy(*key, "date").agg(F.sum("v").alias("total"))
+    return total.groupBy(*key).agg(F.avg("total").alias("mean"), F.stddev_samp("total").alias("std"), F.count(F.lit(1)).alias("days"))
 
 
 def neighbour_stats(daily: DataFrame, stations: DataFrame, n: int) -> DataFrame:
@@ -69,13 +84,14 @@ def neighbour_stats(daily: DataFrame, stations: DataFrame, n: int) -> DataFrame:
     return near.join(values, ["direction", "near"]).groupBy("station", "direction", "date").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
 
 
-def lane_ratio_stats(history: DataFrame) -> DataFrame:
-    """Mean and sample deviation of the ratio of a direction's two lanes; directions with one or more than two lanes have no row."""
-    each = history.groupBy("station", "direction", "date", "lane").agg(F.avg("total_traffic").alias("v"))
-    lanes = each.groupBy("station", "direction").agg(F.min("lane").alias("first"), F.max("lane").alias("second"), F.count_distinct("lane").alias("lanes")).where("lanes = 2")
-    wide = each.join(lanes, ["station", "direction"]).groupBy("station", "direction", "date").agg(F.sum(F.when(F.col("lane") == F.col("first"), F.col("v"))).alias("a"), F.sum(F.when(F.col("lane") == F.col("second"), F.col("v"))).alias("b"))
-    ratio = F.try_divide("a", "b")
-    return wide.withColumn("r", ratio).groupBy("station", "direction").agg(F.avg("r").alias("mean"), F.stddev_samp("r").alias("std"))
+def lane_ratio_stats(lanes: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
+    """Mean and sample deviation of the ratio of a direction's two lanes on the days of lane_history(); directions
+    with one lane have no row, and those where a ratio has no divisor have none either."""
+    key = ["station", "direction", *by]
+    ends = lanes.groupBy(*key).agg(F.min("lane").alias("first"), F.max("lane").alias("second"), F.count_distinct("lane").alias("n")).where("n = 2")
+    wide = lanes.join(ends, key).groupBy(*key, "date").agg(*(F.avg(F.when(F.col("lane") == F.col(c), F.col("mean_v"))).alias(c) for c in ("first", "second")))
+    each = wide.withColumn("r", F.try_divide("first", "second")).groupBy(*key)
+    return each.agg(F.avg("r").alias("mean"), F.stddev_samp("r").alias("std"), F.count_if(F.col("second") == 0).alias("bad")).where("bad = 0").drop("bad")
 
 
 def direction_stats(daily: DataFrame) -> DataFrame:
@@ -83,9 +99,10 @@ def direction_stats(daily: DataFrame) -> DataFrame:
     return daily.groupBy("direction", "date").agg(F.avg("total_traffic").alias("mean"), F.stddev_pop("total_traffic").alias("std"))
 
 
-def zscore(value: Column, mean: Column, std: Column) -> Column:
-    """NULL (unknown) where the deviation is 0 or missing."""
-    return F.try_divide(value - mean, std)
+def zscore(value: Column, mean: Column, std: Column, known: Column | None = None) -> Column:
+    """Unknown (NULL) where the deviation is 0 or missing; with known, a missing one gives NaN wherever known holds."""
+    z = F.try_divide(value - mean, std)
+    return z if known is None else F.when(known & (mean.isNull() | std.isNull()), F.lit(float("nan"))).otherwise(z)
 
 
 def zflag(z: Column, low: float | None, high: float | None) -> Column:
@@ -128,24 +145,48 @@ def common_dates(history: DataFrame, traffic: DataFrame) -> tuple[DataFrame, Dat
     return a.join(b, "date"), report
 
 
-def validate_traffic(traffic: DataFrame, history: DataFrame, stations: DataFrame, holidays: DataFrame, limits: dict = LIMITS, history_shift_days: int = 1) -> DataFrame:
-    """Time, station, lane, value and is_valid of traffic rows (station, lane, time, value).
+def traffic_layers(traffic: DataFrame, history: DataFrame, stations: DataFrame, holidays: DataFrame, limits: dict = LIMITS, least: int = 10) -> DataFrame:
+    """layer_1, layer_1_1 and layer_2 (true, false or unknown) of each station, direction and date of traffic.
+
+    traffic: station, lane, direction, date, value; history: station, lane, date, total_traffic; stations: station, km.
+    Layers 1 and 2 compare with history of the day's month and type, layer 1.1 with near stations of the same day. A
+    mean or deviation that can't be told fails; a deviation of 0 is unknown, and so are the first two layers of a
+    station with little history and no km.
+    """
+    daily = day_type(traffic.groupBy("station", "direction", "date").agg(F.sum("value").alias("total_traffic")), holidays).withColumn("month", F.month("date"))
+    ends = stations.select("station", "km").join(daily.select("station", "direction").distinct(), "station", "right")
+    key = ["station", "direction", *DAY]
+    wanted = daily.select(*key).distinct().join(stations.select("station", "km"), "station", "left")
+    lanes = lane_history(day_type(history, holidays), wanted, limits["layer1"][2], least)
+    rows = day_type(history, holidays).groupBy("station", F.month("date").alias("month"), "day_type").agg((F.count(F.lit(1)) >= least).alias("enough"))
+    placed = wanted.join(rows, ["station", *DAY], "left").select(*key, (F.col("km").isNull() & ~F.coalesce("enough", F.lit(False))).alias("skipped"))
+    one = history_stats(lanes).select(*key, F.col("mean").alias("m1"), F.col("std").alias("s1"))
+    two = lane_ratio_stats(lanes).select(*key, F.col("mean").alias("m2"), F.col("std").alias("s2"), F.lit(True).alias("two"))
+    near = neighbour_stats(daily, ends.where("km IS NOT NULL"), limits["layer1_1"][2]).select("station", "direction", "date", F.col("mean").alias("m11"), F.col("std").alias("s11"))
+    lane = traffic.groupBy("station", "direction", "date", "lane").agg(F.sum("value").alias("v"))
+    ratio = lane.groupBy("station", "direction", "date").agg(F.try_divide(F.min_by("v", "lane"), F.max_by("v", "lane")).alias("r"), F.count(F.lit(1)).alias("n")).select("station", "direction", "date", F.when(F.col("n") == 2, F.col("r")).alias("ratio"))
+    both = daily.join(placed, key).join(one, key, "left").join(two, key, "left").join(near, ["station", "direction", "date"], "left").join(ratio, ["station", "direction", "date"], "left")
+    v, on = F.col("total_traffic").cast("double"), ~F.col("skipped")
+    flag = lambda layer, z: F.when(on, zflag(z, *limits[layer][:2]))
+    return both.select(
+        "station", "direction", "date",
+        flag("layer1", zscore(v, F.col("m1"), F.col("s1"), F.lit(True))).alias("layer_1"),
+        flag("layer1_1", zscore(v, F.col("m11"), F.col("s11"))).alias("layer_1_1"),
+        flag("layer2", zscore(F.col("ratio"), F.col("m2"), F.col("s2"), F.col("two") & F.col("ratio").isNotNull())).alias("layer_2"),
+    )
+
+
+def validate_traffic(traffic: DataFrame, history: DataFrame, stations: DataFrame, holidays: DataFrame, limits: dict = LIMITS, history_shift_days: int = 1, least: int = 10) -> DataFrame:
+    """Time, station, lane, value, the flag of each layer and is_valid of traffic rows (station, lane, time, value).
 
     history: station, lane, date (stamped history_shift_days after the day it is of), total_traffic. stations: station,
-    km. Days are compared with history of the same day type.
+    km. layer_2 is reported and doesn't decide.
     """
     traffic = traffic.withColumns({"direction": lane_direction(F.col("lane")), "date": F.to_date("time")})
-    history = day_type(history.withColumns({"direction": lane_direction(F.col("lane")), "date": F.date_sub("date", history_shift_days)}), holidays)
-    daily = day_type(traffic.groupBy("station", "direction", "date").agg(F.sum("value").alias("total_traffic")), holidays)
-    ends = stations.select("station", "km").join(traffic.select("station", "direction").distinct(), "station")
-    one = history_stats(history, ends, limits["layer1"][2]).select("station", "direction", "day_type", F.col("mean").alias("m1"), F.col("std").alias("s1"))
-    near = neighbour_stats(daily, ends, limits["layer1_1"][2]).select("station", "direction", "date", F.col("mean").alias("m2"), F.col("std").alias("s2"))
-    layers = daily.join(one, ["station", "direction", "day_type"], "left").join(near, ["station", "direction", "date"], "left")
-    v = F.col("total_traffic").cast("double")
-    layers = layers.select("station", "direction", "date", zflag(zscore(v, F.col("m1"), F.col("s1")), *limits["layer1"][:2]).alias("layer_1"), zflag(zscore(v, F.col("m2"), F.col("s2")), *limits["layer1_1"][:2]).alias("layer_1_1"))
+    layers = traffic_layers(traffic, history.withColumn("date", F.date_sub("date", history_shift_days)), stations, holidays, limits, least)
     three = layer3(traffic.groupBy("station", "direction", "time").agg(F.sum("value").alias("value")), ["station", "direction"]).select("station", "direction", "time", F.col("is_valid").alias("layer_3"))
     out = traffic.join(layers, ["station", "direction", "date"], "left").join(three, ["station", "direction", "time"], "left")
-    return out.select("time", "station", "lane", "value", overall_validity(F.col("layer_1"), F.col("layer_1_1"), F.col("layer_3")).alias("is_valid"))
+    return out.select("time", "station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", overall_validity(F.col("layer_1"), F.col("layer_1_1"), F.col("layer_3")).alias("is_valid"))
 
 
 def _runs(m: DataFrame, key: Sequence[str], value: str) -> DataFrame:

@@ -49,11 +49,25 @@ def parent_sum(daily: DataFrame, stations: DataFrame) -> DataFrame:
     return daily.join(parents, "station_code").groupBy(F.col("parent_code").alias("station_code"), "type_name", "ts").agg(F.sum("value").alias("value"))
 
 
+# What a direction keeps of its lane's embedded metadata.
+KEPT_METADATA = "autostrada string, iddirezione string, idspira string, metro string"
+
+
 def combine_directions(stations: DataFrame) -> DataFrame:
-    """One station for each direction of lane stations `road:id:lane`, from the lane with the smallest code."""
+    """One station for each direction of lane stations `road:id:lane`, from the lane with the smallest code.
+
+    Lanes may have origin and metadata (JSON): the direction has the lane's origin, and of its metadata the embedded
+    a22_metadata object with KEPT_METADATA, NULL where there is none.
+    """
+    for c in ("origin", "metadata"):
+        if c not in stations.columns:
+            stations = stations.withColumn(c, F.lit(None).cast("string"))
+    inner = F.from_json(F.get_json_object("metadata", "$.a22_metadata"), KEPT_METADATA, {"mode": "PERMISSIVE"})
     s = stations.withColumns({"road_id": F.substring_index("station_code", ":", 2), "direction": F.lower(F.coalesce(F.nullif(direction_of(F.col("name")), F.lit("")), lane_direction(F.substring_index("station_code", ":", -1))))})
-    one = s.groupBy("road_id", "direction").agg(F.min_by(F.struct("name", "x", "y"), "station_code").alias("f"))
-    return one.select(F.concat_ws(":", "road_id", "direction").alias("station_code"), name_without_lane(F.col("f.name")).alias("name"), F.col("f.x").alias("x"), F.col("f.y").alias("y"), F.col("road_id").alias("parent_code"))
+    one = s.groupBy("road_id", "direction").agg(F.min_by(F.struct("name", "x", "y", "origin", "metadata"), "station_code").alias("f"))
+    one = one.select(F.concat_ws(":", "road_id", "direction").alias("station_code"), name_without_lane(F.col("f.name")).alias("name"), "f.x", "f.y", "f.origin", "f.metadata", F.col("road_id").alias("parent_code"))
+    filled = F.struct(*(F.coalesce(inner[c.split()[0]], F.lit("")).alias(c.split()[0]) for c in KEPT_METADATA.split(", ")))
+    return one.withColumn("metadata", F.when(inner.isNotNull(), F.to_json(F.struct(filled.alias("a22_metadata")))))
 
 
 def common_prefix(names: Column) -> Column:
@@ -65,9 +79,11 @@ def common_prefix(names: Column) -> Column:
 
 
 def combine_locations(directions: DataFrame) -> DataFrame:
-    """A10: one station for each parent of directions: mean coordinates, longest common prefix of the names."""
-    each = directions.groupBy(F.col("parent_code").alias("station_code")).agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.min("name").alias("lo"), F.max("name").alias("hi"))
-    return each.select("station_code", F.trim(common_prefix(F.array("lo", "hi"))).alias("name"), "x", "y")
+    """A10: one station for each parent of directions: mean coordinates, longest common prefix of the names without blanks at its end, origin of the smallest code."""
+    if "origin" not in directions.columns:
+        directions = directions.withColumn("origin", F.lit(None).cast("string"))
+    each = directions.groupBy(F.col("parent_code").alias("location")).agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.min("name").alias("lo"), F.max("name").alias("hi"), F.min_by("origin", "station_code").alias("origin"))
+    return each.select(F.col("location").alias("station_code"), F.rtrim(common_prefix(F.array("lo", "hi"))).alias("name"), "x", "y", "origin")
 
 
 def check_daily_totals(m: DataFrame, light: str, heavy: str, buses: str, total: str, equivalent: str) -> DataFrame:
@@ -109,11 +125,17 @@ def recompute_from(m: DataFrame, out: DataFrame, floor: Column) -> DataFrame:
 
 
 def pending_windows(m: DataFrame, base_period: int, agg_period: int, key: Sequence[str] = ("station_code", "type_name")) -> DataFrame:
-    """From and to of series whose aggregates are more than a day behind: from the last aggregate or the first base row to the last base row's midnight."""
+    """From and to of series whose last aggregate is more than agg_period behind their last base row.
+
+    From the last aggregate, or, without one, the first base row of the station (of all its types), to the midnight of
+    the last base row; windows that would be empty are left out.
+    """
     base, agg = F.col("period") == base_period, F.col("period") == agg_period
     each = m.groupBy(*key).agg(F.min(F.when(base, F.col("ts"))).alias("first"), F.max(F.when(base, F.col("ts"))).alias("last"), F.max(F.when(agg, F.col("ts"))).alias("done"))
-    out = each.where("last IS NOT NULL").select(*key, F.coalesce("done", F.date_trunc("day", "first")).alias("from_ts"), F.date_trunc("day", "last").alias("to_ts"))
-    return out.where(gap_s("to_ts", "from_ts") >= 86400)
+    begins = each.groupBy(key[0]).agg(F.min("first").alias("begin"))
+    out = each.where("last IS NOT NULL").where(F.col("done").isNull() | (gap_s("last", "done") > agg_period)).join(begins, key[0])
+    out = out.select(*key, F.coalesce("done", "begin").alias("from_ts"), F.date_trunc("day", "last").alias("to_ts"))
+    return out.where("from_ts < to_ts")
 
 
 def pending_parent_windows(m: DataFrame, stations: DataFrame) -> DataFrame:

@@ -100,15 +100,47 @@ def _ends(spark, sf):
 ENDS = "e AS (SELECT CAST(n_nationkey AS VARCHAR) AS station, (n_nationkey * 7 % 25) * 3.5::DOUBLE AS km FROM nation)"
 
 
-@query(
-    HISTORY
-    + """, d AS (SELECT station, direction, date, day_type, sum(total_traffic) AS t FROM h GROUP BY ALL)
-SELECT station, direction, day_type, round(avg(t), 4) AS mean, round(stddev_samp(t), 4) AS std, count(*) AS days FROM d GROUP BY ALL"""
-)
+SUPPLIED = """, lines AS (SELECT CAST(l_suppkey AS VARCHAR) AS station, l_linenumber % 5 + 1 AS lane, CAST(l_shipdate AS DATE) - INTERVAL 1 DAY AS day, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3),
+hist AS (SELECT station, lane, day, v, month(day) AS month, CASE WHEN isodow(day) >= 6 THEN 'Festivo' ELSE 'Feriale' END AS day_type, CASE WHEN lane <= 2 THEN 'NORD' WHEN lane <= 4 THEN 'SUD' END AS direction FROM lines),
+places AS (SELECT CAST(s_suppkey AS VARCHAR) AS station, s_acctbal AS km FROM supplier),
+cnt AS (SELECT station, month, day_type, count(*) AS n FROM hist GROUP BY ALL)
+"""
+BORROWED = """, w AS (SELECT wanted.*, coalesce(n, 0) AS n FROM wanted LEFT JOIN cnt USING (station, month, day_type)),
+known AS (SELECT cnt.station, km, month, day_type FROM cnt JOIN (SELECT DISTINCT station, km FROM w WHERE km IS NOT NULL) USING (station)),
+near AS (SELECT s.station, s.month, s.day_type, k.station AS near FROM (SELECT DISTINCT station, km, month, day_type FROM w WHERE n < @LEAST AND km IS NOT NULL) s JOIN known k USING (month, day_type)
+ QUALIFY row_number() OVER (PARTITION BY s.station, s.month, s.day_type ORDER BY abs(k.km - s.km), k.station) <= 6),
+lh AS (SELECT w.station, w.direction, w.month, w.day_type, false AS borrowed, day, lane, sum(v) AS v, avg(v) AS mean_v FROM w JOIN hist USING (station, direction, month, day_type) WHERE n >= @LEAST GROUP BY ALL
+ UNION ALL SELECT w.station, w.direction, w.month, w.day_type, true, day, lane, avg(v), avg(v) FROM w JOIN near USING (station, month, day_type) JOIN hist h ON h.station = near AND h.month = w.month AND h.day_type = w.day_type AND h.direction = w.direction WHERE n < @LEAST GROUP BY ALL),
+tot AS (SELECT station, direction, month, day_type, borrowed, day, sum(v) AS t FROM lh GROUP BY ALL),
+hs AS (SELECT station, direction, month, day_type, borrowed, avg(t) AS mean, stddev_samp(t) AS std, count(*) AS days FROM tot GROUP BY ALL),
+le AS (SELECT station, direction, month, day_type, min(lane) AS f, max(lane) AS s FROM lh GROUP BY ALL HAVING count(DISTINCT lane) = 2),
+lw AS (SELECT station, direction, month, day_type, day, avg(mean_v) FILTER (lane = f) AS a, avg(mean_v) FILTER (lane = s) AS b FROM lh JOIN le USING (station, direction, month, day_type) GROUP BY ALL),
+lr AS (SELECT station, direction, month, day_type, avg(a / b) AS mean, stddev_samp(a / b) AS std FROM lw GROUP BY ALL HAVING count(*) FILTER (b = 0) = 0)
+"""
+
+
+def _supplied(spark, sf):
+    """Daily quantities of suppliers as history of stations with five lanes, and the suppliers' places."""
+    history = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("station"), (F.col("l_linenumber") % 5 + 1).cast("long").alias("lane"), F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("total_traffic"))
+    return history, table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("station"), F.col("s_acctbal").alias("km"))
+
+
+EVERY = """, wanted AS (SELECT DISTINCT station, km, d.direction, month, day_type FROM places JOIN (SELECT DISTINCT month, day_type FROM hist) ON true JOIN (VALUES ('NORD'), ('SUD')) d(direction) ON true)"""
+
+
+def _lane_history(spark, sf):
+    history, places = _supplied(spark, sf)
+    history = quality.day_type(history.withColumn("date", F.date_sub("date", 1)), spark.createDataFrame([], "date date"))
+    days = history.select(F.month("date").alias("month"), "day_type").distinct()  # 24 rows at most
+    wanted = places.join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
+    return quality.lane_history(history, wanted, 3, 40)
+
+
+@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean, 4) AS mean, round(std, 4) AS std, days FROM hs")
 def history_stats(spark, sf):
-    """Statistics of stations that have history."""
-    out = quality.history_stats(_history(spark, sf), _ends(spark, sf), 3)
-    return out.where("NOT borrowed").select("station", "direction", "day_type", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "days")
+    """Statistics of each month and day type; stations with fewer than 40 rows of one borrow those of their neighbours."""
+    out = quality.history_stats(_lane_history(spark, sf))
+    return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", "borrowed", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "days")
 
 
 @query(
@@ -138,15 +170,11 @@ def nearest_by_km(spark, sf):
     return quality.nearest_by_km(s, 3, by=["nation"], order="station").select("station", "near_code", r6("distance", "distance"), F.col("rank").cast("long").alias("rank"))
 
 
-@query(
-    HISTORY
-    + """, d AS (SELECT station, direction, date, sum(total_traffic) FILTER (lane IN (1, 3)) AS a, sum(total_traffic) FILTER (lane IN (2, 4)) AS b FROM h GROUP BY ALL)
-SELECT station, direction, round(avg(a / nullif(b, 0)), 4) AS mean, round(stddev_samp(a / nullif(b, 0)), 4) AS std FROM d GROUP BY ALL"""
-)
+@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, round(mean, 4) AS mean, round(std, 4) AS std FROM lr")
 def lane_ratio_stats(spark, sf):
     """A21."""
-    out = quality.lane_ratio_stats(_history(spark, sf))
-    return out.select("station", "direction", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+    out = quality.lane_ratio_stats(_lane_history(spark, sf))
+    return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
 @query(
@@ -160,15 +188,39 @@ def direction_stats(spark, sf):
     return quality.direction_stats(daily).select("direction", F.unix_seconds(F.col("date").cast("timestamp")).alias("date"), F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
-@query()
+@query(
+    SUPPLIED
+    + """, t AS (SELECT CAST(user_id % 97 + 1 AS VARCHAR) AS station, user_id % 4 + 1 AS lane, date_trunc('hour', ts) AS time, count(*) AS value FROM events GROUP BY ALL),
+tr AS (SELECT *, CASE WHEN lane <= 2 THEN 'NORD' ELSE 'SUD' END AS direction, CAST(time AS DATE) AS day FROM t),
+daily AS (SELECT station, direction, day, sum(value)::DOUBLE AS total, month(day) AS month, CASE WHEN isodow(day) >= 6 THEN 'Festivo' ELSE 'Feriale' END AS day_type FROM tr GROUP BY ALL),
+wanted AS (SELECT DISTINCT station, km, direction, month, day_type FROM daily LEFT JOIN places USING (station))"""
+    + BORROWED.replace("@LEAST", "30")
+    + """, sides AS (SELECT DISTINCT station, direction, km FROM daily JOIN places USING (station) WHERE km IS NOT NULL),
+n11 AS (SELECT a.station, a.direction, b.station AS near FROM sides a JOIN sides b ON a.direction = b.direction AND a.station <> b.station QUALIFY row_number() OVER (PARTITION BY a.station, a.direction ORDER BY abs(a.km - b.km), b.station) <= 3),
+s11 AS (SELECT n11.station, n11.direction, day, avg(total) AS mean, stddev_pop(total) AS std FROM n11 JOIN daily ON daily.station = near AND daily.direction = n11.direction GROUP BY ALL),
+ln AS (SELECT station, direction, day, lane, sum(value) AS v FROM tr GROUP BY ALL),
+ra AS (SELECT station, direction, day, CASE WHEN count(*) = 2 AND arg_max(v, lane) <> 0 THEN arg_min(v, lane)::DOUBLE / arg_max(v, lane) END AS r FROM ln GROUP BY ALL),
+fl AS (SELECT d.station, d.direction, d.day,
+ CASE WHEN w.km IS NULL AND w.n < 30 THEN NULL WHEN hs.mean IS NULL OR hs.std IS NULL THEN false WHEN hs.std = 0 THEN NULL ELSE (total - hs.mean) / hs.std >= -2.5 END AS layer_1,
+ CASE WHEN w.km IS NULL AND w.n < 30 THEN NULL WHEN s11.std IS NULL OR s11.std = 0 THEN NULL ELSE (total - s11.mean) / s11.std >= -2.0 END AS layer_1_1,
+ CASE WHEN w.km IS NULL AND w.n < 30 THEN NULL WHEN r IS NULL OR lr.station IS NULL THEN NULL WHEN lr.mean IS NULL OR lr.std IS NULL THEN false WHEN lr.std = 0 THEN NULL ELSE (r - lr.mean) / lr.std BETWEEN -5 AND 5 END AS layer_2
+ FROM daily d JOIN w USING (station, direction, month, day_type) LEFT JOIN hs USING (station, direction, month, day_type) LEFT JOIN lr ON lr.station = d.station AND lr.direction = d.direction AND lr.month = d.month AND lr.day_type = d.day_type
+ LEFT JOIN s11 ON s11.station = d.station AND s11.direction = d.direction AND s11.day = d.day LEFT JOIN ra ON ra.station = d.station AND ra.direction = d.direction AND ra.day = d.day),
+hr AS (SELECT station, direction, time, sum(value) AS v FROM tr GROUP BY ALL),
+pv AS (SELECT *, lag(v) OVER q AS b, sum(v) OVER (q ROWS 3 PRECEDING) AS z0, count(v) OVER (q ROWS 3 PRECEDING) AS c0 FROM hr WINDOW q AS (PARTITION BY station, direction ORDER BY time)),
+zz AS (SELECT *, c0 = 4 AND z0 = 0 AS z FROM pv),
+l3 AS (SELECT station, direction, time, NOT (coalesce((v - b) * 100.0::DOUBLE / nullif(b, 0) <= -99 AND b >= 50, false) OR z OR coalesce(lead(z, 1) OVER q, false) OR coalesce(lead(z, 2) OVER q, false) OR coalesce(lead(z, 3) OVER q, false)) AS layer_3 FROM zz WINDOW q AS (PARTITION BY station, direction ORDER BY time))
+SELECT epoch(time)::BIGINT AS time, station, lane, value, layer_1, layer_1_1, layer_2, layer_3,
+ CASE WHEN layer_1 = false AND coalesce(layer_1_1, false) = false THEN 0 WHEN layer_3 THEN 1 ELSE 0 END AS is_valid
+FROM tr JOIN fl USING (station, direction, day) JOIN l3 USING (station, direction, time)"""
+)
 def validate_traffic(spark, sf):
-    """Hourly events as traffic of lanes, judged by a history made of daily order lines."""
-    m = measurements(spark, sf)
-    lane = F.pmod(F.col("station_code").cast("int"), F.lit(4)) + 1
-    traffic = m.groupBy(F.pmod(F.col("station_code").cast("int"), F.lit(25)).cast("string").alias("station"), lane.cast("long").alias("lane"), F.date_trunc("hour", "ts").alias("time")).agg(F.count(F.lit(1)).alias("value"))
-    history = _history(spark, sf).select("station", "lane", "date", "total_traffic")
-    stations = _ends(spark, sf).select("station", "km").distinct()
-    return quality.validate_traffic(traffic, history, stations, spark.createDataFrame([], "date date")).select(epoch("time", "time"), "station", "lane", "value", "is_valid")
+    """Hourly events as traffic of lanes, judged by a history made of daily order lines."""
+    station = (F.col("user_id") % 97 + 1).cast("string")
+    traffic = table(spark, sf, "events").groupBy(station.alias("station"), (F.col("user_id") % 4 + 1).cast("long").alias("lane"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("time")).agg(F.count(F.lit(1)).alias("value"))
+    history, places = _supplied(spark, sf)
+    out = quality.validate_traffic(traffic, history, places, spark.createDataFrame([], "date date"), least=30)
+    return out.select(epoch("time", "time"), "station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", "is_valid")
 
 
 FLEET = """, t AS (SELECT CAST(l_suppkey AS VARCHAR) AS "Station", date_trunc('day', l_shipdate) AS d, l_returnflag AS "Category", sum(l_quantity) AS n, avg(40 + l_linenumber * 12.5::DOUBLE) AS v FROM lineitem GROUP BY ALL),

@@ -36,7 +36,7 @@ def recompute_from(spark, sf):
 
 @query(
     """, e AS (SELECT station_code, min(ts) FILTER (type_name <> 'error') AS f, max(ts) FILTER (type_name <> 'error') AS l, max(ts) FILTER (type_name = 'error' AND ts < TIMESTAMP '2024-01-28') AS d FROM m GROUP BY 1)
-SELECT station_code, epoch_us(coalesce(d, date_trunc('day', f))) AS from_ts, epoch(date_trunc('day', l))::BIGINT AS to_ts FROM e WHERE l IS NOT NULL AND date_trunc('day', l) - coalesce(d, date_trunc('day', f)) >= INTERVAL 1 DAY"""
+SELECT station_code, epoch_us(coalesce(d, f)) AS from_ts, epoch(date_trunc('day', l))::BIGINT AS to_ts FROM e WHERE l IS NOT NULL AND (d IS NULL OR l - d > INTERVAL 86400 SECOND) AND coalesce(d, f) < date_trunc('day', l)"""
 )
 def pending_windows(spark, sf):
     """Errors before the 28th as aggregates of a day."""
@@ -160,11 +160,37 @@ def list_stations(spark, sf):
     return catalog.list_stations(s, ["1", "2", "3"], "x").select("station_code")
 
 
-@query()
+LANES = """, lanes AS (SELECT 'R1:' || s_nationkey AS road, 'R1:' || s_nationkey || ':' || (s_suppkey % 6 + 1) || '.' || s_suppkey AS code, CASE WHEN s_suppkey % 2 = 0 THEN 'nord' ELSE 'sud' END AS dir, s_name AS n, s_acctbal AS x, 'o' || s_suppkey AS o, 'S' || s_suppkey AS ph FROM supplier),
+d AS (SELECT road, dir, arg_min(struct_pack(n := n, x := x, o := o, ph := ph), code) AS f, min(code) AS code FROM lanes GROUP BY 1, 2),
+dirs AS (SELECT road || ':' || dir AS station_code, f.n || ' (direzione ' || dir || ')' AS name, f.x AS x, f.o AS origin, '{"a22_metadata":{"autostrada":"A","iddirezione":"","idspira":"' || f.ph || '","metro":"' || CAST(length(f.n) AS VARCHAR) || '"}}' AS metadata, road AS parent_code FROM d)
+"""
+
+
+def _directions(spark, sf):
+    s = table(spark, sf, "supplier")
+    side = F.when(F.col("s_suppkey") % 2 == 0, "nord").otherwise("sud")
+    inner = F.to_json(F.struct(F.lit("A").alias("autostrada"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("idspira"), F.length("s_name").cast("string").alias("metro"), F.lit("x").alias("other")))
+    lanes = s.select(
+        F.concat(F.lit("R1:"), F.col("s_nationkey"), F.lit(":"), F.col("s_suppkey") % 6 + 1, F.lit("."), F.col("s_suppkey")).alias("station_code"), F.concat(F.col("s_name"), F.lit(" (corsia di marcia "), side, F.lit(", direzione "), side, F.lit(")")).alias("name"),
+        F.col("s_acctbal").alias("x"), F.col("s_acctbal").alias("y"), F.concat(F.lit("o"), F.col("s_suppkey")).alias("origin"), F.to_json(F.struct(inner.alias("a22_metadata"))).alias("metadata"),
+    )
+    return rollups.combine_directions(lanes)
+
+
+@query(LANES + "SELECT station_code, name, round(x, 6) AS x, origin, metadata, parent_code FROM dirs")
+def combine_directions(spark, sf):
+    """Suppliers as lanes of nations, combined into directions."""
+    return _directions(spark, sf).select("station_code", "name", r6("x", "x"), "origin", "metadata", "parent_code")
+
+
+@query(
+    LANES
+    + """, l AS (SELECT parent_code AS station_code, avg(x) AS x, min(name) AS lo, max(name) AS hi, arg_min(origin, station_code) AS origin FROM dirs GROUP BY 1)
+SELECT station_code, rtrim(left(lo, list_max(list_filter(range(0, least(length(lo), length(hi)) + 1), lambda i: left(lo, i) = left(hi, i)))::BIGINT)) AS name, round(x, 6) AS x, origin FROM l"""
+)
 def combine_locations(spark, sf):
-    """Suppliers as lanes of nations, combined into directions and locations."""
-    lanes = table(spark, sf, "supplier").select(F.concat_ws(":", F.lit("R1"), F.col("s_nationkey"), F.col("s_suppkey") % 6 + 1).alias("station_code"), F.concat(F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, " (corsia di marcia nord, direzione nord)").otherwise(" (corsia di marcia sud, direzione sud)")).alias("name"), F.col("s_acctbal").alias("x"), F.col("s_acctbal").alias("y"))
-    return rollups.combine_locations(rollups.combine_directions(lanes)).select("station_code", "name", r6("x", "x"))
+    """A10: the directions of nations, combined into locations."""
+    return rollups.combine_locations(_directions(spark, sf)).select("station_code", "name", r6("x", "x"), "origin")
 
 
 @query("SELECT event_id, CAST(value AS VARCHAR) = CAST(value AS VARCHAR) AS same FROM m")

@@ -181,12 +181,33 @@ def test_layer3_and_flags(spark):
 
 
 def test_history_stats_borrow_from_neighbours(spark):
-    day = lambda i: (T0 + dt.timedelta(days=i)).date()
-    h = [("a", "NORD", 1, day(i), "Feriale", 100.0 + i) for i in range(10)] + [("b", "NORD", 1, day(i), "Feriale", 5.0) for i in range(9)]
-    history = spark.createDataFrame(h, "station string, direction string, lane long, date date, day_type string, total_traffic double")
-    stations = spark.createDataFrame([("a", 1.0, "NORD"), ("b", 2.0, "NORD"), ("c", None, "NORD")], "station string, km double, direction string")
-    got = {r.station: r for r in quality.history_stats(history, stations, 3).collect()}
-    assert set(got) == {"a", "b"} and got["a"]["mean"] == 104.5 and got["b"].borrowed and got["b"]["mean"] == 104.5
+    day = lambda i, month=1: dt.date(2024, month, 1 + i)
+    h = [("a", 1, day(i), "Feriale", 100.0 + i) for i in range(10)] + [("a", 5, day(0), "Feriale", 9999.0)] + [("b", 1, day(i), "Feriale", 5.0) for i in range(9)]
+    h += [("a", 1, day(i, 7), "Feriale", 1000.0 + i) for i in range(12)] + [("d", lane, day(i), "Feriale", 10.0 * lane) for i in range(5) for lane in (1, 2)]
+    history = spark.createDataFrame(h, "station string, lane long, date date, day_type string, total_traffic double")
+    wanted = spark.createDataFrame([(s, km, "NORD", m, "Feriale") for s, km in (("a", 1.0), ("b", 2.0), ("c", None), ("d", 3.0)) for m in (1, 7)], "station string, km double, direction string, month int, day_type string")
+    lanes = quality.lane_history(history, wanted, 1)
+    got = {(r.station, r.month): r for r in quality.history_stats(lanes).collect()}
+    # months apart, lane 5 left out; b has nine rows, so it and its nearest are averaged; in July only a has any
+    assert got["a", 1]["mean"] == 104.5 and got["a", 7]["mean"] == 1005.5 and not got["d", 1].borrowed and got["d", 1]["mean"] == 30.0
+    assert got["b", 1].borrowed and got["b", 1]["mean"] == pytest.approx((sum((100.0 + i + 5.0) / 2 for i in range(9)) + 109.0) / 10)
+    assert got["b", 7].borrowed and got["b", 7]["mean"] == 1005.5 and ("c", 1) not in got
+    ratios = {(r.station, r.month): (r["mean"], r["std"]) for r in quality.lane_ratio_stats(lanes).collect()}
+    assert ratios == {("d", 1): (0.5, 0.0)}
+
+
+def test_pending_windows_boundary(spark):
+    m = [("a", "x", at(0), 600), ("a", "x", at(86400), 600), ("a", "x", at(0), 86400), ("b", "x", at(0), 600), ("b", "x", at(86401), 600), ("b", "x", at(0), 86400), ("c", "x", at(3600), 600), ("c", "y", at(90000), 600), ("d", "x", at(3600), 600)]
+    got = rollups.pending_windows(spark.createDataFrame(m, "station_code string, type_name string, ts timestamp, period int"), 600, 86400)
+    assert sorted(values(got, "station_code", "type_name", "from_ts", "to_ts")) == [("b", "x", at(0), at(86400)), ("c", "y", at(3600), at(86400))]
+
+
+def test_origin_and_metadata_of_combined_stations(spark):
+    meta = '{"a22_metadata": "{\\"metro\\": \\"5\\", \\"autostrada\\": \\"A\\", \\"x\\": \\"y\\"}"}'
+    lanes = spark.createDataFrame([("R:1:1", " P (corsia di marcia nord, direzione nord)", 1.0, 2.0, "o1", meta), ("R:1:3", " Q (corsia di marcia sud, direzione sud)", 1.0, 2.0, "o3", None)], "station_code string, name string, x double, y double, origin string, metadata string")
+    dirs = rollups.combine_directions(lanes)
+    assert sorted(values(dirs, "station_code", "origin", "metadata")) == [("R:1:nord", "o1", '{"a22_metadata":{"autostrada":"A","iddirezione":"","idspira":"","metro":"5"}}'), ("R:1:sud", "o3", None)]
+    assert values(rollups.combine_locations(dirs.withColumn("name", F.concat(F.lit("  "), "name"))), "name", "origin") == [("", "o1")]
 
 
 def test_stuck_runs(spark):
