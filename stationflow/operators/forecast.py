@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StandardScalerModel, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,26 +89,71 @@ def fit_ensemble(train: DataFrame, numbers: Sequence[str], n: int = 5, categorie
     return [Pipeline(stages=[*stages, GBTRegressor(labelCol="value", maxIter=iterations, subsamplingRate=0.8, seed=s)]).fit(train) for s in range(n)]
 
 
-def forecast_recursive(signals: DataFrame, weights: dict[str, float], steps: int = 576, step: int = 300, lags: Sequence[int] = LAGS) -> DataFrame:
-    """M6: station_code, ts and value of the next steps by a linear model on lags and the running mean; predictions feed later lags.
-
-    weights: `intercept`, `lag_<n>` and `running_mean`. The running mean stays at its last value. The last values of
-    each station are one array that an aggregate extends step by step, inside of the plan; stations are independent.
+def _tree(node, x: Callable[[int], Column]) -> Column:
+    """A regression tree's value for features x(i)."""
+    if node.subtreeDepth() == 0:
+        return F.lit(float(node.prediction()))
+    split = node.split()
+    value = x(split.featureIndex())
+    if hasattr(split, "threshold") and "Continuous" in split.getClass().getSimpleName():
+        left = value <= float(split.threshold())
+    else:
+        left = value.isin([float(c) for c in split.leftCategories()])
+    return F.when(left, _tree(node.leftChild(), x)).otherwise(_tree(node.rightChild(), x))
+
+
+def model_value(model, x: Callable[[int], Column]) -> Column:
+    """What a linear model or boosted trees predict for features x(i), as an expression; features of weight 0 aren't asked for."""
+    if hasattr(model, "coefficients"):
+        out = F.lit(float(model.intercept))
+        for i, w in enumerate(model.coefficients.toArray().tolist()):
+            out = out + F.lit(w) * x(i) if w else out
+        return out
+    out = F.lit(0.0)
+    for tree, w in zip(model.trees, model.treeWeights):
+        out = out + F.lit(float(w)) * _tree(tree._java_obj.rootNode(), x)
+    return out
+
+
+def forecast_recursive(signals: DataFrame, model: PipelineModel, numbers: Sequence[str], steps: int = 576, step: int = 300, lags: Sequence[int] = LAGS, future: DataFrame | None = None) -> DataFrame:
+    """M6: station_code, ts and value of the next steps by a fitted model (fit_linear(), or one of fit_ensemble()); predictions feed later lags.
+
+    future: the features of the next steps but for lags (station_code, ts and what the model takes); without it, rows
+    of the same time a week before stand for them. The running mean stays at its last value. The pipeline makes one
+    vector of features for each step with lags of 0; then the last values of each station are an array that an aggregate
+    extends step by step inside of the plan, where lags take their places in the vector. Stations are independent.
     """
-    longest = max(lags)
-    recent = signals.withColumn("_n", F.row_number().over(Window.partitionBy("station_code").orderBy(F.col("ts").desc()))).where(F.col("_n") <= longest + 1)
-    state = recent.groupBy("station_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "value"))), lambda s: s.value.cast("double")).alias("past"), F.max("ts").alias("last"), F.avg("value").alias("mean"))
-
-    def following(past: Column, _: Column) -> Column:
-        value = F.lit(float(weights.get("intercept", 0.0))) + F.lit(float(weights.get("running_mean", 0.0))) * F.col("mean")
-        for n in lags:
-            if weight := weights.get(f"lag_{n}"):
-                value = value + F.lit(float(weight)) * F.coalesce(F.try_element_at(past, F.lit(-n)), F.col("mean"))
-        return F.concat(past, F.array(value))
-
-    out = state.withColumn("all", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("past"), following))
-    out = out.select("station_code", "last", F.posexplode(F.slice("all", F.size("past") + 1, steps)).alias("i", "value"))
-    return out.select("station_code", F.timestamp_micros(F.unix_micros("last") + (F.col("i") + 1).cast("long") * (step * 1_000_000)).alias("ts"), "value")
+    micros = step * 1_000_000
+    span = F.make_dt_interval(secs=F.lit(steps * step))
+    ends = signals.groupBy("station_code").agg(F.max("ts").alias("_last"))
+    recent = signals.join(ends, "station_code").where(F.unix_micros("_last") - F.unix_micros("ts") <= max(*lags, 2016) * micros)
+    state = recent.groupBy("station_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "value"))), lambda s: s.value.cast("double")).alias("past"), F.max("_last").alias("last"), F.avg("value").alias("mean"))
+    if future is None:
+        ahead = -(-steps * step // 604800) * 604800
+        moved = signals.withColumn("ts", F.timestamp_micros(F.unix_micros("ts") + ahead * 1_000_000)).drop("value")
+        future = moved.join(ends, "station_code").where((F.col("ts") > F.col("_last")) & (F.col("ts") <= F.col("_last") + span)).drop("_last")
+    blank = {f"lag_{n}": F.lit(0.0) for n in lags}
+    rows = future.join(state.select("station_code", "mean", "last"), "station_code").withColumns(blank | ({"running_mean": F.col("mean")} if "running_mean" in numbers else {}))
+    rows = rows.na.fill(0.0, [c for c in numbers if c in rows.columns])
+    ready = PipelineModel(model.stages[:-1]).transform(rows)
+    size = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    first = model.stages[-1].numFeatures - len(numbers)
+    place = {first + i: (int(c.removeprefix("lag_")), float(size.mean[i]), float(size.std[i]) or 1.0) for i, c in enumerate(numbers) if c.startswith("lag_")}
+    made = ready.select("station_code", "ts", vector_to_array("features").alias("x"))
+    made = made.groupBy("station_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "x"))), lambda s: s.x).alias("xs"), F.array_sort(F.collect_list("ts")).alias("times"))
+
+    def following(past: Column, i: Column) -> Column:
+        def feature(k: int) -> Column:
+            if k not in place:
+                return F.get(F.get("xs", i), k)
+            n, mean, std = place[k]
+            return (F.coalesce(F.try_element_at(past, F.lit(-n)), F.col("mean")) - mean) / std
+
+        return F.concat(past, F.array(model_value(model.stages[-1], feature)))
+
+    out = state.join(made, "station_code").withColumn("all", F.aggregate(F.sequence(F.lit(0), F.size("times") - 1), F.col("past"), following))
+    out = out.select("station_code", "times", F.posexplode(F.slice("all", F.size("past") + 1, F.size("times"))).alias("i", "value"))
+    return out.select("station_code", F.get("times", F.col("i")).alias("ts"), "value")
 
 
 def forecast_direct(model: PipelineModel, signals: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
@@ -114,8 +162,42 @@ def forecast_direct(model: PipelineModel, signals: DataFrame, lags: Sequence[int
     return model.transform(blank).select("station_code", "ts", F.col("prediction").alias("value"))
 
 
+def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: float = 0.1) -> DataFrame:
+    """M8: station_code, weights and deviation of a linear model of value for each lot, on numbers, slot and weekday.
+
+    Partitions add up the products of features lot by lot, so that only these sums travel, and each lot's equations are
+    solved by themselves (with a ridge that leaves the intercept alone).
+    """
+    width = 1 + len(numbers) + slots + 7
+
+    def vectors(f: pd.DataFrame) -> np.ndarray:
+        x = np.zeros((len(f), width + 1))
+        x[:, 0] = 1.0
+        x[:, 1 : 1 + len(numbers)] = f[list(numbers)].to_numpy(float)
+        at = np.arange(len(f))
+        x[at, 1 + len(numbers) + f.slot.to_numpy(int)] = 1.0
+        x[at, 1 + len(numbers) + slots + f.weekday.to_numpy(int)] = 1.0
+        x[:, width] = f["value"].to_numpy(float)
+        return x
+
+    def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            groups = [(code, vectors(g)) for code, g in f.groupby("station_code")]
+            yield pd.DataFrame({"station_code": [c for c, _ in groups], "n": [len(x) for _, x in groups], "sums": [(x.T @ x).ravel() for _, x in groups]})
+
+    def solved(f: pd.DataFrame) -> pd.DataFrame:
+        both, n = np.sum([np.asarray(x) for x in f.sums], axis=0).reshape(width + 1, width + 1), int(f.n.sum())
+        a, b, c = both[:width, :width], both[:width, width], both[width, width]
+        w = np.linalg.solve(a + np.diag(np.r_[1e-9, np.full(width - 1, ridge)]), b)
+        left = max(float(c - 2 * w @ b + w @ a @ w), 0.0)
+        return pd.DataFrame({"station_code": [f.station_code.iloc[0]], "weights": [w.tolist()], "deviation": [(left / max(n - 1, 1)) ** 0.5]})
+
+    taken = rows.select("station_code", F.col("slot").cast("int").alias("slot"), F.col("weekday").cast("int").alias("weekday"), "value", *numbers)
+    return taken.mapInPandas(added, "station_code string, n long, sums array<double>").groupBy("station_code").applyInPandas(solved, "station_code string, weights array<double>, deviation double")
+
+
 def forecast_lots(m: DataFrame, overlays: Sequence[Callable[[DataFrame], DataFrame]] = (), lags: Sequence[int] = (1, 24, 168), horizon: int = 24, step: int = 3600) -> DataFrame:
-    """station_code, ts and free (truncated, with lo and hi of two deviations) for the next horizon steps, by one model over all lots.
+    """station_code, ts and free (truncated, with lo and hi of two deviations of the lot's own errors) for the next horizon steps, by one model for each lot.
 
     overlays add columns that start with overlay_ to a frame of station_code and ts. Lags are those of the same step
     in earlier periods, so only lags of at least the horizon are used for it.
@@ -123,8 +205,7 @@ def forecast_lots(m: DataFrame, overlays: Sequence[Callable[[DataFrame], DataFra
     usable = [n for n in lags if n >= horizon] or [max(lags)]
     hours = m.groupBy("station_code", floor_ts("ts", step).alias("ts")).agg(F.min("value").cast("double").alias("value"))
     last = hours.agg(F.max("ts").alias("m"))
-    end = m.sparkSession.createDataFrame([(horizon,)], "h int").crossJoin(last)
-    future = hours.select("station_code").distinct().crossJoin(F.broadcast(end)).select("station_code", F.explode(F.sequence(F.lit(1), "h")).alias("i"), "m")
+    future = hours.select("station_code").distinct().join(F.broadcast(last), F.lit(True)).select("station_code", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("i"), "m")
     future = future.select("station_code", F.timestamp_micros(F.unix_micros("m") + F.col("i").cast("long") * (step * 1_000_000)).alias("ts"), F.lit(None).cast("double").alias("value"))
     rows = hours.unionByName(future)
     for n in usable:
@@ -135,11 +216,14 @@ def forecast_lots(m: DataFrame, overlays: Sequence[Callable[[DataFrame], DataFra
         rows = add(rows)
     numbers = [f"lag_{n}" for n in usable] + [c for c in rows.columns if c.startswith("overlay_")]
     rows = rows.fillna(0.0, numbers)
-    train = rows.where("value IS NOT NULL")
-    model = Pipeline(stages=[*features(train, numbers, ("slot", "weekday")), LinearRegression(labelCol="value", regParam=0.1)]).fit(train)
-    error = model.transform(train).agg(F.stddev_samp(F.col("value") - F.col("prediction"))).first()[0] or 0.0
-    out = model.transform(rows.where("value IS NULL"))
-    return out.select("station_code", "ts", F.col("prediction").cast("int").alias("free"), (F.col("prediction") - 2 * error).alias("lo"), (F.col("prediction") + 2 * error).alias("hi"))
+    models = fit_lots(rows.where("value IS NOT NULL"), numbers)
+    out = rows.where("value IS NULL").join(models, "station_code")
+    at = lambda i: F.get("weights", i)
+    value = at(0) + at(F.lit(1 + len(numbers)) + F.col("slot").cast("int")) + at(F.lit(1 + len(numbers) + 24) + F.col("weekday").cast("int"))
+    for i, c in enumerate(numbers):
+        value = value + at(1 + i) * F.col(c)
+    out = out.withColumn("v", value)
+    return out.select("station_code", "ts", F.col("v").cast("int").alias("free"), (F.col("v") - 2 * F.col("deviation")).alias("lo"), (F.col("v") + 2 * F.col("deviation")).alias("hi"))
 
 
 def evaluate_steps(model: PipelineModel, rows: DataFrame, share: float = 0.1) -> DataFrame:

@@ -59,10 +59,13 @@ def new_rows(source: DataFrame, stored: DataFrame, cap_days: int = 60) -> DataFr
     return out.where(fresh).drop("_s", "_last")
 
 
-def follow_station(m: DataFrame, stations: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """fn(pandas rows of one station with its station columns) for each station; a station's new rows are held in memory."""
+def follow_station(m: DataFrame, stations: DataFrame, fn: Callable, schema: str, slice_days: int = 5) -> DataFrame:
+    """fn(pandas rows with their station's columns) for each station and slice of so many days, so that no station is held whole.
+
+    What fn returns for a station's slices is to be put together by a grouping of the result.
+    """
     s = stations.select("station_code", *(F.col(c).alias(f"station_{c}") for c in stations.columns if c != "station_code"))
-    return m.join(s, "station_code").groupBy("station_code").applyInPandas(fn, schema)
+    return follow_type(m.join(s, "station_code"), fn, schema, slice_days, ["station_code"])
 
 
 def follow_type(m: DataFrame, fn: Callable, schema: str, slice_days: int = 5, key: Sequence[str] = ("station_code", "type_name")) -> DataFrame:

@@ -108,8 +108,11 @@ def forecast_rmse(runs: DataFrame, truth: DataFrame, now: Column, start_of_day:
     return both.join(whole, ["station_code", "start"]).groupBy("station_code", "step").agg(F.sqrt(F.avg("e2")).alias("rmse"))
 
 
-def forecast_document(fc: DataFrame) -> DataFrame:
-    """One JSON document: the header fields of the first row and for each station the steps {ts, lo, mean, hi, rmse} in order, NaN as null."""
+def forecast_document(fc: DataFrame, run: Sequence[str] = ("station_code",)) -> DataFrame:
+    """One JSON document for each car park (and run, where fc has its columns): the columns of run and, in order, the steps {ts, lo, mean, hi, rmse}, NaN as null.
+
+    A document holds one forecast; documents are rows, which Spark writes as lines of JSON in as many files as there are partitions.
+    """
     step = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"), *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("lo", "mean", "hi", "rmse")))
-    each = fc.groupBy("station_code").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    return each.agg(F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("station_code", "steps")))).alias("timeseries")), {"ignoreNullFields": "false"}).alias("document"))
+    each = fc.groupBy(*run).agg(F.array_sort(F.collect_list(step)).alias("timeseries"))
+    return each.select(*run, F.to_json(F.struct(*run, "timeseries"), {"ignoreNullFields": "false"}).alias("document"))

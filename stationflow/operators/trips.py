@@ -41,7 +41,11 @@ def travel_time_mode(trips: DataFrame, period: int, step: int = 5, width: int =
     value. Each time is put into the bins that hold it, so that counting is one grouping. Windows without trips have
     no row. most_windows: only the first so many windows of a link (L1).
     """
-    t = trips.withColumn("window", floor_ts("ts", period, F.date_trunc("day", F.min("ts").over(Window.partitionBy("link_code")))))
+    if 86400 % period == 0:  # windows of any midnight are those of the first one
+        begun = trips.withColumn("_first", F.date_trunc("day", "ts"))
+    else:
+        begun = trips.join(trips.groupBy("link_code").agg(F.date_trunc("day", F.min("ts")).alias("_first")), "link_code")
+    t = begun.withColumn("window", floor_ts("ts", period, F.col("_first"))).drop("_first")
     bounds = t.groupBy("link_code", "window").agg(F.floor(F.min("value")).alias("lo"), F.ceil(F.max("value")).alias("hi"))
     if most_windows is not None:
         bounds = bounds.withColumn("_n", F.row_number().over(Window.partitionBy("link_code").orderBy("window"))).where(F.col("_n") <= most_windows).drop("_n")

@@ -83,7 +83,20 @@ def stability_params(spark, sf):
     return dispersion.stability_params(_meteo(spark, sf)).select("station_code", epoch("hour", "hour"), "stability", "mixing_height", "mol")
 
 
-@query()
+@query(
+    METEO
+    + """, k AS (SELECT *, CASE WHEN rad > 0 THEN CASE
+ WHEN ws <= 2 THEN CASE WHEN rad >= 540 THEN 'A' WHEN rad >= 270 THEN 'B' WHEN rad >= 140 THEN 'C' ELSE 'D' END
+ WHEN ws < 3 THEN CASE WHEN rad >= 700 THEN 'A' WHEN rad >= 270 THEN 'B' WHEN rad >= 140 THEN 'C' ELSE 'D' END
+ WHEN ws < 4 THEN CASE WHEN rad >= 400 THEN 'B' WHEN rad >= 140 THEN 'C' ELSE 'D' END
+ WHEN ws < 5 THEN CASE WHEN rad >= 540 THEN 'B' WHEN rad >= 270 THEN 'C' ELSE 'D' END
+ WHEN ws < 6 THEN CASE WHEN rad >= 270 THEN 'C' ELSE 'D' END ELSE CASE WHEN rad >= 540 THEN 'C' ELSE 'D' END END
+ ELSE CASE WHEN ws <= 3 THEN 'F' WHEN ws <= 5 THEN 'E' ELSE 'D' END END AS cls FROM h),
+a AS (SELECT *, MAP {'A': 1300, 'B': 900, 'C': 850, 'D': 800, 'E': 400, 'F': 100}[cls] AS mh, MAP {'A': -2, 'B': -10, 'C': -100, 'D': 1000, 'E': 100, 'F': 200}[cls] AS mol,
+ round_even(0.9::DOUBLE * round_even(CASE WHEN rad > 0 THEN rad / 2 ELSE -40.0 END, 1) / (1 + 1 / 0.8::DOUBLE), 1) AS heat, 1004.0::DOUBLE * 1.29::DOUBLE * (temp + 273.15::DOUBLE) AS air FROM k),
+u AS (SELECT *, round_even(pow(abs(0.4::DOUBLE * 9.81::DOUBLE * heat * mol / air), 1.0::DOUBLE / 3), 3) AS ustar, pow(abs(9.81::DOUBLE * heat * mh / air), 1.0::DOUBLE / 3) AS free FROM a)
+SELECT station_code, epoch(hour)::BIGINT AS hour, heat, ustar, round_even(CASE WHEN heat >= 0 THEN free ELSE -free END, 3) AS wstar, round_even(greatest(50.0::DOUBLE, 2400 * pow(ustar, 1.5::DOUBLE)), 0) AS mechanical_height FROM u"""
+)
 def surface_layer(spark, sf):
     """P25."""
     out = dispersion.surface_layer(dispersion.stability_params(_meteo(spark, sf)))

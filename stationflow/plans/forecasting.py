@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import forecast, grids, parking
@@ -62,13 +64,24 @@ def forecast_mae(spark, sf):
     return out.select("station_code", r6("mae", "mae"), "skipped", "used")
 
 
-@query("SELECT type_name AS station_code, unnest(range(0, 48)) AS step, 1.0::DOUBLE AS rmse FROM m GROUP BY type_name")
+@query(
+    """, b AS (SELECT type_name AS station_code, min(ts) AS lo, max(ts) AS hi FROM m GROUP BY 1),
+g AS (SELECT station_code, unnest(generate_series(TIMESTAMP '2024-01-01', hi, INTERVAL 300 SECOND)) AS t FROM b),
+l AS (SELECT station_code, t, max(ts) AS at FROM g JOIN m ON type_name = station_code AND ts > t - INTERVAL 1 DAY AND ts <= t GROUP BY 1, 2),
+tr AS (SELECT l.station_code, t, avg(value) AS v FROM l JOIN m ON type_name = l.station_code AND ts = at GROUP BY 1, 2),
+r AS (SELECT station_code, t AS start, v AS told FROM tr WHERE t = date_trunc('day', t) AND t BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-29'),
+s AS (SELECT station_code, start, unnest(range(0, 576)) AS step, told FROM r),
+e AS (SELECT s.*, pow(told * (1 + step / 1000.0::DOUBLE) - v, 2.0::DOUBLE) AS e2 FROM s LEFT JOIN tr ON tr.station_code = s.station_code AND t = start + to_seconds(300 * step)),
+w AS (SELECT station_code, start FROM e GROUP BY 1, 2 HAVING bool_and(e2 IS NOT NULL))
+SELECT station_code, step, round(sqrt(avg(e2)), 6) AS rmse FROM e JOIN w USING (station_code, start) GROUP BY 1, 2"""
+)
 def forecast_rmse(spark, sf):
-    """Means of the first steps of each day as runs, the grid as truth."""
-    m = measurements(spark, sf).select(F.col("type_name").alias("station_code"), "ts", "value")
-    truth = grids.interpolate_linear(grids.grid(m, 300, ["station_code"]).join(grids.resample_mean(m), ["station_code", "ts"], "left"), ["station_code"])
-    runs = truth.groupBy("station_code", F.date_trunc("day", "ts").alias("start")).agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("ts", "value"))), 1, 48), lambda s: s.value + 1.0).alias("mean"))
-    return parking.forecast_rmse(runs, truth, F.lit("2024-01-31").cast("timestamp"), "00:00:00").select("station_code", "step", r6("rmse", "rmse"))
+    """Each midnight's last value, raised by a thousandth a step, as the forecast of the next 576 steps."""
+    m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), "ts").agg(F.avg("value").alias("value"))
+    g = grids.grid(m, 300, ["station_code"], start=F.lit("2024-01-01").cast("timestamp"))
+    truth = grids.asof_pad(g, m, ["station_code"], name="value", within_s=86400).where("value IS NOT NULL")
+    runs = truth.where("ts = date_trunc('day', ts)").select("station_code", F.col("ts").alias("start"), F.transform(F.sequence(F.lit(0), F.lit(575)), lambda i: F.col("value") * (1 + i / 1000)).alias("mean"))
+    return parking.forecast_rmse(runs, truth, F.lit("2024-01-31").cast("timestamp"), "00:00:00").select("station_code", F.col("step").cast("long").alias("step"), r6("rmse", "rmse"))
 
 
 @query(
@@ -81,13 +94,15 @@ def forecast_at(spark, sf):
     return parking.forecast_at(fc, 720).select("station_code", "value")
 
 
-@query("SELECT count(DISTINCT type_name) AS stations, count(*) AS steps FROM m")
+@query("SELECT station_code, CAST(CAST(ts AS DATE) AS VARCHAR) AS run, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, round(value, 6) AS lo, round(value, 6) AS mean, CAST(NULL AS DOUBLE) AS hi, round(value + 1, 6) AS rmse FROM m")
 def forecast_document(spark, sf):
-    """All events as one forecast document, counted again."""
-    fc = measurements(spark, sf).select(F.col("type_name").alias("station_code"), "ts", *(F.col("value").alias(c) for c in ("lo", "mean", "hi", "rmse")))
-    doc = parking.forecast_document(fc)
-    series = F.from_json("document", "struct<timeseries: map<string, array<struct<ts: string>>>>")["timeseries"]
-    return doc.select(F.size(series).cast("long").alias("stations"), F.aggregate(F.transform(F.map_values(series), F.size), F.lit(0), lambda a, b: a + b).cast("long").alias("steps"))
+    """Each user's events of a day as a forecast, written as documents and read back."""
+    fc = measurements(spark, sf).select("station_code", F.to_date("ts").cast("string").alias("run"), "ts", F.col("value").alias("lo"), F.col("value").alias("mean"), F.lit(float("nan")).alias("hi"), (F.col("value") + 1).alias("rmse"))
+    docs = parking.forecast_document(fc, ["station_code", "run"])
+    step = "struct<ts: string, lo: double, mean: double, hi: double, rmse: double>"
+    read = docs.select(F.from_json("document", f"station_code string, run string, timeseries array<{step}>").alias("d"))
+    read = read.select("d.station_code", "d.run", F.explode("d.timeseries").alias("s")).select("station_code", "run", "s.*")
+    return read.select("station_code", "run", "ts", *(r6(c, c) for c in ("lo", "mean", "hi", "rmse")))
 
 
 @query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, arg_max(type_name, (ts, type_name)) AS code FROM m GROUP BY 1")
@@ -104,46 +119,54 @@ def _days(spark):
 
 def _signals(spark, sf):
     m = measurements(spark, sf).select(F.col("type_name").alias("station_code"), "ts", "value")
-    return forecast.parking_signals(m, *_days(spark), interpolate=True, step=3600)
+    return forecast.parking_signals(m, *_days(spark), interpolate=True)
 
 
-LAGS = (1, 24)
-NUMBERS = ["lag_1", "lag_24", "running_mean", "is_school", "is_holiday"]
+NUMBERS = [*(f"lag_{n}" for n in forecast.LAGS), "running_mean", "is_school", "is_holiday"]
 
 
-@query()
+@query(
+    """, n AS (SELECT type_name AS station_code, time_bucket(INTERVAL 300 SECOND, ts, TIMESTAMP '2024-01-01') AS t, avg(value) AS v FROM m GROUP BY 1, 2),
+g AS (SELECT station_code, unnest(generate_series(min(t), max(t), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
+p AS (SELECT g.station_code, g.t, n.v, last_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t) AS a,
+ first_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM g LEFT JOIN n ON n.station_code = g.station_code AND n.t = g.t)
+SELECT station_code, epoch(t)::BIGINT AS ts, round(coalesce(v, a.v + (b.v - a.v) * (epoch(t) - epoch(a.t)) / (epoch(b.t) - epoch(a.t))), 6) AS value, (hour(t) * 12 + minute(t) // 5)::BIGINT AS slot, (isodow(t) - 1)::BIGINT AS weekday,
+ month(t) AS month, (isodow(t) >= 6)::INT::DOUBLE AS is_school, (isodow(t) = 7)::INT::DOUBLE AS is_holiday, (day(t) % 5)::DOUBLE AS symbol FROM p"""
+)
 def parking_signals(spark, sf):
-    """M1: hourly signals of each type."""
-    return _signals(spark, sf).select("station_code", epoch("ts"), "value", "slot", "weekday", "month", "is_school", "is_holiday", "symbol")
+    """M1: signals of each type every five minutes."""
+    return _signals(spark, sf).select("station_code", epoch("ts"), r6("value", "value"), *(F.col(c).cast("long").alias(c) for c in ("slot", "weekday", "month")), "is_school", "is_holiday", "symbol")
 
 
 def _training(spark, sf):
-    return forecast.training_set(_signals(spark, sf), F.lit("2024-01-25").cast("timestamp"), LAGS, 168)
+    return forecast.training_set(_signals(spark, sf), F.lit("2024-01-25").cast("timestamp"))
 
 
 @query()
 def fit_linear(spark, sf):
     """M2, M3, M4, M9: a linear model, its error by hour on the last tenth."""
     rows = _training(spark, sf)
-    train, _ = forecast.augment(rows, 0.01, LAGS)
+    train, _ = forecast.augment(rows, 0.01)
     return forecast.evaluate_steps(forecast.fit_linear(train, NUMBERS), rows)
 
 
 @query()
 def fit_ensemble(spark, sf):
-    """Two boosted models, direct forecasts with blank lags."""
-    rows = _training(spark, sf)
-    train, _ = forecast.augment(rows, lags=LAGS, blank=True)
-    models = forecast.fit_ensemble(train, NUMBERS, n=2, iterations=4)
-    preds = [forecast.forecast_direct(m, rows, LAGS) for m in models]
-    return parking.ensemble(preds[0].unionByName(preds[1])).select("station_code", epoch("ts"), "lo", "mean", "hi")
+    """Five boosted models of 20 trees, direct forecasts with blank lags."""
+    rows = _training(spark, sf).withColumns({c: F.col(c).cast("double") for c in ("slot", "weekday")})
+    train, _ = forecast.augment(rows, blank=True)
+    models = forecast.fit_ensemble(train, [*NUMBERS, "slot", "weekday"], categories=())
+    preds = [forecast.forecast_direct(m, rows) for m in models]
+    return parking.ensemble(reduce(lambda a, b: a.unionByName(b), preds)).select("station_code", epoch("ts"), "lo", "mean", "hi")
 
 
 @query()
 def forecast_recursive(spark, sf):
-    """M6: 48 hours that feed on themselves."""
-    out = forecast.forecast_recursive(_signals(spark, sf).where("value IS NOT NULL"), {"intercept": 1.0, "lag_1": 0.5, "lag_24": 0.2, "running_mean": 0.3}, 48, 3600, LAGS)
-    return out.select("station_code", epoch("ts"), r6("value", "value"))
+    """M4, M6: a linear model fitted on the signals, and the 576 five-minute steps after them, which feed on themselves."""
+    signals = _signals(spark, sf).where("value IS NOT NULL").persist()
+    train, _ = forecast.augment(forecast.training_set(signals, F.lit("2024-01-25").cast("timestamp")), 0.01)
+    model = forecast.fit_linear(train, NUMBERS)
+    return forecast.forecast_recursive(signals, model, NUMBERS).select("station_code", epoch("ts"), r6("value", "value"))
 
 
 @query()

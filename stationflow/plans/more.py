@@ -93,12 +93,26 @@ def sst_at_sun(spark, sf):
     return roadwx.sst_at_sun(fc.withColumnRenamed("v", "sst"), sun).select("station_code", epoch("ts"), F.round("sst", 4).alias("sst"))
 
 
-@query()
+@query(
+    OBS
+    + """, o AS (SELECT *, v * 1.1::DOUBLE - 3 AS at, v + 5 AS td, v / 2 AS ws, type_name <> 'error' AS ok FROM f WHERE t < TIMESTAMP '2024-01-15'),
+e AS (SELECT type_name, max(t) AS end_t, bool_and(ok) AS ok FROM o GROUP BY 1),
+z AS (SELECT e.*, o.at AS oa, o.td AS ot, o.ws AS ow, f.v AS fv FROM e JOIN o ON o.type_name = e.type_name AND o.t = end_t LEFT JOIN f ON f.type_name = e.type_name AND f.t = end_t),
+j AS (SELECT f.type_name, f.t, f.v, o.at, o.td, o.ws, z.*, (epoch_us(f.t) - epoch_us(end_t)) / 1e6 AS age FROM f LEFT JOIN o ON o.type_name = f.type_name AND o.t = f.t LEFT JOIN z ON z.type_name = f.type_name),
+b AS (SELECT type_name, t,
+ CASE WHEN ok AND age <= 0 THEN coalesce(at, v) WHEN ok THEN v - exp(-age / 14400) * (fv - oa) ELSE v END AS at,
+ CASE WHEN age <= 0 THEN coalesce(td, v) ELSE v - exp(-age / 14400) * (fv - ot) END AS td,
+ CASE WHEN age <= 0 THEN coalesce(ws, v) WHEN age >= 14400 THEN v
+  WHEN ow < fv THEN v * (CASE WHEN ow = 0 THEN 1.0 ELSE ow END / CASE WHEN fv < 0.01 THEN 1.0 ELSE fv END + (1 - CASE WHEN ow = 0 THEN 1.0 ELSE ow END / CASE WHEN fv < 0.01 THEN 1.0 ELSE fv END) * age / 14400)
+  ELSE v - exp(-age / 14400) * (fv - ow) END AS ws FROM j)
+SELECT type_name AS station_code, epoch(t)::BIGINT AS ts, round(at, 6) AS at, round(least(td, at), 6) AS td, round(ws, 6) AS ws FROM b"""
+)
 def blend_obs_forecast(spark, sf):
-    """Hourly means as forecast, observed until the 15th."""
+    """Hourly means as forecast, observed until the 15th (air temperatures of one type are invalid)."""
     fc, _ = _obs(spark, sf)
     fc = fc.select("station_code", "ts", *(F.col("v").alias(c) for c in ("at", "td", "ws")))
-    obs = fc.where("ts < '2024-01-15'").select("station_code", "ts", *((F.col(c) + 5).alias(c) for c in ("at", "td", "ws")), *(F.lit(True).alias(f"{c}_valid") for c in ("at", "td", "ws")))
+    seen = {"at": F.col("at") * 1.1 - 3, "td": F.col("td") + 5, "ws": F.col("ws") / 2}
+    obs = fc.where("ts < '2024-01-15'").select("station_code", "ts", *(x.alias(c) for c, x in seen.items()), (F.col("station_code") != "error").alias("at_valid"), F.lit(True).alias("td_valid"), F.lit(True).alias("ws_valid"))
     return roadwx.blend_obs_forecast(obs, fc).select("station_code", epoch("ts"), r6("at", "at"), r6("td", "td"), r6("ws", "ws"))
 
 

@@ -64,6 +64,13 @@ def fast_trips(spark, sf):
     return trips.fast_trips(_trips(spark, sf), _edges(spark), 50).select("device", F.unix_micros("ts").alias("ts"))
 
 
+@query(TRIPS.replace("SELECT device, ts, (epoch_us(finish)", "SELECT device, ts, finish, (epoch_us(finish)") + ", w AS (SELECT * FROM trips WHERE 400000.0::DOUBLE / value * 3.6 >= 50)" + MODES.replace("FROM trips)", "FROM w)").replace(", w AS (SELECT date_trunc", ", v AS (SELECT date_trunc").replace("FROM w GROUP", "FROM v GROUP").replace("LEFT JOIN w ON s.t = w.t", "LEFT JOIN v ON s.t = v.t") + "SELECT epoch(t)::BIGINT + 43200 AS ts, mode::DOUBLE AS value FROM modes")
+def fast_mode(spark, sf):
+    """A4: the fullest hour of travel times of each day, of fast trips alone."""
+    fast = trips.fast_trips(_trips(spark, sf), _edges(spark), 50)
+    return trips.travel_time_mode(fast, DAY_S, 60, 3600).select(epoch("ts"), "value")
+
+
 @query(
     """, c AS (SELECT CAST(l_suppkey AS VARCHAR) AS station_code, date_trunc('day', l_shipdate) AS d, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
 h AS (SELECT CAST(s_suppkey AS VARCHAR) AS station_code, avg((1 + n_regionkey / 10.0::DOUBLE) * n_nationkey) AS hv FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey > 3 GROUP BY 1)

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import sources
-from ..operators import catalog, incremental, quality, rollups
+from .. import streaming as streams
+from ..operators import catalog, grids, incremental, parking, quality, rollups, store
 from ..streaming import stream_window
 from .base import epoch, measurements, query, r6, table
 
@@ -193,36 +194,36 @@ def combine_locations(spark, sf):
     return rollups.combine_locations(_directions(spark, sf)).select("station_code", "name", r6("x", "x"), "origin")
 
 
-@query("SELECT event_id, CAST(value AS VARCHAR) = CAST(value AS VARCHAR) AS same FROM m")
+@query("SELECT 'S' AS station_type, station_code, type_name, epoch_ms(ts) AS ts, value, event_id AS period FROM m")
 def tree_json(spark, sf):
     """Every event as a tree of JSON, flattened again."""
     m = measurements(spark, sf)
     leaf = F.array(F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSZ").alias("mvalidtime"), F.col("value").alias("mvalue"), F.col("event_id").cast("int").alias("mperiod")))
     types = F.create_map("type_name", F.struct(leaf.alias("tmeasurements")))
     tree = F.create_map(F.lit("S"), F.struct(F.create_map("station_code", F.struct(types.alias("sdatatypes"))).alias("stations")))
-    flat = sources.flatten_tree_json(m.select(F.to_json(tree).alias("json"), "event_id"))
-    return flat.join(m.select("event_id", F.col("value").alias("v")), F.col("period") == F.col("event_id")).select("event_id", (F.col("value") == F.col("v")).alias("same"))
+    return sources.flatten_tree_json(m.select(F.to_json(tree).alias("json"))).select("station_type", "station_code", "type_name", F.unix_millis("ts").alias("ts"), "value", F.col("period").cast("long").alias("period"))
 
 
-@query("SELECT station_code, count(*) AS records FROM m GROUP BY 1")
+@query("SELECT station_code, type_name, 'stationflow' AS provenance, epoch_ms(ts) AS ts, value, CAST(3600 AS BIGINT) AS period FROM m")
 def to_datamap(spark, sf):
-    """Each user's events as one document, of which the records are counted again."""
+    """Each user's events as one document, read back."""
     out = sources.to_datamap(measurements(spark, sf), "stationflow")
-    kind = "struct<branch: map<string, array<struct<timestamp: bigint>>>>"
-    branch = F.map_values(F.from_json("datamap", kind)["branch"])
-    return out.select("station_code", F.aggregate(F.transform(branch, F.size), F.lit(0), lambda a, b: a + b).cast("long").alias("records"))
+    kind = "provenance string, branch map<string, array<struct<timestamp: bigint, value: double, period: bigint>>>"
+    read = out.select("station_code", F.from_json("datamap", kind).alias("d")).select("station_code", "d.provenance", F.explode("d.branch").alias("type_name", "records"))
+    return read.select("station_code", "type_name", "provenance", F.explode("records").alias("r")).select("station_code", "type_name", "provenance", F.col("r.timestamp").alias("ts"), "r.value", "r.period")
 
 
 @query("SELECT station_code, round(sum(value), 4) AS total, count(*) AS rows FROM m GROUP BY 1")
 def follow_station(spark, sf):
-    """a handler that adds up each user's values."""
+    """a handler that adds up each user's values by slices of days, and their sums."""
     import pandas as pd
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"station_code": [rows.station_code.iloc[0]], "total": [rows["value"].sum()], "rows": [len(rows)]})
 
     m = measurements(spark, sf).select("station_code", "ts", "value")
-    return incremental.follow_station(m, m.select("station_code").distinct(), total, "station_code string, total double, rows long").select("station_code", F.round("total", 4).alias("total"), "rows")
+    parts = incremental.follow_station(m, m.select("station_code").distinct(), total, "station_code string, total double, rows long")
+    return parts.groupBy("station_code").agg(F.round(F.sum("total"), 4).alias("total"), F.sum("rows").alias("rows"))
 
 
 @query("SELECT station_code, type_name, floor(epoch(ts) / 432000)::BIGINT AS slice, count(*) AS rows FROM m GROUP BY ALL")
@@ -247,3 +248,171 @@ def stream_window(spark, sf, make=stream_window):
     q = sums.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema("type_name string, start timestamp, ts timestamp, value double").parquet(f"{run}/out").select("type_name", epoch("ts"), F.round("value", 4).alias("value"))
+
+
+def _streamed(spark, sf):
+    """All events as a stream of measurements, and a new folder of the run."""
+    events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/event*.parquet")
+    m = events.select(F.col("user_id").cast("string").alias("station_code"), F.col("event_type").alias("type_name"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    return m, f"{sources.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _drained(writer, run: str) -> None:
+    writer.option("checkpointLocation", f"{run}/state").trigger(availableNow=True).start().awaitTermination()
+
+
+@query(
+    """, c AS (SELECT type_name, epoch(time_bucket(INTERVAL 3600 SECOND, ts))::BIGINT AS t, count(*) AS n FROM m GROUP BY 1, 2), mark AS (SELECT epoch_ms(max(ts)) // 1000 - 60 AS s FROM m),
+done AS (SELECT c.* FROM c, mark WHERE t + 3600 <= s), g AS (SELECT type_name, unnest(generate_series(min(t), max(t), 3600)) AS t FROM done GROUP BY 1)
+SELECT type_name, g.t + 1800 AS ts, coalesce(n, 0) AS value FROM g LEFT JOIN done USING (type_name, t)"""
+)
+def stream_counts(spark, sf):
+    """Dense hourly counts of a stream of all events; hours that the watermark has passed."""
+    m, run = _streamed(spark, sf)
+    _drained(streams.stream_counts(m, 3600, "type_name", "1 minute").writeStream.format("parquet").option("path", f"{run}/out"), run)
+    return spark.read.schema("type_name string, ts timestamp, value long").parquet(f"{run}/out").select("type_name", epoch("ts"), "value")
+
+
+@query(
+    """, h AS (SELECT type_name, (ceil(epoch_us(ts) / 3600e6) * 3600)::BIGINT AS ts, avg(value) AS value FROM m GROUP BY 1, 2 HAVING count(value) >= 2)
+SELECT type_name, ts, round(value, 4) AS value FROM h WHERE ts * 1000000 + 1 <= (SELECT epoch_ms(max(ts)) * 1000 - 60000000 FROM m)"""
+)
+def stream_hourly_average(spark, sf):
+    """Hourly means of a stream of all events; hours that the watermark has passed."""
+    m, run = _streamed(spark, sf)
+    _drained(streams.stream_hourly_average(m, 2, ["type_name"], "1 minute").writeStream.format("parquet").option("path", f"{run}/out"), run)
+    return spark.read.schema("type_name string, ts timestamp, value double").parquet(f"{run}/out").select("type_name", epoch("ts"), F.round("value", 4).alias("value"))
+
+
+def _target(spark, path: str, schema: str):
+    """read() and write() of a Parquet target in folders by type, of which a batch rewrites those that it has."""
+
+    def read(keys):
+        return spark.read.schema(schema).parquet(path)
+
+    def write(keys, rows):
+        kept = read(keys).join(keys.select("type_name").distinct(), "type_name", "left_semi").join(keys, ["station_code", "type_name"], "left_anti")
+        both = kept.unionByName(rows.select(*kept.columns))
+        both.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type_name").parquet(path)
+
+    return read, write
+
+
+TARGET = "station_code string, ts timestamp, value double, type_name string"
+
+
+@query("SELECT station_code, type_name, max(epoch_us(ts)) AS ts, arg_max(value, ts) AS value FROM m GROUP BY 1, 2")
+def stream_latest(spark, sf):
+    """The cache of latest rows after a stream of all events, from one that has the first days."""
+    m, run = _streamed(spark, sf)
+    early = measurements(spark, sf).where("ts < '2024-01-05'")
+    store.latest(early, ["station_code", "type_name"]).select("station_code", "ts", "value", "type_name").write.partitionBy("type_name").parquet(f"{run}/cache")
+    read, write = _target(spark, f"{run}/cache", TARGET)
+    _drained(streams.stream_latest(m, read, write, ["station_code", "type_name"]), run)
+    return read(None).select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
+
+
+@query("SELECT station_code, type_name, epoch_us(date_trunc('day', ts)) AS ts, round(sum(value), 4) AS value FROM m GROUP BY 1, 2, 3")
+def stream_merge(spark, sf):
+    """Daily sums as a recomputed range, merged into a target that has other values and days of its own."""
+    keys = ["station_code", "type_name"]
+    m = measurements(spark, sf)
+    days = m.groupBy(*keys, F.date_trunc("day", "ts").alias("ts")).agg(F.sum("value").alias("value")).select("station_code", "ts", "value", "type_name")
+    run = f"{sources.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    days.write.parquet(f"{run}/in")
+    wrong = days.select("station_code", F.when(F.dayofmonth("ts") % 2 == 0, F.col("ts")).otherwise(F.col("ts") + F.make_dt_interval(hours=F.lit(1))).alias("ts"), (F.col("value") + 1).alias("value"), "type_name")
+    wrong.write.partitionBy("type_name").parquet(f"{run}/target")
+    read, write = _target(spark, f"{run}/target", TARGET)
+    # rows after the range that a batch covers stay, so the target has none of those here
+    _drained(streams.stream_merge(spark.readStream.schema(TARGET).parquet(f"{run}/in"), read, write, keys), run)
+    last = days.agg(F.max("ts")).first()[0]
+    return read(None).where(F.col("ts") <= F.lit(last)).select("station_code", "type_name", F.unix_micros("ts").alias("ts"), F.round("value", 4).alias("value"))
+
+
+@query("SELECT station_code, type_name, epoch_us(ts) AS ts, value FROM m WHERE type_name IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'")
+def read_measurements(spark, sf):
+    """All events as a history in files of at most 1000 rows (S9), of which two types and ten days are read."""
+    path = f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
+    sources.write_batched(measurements(spark, sf).drop("event_id"), path, 1000)
+    at = lambda d: F.lit(d).cast("timestamp")
+    return sources.read_measurements(spark, path, ["view", "click"], at("2024-01-10"), at("2024-01-20")).select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(1000 AS BIGINT) AS most FROM m")
+def write_batched(spark, sf):
+    """All events in files of at most 1000 rows."""
+    path = f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
+    sources.write_batched(measurements(spark, sf), path, 1000)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("rows"), F.when(F.max("n") <= 1000, 1000).otherwise(F.max("n")).cast("long").alias("most"))
+
+
+@query("SELECT type_name AS station_code, type_name || ' lot' AS name, epoch(date_trunc('second', ts))::BIGINT AS ts, floor(value)::INT AS occ FROM m")
+def read_station_csv(spark, sf):
+    """A file without header for each type of events, read with the code and name that its own name has."""
+    path = f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
+    m = measurements(spark, sf).select("type_name", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"), F.floor("value").cast("int").alias("occ"))
+    for i, code in enumerate(r.type_name for r in m.select("type_name").distinct().orderBy("type_name").collect()):
+        one = f"{path}/{i:02d}__{code}__{code} lot"
+        m.where(F.col("type_name") == code).select("ts", "occ").coalesce(1).write.csv(one)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for folder in fs.listStatus(root):
+        for f in fs.listStatus(folder.getPath()):
+            if f.getPath().getName().endswith(".csv"):
+                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{folder.getPath().getName()}.csv"))
+    return sources.read_station_csv(spark, f"{path}/*.csv").select("station_code", "name", epoch("ts"), "occ")
+
+
+@query("SELECT epoch(ts)::BIGINT AS ts, value AS at, value - 3 AS td, CAST(NULL AS DOUBLE) AS ra FROM (SELECT date_trunc('second', ts) AS ts, value FROM m)")
+def read_prediction_xml(spark, sf):
+    """All events as predictions in XML, read back."""
+    path = f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
+    rows = measurements(spark, sf).select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("forecast-time"), F.col("value").alias("at"), (F.col("value") - 3).alias("td"))
+    rows.write.format("xml").option("rowTag", "prediction").option("rootTag", "forecast").save(path)
+    return sources.read_prediction_xml(spark, path).select(epoch("forecast-time", "ts"), "at", "td", "ra")
+
+
+@query("SELECT type_name, round(value, 6) AS value, epoch(ts)::BIGINT AS ts FROM m WHERE type_name = 'view'")
+def forecast_of(spark, sf):
+    """All steps of one car park."""
+    fc = measurements(spark, sf).select(F.col("type_name").alias("station_code"), F.col("ts").alias("start"), "value")
+    return parking.forecast_of(fc, "view").select(F.col("station_code").alias("type_name"), F.round("value", 6).alias("value"), epoch("start", "ts"))
+
+
+@query("SELECT station_code, type_name, epoch_us(ts) AS ts, value FROM m WHERE NOT (type_name IN ('view', 'click'))")
+def purge_everything(spark, sf):
+    """U4: all rows of two types go, whenever they are of."""
+    left, _ = store.purge_series(measurements(spark, sf), F.col("type_name").isin("view", "click"))
+    return left.select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
+
+
+@query("SELECT station_code, type_name, epoch_us(max(ts)) AS ts FROM m WHERE NOT (type_name IN ('view', 'click')) GROUP BY 1, 2")
+def purged_latest(spark, sf):
+    """U4: the latest rows of what is left."""
+    _, cache = store.purge_series(measurements(spark, sf), F.col("type_name").isin("view", "click"))
+    return cache.select("station_code", "type_name", F.unix_micros("ts").alias("ts"))
+
+
+@query(
+    """, n AS (SELECT type_name AS station_code, ts, avg(value) AS value FROM m GROUP BY 1, 2), g AS (SELECT station_code, unnest(generate_series(time_bucket(INTERVAL 300 SECOND, min(ts), TIMESTAMP '2024-01-01'), max(ts), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
+b AS (SELECT g.station_code, t, ts AS bt, value AS bv FROM g ASOF LEFT JOIN n ON n.station_code = g.station_code AND g.t >= n.ts), a AS (SELECT g.station_code, t, ts AS nt, value AS nv FROM g ASOF LEFT JOIN n ON n.station_code = g.station_code AND g.t <= n.ts)
+SELECT station_code, epoch(t)::BIGINT AS ts, round(CASE WHEN bt IS NULL THEN nv WHEN nt IS NULL THEN bv WHEN t - bt <= nt - t THEN bv ELSE nv END, 6) AS value FROM b JOIN a USING (station_code, t)"""
+)
+def resample_nearest(spark, sf):
+    """The nearest value of each type every five minutes."""
+    m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), "ts").agg(F.avg("value").alias("value"))
+    return grids.resample_nearest(m).select("station_code", epoch("ts"), r6("value", "value"))
+
+
+@query("""SELECT n AS lag, coalesce(lead(n) OVER (ORDER BY n) - n, 0) AS step FROM (SELECT unnest(range(1, 25)) AS n UNION ALL SELECT d * 24 + k FROM range(2, 8) r(d), (VALUES (-1), (0), (1)) v(k)) WHERE (SELECT count(*) FROM m) > 0""")
+def lag_set(spark, sf):
+    """The lags that the hourly series of the events are given."""
+    hours = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("value"))
+    lags = grids.lag_set()
+    named = [int(c.removeprefix("lag_")) for c in grids.lag_features(hours, lags).columns if c.startswith("lag_")]
+    rows = hours.limit(1).select(F.explode(F.array(*(F.struct(F.lit(n).cast("long").alias("lag"), F.lit(m - n).cast("long").alias("step")) for n, m in zip(named, [*named[1:], named[-1]])))).alias("x"))
+    return rows.select("x.*")
+
+

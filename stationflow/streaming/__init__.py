@@ -1,7 +1,8 @@
-"""Streaming forms of window sums, change sets and trip matching."""
+"""Streaming forms of window sums, dense counts and averages, change sets, the latest cache and trip matching."""
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.store import apply_changes, change_set
+from ..operators.store import apply_changes, change_set, refresh_latest
 
 
 def stream_window(source: DataFrame, value: Column, period: str, key: Sequence[str] = ("station_code",), delay: str = "1 day") -> DataFrame:
@@ -20,24 +21,85 @@ def stream_window(source: DataFrame, value: Column, period: str, key: Sequence[s
     return out.select(*key, F.col("window.start").alias("start"), F.col("window.end").alias("ts"), "value")
 
 
-def stream_merge(source: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame], None], key: Sequence[str] = ("station_code",)) -> DataStreamWriter:
-    """Each micro-batch of (key, ts, value) is a recomputed range of the target that read() gives; write() gets the target after the change set.
+def stream_counts(source: DataFrame, period: int, key: str = "station_code", delay: str = "1 day") -> DataFrame:
+    """Key, ts (the window's centre) and value, the rows of each window of period seconds; empty windows between others give 0.
 
-    A batch that is tried again gives the same target. write() has to replace the target as a whole, not in place.
+    Windows begin at midnight (UTC) and every period after it, where a day is a multiple of the period. A window appears
+    when the watermark has passed it; empty ones appear together with the next that isn't. State is the number of the
+    next window and the counts of open ones.
+    """
+    if 86400 % period:
+        raise ValueError("a day must be a multiple of the period")
+    kind = dict(source.dtypes)[key]
+    rows = source.withWatermark("ts", delay).select(key, "ts", F.floor(F.unix_seconds("ts") / period).alias("window"))
+
+    def count(of: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        following, windows, counts = state.get if state.exists else (None, [], [])
+        open_ = dict(zip(windows, counts))
+        for f in frames:
+            for w, n in f.window.value_counts().items():
+                if following is None or w >= following:  # others came after their window was closed
+                    open_[int(w)] = open_.get(int(w), 0) + int(n)
+        mark = state.getCurrentWatermarkMs() // 1000
+        closed = sorted(w for w in open_ if (w + 1) * period <= mark)
+        if closed:
+            first = closed[0] if following is None else following
+            at = range(first, closed[-1] + 1)
+            yield pd.DataFrame({key: [of[0]] * len(at), "ts": [pd.Timestamp(w * period + period // 2, unit="s") for w in at], "value": [open_.pop(w, 0) for w in at]})
+            following = closed[-1] + 1
+        state.update((following, sorted(open_), [open_[w] for w in sorted(open_)]))
+        if open_:
+            state.setTimeoutTimestamp(max((min(open_) + 1) * period * 1000, state.getCurrentWatermarkMs() + 1))
+
+    return rows.groupBy(key).applyInPandasWithState(count, f"{key} {kind}, ts timestamp, value long", "following long, windows array<long>, counts array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_hourly_average(source: DataFrame, min_points: int = 5, key: Sequence[str] = ("station_code", "type_name"), delay: str = "1 day") -> DataFrame:
+    """Means over (start, end] hours of at least min_points rows, at the end, when the watermark has passed them."""
+    end = F.timestamp_seconds((F.ceil(F.unix_micros("ts") / 3_600_000_000) * 3600).cast("long"))
+    # an hour's rows carry its end as event time, so that a row on the full hour closes the hour that it belongs to
+    rows = source.withWatermark("ts", delay).withColumn("end", end)
+    hours = rows.groupBy(*key, F.window("ts", "1 hour", startTime="1 microsecond").alias("w")).agg(F.avg("value").alias("value"), F.count("value").alias("n"), F.max("end").alias("end"))
+    return hours.where(F.col("n") >= min_points).select(*key, F.col("end").alias("ts"), "value")
+
+
+def stream_merge(source: DataFrame, read: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, DataFrame], None], key: Sequence[str] = ("station_code",)) -> DataStreamWriter:
+    """Each micro-batch of (key, ts, value) is a recomputed range of the target.
+
+    read(keys) gives the target's rows of the batch's keys (or more), write(keys, rows) replaces those of the same keys
+    by the rows after the change set; other keys aren't touched, so a target in folders by key is rewritten in the
+    folders that the batch has. A batch that is tried again gives the same target. write() must not replace what read()
+    reads before it has read it all (a dynamic partition overwrite stages its files).
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         bounds = batch.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()  # one row
         if bounds.lo is None:
             return
-        old = read()
-        own = old.join(batch.select(*key).distinct(), list(key), "left_semi")
-        changes = change_set(batch, own, F.lit(bounds.lo), F.lit(bounds.hi), key)
-        write(apply_changes(old, changes, key))
+        keys = batch.select(*key).distinct()
+        old = read(keys).join(keys, list(key), "left_semi")
+        write(keys, apply_changes(old, change_set(batch, old, F.lit(bounds.lo), F.lit(bounds.hi), key), key))
 
     return source.writeStream.foreachBatch(merge)
 
 
+def stream_latest(source: DataFrame, read: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, DataFrame], None], key: Sequence[str] = ("station_code",)) -> DataStreamWriter:
+    """The cache of latest rows (key, ts, value) after each micro-batch; read() and write() are those of stream_merge().
+
+    Only keys whose row changes are written. Rows that are older than the cached one change nothing.
+    """
+
+    def upsert(batch: DataFrame, _: int) -> None:
+        keys = batch.select(*key).distinct()
+        old = read(keys).join(keys, list(key), "left_semi").select(*key, "ts", "value")
+        # the cached row competes as a row of the batch, so that a late row doesn't replace it
+        new = refresh_latest(old, batch.select(*key, "ts", "value").unionByName(old), key).where("op <> 'keep'").drop("op")
+        if not new.isEmpty():
+            write(new.select(*key), new)
+
+    return source.writeStream.foreachBatch(upsert)
+
+
 TRIP = "link_code string, device string, ts timestamp, value double"
 STATE = "starts array<timestamp>, ends array<timestamp>"
 
@@ -58,13 +120,14 @@ def stream_match(source: DataFrame, edges: DataFrame, max_s: int = 3600, delay:
             starts |= set(f.ts[f.is_origin])
             ends_ |= set(f.ts[~f.is_origin])
         mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        rows = []
-        for s in sorted(starts):
+        rows, begun, ended = [], sorted(starts), sorted(ends_)
+        for i, s in enumerate(begun):
             if s + wait > mark:
-                continue
-            finish = min((e for e in ends_ if s < e < s + wait), default=None)
-            again = min((o for o in starts if s < o < s + wait), default=None)
-            if finish is not None and (again is None or again > finish):
+                break
+            at = bisect_right(ended, s)
+            finish = ended[at] if at < len(ended) and ended[at] < s + wait else None
+            # the next start cuts a trip off if it isn't after its finish
+            if finish is not None and (i + 1 == len(begun) or begun[i + 1] > finish):
                 rows.append((*key, s, (finish - s).total_seconds()))
         open_ = {s for s in starts if s + wait > mark}
         # a decided start still cuts off none of the open ones, as it is earlier than all of them

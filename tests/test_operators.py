@@ -297,13 +297,31 @@ def test_parking(spark):
     assert one(spark, fn.weather_code(F.lit("c"))) == 2
 
 
-def test_recursive_forecast_equals_a_loop(spark):
-    past = [5.0, 7.0, 6.0, 8.0]
-    got = [r.value for r in forecast.forecast_recursive(series(spark, [(300 * i, v) for i, v in enumerate(past)]), {"intercept": 1.0, "lag_1": 0.5, "lag_2": 0.25, "running_mean": 0.1}, 5, lags=(1, 2)).orderBy("ts").collect()]
-    mean, want = sum(past[-3:]) / 3, list(past)
-    for _ in range(5):
-        want.append(1.0 + 0.5 * want[-1] + 0.25 * want[-2] + 0.1 * mean)
-    assert got == pytest.approx(want[4:])
+@pytest.mark.parametrize("kind", ["linear", "trees"])
+def test_recursive_forecast_equals_a_loop(spark, kind):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    past = (10 + 3 * np.sin(np.arange(40) / 3) + rng.normal(0, 0.3, 40)).tolist()
+    names = ["lag_1", "lag_2", "running_mean", "slot"]
+    signals = series(spark, [(300 * i, v) for i, v in enumerate(past)]).withColumn("slot", F.minute("ts").cast("double"))
+    train = forecast.training_set(signals, F.lit("2025-01-01").cast("timestamp"), (1, 2), 2016)
+    model = forecast.fit_linear(train, names, (), False) if kind == "linear" else forecast.fit_ensemble(train, names, 1, (), False, 3)[0]
+    future = series(spark, [(300 * i, None) for i in range(40, 46)]).drop("value").withColumn("slot", F.minute("ts").cast("double"))
+    got = [r.value for r in forecast.forecast_recursive(signals, model, names, 6, lags=(1, 2), future=future).orderBy("ts").collect()]
+    want, mean = list(past), sum(past) / len(past)
+    for i in range(40, 46):
+        row = spark.createDataFrame([("s", want[-1], want[-2], mean, float(5 * i % 60))], "station_code string, lag_1 double, lag_2 double, running_mean double, slot double")
+        want.append(model.transform(row).first().prediction)
+    assert got == pytest.approx(want[40:]) and len(set(got)) > 1
+
+
+def test_lots_have_models_of_their_own(spark):
+    rows = [(c, at(3600 * i), float(f * (i % 24) + e)) for c, f, e in (("a", 1.0, 100.0), ("b", -3.0, 500.0)) for i in range(24 * 15)]
+    m = spark.createDataFrame(rows, "station_code string, ts timestamp, value double")
+    got = {(r.station_code, r.ts.hour): r for r in forecast.forecast_lots(m, lags=(24,)).collect()}
+    assert len(got) == 48 and all(abs(got["a", h].free - (100 + h)) <= 2 and abs(got["b", h].free - (500 - 3 * h)) <= 4 for h in range(24))
+    assert got["a", 5].hi - got["a", 5].lo < got["b", 5].hi - got["b", 5].lo
 
 
 def test_catalog(spark):

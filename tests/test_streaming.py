@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 from stationflow.operators import trips
-from stationflow.streaming import stream_match, stream_merge, stream_window
+from stationflow.streaming import stream_counts, stream_latest, stream_match, stream_merge, stream_window
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -47,9 +47,31 @@ def test_trips(spark, tmp_path):
 
 def test_merge(spark, tmp_path):
     schema = "station_code string, value double, ts timestamp"
-    state = {"now": [("s", 9.0, T0 + dt.timedelta(minutes=1)), ("s", 1.0, T0 + dt.timedelta(minutes=500))]}
+    state = {"now": [("s", 9.0, T0 + dt.timedelta(minutes=1)), ("s", 1.0, T0 + dt.timedelta(minutes=500)), ("other", 5.0, T0)]}
     src = feed(spark, tmp_path, [("s", float(i), T0 + dt.timedelta(minutes=2 * i)) for i in range(4)], schema, parts=1)
-    read = lambda: spark.createDataFrame(state["now"], schema)
-    write = lambda df: state.update(now=[(r.station_code, r.value, r.ts) for r in df.collect()])
+    read = lambda keys: spark.createDataFrame(state["now"], schema)
+
+    def write(keys, rows):
+        gone = {r.station_code for r in keys.collect()}
+        state.update(now=[x for x in state["now"] if x[0] not in gone] + [(r.station_code, r.value, r.ts) for r in rows.collect()])
+
     drain(stream_merge(src, read, write), tmp_path)
-    assert sorted(v for _, v, _ in state["now"]) == [0.0, 1.0, 1.0, 2.0, 3.0]
+    assert sorted(v for _, v, _ in state["now"]) == [0.0, 1.0, 1.0, 2.0, 3.0, 5.0]
+
+
+def test_latest_cache(spark, tmp_path):
+    schema = "station_code string, value double, ts timestamp"
+    state = {"old": (9.0, T0 + dt.timedelta(minutes=90)), "late": (7.0, T0 + dt.timedelta(days=1))}
+    rows = [(c, float(i), T0 + dt.timedelta(minutes=20 * i)) for i in range(6) for c in ("old", "late", "new")]
+    read = lambda keys: spark.createDataFrame([(c, v, t) for c, (v, t) in state.items()], schema)
+    write = lambda keys, rows: state.update({r.station_code: (r.value, r.ts) for r in rows.collect()})
+    drain(stream_latest(feed(spark, tmp_path, rows, schema), read, write), tmp_path)
+    assert state == {"old": (5.0, rows[-1][2]), "new": (5.0, rows[-1][2]), "late": (7.0, T0 + dt.timedelta(days=1))}
+
+
+def test_dense_counts(spark, tmp_path):
+    rows = [("s", 1.0, T0 + dt.timedelta(minutes=m)) for m in (5, 6, 70, 400, 401, 700)]
+    src = feed(spark, tmp_path, rows, "station_code string, value double, ts timestamp")
+    drain(stream_counts(src, 3600, delay="1 minute").writeStream.format("memory").queryName("counts").outputMode("append"), tmp_path)
+    got = {(r.ts - T0).total_seconds() / 3600 - 0.5: r.value for r in spark.table("counts").collect()}
+    assert got == {0: 2, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 2}
