@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -79,14 +80,20 @@ def augment(train: DataFrame, noise: float = 0.0, lags: Sequence[int] = LAGS, bl
 
 
 def fit_linear(train: DataFrame, numbers: Sequence[str], categories: Sequence[str] = CATEGORIES, station: bool = True) -> PipelineModel:
-    """M4: linear model; the Huber loss stands for the absolute error."""
-    return Pipeline(stages=[*features(train, numbers, categories, station), LinearRegression(labelCol="value", loss="huber", maxIter=50)]).fit(train)
+    """M4: linear model; the Huber loss stands for the absolute error. Rows are kept while its stages read them one after another."""
+    held = train.persist()
+    model = Pipeline(stages=[*features(train, numbers, categories, station), LinearRegression(labelCol="value", loss="huber", maxIter=50)]).fit(held)
+    held.unpersist()
+    return model
 
 
 def fit_ensemble(train: DataFrame, numbers: Sequence[str], n: int = 5, categories: Sequence[str] = CATEGORIES, station: bool = True, iterations: int = 20) -> list[PipelineModel]:
-    """M5: n boosted-tree models that differ by their seed and the rows they are fitted on."""
-    stages = features(train, numbers, categories, station)
-    return [Pipeline(stages=[*stages, GBTRegressor(labelCol="value", maxIter=iterations, subsamplingRate=0.8, seed=s)]).fit(train) for s in range(n)]
+    """M5: n boosted-tree models that differ by their seed and the rows they are fitted on; the features are made and kept once."""
+    made = Pipeline(stages=features(train, numbers, categories, station)).fit(train)
+    held = made.transform(train).select("value", "features").persist()
+    trees = [GBTRegressor(labelCol="value", maxIter=iterations, subsamplingRate=0.8, seed=s).fit(held) for s in range(n)]
+    held.unpersist()
+    return [PipelineModel([*made.stages, t]) for t in trees]
 
 
 def _tree(node, x: Callable[[int], Column]) -> Column:
@@ -102,17 +109,9 @@ def _tree(node, x: Callable[[int], Column]) -> Column:
     return F.when(left, _tree(node.leftChild(), x)).otherwise(_tree(node.rightChild(), x))
 
 
-def model_value(model, x: Callable[[int], Column]) -> Column:
-    """What a linear model or boosted trees predict for features x(i), as an expression; features of weight 0 aren't asked for."""
-    if hasattr(model, "coefficients"):
-        out = F.lit(float(model.intercept))
-        for i, w in enumerate(model.coefficients.toArray().tolist()):
-            out = out + F.lit(w) * x(i) if w else out
-        return out
-    out = F.lit(0.0)
-    for tree, w in zip(model.trees, model.treeWeights):
-        out = out + F.lit(float(w)) * _tree(tree._java_obj.rootNode(), x)
-    return out
+def tree_value(model, x: Callable[[int], Column]) -> Column:
+    """What boosted trees predict for features x(i), as an expression."""
+    return reduce(lambda a, b: a + b, [F.lit(float(w)) * _tree(tree._java_obj.rootNode(), x) for tree, w in zip(model.trees, model.treeWeights)])
 
 
 def forecast_recursive(signals: DataFrame, model: PipelineModel, numbers: Sequence[str], steps: int = 576, step: int = 300, lags: Sequence[int] = LAGS, future: DataFrame | None = None) -> DataFrame:
@@ -135,21 +134,27 @@ def forecast_recursive(signals: DataFrame, model: PipelineModel, numbers: Sequen
     blank = {f"lag_{n}": F.lit(0.0) for n in lags}
     rows = future.join(state.select("station_code", "mean", "last"), "station_code").withColumns(blank | ({"running_mean": F.col("mean")} if "running_mean" in numbers else {}))
     rows = rows.na.fill(0.0, [c for c in numbers if c in rows.columns])
-    ready = PipelineModel(model.stages[:-1]).transform(rows)
+    last, linear = model.stages[-1], hasattr(model.stages[-1], "coefficients")
+    ready = model.transform(rows)
     size = next(s for s in model.stages if isinstance(s, StandardScalerModel))
-    first = model.stages[-1].numFeatures - len(numbers)
+    first = last.numFeatures - len(numbers)
     place = {first + i: (int(c.removeprefix("lag_")), float(size.mean[i]), float(size.std[i]) or 1.0) for i, c in enumerate(numbers) if c.startswith("lag_")}
-    made = ready.select("station_code", "ts", vector_to_array("features").alias("x"))
+    # a linear model's lags add to its prediction for lags of 0; trees are asked for each step's whole vector
+    made = ready.select("station_code", "ts", (F.array("prediction") if linear else vector_to_array("features")).alias("x"))
     made = made.groupBy("station_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "x"))), lambda s: s.x).alias("xs"), F.array_sort(F.collect_list("ts")).alias("times"))
 
     def following(past: Column, i: Column) -> Column:
+        lag = lambda n: F.coalesce(F.try_element_at(past, F.lit(-n)), F.col("mean"))
+        vector = F.get("xs", i)
+
         def feature(k: int) -> Column:
-            if k not in place:
-                return F.get(F.get("xs", i), k)
-            n, mean, std = place[k]
-            return (F.coalesce(F.try_element_at(past, F.lit(-n)), F.col("mean")) - mean) / std
+            n, mean, std = place.get(k, (0, 0.0, 1.0))
+            return (lag(n) - mean) / std if n else F.get(vector, k)
 
-        return F.concat(past, F.array(model_value(model.stages[-1], feature)))
+        if linear:
+            added = [F.lit(float(last.coefficients[k]) / std) * lag(n) for k, (n, _, std) in place.items()]
+            return F.concat(past, F.array(reduce(lambda a, b: a + b, added, F.get(vector, 0))))
+        return F.concat(past, F.array(tree_value(last, feature)))
 
     out = state.join(made, "station_code").withColumn("all", F.aggregate(F.sequence(F.lit(0), F.size("times") - 1), F.col("past"), following))
     out = out.select("station_code", "times", F.posexplode(F.slice("all", F.size("past") + 1, F.size("times"))).alias("i", "value"))

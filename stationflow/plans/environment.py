@@ -50,7 +50,7 @@ def elaboration_state(spark, sf):
     return out.select("station_code", F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"))
 
 
-METEO = """, h AS (SELECT type_name AS station_code, date_trunc('hour', ts) AS hour, epoch(min(ts))::BIGINT AS ts, round_even(avg(value * 2.71828::DOUBLE - 300), 1) AS rad, round_even(avg(value / 47.3137::DOUBLE), 1) AS ws, avg(sin(radians(event_id % 360))) AS s, avg(cos(radians(event_id % 360))) AS c FROM m GROUP BY 1, 2)
+METEO = """, h AS (SELECT type_name AS station_code, date_trunc('hour', ts) AS hour, epoch(min(ts))::BIGINT AS ts, round_even(avg(value * 2.71828::DOUBLE - 300), 1) AS rad, round_even(avg(value / 47.3137::DOUBLE), 1) AS ws, round_even(avg(value / 20), 2) AS temp, avg(sin(radians(event_id % 360))) AS s, avg(cos(radians(event_id % 360))) AS c FROM m GROUP BY 1, 2)
 """
 
 

@@ -67,8 +67,8 @@ def forecast_mae(spark, sf):
 @query(
     """, b AS (SELECT type_name AS station_code, min(ts) AS lo, max(ts) AS hi FROM m GROUP BY 1),
 g AS (SELECT station_code, unnest(generate_series(TIMESTAMP '2024-01-01', hi, INTERVAL 300 SECOND)) AS t FROM b),
-l AS (SELECT station_code, t, max(ts) AS at FROM g JOIN m ON type_name = station_code AND ts > t - INTERVAL 1 DAY AND ts <= t GROUP BY 1, 2),
-tr AS (SELECT l.station_code, t, avg(value) AS v FROM l JOIN m ON type_name = l.station_code AND ts = at GROUP BY 1, 2),
+l AS (SELECT g.station_code AS station_code, t, max(ts) AS seen FROM g JOIN m ON type_name = g.station_code AND ts >= t - INTERVAL 1 DAY AND ts <= t GROUP BY 1, 2),
+tr AS (SELECT l.station_code AS station_code, t, avg(value) AS v FROM l JOIN m ON type_name = l.station_code AND ts = seen GROUP BY 1, 2),
 r AS (SELECT station_code, t AS start, v AS told FROM tr WHERE t = date_trunc('day', t) AND t BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-29'),
 s AS (SELECT station_code, start, unnest(range(0, 576)) AS step, told FROM r),
 e AS (SELECT s.*, pow(told * (1 + step / 1000.0::DOUBLE) - v, 2.0::DOUBLE) AS e2 FROM s LEFT JOIN tr ON tr.station_code = s.station_code AND t = start + to_seconds(300 * step)),
@@ -79,7 +79,7 @@ def forecast_rmse(spark, sf):
     """Each midnight's last value, raised by a thousandth a step, as the forecast of the next 576 steps."""
     m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), "ts").agg(F.avg("value").alias("value"))
     g = grids.grid(m, 300, ["station_code"], start=F.lit("2024-01-01").cast("timestamp"))
-    truth = grids.asof_pad(g, m, ["station_code"], name="value", within_s=86400).where("value IS NOT NULL")
+    truth = grids.asof_pad(g, m, ["station_code"], name="value", max_age_s=86400).where("value IS NOT NULL")
     runs = truth.where("ts = date_trunc('day', ts)").select("station_code", F.col("ts").alias("start"), F.transform(F.sequence(F.lit(0), F.lit(575)), lambda i: F.col("value") * (1 + i / 1000)).alias("mean"))
     return parking.forecast_rmse(runs, truth, F.lit("2024-01-31").cast("timestamp"), "00:00:00").select("station_code", F.col("step").cast("long").alias("step"), r6("rmse", "rmse"))
 
@@ -130,12 +130,12 @@ NUMBERS = [*(f"lag_{n}" for n in forecast.LAGS), "running_mean", "is_school", "i
 g AS (SELECT station_code, unnest(generate_series(min(t), max(t), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
 p AS (SELECT g.station_code, g.t, n.v, last_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t) AS a,
  first_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM g LEFT JOIN n ON n.station_code = g.station_code AND n.t = g.t)
-SELECT station_code, epoch(t)::BIGINT AS ts, round(coalesce(v, a.v + (b.v - a.v) * (epoch(t) - epoch(a.t)) / (epoch(b.t) - epoch(a.t))), 6) AS value, (hour(t) * 12 + minute(t) // 5)::BIGINT AS slot, (isodow(t) - 1)::BIGINT AS weekday,
+SELECT station_code, epoch(t)::BIGINT AS ts, round(1.047197551196598::DOUBLE * coalesce(v, a.v + (b.v - a.v) * (epoch(t) - epoch(a.t)) / (epoch(b.t) - epoch(a.t))), 6) AS value, (hour(t) * 12 + minute(t) // 5)::BIGINT AS slot, (isodow(t) - 1)::BIGINT AS weekday,
  month(t) AS month, (isodow(t) >= 6)::INT::DOUBLE AS is_school, (isodow(t) = 7)::INT::DOUBLE AS is_holiday, (day(t) % 5)::DOUBLE AS symbol FROM p"""
 )
 def parking_signals(spark, sf):
     """M1: signals of each type every five minutes."""
-    return _signals(spark, sf).select("station_code", epoch("ts"), r6("value", "value"), *(F.col(c).cast("long").alias(c) for c in ("slot", "weekday", "month")), "is_school", "is_holiday", "symbol")
+    return _signals(spark, sf).select("station_code", epoch("ts"), r6(F.col("value") * 1.047197551196598, "value"), *(F.col(c).cast("long").alias(c) for c in ("slot", "weekday", "month")), "is_school", "is_holiday", "symbol")
 
 
 def _training(spark, sf):

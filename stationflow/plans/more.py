@@ -85,27 +85,31 @@ def gate_precip(spark, sf):
     return roadwx.gate_precip(obs, fc.withColumnRenamed("v", "qp")).select("station_code", epoch("ts"), F.round("qp", 4).alias("qp"), "sc")
 
 
-@query(OBS + "SELECT type_name AS station_code, epoch(t)::BIGINT AS ts, round(CASE WHEN hour(t) IN (6, 20) THEN v END, 4) AS sst FROM f")
+@query(
+    OBS
+    + """, s AS (SELECT type_name, CAST(t AS DATE) AS d, min(t) FILTER (hour(t) >= 5) AS up, max(t) FILTER (hour(t) <= 18) AS down FROM f WHERE day(t) % 2 = 0 GROUP BY 1, 2)
+SELECT f.type_name AS station_code, epoch(t)::BIGINT AS ts, round(CASE WHEN t IN (coalesce(up, date_trunc('day', t) + INTERVAL 6 HOUR), coalesce(down, date_trunc('day', t) + INTERVAL 20 HOUR)) THEN v END, 4) AS sst FROM f LEFT JOIN s ON s.type_name = f.type_name AND d = CAST(t AS DATE)"""
+)
 def sst_at_sun(spark, sf):
-    """By the default hours."""
+    """On even days between a first and a last hour, by the default hours on others."""
     fc, _ = _obs(spark, sf)
-    sun = spark.createDataFrame([], "station_code string, date date, sunrise timestamp, sunset timestamp")
+    sun = fc.where("day(ts) % 2 = 0").groupBy("station_code", F.to_date("ts").alias("date")).agg(F.min(F.when(F.hour("ts") >= 5, F.col("ts"))).alias("sunrise"), F.max(F.when(F.hour("ts") <= 18, F.col("ts"))).alias("sunset"))
     return roadwx.sst_at_sun(fc.withColumnRenamed("v", "sst"), sun).select("station_code", epoch("ts"), F.round("sst", 4).alias("sst"))
 
 
 @query(
     OBS
-    + """, o AS (SELECT *, v * 1.1::DOUBLE - 3 AS at, v + 5 AS td, v / 2 AS ws, type_name <> 'error' AS ok FROM f WHERE t < TIMESTAMP '2024-01-15'),
-e AS (SELECT type_name, max(t) AS end_t, bool_and(ok) AS ok FROM o GROUP BY 1),
-z AS (SELECT e.*, o.at AS oa, o.td AS ot, o.ws AS ow, f.v AS fv FROM e JOIN o ON o.type_name = e.type_name AND o.t = end_t LEFT JOIN f ON f.type_name = e.type_name AND f.t = end_t),
-j AS (SELECT f.type_name, f.t, f.v, o.at, o.td, o.ws, z.*, (epoch_us(f.t) - epoch_us(end_t)) / 1e6 AS age FROM f LEFT JOIN o ON o.type_name = f.type_name AND o.t = f.t LEFT JOIN z ON z.type_name = f.type_name),
+    + """, ob AS (SELECT *, v * 1.1::DOUBLE - 3 AS "at", v + 5 AS td, v / 2 AS ws, type_name <> 'error' AS ok FROM f WHERE t < TIMESTAMP '2024-01-15'),
+e AS (SELECT type_name, max(t) AS end_t, bool_and(ok) AS ok FROM ob GROUP BY 1),
+z AS (SELECT e.*, o."at" AS oa, o.td AS ot, o.ws AS ow, f.v AS fv FROM e JOIN ob o ON o.type_name = e.type_name AND o.t = end_t LEFT JOIN f ON f.type_name = e.type_name AND f.t = end_t),
+j AS (SELECT f.type_name, f.t, f.v, o."at", o.td, o.ws, z.* EXCLUDE (type_name), (epoch_us(f.t) - epoch_us(end_t)) / 1e6 AS age FROM f LEFT JOIN ob o ON o.type_name = f.type_name AND o.t = f.t LEFT JOIN z ON z.type_name = f.type_name),
 b AS (SELECT type_name, t,
- CASE WHEN ok AND age <= 0 THEN coalesce(at, v) WHEN ok THEN v - exp(-age / 14400) * (fv - oa) ELSE v END AS at,
+ CASE WHEN ok AND age <= 0 THEN coalesce("at", v) WHEN ok THEN v - exp(-age / 14400) * (fv - oa) ELSE v END AS "at",
  CASE WHEN age <= 0 THEN coalesce(td, v) ELSE v - exp(-age / 14400) * (fv - ot) END AS td,
  CASE WHEN age <= 0 THEN coalesce(ws, v) WHEN age >= 14400 THEN v
   WHEN ow < fv THEN v * (CASE WHEN ow = 0 THEN 1.0 ELSE ow END / CASE WHEN fv < 0.01 THEN 1.0 ELSE fv END + (1 - CASE WHEN ow = 0 THEN 1.0 ELSE ow END / CASE WHEN fv < 0.01 THEN 1.0 ELSE fv END) * age / 14400)
   ELSE v - exp(-age / 14400) * (fv - ow) END AS ws FROM j)
-SELECT type_name AS station_code, epoch(t)::BIGINT AS ts, round(at, 6) AS at, round(least(td, at), 6) AS td, round(ws, 6) AS ws FROM b"""
+SELECT type_name AS station_code, epoch(t)::BIGINT AS ts, round("at", 6) AS "at", round(least(td, "at"), 6) AS td, round(ws, 6) AS ws FROM b"""
 )
 def blend_obs_forecast(spark, sf):
     """Hourly means as forecast, observed until the 15th (air temperatures of one type are invalid)."""
@@ -143,12 +147,12 @@ def qc_forecast(spark, sf):
 @query(
     """, r AS (SELECT station_code, ts, CASE WHEN event_id % 2 = 0 THEN value END AS st, CASE WHEN event_id % 3 = 0 THEN value END AS sst, row_number() OVER (PARTITION BY station_code ORDER BY ts) AS n FROM m),
 b AS (SELECT a.station_code, a.ts, count(b.ts) AS near FROM r a LEFT JOIN r b ON a.station_code = b.station_code AND b.st IS NOT NULL AND b.ts <> a.ts AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 14400e6 WHERE a.st IS NOT NULL AND a.sst IS NOT NULL GROUP BY 1, 2)
-SELECT r.station_code, count(b.ts) > 0 AS has_both, count(*) FILTER (near = 0) = 0 AS has_company, count(st) >= 2 AS has_two, count(*) FILTER (n <= 2 AND st IS NOT NULL) > 0 AS has_early FROM r LEFT JOIN b ON b.station_code = r.station_code AND b.ts = r.ts GROUP BY 1"""
+SELECT r.station_code, count(b.ts) > 0 AS has_both, count(*) FILTER (near = 0) = 0 AS has_company, count(st) >= 2 AS has_two, count(*) FILTER (n <= 2 AND st IS NOT NULL) > 0 AS has_early, has_both AND has_company AND has_two AND has_early AS accepted FROM r LEFT JOIN b ON b.station_code = r.station_code AND b.ts = r.ts GROUP BY 1"""
 )
 def accept_observation(spark, sf):
     """W19."""
     rows = measurements(spark, sf).select("station_code", "ts", F.when(F.col("event_id") % 2 == 0, F.col("value")).alias("st"), F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("sst"))
-    return quality.accept_observation(rows).drop("accepted")
+    return quality.accept_observation(rows)
 
 
 @query(

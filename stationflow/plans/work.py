@@ -56,17 +56,19 @@ def pending_parent_windows(spark, sf):
 
 
 @query(
-    """, d AS (SELECT station_code, max(ts) AS d FROM m WHERE type_name = 'view' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1), s AS (SELECT DISTINCT station_code FROM m),
-a AS (SELECT station_code, coalesce(d, TIMESTAMP '2024-01-02') AS start FROM s LEFT JOIN d USING (station_code))
-SELECT station_code, epoch_us(greatest(start, (SELECT max(start) FROM a) - INTERVAL 3 DAY)) AS start FROM a"""
+    """, d AS (SELECT station_code, max(ts) AS d FROM m WHERE type_name = 'view' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1), k AS (SELECT station_code, max(ts) AS k FROM m WHERE type_name = 'click' AND ts < TIMESTAMP '2024-01-25' GROUP BY 1),
+s AS (SELECT station_code, bool_or(type_name = 'signup' AND value > 100) AS camera FROM m GROUP BY 1),
+a AS (SELECT station_code, CASE WHEN camera THEN greatest(coalesce(greatest(d, k), TIMESTAMP '2024-01-02'), TIMESTAMP '2024-07-10') ELSE coalesce(greatest(d, k), TIMESTAMP '2024-01-02') END AS start FROM s LEFT JOIN d USING (station_code) LEFT JOIN k USING (station_code))
+SELECT station_code, epoch_us(greatest(start, (SELECT max(start) FROM a) - INTERVAL 170 DAY)) AS start FROM a"""
 )
 def start_dates(spark, sf):
-    """I4, I5."""
+    """Views as output, clicks as checkpoints, users with a large signup as cameras."""
     m = measurements(spark, sf)
-    stations = m.select("station_code").distinct().withColumn("metadata", F.lit("{}"))
-    none = spark.createDataFrame([], "station_code string, checkpoint_ts timestamp")
-    starts = incremental.start_dates(stations, m.where("type_name = 'view' AND ts < '2024-01-20'"), none, F.lit("2024-01-02").cast("timestamp"))
-    return incremental.cap_lookback(starts, 3).select("station_code", F.unix_micros("start").alias("start"))
+    camera = F.bool_or((F.col("type_name") == "signup") & (F.col("value") > 100))
+    stations = m.groupBy("station_code").agg(F.when(camera, '{"sensor_type": "camera"}').otherwise("{}").alias("metadata"))
+    checkpoints = m.where("type_name = 'click' AND ts < '2024-01-25'").select("station_code", F.col("ts").alias("checkpoint_ts"))
+    starts = incremental.start_dates(stations, m.where("type_name = 'view' AND ts < '2024-01-20'"), checkpoints, F.lit("2024-01-02").cast("timestamp"))
+    return incremental.cap_lookback(starts, 170).select("station_code", F.unix_micros("start").alias("start"))
 
 
 @query(
@@ -80,15 +82,18 @@ def batches(spark, sf):
 
 
 @query(
-    """, c AS (SELECT type_name AS job, station_code, max(ts) AS c FROM m WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1, 2), e AS (SELECT type_name AS job, station_code, max(ts) AS e FROM m WHERE ts >= TIMESTAMP '2024-01-19' GROUP BY 1, 2)
-SELECT job, station_code, epoch_us(CASE WHEN e IS NOT NULL AND (c IS NULL OR date_trunc('day', e) > date_trunc('day', c)) THEN e ELSE c END) AS checkpoint_ts FROM c FULL JOIN e USING (job, station_code)"""
+    """, c AS (SELECT type_name AS job, station_code, max(ts) AS c, CASE WHEN max(value) > 60 THEN TIMESTAMP '2024-01-01' + to_days(max(value)::INT // 3) END AS x FROM m WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1, 2),
+l AS (SELECT * FROM c WHERE x IS NULL OR x > TIMESTAMP '2024-02-01'), e AS (SELECT type_name AS job, station_code, max(ts) AS e FROM m WHERE ts >= TIMESTAMP '2024-01-19' GROUP BY 1, 2),
+j AS (SELECT *, e IS NOT NULL AND (c IS NULL OR date_trunc('day', e) > date_trunc('day', c)) AS moved FROM l FULL JOIN e USING (job, station_code))
+SELECT job, station_code, epoch_us(CASE WHEN moved THEN e ELSE c END) AS checkpoint_ts, epoch(CASE WHEN moved THEN TIMESTAMP '2024-02-01' + INTERVAL 1 DAY ELSE x END)::BIGINT AS expires_at FROM j"""
 )
 def advance_checkpoint(spark, sf):
-    """I7."""
+    """Checkpoints of which some expire."""
     m = measurements(spark, sf).withColumnRenamed("type_name", "job")
-    old = m.where("ts < '2024-01-20'").groupBy("job", "station_code").agg(F.max("ts").alias("checkpoint_ts")).withColumn("expires_at", F.lit(None).cast("timestamp"))
+    x = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.bround(F.max("value"), 0) / 3).cast("int")).cast("timestamp")
+    old = m.where("ts < '2024-01-20'").groupBy("job", "station_code").agg(F.max("ts").alias("checkpoint_ts"), F.when(F.max("value") > 60, x).alias("expires_at"))
     ends = m.where("ts >= '2024-01-19'").select("job", "station_code", F.col("ts").alias("end"))
-    return incremental.advance_checkpoint(old, ends, F.lit("2024-02-01").cast("timestamp")).select("job", "station_code", F.unix_micros("checkpoint_ts").alias("checkpoint_ts"))
+    return incremental.advance_checkpoint(old, ends, F.lit("2024-02-01").cast("timestamp"), 86400).select("job", "station_code", F.unix_micros("checkpoint_ts").alias("checkpoint_ts"), epoch("expires_at", "expires_at"))
 
 
 @query("SELECT event_id FROM m LEFT JOIN (SELECT station_code, max(ts) AS l FROM m WHERE type_name = 'click' AND ts < TIMESTAMP '2024-01-15' GROUP BY 1) USING (station_code) WHERE l IS NULL OR (ts > l AND ts <= l + INTERVAL 5 DAY)")
@@ -119,13 +124,17 @@ def profile_dataset(spark, sf):
     return out.select(F.array_join("providers", ",").alias("providers"), F.array_join("licences", ",").alias("licences"), "records")
 
 
-@query("SELECT source AS dataset, count(*) AS records, CASE WHEN source > 'src5' THEN count(*) ELSE 0 END AS merged FROM documents GROUP BY 1")
+@query(
+    """, p AS (SELECT source AS dataset, array_to_string(list_sort(list(DISTINCT lang)), ',') AS l, count(*) AS n FROM documents GROUP BY 1)
+SELECT dataset, CASE WHEN dataset > 'src5' THEN 'P ' || l ELSE 'old' END AS providers, CASE WHEN dataset > 'src5' THEN l ELSE 'none' END AS licences, CASE WHEN dataset > 'src5' THEN n ELSE 0 END AS records,
+ CASE WHEN dataset > 'src5' THEN 1704153600 ELSE 1704067200 END::BIGINT AS last_update FROM p"""
+)
 def merge_profile(spark, sf):
-    """Records of sources, replaced where the source changed."""
-    profile = table(spark, sf, "documents").groupBy(F.col("source").alias("dataset")).agg(F.lit("p").alias("providers"), F.lit("l").alias("licences"), F.count(F.lit(1)).alias("records"))
-    meta = profile.select("dataset", F.lit("").alias("providers"), F.lit("").alias("licences"), F.lit(0).cast("long").alias("records"), F.when(F.col("dataset") > "src5", F.lit("2024-01-02")).otherwise("2024-01-01").cast("timestamp").alias("last_update"))
-    merged = catalog.merge_profile(meta, profile, F.lit("2024-01-01").cast("timestamp")).select("dataset", F.col("records").alias("merged"))
-    return profile.select("dataset", "records").join(merged, "dataset")
+    """Providers, licences and records of sources, replaced where the source changed."""
+    langs = F.array_join(F.array_sort(F.collect_set("lang")), ",")
+    profile = table(spark, sf, "documents").groupBy(F.col("source").alias("dataset")).agg(F.concat(F.lit("P "), langs).alias("providers"), langs.alias("licences"), F.count(F.lit(1)).alias("records"))
+    meta = profile.select("dataset", F.lit("old").alias("providers"), F.lit("none").alias("licences"), F.lit(0).cast("long").alias("records"), F.when(F.col("dataset") > "src5", F.lit("2024-01-02")).otherwise("2024-01-01").cast("timestamp").alias("last_update"))
+    return catalog.merge_profile(meta, profile, F.lit("2024-01-01").cast("timestamp")).withColumn("last_update", F.unix_seconds("last_update"))
 
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS station_code, coalesce(max(ts) > TIMESTAMP '2024-01-30 18:00:00', false) AS active FROM supplier LEFT JOIN m ON station_code = CAST(s_suppkey AS VARCHAR) AND type_name = 'view' GROUP BY 1")
@@ -194,7 +203,7 @@ def combine_locations(spark, sf):
     return rollups.combine_locations(_directions(spark, sf)).select("station_code", "name", r6("x", "x"), "origin")
 
 
-@query("SELECT 'S' AS station_type, station_code, type_name, epoch_ms(ts) AS ts, value, event_id AS period FROM m")
+@query("SELECT 'S' AS station_type, station_code, type_name, epoch_us(ts) // 1000 AS ts, value, event_id AS period FROM m")
 def tree_json(spark, sf):
     """Every event as a tree of JSON, flattened again."""
     m = measurements(spark, sf)
@@ -204,7 +213,7 @@ def tree_json(spark, sf):
     return sources.flatten_tree_json(m.select(F.to_json(tree).alias("json"))).select("station_type", "station_code", "type_name", F.unix_millis("ts").alias("ts"), "value", F.col("period").cast("long").alias("period"))
 
 
-@query("SELECT station_code, type_name, 'stationflow' AS provenance, epoch_ms(ts) AS ts, value, CAST(3600 AS BIGINT) AS period FROM m")
+@query("SELECT station_code, type_name, 'stationflow' AS provenance, epoch_us(ts) // 1000 AS ts, value, CAST(3600 AS BIGINT) AS period FROM m")
 def to_datamap(spark, sf):
     """Each user's events as one document, read back."""
     out = sources.to_datamap(measurements(spark, sf), "stationflow")
@@ -374,11 +383,11 @@ def read_prediction_xml(spark, sf):
     return sources.read_prediction_xml(spark, path).select(epoch("forecast-time", "ts"), "at", "td", "ra")
 
 
-@query("SELECT type_name, round(value, 6) AS value, epoch(ts)::BIGINT AS ts FROM m WHERE type_name = 'view'")
+@query("SELECT type_name, round(value, 6) AS value, epoch_us(ts) AS ts FROM m WHERE type_name = 'view'")
 def forecast_of(spark, sf):
     """All steps of one car park."""
     fc = measurements(spark, sf).select(F.col("type_name").alias("station_code"), F.col("ts").alias("start"), "value")
-    return parking.forecast_of(fc, "view").select(F.col("station_code").alias("type_name"), F.round("value", 6).alias("value"), epoch("start", "ts"))
+    return parking.forecast_of(fc, "view").select(F.col("station_code").alias("type_name"), F.round("value", 6).alias("value"), F.unix_micros("start").alias("ts"))
 
 
 @query("SELECT station_code, type_name, epoch_us(ts) AS ts, value FROM m WHERE NOT (type_name IN ('view', 'click'))")
