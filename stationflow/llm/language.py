@@ -24,13 +24,43 @@ SEGMENT = 64  # words of a segment; segments are chained by their transfer matri
 MOST_WORDS = 150_000  # words whose scores a worker keeps; beyond that it begins anew
 
 
-def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
-    """Affixes of one to three letters, bigrams and trigrams, the word itself, and the lexica that have it; hashed."""
-    w = f"^{word}$"
-    found = [f"p{word[:n]}" for n in (1, 2, 3) if len(word) >= n] + [f"s{word[-n:]}" for n in (1, 2, 3) if len(word) >= n]
-    found += [w[i : i + 2] for i in range(len(w) - 1)] + [w[i : i + 3] for i in range(len(w) - 2)]
-    found += [f"w{word}"] + [f"l{k}" for k in lexicon.get(word, ())]
-    return [zlib.crc32(f.encode()) & (BUCKETS - 1) for f in found]
+def _hashed(kind: int, *parts: np.ndarray) -> np.ndarray:
+    """Buckets of features: a kind and its letters."""
+    h = np.full(len(parts[0]), kind, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for p in parts:
+        h = (h ^ p) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return ((h * np.uint64(0x94D049BB133111EB)) >> np.uint64(48)).astype(np.int64) & (BUCKETS - 1)
+
+
+def features(words: list[str], lexicon: dict[str, tuple[int, ...]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Affixes of one to three letters, bigrams and trigrams, the word itself, and the lexica that have it, for many words at once.
+
+    Groups of (hashed features, numbers of their words, in order); in the first two, those of the bigrams and trigrams,
+    each word has several, and in the others one at most.
+    """
+    n = len(words)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=n)
+    text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    start, each = np.cumsum(size) - size, np.arange(n)
+    framed = np.empty(len(text) + 2 * n, np.uint64)
+    framed[np.arange(len(text)) + np.repeat(2 * each + 1, size)] = text
+    framed[start + 2 * each], framed[start + size + 2 * each + 1] = ord("^"), ord("$")
+    owner = np.repeat(each, size + 2)
+    out = []
+    for k in (2, 3):
+        inside = owner[k - 1 :] == owner[: len(owner) - k + 1]
+        out.append((_hashed(k, *(framed[j : len(framed) - k + 1 + j] for j in range(k)))[inside], owner[: len(owner) - k + 1][inside]))
+    for k in (1, 2, 3):
+        on = np.flatnonzero(size >= k)
+        out.append((_hashed(3 + k, *(text[start[on] + j] for j in range(k))), on))
+        out.append((_hashed(6 + k, *(text[start[on] + size[on] - k + j] for j in range(k))), on))
+    out.append((_hashed(10, np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), dtype=np.uint64, count=n)), each))
+    told = [(i, y) for i, w in enumerate(words) if w in lexicon for y in lexicon[w]]
+    for y in sorted({y for _, y in told}):
+        on = np.array([i for i, z in told if z == y])
+        out.append((_hashed(11, np.full(len(on), y, np.uint64)), on))
+    return out
 
 
 @dataclass
@@ -43,11 +73,15 @@ class Model:
     lexicon: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
 
-def _sums(weights: np.ndarray, each: list[list[int]]) -> np.ndarray:
+def word_scores(weights: np.ndarray, words: list[str], lexicon: dict[str, tuple[int, ...]]) -> np.ndarray:
     """Sum of the weights of each word's features."""
-    size = np.array([len(f) for f in each])
-    flat = np.fromiter((i for f in each for i in f), dtype=np.int64, count=int(size.sum()))
-    return np.add.reduceat(weights[flat], np.cumsum(size) - size, axis=0) if len(size) else np.zeros((0, weights.shape[1]))
+    out = np.zeros((len(words), weights.shape[1]))
+    for g, (ids, of) in enumerate(features(words, lexicon) if words else ()):
+        if g < 2:
+            out += np.add.reduceat(weights[ids], np.flatnonzero(np.r_[True, of[1:] != of[:-1]]), axis=0)
+        else:
+            out[of] += weights[ids]
+    return out
 
 
 def fit(samples: list[tuple[str, str]], epochs: int = 30, mixed: int = 1500, seed: int = 7) -> Model:
@@ -82,9 +116,10 @@ def fit(samples: list[tuple[str, str]], epochs: int = 30, mixed: int = 1500, see
         sequences.append((words, ys))
     vocabulary: dict[str, int] = {}
     ids = [np.array([vocabulary.setdefault(x, len(vocabulary)) for x in w]) for w, _ in sequences]
-    each = [features(x, lexicon) for x in vocabulary]
-    size = np.array([len(f) for f in each])
-    flat = np.fromiter((i for f in each for i in f), dtype=np.int64, count=int(size.sum()))
+    groups = features(list(vocabulary), lexicon)
+    owner = np.concatenate([of for _, of in groups])
+    flat = np.concatenate([f for f, _ in groups])[np.argsort(owner, kind="stable")]
+    size = np.bincount(owner, minlength=len(vocabulary))
     begin = np.cumsum(size) - size
     length = np.array([len(x) for x in ids])
     steps, n = int(length.max()), len(ids)
@@ -100,11 +135,11 @@ def fit(samples: list[tuple[str, str]], epochs: int = 30, mixed: int = 1500, see
     params = [model.weights, model.moves]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for epoch in range(1, epochs + 1):
-        of_word = np.empty((len(each), k))
-        for a in range(0, len(each), some):
-            b = min(a + some, len(each))
+        of_word = np.empty((len(vocabulary), k))
+        for a in range(0, len(vocabulary), some):
+            b = min(a + some, len(vocabulary))
             of_word[a:b] = np.add.reduceat(model.weights[flat[begin[a] : begin[b - 1] + size[b - 1]]], begin[a:b] - begin[a], axis=0)
-        by_word, moved = np.zeros((len(each), k)), np.zeros((k, k))
+        by_word, moved = np.zeros((len(vocabulary), k)), np.zeros((k, k))
         for a in range(0, n, few):
             now = slice(a, a + few)
             t = int(length[now].max())
@@ -161,7 +196,7 @@ class Labeller:
         if new:
             while len(self.scores) < self.used + len(new):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            s = _sums(self.model.weights, [features(w, self.model.lexicon) for w in new])
+            s = word_scores(self.model.weights, new, self.model.lexicon)
             self.scores[self.used : self.used + len(new)] = np.exp(s - s.max(1, keepdims=True)) + 1e-12
             self.number.update(zip(new, range(self.used, self.used + len(new))))
             self.used += len(new)

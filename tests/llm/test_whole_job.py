@@ -243,3 +243,21 @@ def test_words_whose_digests_share_a_half(monkeypatch):
     monkeypatch.setattr(decontaminate, "_digests", lambda w: np.array([(7, int(x[1:])) for x in w], np.uint64).reshape(-1, 2))
     p = decontaminate.Phrases(decontaminate.pack_phrases([("i", b"w1 w5 w3")], 13))
     assert [p.digests[k - 1, 1] if k else 0 for k in p.ids([b"w5", b"w9", b"w1", b"w3", b"w2"]).tolist()] == [5, 0, 1, 3, 0]
+
+
+def test_features_of_many_words_are_those_of_each(monkeypatch):
+    words = ["a", "zu", "the", "straße", "日本語", "the", "ungeheuer"]
+    lexicon = {"the": (1,), "zu": (0, 1)}
+
+    def of(group, i):
+        return sorted(f for ids, owner in group for f, w in zip(ids.tolist(), owner.tolist()) if w == i)
+
+    every = language.features(words, lexicon)
+    for i, w in enumerate(words):
+        alone = of(language.features([w], lexicon), 0)
+        # bigrams and trigrams of the framed word, affixes, the word, its lexica
+        assert of(every, i) == alone and len(alone) == len(w) + 1 + len(w) + 2 * min(3, len(w)) + 1 + len(lexicon.get(w, ()))
+    assert of(every, 2) == of(every, 5) != of(every, 1)
+    weights = np.random.default_rng(2).normal(size=(language.BUCKETS, 3))
+    want = np.stack([weights[of(every, i)].sum(axis=0) for i in range(len(words))])
+    assert np.allclose(language.word_scores(weights, words, lexicon), want) and language.word_scores(weights, [], lexicon).shape == (0, 3)
