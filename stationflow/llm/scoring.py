@@ -179,8 +179,11 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
             for block, n_docs, *row in _rows(batch, own):
                 text = _text(*row, n_docs, order)
                 keys, learned, _ = text.grams()
-                grams, times = np.unique(keys[learned], return_counts=True)
-                more = np.unique(keys[~learned])
+                text.keys = []
+                own, keys = keys[learned], keys[~learned]
+                grams, times = np.unique(own, return_counts=True)
+                more = np.unique(keys)
+                del own, keys
                 more = more[~np.isin(more, grams, assume_unique=True)]
                 grams, times = np.concatenate([grams, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
                 by = np.argsort(grams)
@@ -250,7 +253,10 @@ class Counted:
     def __init__(self, text: Text, docs: list, held: list[bool], parts: int):
         self.text, self.docs, self.held = text, docs, held
         keys, learned, self.valid = text.grams()
-        grams, self.at = np.unique(keys, return_inverse=True)
+        text.keys = [(k, None) for k, _ in text.keys]  # what follows needs their order alone
+        grams, at = np.unique(keys, return_inverse=True)
+        del keys
+        self.at = at.astype(np.int32)
         self.counts = {1: text.token_counts(), 2: np.bincount(self.at[learned], minlength=len(grams))}
         self.cuts = {1: np.searchsorted(part_of(text.words, parts), np.arange(parts + 1)), 2: np.searchsorted(part_of(grams, parts), np.arange(parts + 1))}
 
