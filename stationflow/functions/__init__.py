@@ -72,14 +72,19 @@ def station_km(metadata: Column) -> Column:
     return F.coalesce(F.get_json_object(F.get_json_object(metadata, "$.a22_metadata"), "$.metro").cast("double") / 1000, F.lit(-1000.0))
 
 
+# How names of stations tell their direction and lane.
+DIRECTION_PATTERN = r"direzione (\w+)\)"
+LANE_PATTERN = r"\(corsia di [\w\s]+, "
+
+
 def direction_of(name: Column) -> Column:
     """The word after `direzione` at the end of the parentheses; empty if there is none."""
-    return F.regexp_extract(name, r"direzione (\w+)\)", 1)
+    return F.regexp_extract(name, DIRECTION_PATTERN, 1)
 
 
 def name_without_lane(name: Column) -> Column:
     """The name without what says its lane."""
-    return F.regexp_replace(name, r"\(corsia di [\w\s]+, ", "(")
+    return F.regexp_replace(name, LANE_PATTERN, "(")
 
 
 def speed_kmh(length_m: Column, seconds: Column) -> Column:

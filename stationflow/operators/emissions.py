@@ -48,6 +48,7 @@ def emissions(df: DataFrame) -> DataFrame:
     return df.withColumn("EF", copert_factor(F.col("Speed"), *(F.col(n) for n in names))).withColumn("E", F.col("EF") * F.col("Transits"))
 
 
+# The keys that emissions are added up by.
 AGGREGATED = ["date", "time", "Location", "Station", "Lane", "Category", "Pollutant", "Period", "KM"]
 
 
