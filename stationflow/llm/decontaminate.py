@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ def _digests(found: list[bytes]) -> np.ndarray:
 
 def pack_phrases(pieces: list[tuple[str, bytes]], window: int) -> tuple:
     """What is broadcast of a block of pieces (item, its words joined by spaces): digests of the distinct words in order, the pieces'
-    words as numbers (1 ...) one after another, where each piece begins, its item, and the items; 4 bytes a word and 16 a distinct one."""
+    words as numbers (1 ...) one after another, where each piece begins, its item, and the items; 4 bytes a word and 16 a distinct one.
+    The distinct words themselves are there too if they are MOST_KNOWN at most."""
     pieces = sorted(pieces)
     items = sorted({i for i, _ in pieces})
     each = [w.split(b" ") for _, w in pieces]
@@ -41,15 +42,17 @@ def pack_phrases(pieces: list[tuple[str, bytes]], window: int) -> tuple:
     begin = np.cumsum([0, *map(len, each)]).astype(np.int32)
     seq = np.fromiter(map(number.__getitem__, chain.from_iterable(each)), dtype=np.int32, count=int(begin[-1]))
     at = {x: k for k, x in enumerate(items)}
-    return digests[by], seq, begin, np.array([at[i] for i, _ in pieces], np.int32), items, window
+    spelled = b" ".join(number) if len(by) <= MOST_KNOWN else None
+    return digests[by], seq, begin, np.array([at[i] for i, _ in pieces], np.int32), items, window, spelled
 
 
 class Phrases:
     """The windows of a block of the benchmark: where each ends in the pieces' words, how long it is, and its item."""
 
     def __init__(self, packed: tuple):
-        self.digests, self.seq, begin, item, self.items, window = packed
-        self.known: dict[bytes, int] = {}
+        self.digests, self.seq, begin, item, self.items, window, spelled = packed
+        self.whole = spelled is not None
+        self.known: dict[bytes, int] = dict(zip(spelled.split(b" "), range(1, len(self.digests) + 1))) if spelled else {}
         n = np.diff(begin).astype(np.int64)
         windows = np.maximum(1, n - window + 1)
         piece = np.repeat(np.arange(len(n)), windows)
@@ -61,7 +64,9 @@ class Phrases:
         self.shortest = int(self.size.min()) if len(self.size) else 0
 
     def ids(self, found: list[bytes]) -> np.ndarray:
-        """The numbers of words, 0 for those that the block doesn't have."""
+        """The numbers of words, 0 for those that the block doesn't have: from its spelled words, or by digests."""
+        if self.whole:
+            return np.fromiter(map(self.known.get, found, repeat(0)), dtype=np.int64, count=len(found))
         if len(self.known) > MOST_KNOWN:
             self.known.clear()
         new = list(set(found).difference(self.known))
