@@ -180,10 +180,10 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
                 text = _text(*row, n_docs, order)
                 keys, learned, _ = text.grams()
                 text.keys = []
-                own, keys = keys[learned], keys[~learned]
-                grams, times = np.unique(own, return_counts=True)
+                seen, keys = keys[learned], keys[~learned]
+                grams, times = np.unique(seen, return_counts=True)
                 more = np.unique(keys)
-                del own, keys
+                del seen, keys
                 more = more[~np.isin(more, grams, assume_unique=True)]
                 grams, times = np.concatenate([grams, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
                 by = np.argsort(grams)
