@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,19 @@ from pyspark.sql import functions as F
 from .common import hash_sample, portions, small_batches
 
 # word characters that are neither letters nor decimal digits: fractions, powers, Roman and circled numbers
-NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
+NUMBERS = frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+GAPS = dict.fromkeys(map(ord, NUMBERS), " ")
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    text = (text or "").lower()
+    if not text.isascii() and not NUMBERS.isdisjoint(text):
+        text = text.translate(GAPS)
+    return WORD.findall(text)
+
+
 BUCKETS = 1 << 16  # hashed features
 SEGMENT = 64  # words of a segment; segments are chained by their transfer matrices
 MOST_WORDS = 150_000  # words whose scores a worker keeps; beyond that it begins anew
@@ -94,7 +106,7 @@ def fit(samples: list[tuple[str, str]], epochs: int = 30, mixed: int = 1500, see
     k = len(labels)
     number = {y: i for i, y in enumerate(labels)}
     rng = np.random.default_rng(seed)
-    sequences = [(w, [number[y]] * len(w)) for t, y in samples if (w := WORD.findall(t.lower()))]
+    sequences = [(w, [number[y]] * len(w)) for t, y in samples if (w := words_of(t))]
     counts: dict[str, Counter] = {}
     for w, ys in sequences:
         for x in set(w):
@@ -192,7 +204,7 @@ class Labeller:
         self.move = np.exp(model.moves - model.moves.max()).astype(np.float32)
 
     def ids(self, words: list[str]) -> np.ndarray:
-        new = list({w for w in words if w not in self.number})
+        new = list(set(words).difference(self.number))
         if new:
             while len(self.scores) < self.used + len(new):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
@@ -211,7 +223,7 @@ class Labeller:
             return np.zeros((0, k)), first
         if self.used >= MOST_WORDS:
             self.number, self.used = {}, 0
-        number = np.concatenate([self.ids(t) for t in texts if t])  # may enlarge the scores
+        number = self.ids(list(chain.from_iterable(texts)))  # may enlarge the scores
         score = self.scores[number]
         segs = -(-size // SEGMENT)  # segments of each text
         seg_text = np.repeat(np.arange(len(texts)), segs)
@@ -299,7 +311,7 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
             return
         labeller, names = Labeller(model.value), np.array(model.value.labels, dtype=object)
         for batch in portions(batches, most=max(1 << 14, (1 << 24) // len(names) ** 2)):
-            texts = [WORD.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
+            texts = list(map(words_of, batch.column("text").to_pylist()))
             post, first = labeller.marginals(texts)
             n = np.array([len(t) for t in texts], np.int64)
             some = np.flatnonzero(n)
