@@ -140,8 +140,15 @@ def lag_features(g: DataFrame, lags: Sequence[int] = (1, 2, 12, 288, 2016), key:
 
 
 def running_mean(g: DataFrame, rows: int = 2016, key: Sequence[str] = ("station_code",), value: str = "value", name: str = "running_mean") -> DataFrame:
-    """Mean over the row and so many before it, without NULL."""
-    return g.withColumn(name, F.avg(value).over(Window.partitionBy(*key).orderBy("ts").rowsBetween(-rows, 0)))
+    """Mean over the row and so many before it, without NULL.
+
+    From sums up to each row, less those up to the row before the frame: a frame of its own would be added up anew for every row.
+    """
+    w = Window.partitionBy(*key).orderBy("ts")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = g.withColumns({"_s": F.coalesce(F.sum(value).over(upto), F.lit(0)).cast("double"), "_n": F.count(value).over(upto)})
+    back = lambda c: F.col(c) - F.coalesce(F.lag(c, rows + 1).over(w), F.lit(0))
+    return out.withColumn(name, F.try_divide(back("_s"), back("_n"))).drop("_s", "_n")
 
 
 def lag_set(per_hour: int = 1, strategy: str = "fine") -> list[int]:
