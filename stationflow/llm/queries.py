@@ -12,6 +12,8 @@ from .lines import ORACLE as LINE_ORACLE
 from .lines import line_dedup
 from .media import media_columns, store_media
 from .packing import pack
+from .phrases import ORACLE as PHRASE_ORACLE
+from .phrases import collocations
 from .scoring import lm_scores
 from .secrets import scan
 from .simhash import near_duplicates
@@ -60,6 +62,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +79,7 @@ QUERIES = {
         op8_url_filters,
         op9_lm_scoring,
         op10_secret_scans,
+        op11_phrases,
     )
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": LINE_ORACLE, "op8_url_filters": URL_ORACLE}
+ORACLES: dict[str, str] = {"op7_line_dedup": LINE_ORACLE, "op8_url_filters": URL_ORACLE, "op11_phrases": PHRASE_ORACLE}
