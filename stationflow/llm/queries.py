@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import align_tokens
 from .common import documents
 from .decontaminate import contamination
 from .language import identify
@@ -66,6 +67,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_secret_scans,
         op11_phrases,
+        op12_alignment,
     )
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": LINE_ORACLE, "op8_url_filters": URL_ORACLE, "op11_phrases": PHRASE_ORACLE}
