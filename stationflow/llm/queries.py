@@ -21,6 +21,8 @@ from .simhash import near_duplicates
 from .substrings import remove_repeats
 from .urls import ORACLE as URL_ORACLE
 from .urls import judge_urls
+from .warc import ORACLE as WARC_ORACLE
+from .warc import archive_pages
 
 
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -86,6 +92,7 @@ QUERIES = {
         op10_secret_scans,
         op11_phrases,
         op12_alignment,
+        op13_warc,
     )
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": LINE_ORACLE, "op8_url_filters": URL_ORACLE, "op11_phrases": PHRASE_ORACLE}
+ORACLES: dict[str, str] = {"op7_line_dedup": LINE_ORACLE, "op8_url_filters": URL_ORACLE, "op11_phrases": PHRASE_ORACLE, "op13_warc": WARC_ORACLE}

@@ -21,7 +21,7 @@ def texts(spark):
     return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
 
 
-@pytest.mark.parametrize("name", ["op7_line_dedup", "op8_url_filters"])
+@pytest.mark.parametrize("name", ["op7_line_dedup", "op8_url_filters", "op11_phrases", "op13_warc"])
 def test_oracle(spark, entry, name):
     import duckdb
 
