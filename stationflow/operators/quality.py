@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lane_direction, station_km
 from .grids import gap_s, seconds
+from .moments import average, combined, deviation, moments
 
 
 def eligible_traffic_stations(stations: DataFrame) -> DataFrame:
@@ -48,26 +49,42 @@ def nearest_by_km(stations: DataFrame, n: int, probes: DataFrame | None = None,
 DAY = ("month", "day_type")  # days are compared with history of their month and type
 
 
-def lane_history(history: DataFrame, wanted: DataFrame, n: int, least: int = 10) -> DataFrame:
+def lane_days(history: DataFrame) -> DataFrame:
+    """History (station, lane, date, day_type, total_traffic) as one row for each lane and date: v (sum), rows, n (rows with a value), month."""
+    days = history.groupBy("station", "lane", "date", "day_type").agg(F.sum("total_traffic").alias("v"), F.count(F.lit(1)).alias("rows"), F.count("total_traffic").alias("n"))
+    return days.withColumn("month", F.month("date"))
+
+
+def lane_history(history: DataFrame, wanted: DataFrame, n: int, least: int = 10, places: DataFrame | None = None) -> DataFrame:
     """Daily values of the lanes that each wanted station, direction, month and day type is compared with, and whether they are borrowed.
 
-    history: station, lane, date, day_type, total_traffic; wanted: station, km, direction, month, day_type. The rows of
-    a station are counted within the month and day type, over all of its lanes. With fewer than `least` of them, the
-    values are means over the 2 n nearest stations with history of that month and day type, itself too if it has any;
-    without km there are none. Lanes are 1 and 2 of the one direction, 3 and 4 of the other.
+    history: station, lane, date, day_type, total_traffic; wanted: station, km, direction, month, day_type; places:
+    station, km of all stations that may lend their history (those wanted by default). The rows of a station are
+    counted within the month and day type, over all of its lanes. With fewer than `least` of them, the values are means
+    over the 2 n nearest places with history of that month and day type, itself too if it has any; without km there are
+    none. Lanes are 1 and 2 of the one direction, 3 and 4 of the other.
     """
-    history = history.withColumn("month", F.month("date"))
-    rows = history.groupBy("station", *DAY).agg(F.count(F.lit(1)).alias("rows"))
-    lanes = history.where(F.col("lane").cast("int").between(1, 4)).withColumn("direction", lane_direction(F.col("lane")))
+    days = lane_days(history)
+    rows = days.groupBy("station", *DAY).agg(F.sum("rows").alias("rows"))
     wanted = wanted.join(rows, ["station", *DAY], "left")
     key = ["station", "direction", *DAY]
-    own = lanes.join(wanted.where(F.col("rows") >= least).select(*key), key).groupBy(*key, "date", "lane").agg(F.sum("total_traffic").alias("v"), F.avg("total_traffic").alias("mean_v"))
-    short = wanted.where((F.coalesce("rows", F.lit(0)) < least) & F.col("km").isNotNull())
-    known = rows.join(wanted.select("station", "km").where("km IS NOT NULL").distinct(), "station").select("station", "km", *DAY)
+    own = _lanes(days).join(wanted.where(F.col("rows") >= least).select(*key), key).select(*key, "date", "lane", "v", F.try_divide("v", "n").alias("mean_v"))
+    far = borrowed(days, rows, wanted.where(F.coalesce("rows", F.lit(0)) < least), n, wanted if places is None else places)
+    return own.withColumn("borrowed", F.lit(False)).unionByName(far.withColumn("borrowed", F.lit(True)))
+
+
+def _lanes(days: DataFrame) -> DataFrame:
+    return days.where(F.col("lane").cast("int").between(1, 4)).withColumn("direction", lane_direction(F.col("lane")))
+
+
+def borrowed(days: DataFrame, rows: DataFrame, short: DataFrame, n: int, places: DataFrame) -> DataFrame:
+    """Daily lane values (v, mean_v) of stations with too little history (short): means over the rows of the 2 n nearest places with any."""
+    key = ["station", "direction", *DAY]
+    short = short.where("km IS NOT NULL").select(*key, "km")
+    known = rows.select("station", *DAY).join(places.where("km IS NOT NULL").select("station", "km").distinct(), "station").select("station", "km", *DAY)
     near = nearest_by_km(known, 2 * n, short.select("station", "km", *DAY).distinct(), by=DAY, order="station", itself=True).select(*DAY, "station", F.col("near_code").alias("near"))
-    far = lanes.withColumnRenamed("station", "near").join(near, ["near", *DAY]).join(short.select(*key), key)
-    far = far.groupBy(*key, "date", "lane").agg(F.avg("total_traffic").alias("v"))
-    return own.withColumn("borrowed", F.lit(False)).unionByName(far.withColumns({"mean_v": F.col("v"), "borrowed": F.lit(True)}))
+    far = _lanes(days).withColumnRenamed("station", "near").join(near, ["near", *DAY]).join(short.select(*key), key)
+    return far.groupBy(*key, "date", "lane").agg(F.try_divide(F.sum("v"), F.sum("n")).alias("v")).withColumn("mean_v", F.col("v"))
 
 
 def history_stats(lanes: DataFrame) -> DataFrame:
@@ -77,11 +94,17 @@ def history_stats(lanes: DataFrame) -> DataFrame:
     return total.groupBy(*key).agg(F.avg("total").alias("mean"), F.stddev_samp("total").alias("std"), F.count(F.lit(1)).alias("days"))
 
 
-def neighbour_stats(daily: DataFrame, stations: DataFrame, n: int) -> DataFrame:
-    """Mean and population deviation of the daily totals of the first 2 n stations by distance in each direction, less the station itself."""
-    near = nearest_by_km(stations, max(2 * n - 1, 1), by=["direction"], order="station").select("direction", "station", F.col("near_code").alias("near"))
-    values = daily.select("direction", F.col("station").alias("near"), "date", F.col("total_traffic").alias("v"))
-    return near.join(values, ["direction", "near"]).groupBy("station", "direction", "date").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+def neighbour_stats(daily: DataFrame, places: DataFrame, n: int) -> DataFrame:
+    """Mean and population deviation of the daily totals of the first 2 n stations by distance in each direction, less the station itself.
+
+    daily: station, direction, date, total_traffic. Neighbours are the stations with a place (station, km) that have
+    traffic in the direction on the date, so that a day's figures don't depend on other days.
+    """
+    by = ["direction", "date"]
+    there = daily.join(places.where("km IS NOT NULL").select("station", "km").distinct(), "station")
+    near = nearest_by_km(there.select("station", "km", *by), max(2 * n - 1, 1), by=by, order="station").select(*by, "station", F.col("near_code").alias("near"))
+    values = daily.select(*by, F.col("station").alias("near"), F.col("total_traffic").alias("v"))
+    return near.join(values, [*by, "near"]).groupBy("station", *by).agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
 
 
 def lane_ratio_stats(lanes: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
@@ -145,47 +168,103 @@ def common_dates(history: DataFrame, traffic: DataFrame) -> tuple[DataFrame, Dat
     return a.join(b, "date"), report
 
 
-def traffic_layers(traffic: DataFrame, history: DataFrame, stations: DataFrame, holidays: DataFrame, limits: dict = LIMITS, least: int = 10) -> DataFrame:
-    """layer_1, layer_1_1 and layer_2 (true, false or unknown) of each station, direction and date of traffic.
+class History:
+    """What validation knows of the past: days (lane_days() of history) and the moments of its totals and lane ratios.
 
-    traffic: station, lane, direction, date, value; history: station, lane, date, total_traffic; stations: station, km.
-    Layers 1 and 2 compare with history of the day's month and type, layer 1.1 with near stations of the same day. A
-    mean or deviation that can't be told fails; a deviation of 0 is unknown, and so are the first two layers of a
-    station with little history and no km.
+    moments: for each station, direction, month and day type total_n/mean/m2 of the daily totals, ratio_n/mean/m2 of the
+    ratio of the direction's two lanes, and how many days have each lane (first, second) or a ratio without a divisor
+    (bad). counts: the rows of each station, month and day type, over all lanes.
     """
+
+    KEY = ("station", "direction", *DAY)
+
+    def __init__(self, days: DataFrame, moments_: DataFrame, counts: DataFrame):
+        self.days, self.moments, self.counts = days, moments_, counts
+
+    @classmethod
+    def of(cls, history: DataFrame, holidays: DataFrame) -> History:
+        """From all of history (station, lane, date, total_traffic)."""
+        days = lane_days(day_type(history, holidays))
+        return cls(days, *cls._summed(days))
+
+    @classmethod
+    def _summed(cls, days: DataFrame) -> tuple[DataFrame, DataFrame]:
+        first = F.col("lane").cast("int").isin(1, 3)
+        mean = F.try_divide("v", "n")
+        each = _lanes(days).groupBy(*cls.KEY, "date").agg(F.sum("v").alias("total"), F.max(F.when(first, mean)).alias("a"), F.max(F.when(~first, mean)).alias("b"), F.max(first).alias("has_a"), F.max(~first).alias("has_b"))
+        each = each.withColumn("ratio", F.try_divide("a", "b"))
+        counted = [F.count(F.lit(1)).alias("days"), F.count_if("has_a").alias("first"), F.count_if("has_b").alias("second"), F.count_if(F.col("b") == 0).alias("bad")]
+        return each.groupBy(*cls.KEY).agg(*moments("total", "total"), *moments("ratio", "ratio"), *counted), days.groupBy("station", *DAY).agg(F.sum("rows").alias("rows"))
+
+    def updated(self, history: DataFrame, holidays: DataFrame) -> History:
+        """With more history. A station's date that was there already is replaced, so that a day can be sent again.
+
+        Only the days of the new history, and those that they replace, are read; all other days stay in the moments.
+        """
+        new = lane_days(day_type(history, holidays))
+        sent = new.select("station", "date").distinct()
+        gone = self.days.join(sent, ["station", "date"], "left_semi")
+        now = [self.moments, self.counts]
+        for days, sign in ((gone, -1), (new, 1)):
+            m, c = self._summed(days)
+            now = [combined(now[0], m, self.KEY, ("total", "ratio"), ("days", "first", "second", "bad"), sign), combined(now[1], c, ("station", *DAY), (), ("rows",), sign)]
+        return History(self.days.join(sent, ["station", "date"], "left_anti").unionByName(new), *now)
+
+    def compared(self, wanted: DataFrame, places: DataFrame, n: int, least: int) -> DataFrame:
+        """A19, A21 of wanted (station, km, direction, month, day_type): m1, s1 of totals, m2, s2 of ratios, two (whether there are ratios), skipped.
+
+        Stations with at least `least` rows of the month and type read their moments alone; of the days, only those
+        are read that others borrow.
+        """
+        wanted = wanted.join(self.counts, ["station", *DAY], "left").withColumn("enough", F.coalesce(F.col("rows") >= least, F.lit(False)))
+        far = borrowed(self.days, self.counts, wanted.where("NOT enough"), n, places)
+        lent, _ = self._summed(far.withColumns({"n": F.when(F.col("v").isNotNull(), 1), "rows": F.lit(1)}))
+        known = wanted.where("enough").select(*self.KEY).join(self.moments, list(self.KEY)).unionByName(lent)
+        two = (F.col("first") > 0) & (F.col("second") > 0) & (F.col("bad") == 0)
+        stats = known.select(*self.KEY, average("total").alias("m1"), deviation("total").alias("s1"), F.when(two, average("ratio")).alias("m2"), F.when(two, deviation("ratio")).alias("s2"), F.when(two, True).alias("two"))
+        return wanted.select(*self.KEY, (F.col("km").isNull() & ~F.col("enough")).alias("skipped")).join(stats, list(self.KEY), "left")
+
+
+def traffic_layers(traffic: DataFrame, history: History, places: DataFrame, holidays: DataFrame, limits: dict = LIMITS, least: int = 10) -> DataFrame:
+    """layer_1, layer_1_1 and layer_2 (true, false or unknown) of each station, direction and date of traffic that history has too.
+
+    traffic: station, lane, direction, date, value; places: station, km of all stations. Layers 1 and 2 compare with
+    history of the day's month and type, layer 1.1 with near stations of the same day. A mean or deviation that can't
+    be told fails; a deviation of 0 is unknown, and so are the first two layers of a station with little history and no
+    km.
+    """
+    traffic = traffic.join(common_dates(history.days, traffic)[0], "date")
     daily = day_type(traffic.groupBy("station", "direction", "date").agg(F.sum("value").alias("total_traffic")), holidays).withColumn("month", F.month("date"))
-    ends = stations.select("station", "km").join(daily.select("station", "direction").distinct(), "station", "right")
-    key = ["station", "direction", *DAY]
-    wanted = daily.select(*key).distinct().join(stations.select("station", "km"), "station", "left")
-    lanes = lane_history(day_type(history, holidays), wanted, limits["layer1"][2], least)
-    rows = day_type(history, holidays).groupBy("station", F.month("date").alias("month"), "day_type").agg((F.count(F.lit(1)) >= least).alias("enough"))
-    placed = wanted.join(rows, ["station", *DAY], "left").select(*key, (F.col("km").isNull() & ~F.coalesce("enough", F.lit(False))).alias("skipped"))
-    one = history_stats(lanes).select(*key, F.col("mean").alias("m1"), F.col("std").alias("s1"))
-    two = lane_ratio_stats(lanes).select(*key, F.col("mean").alias("m2"), F.col("std").alias("s2"), F.lit(True).alias("two"))
-    near = neighbour_stats(daily, ends.where("km IS NOT NULL"), limits["layer1_1"][2]).select("station", "direction", "date", F.col("mean").alias("m11"), F.col("std").alias("s11"))
-    lane = traffic.groupBy("station", "direction", "date", "lane").agg(F.sum("value").alias("v"))
-    ratio = lane.groupBy("station", "direction", "date").agg(F.try_divide(F.min_by("v", "lane"), F.max_by("v", "lane")).alias("r"), F.count(F.lit(1)).alias("n")).select("station", "direction", "date", F.when(F.col("n") == 2, F.col("r")).alias("ratio"))
-    both = daily.join(placed, key).join(one, key, "left").join(two, key, "left").join(near, ["station", "direction", "date"], "left").join(ratio, ["station", "direction", "date"], "left")
+    places, day = places.select("station", "km"), ["station", "direction", "date"]
+    wanted = daily.select(*History.KEY).distinct().join(places, "station", "left")
+    stats = history.compared(wanted, places, limits["layer1"][2], least)
+    near = neighbour_stats(daily, places, limits["layer1_1"][2]).select(*day, F.col("mean").alias("m11"), F.col("std").alias("s11"))
+    lane = traffic.groupBy(*day, "lane").agg(F.sum("value").alias("v"))
+    ratio = lane.groupBy(*day).agg(F.try_divide(F.min_by("v", "lane"), F.max_by("v", "lane")).alias("r"), F.count(F.lit(1)).alias("n")).select(*day, F.when(F.col("n") == 2, F.col("r")).alias("ratio"))
+    both = daily.join(stats, list(History.KEY)).join(near, day, "left").join(ratio, day, "left")
     v, on = F.col("total_traffic").cast("double"), ~F.col("skipped")
     flag = lambda layer, z: F.when(on, zflag(z, *limits[layer][:2]))
     return both.select(
-        "station", "direction", "date",
+        *day,
         flag("layer1", zscore(v, F.col("m1"), F.col("s1"), F.lit(True))).alias("layer_1"),
         flag("layer1_1", zscore(v, F.col("m11"), F.col("s11"))).alias("layer_1_1"),
         flag("layer2", zscore(F.col("ratio"), F.col("m2"), F.col("s2"), F.col("two") & F.col("ratio").isNotNull())).alias("layer_2"),
     )
 
 
-def validate_traffic(traffic: DataFrame, history: DataFrame, stations: DataFrame, holidays: DataFrame, limits: dict = LIMITS, history_shift_days: int = 1, least: int = 10) -> DataFrame:
+def validate_traffic(traffic: DataFrame, history: DataFrame | History, places: DataFrame, holidays: DataFrame, limits: dict = LIMITS, history_shift_days: int = 1, least: int = 10) -> DataFrame:
     """Time, station, lane, value, the flag of each layer and is_valid of traffic rows (station, lane, time, value).
 
-    history: station, lane, date (stamped history_shift_days after the day it is of), total_traffic. stations: station,
-    km. layer_2 is reported and doesn't decide.
+    Only dates that history has too are validated. history: station, lane, date (stamped history_shift_days after the
+    day it is of), total_traffic; or a History, whose dates are those of the days themselves. places: station, km of
+    all stations. layer_2 is reported and doesn't decide.
     """
+    if not isinstance(history, History):
+        history = History.of(history.withColumn("date", F.date_sub("date", history_shift_days)), holidays)
     traffic = traffic.withColumns({"direction": lane_direction(F.col("lane")), "date": F.to_date("time")})
-    layers = traffic_layers(traffic, history.withColumn("date", F.date_sub("date", history_shift_days)), stations, holidays, limits, least)
+    layers = traffic_layers(traffic, history, places, holidays, limits, least)
     three = layer3(traffic.groupBy("station", "direction", "time").agg(F.sum("value").alias("value")), ["station", "direction"]).select("station", "direction", "time", F.col("is_valid").alias("layer_3"))
-    out = traffic.join(layers, ["station", "direction", "date"], "left").join(three, ["station", "direction", "time"], "left")
+    out = traffic.join(layers, ["station", "direction", "date"]).join(three, ["station", "direction", "time"], "left")
     return out.select("time", "station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", overall_validity(F.col("layer_1"), F.col("layer_1_1"), F.col("layer_3")).alias("is_valid"))
 
 

@@ -99,21 +99,20 @@ def _history(spark, sf):
     return quality.day_type(h, spark.createDataFrame([], "date date"))
 
 
-def _ends(spark, sf):
-    n = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("station"), (F.col("n_nationkey") * 7 % 25 * 3.5).alias("km"))
-    return n.crossJoin(spark.createDataFrame([("NORD",), ("SUD",)], "direction string"))  # two directions of each station
+def _places(spark, sf):
+    return table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("station"), (F.col("n_nationkey") * 7 % 25 * 3.5).alias("km"))
 
 
 ENDS = "e AS (SELECT CAST(n_nationkey AS VARCHAR) AS station, (n_nationkey * 7 % 25) * 3.5::DOUBLE AS km FROM nation)"
 
 
-SUPPLIED = """, lines AS (SELECT CAST(l_suppkey AS VARCHAR) AS station, l_linenumber % 5 + 1 AS lane, CAST(l_shipdate AS DATE) - INTERVAL 1 DAY AS day, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3),
+SUPPLIED = """, lines AS (SELECT CAST(l_suppkey AS VARCHAR) AS station, l_linenumber % 5 + 1 AS lane, CAST(CAST(l_shipdate AS DATE) + INTERVAL 8110 DAY AS DATE) AS day, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3),
 hist AS (SELECT station, lane, day, v, month(day) AS month, CASE WHEN isodow(day) >= 6 THEN 'Festivo' ELSE 'Feriale' END AS day_type, CASE WHEN lane <= 2 THEN 'NORD' WHEN lane <= 4 THEN 'SUD' END AS direction FROM lines),
 places AS (SELECT CAST(s_suppkey AS VARCHAR) AS station, s_acctbal AS km FROM supplier),
 cnt AS (SELECT station, month, day_type, count(*) AS n FROM hist GROUP BY ALL)
 """
 BORROWED = """, w AS (SELECT wanted.*, coalesce(n, 0) AS n FROM wanted LEFT JOIN cnt USING (station, month, day_type)),
-known AS (SELECT cnt.station, km, month, day_type FROM cnt JOIN (SELECT DISTINCT station, km FROM w WHERE km IS NOT NULL) USING (station)),
+known AS (SELECT cnt.station, km, month, day_type FROM cnt JOIN places USING (station) WHERE km IS NOT NULL),
 near AS (SELECT s.station, s.month, s.day_type, k.station AS near FROM (SELECT DISTINCT station, km, month, day_type FROM w WHERE n < @LEAST AND km IS NOT NULL) s JOIN known k USING (month, day_type)
  QUALIFY row_number() OVER (PARTITION BY s.station, s.month, s.day_type ORDER BY abs(k.km - s.km), k.station) <= 6),
 lh AS (SELECT w.station, w.direction, w.month, w.day_type, false AS borrowed, day, lane, sum(v) AS v, avg(v) AS mean_v FROM w JOIN hist USING (station, direction, month, day_type) WHERE n >= @LEAST GROUP BY ALL
@@ -126,21 +125,24 @@ lr AS (SELECT station, direction, month, day_type, avg(a / b) AS mean, stddev_sa
 """
 
 
+SHIFT = 8110  # days from order lines to the events' month
+
+
 def _supplied(spark, sf):
-    """Daily quantities of suppliers as history of stations with five lanes, and the suppliers' places."""
-    history = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("station"), (F.col("l_linenumber") % 5 + 1).cast("long").alias("lane"), F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("total_traffic"))
+    """Daily quantities of suppliers as history of stations with five lanes, stamped a day late, and the suppliers' places."""
+    history = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("station"), (F.col("l_linenumber") % 5 + 1).cast("long").alias("lane"), F.date_add(F.to_date("l_shipdate"), SHIFT + 1).alias("date")).agg(F.sum("l_quantity").alias("total_traffic"))
     return history, table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("station"), F.col("s_acctbal").alias("km"))
 
 
-EVERY = """, wanted AS (SELECT DISTINCT station, km, d.direction, month, day_type FROM places JOIN (SELECT DISTINCT month, day_type FROM hist) ON true JOIN (VALUES ('NORD'), ('SUD')) d(direction) ON true)"""
+EVERY = """, wanted AS (SELECT DISTINCT station, km, d.direction, month, day_type FROM places JOIN (SELECT DISTINCT month, day_type FROM hist) ON true JOIN (VALUES ('NORD'), ('SUD')) d(direction) ON true WHERE CAST(station AS INT) % 3 > 0)"""
 
 
 def _lane_history(spark, sf):
     history, places = _supplied(spark, sf)
     history = quality.day_type(history.withColumn("date", F.date_sub("date", 1)), spark.createDataFrame([], "date date"))
     days = history.select(F.month("date").alias("month"), "day_type").distinct()  # 24 rows at most
-    wanted = places.join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
-    return quality.lane_history(history, wanted, 3, 40)
+    wanted = places.where("station % 3 > 0").join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
+    return quality.lane_history(history, wanted, 3, 40, places)  # a third of the stations only lends
 
 
 @query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean, 4) AS mean, round(std, 4) AS std, days FROM hs")
@@ -155,13 +157,15 @@ def history_stats(spark, sf):
     + ", "
     + ENDS
     + """, d AS (SELECT station, direction, date, sum(total_traffic) AS t FROM h GROUP BY ALL),
-n AS (SELECT a.station, b.station AS near FROM e a JOIN e b ON a.station <> b.station QUALIFY row_number() OVER (PARTITION BY a.station ORDER BY abs(a.km - b.km), b.station) <= 3)
-SELECT n.station, direction, epoch(date)::BIGINT AS date, round(avg(t), 4) AS mean, round(stddev_pop(t), 4) AS std FROM n JOIN d ON d.station = near GROUP BY ALL"""
+k AS (SELECT d.*, km FROM d JOIN e USING (station)),
+n AS (SELECT a.station, a.direction, a.date, b.t FROM k a JOIN k b ON a.direction = b.direction AND a.date = b.date AND a.station <> b.station
+ QUALIFY row_number() OVER (PARTITION BY a.station, a.direction, a.date ORDER BY abs(a.km - b.km), b.station) <= 3)
+SELECT station, direction, epoch(date)::BIGINT AS date, round(avg(t), 4) AS mean, round(stddev_pop(t), 4) AS std FROM n GROUP BY ALL"""
 )
 def neighbour_stats(spark, sf):
-    """A20, J19."""
+    """Among the stations that have traffic in the direction on the day."""
     daily = _history(spark, sf).groupBy("station", "direction", "date").agg(F.sum("total_traffic").alias("total_traffic"))
-    out = quality.neighbour_stats(daily, _ends(spark, sf), 2)
+    out = quality.neighbour_stats(daily, _places(spark, sf), 2)
     return out.select("station", "direction", F.unix_seconds(F.col("date").cast("timestamp")).alias("date"), F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
@@ -195,16 +199,16 @@ def direction_stats(spark, sf):
     return quality.direction_stats(daily).select("direction", F.unix_seconds(F.col("date").cast("timestamp")).alias("date"), F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
-@query(
+VALIDATED = (
     SUPPLIED
     + """, t AS (SELECT CAST(user_id % 97 + 1 AS VARCHAR) AS station, user_id % 4 + 1 AS lane, date_trunc('hour', ts) AS time, count(*) AS value FROM events GROUP BY ALL),
-tr AS (SELECT *, CASE WHEN lane <= 2 THEN 'NORD' ELSE 'SUD' END AS direction, CAST(time AS DATE) AS day FROM t),
+tr AS (SELECT *, CASE WHEN lane <= 2 THEN 'NORD' ELSE 'SUD' END AS direction, CAST(time AS DATE) AS day FROM t WHERE CAST(time AS DATE) IN (SELECT day FROM hist)),
 daily AS (SELECT station, direction, day, sum(value)::DOUBLE AS total, month(day) AS month, CASE WHEN isodow(day) >= 6 THEN 'Festivo' ELSE 'Feriale' END AS day_type FROM tr GROUP BY ALL),
 wanted AS (SELECT DISTINCT station, km, direction, month, day_type FROM daily LEFT JOIN places USING (station))"""
     + BORROWED.replace("@LEAST", "30")
-    + """, sides AS (SELECT DISTINCT station, direction, km FROM daily JOIN places USING (station) WHERE km IS NOT NULL),
-n11 AS (SELECT a.station, a.direction, b.station AS near FROM sides a JOIN sides b ON a.direction = b.direction AND a.station <> b.station QUALIFY row_number() OVER (PARTITION BY a.station, a.direction ORDER BY abs(a.km - b.km), b.station) <= 3),
-s11 AS (SELECT n11.station, n11.direction, day, avg(total) AS mean, stddev_pop(total) AS std FROM n11 JOIN daily ON daily.station = near AND daily.direction = n11.direction GROUP BY ALL),
+    + """, sides AS (SELECT station, direction, day, total, km FROM daily JOIN places USING (station) WHERE km IS NOT NULL),
+n11 AS (SELECT a.station, a.direction, a.day, b.total FROM sides a JOIN sides b ON a.direction = b.direction AND a.day = b.day AND a.station <> b.station QUALIFY row_number() OVER (PARTITION BY a.station, a.direction, a.day ORDER BY abs(a.km - b.km), b.station) <= 3),
+s11 AS (SELECT station, direction, day, avg(total) AS mean, stddev_pop(total) AS std FROM n11 GROUP BY ALL),
 ln AS (SELECT station, direction, day, lane, sum(value) AS v FROM tr GROUP BY ALL),
 ra AS (SELECT station, direction, day, CASE WHEN count(*) = 2 AND arg_max(v, lane) <> 0 THEN arg_min(v, lane)::DOUBLE / arg_max(v, lane) END AS r FROM ln GROUP BY ALL),
 fl AS (SELECT d.station, d.direction, d.day,
@@ -213,7 +217,7 @@ fl AS (SELECT d.station, d.direction, d.day,
  CASE WHEN w.km IS NULL AND w.n < 30 THEN NULL WHEN r IS NULL OR lr.station IS NULL THEN NULL WHEN lr.mean IS NULL OR lr.std IS NULL THEN false WHEN lr.std = 0 THEN NULL ELSE (r - lr.mean) / lr.std BETWEEN -5 AND 5 END AS layer_2
  FROM daily d JOIN w USING (station, direction, month, day_type) LEFT JOIN hs USING (station, direction, month, day_type) LEFT JOIN lr ON lr.station = d.station AND lr.direction = d.direction AND lr.month = d.month AND lr.day_type = d.day_type
  LEFT JOIN s11 ON s11.station = d.station AND s11.direction = d.direction AND s11.day = d.day LEFT JOIN ra ON ra.station = d.station AND ra.direction = d.direction AND ra.day = d.day),
-hr AS (SELECT station, direction, time, sum(value) AS v FROM tr GROUP BY ALL),
+hr AS (SELECT station, CASE WHEN lane <= 2 THEN 'NORD' ELSE 'SUD' END AS direction, time, sum(value) AS v FROM t GROUP BY ALL),
 pv AS (SELECT *, lag(v) OVER q AS b, sum(v) OVER (q ROWS 3 PRECEDING) AS z0, count(v) OVER (q ROWS 3 PRECEDING) AS c0 FROM hr WINDOW q AS (PARTITION BY station, direction ORDER BY time)),
 zz AS (SELECT *, c0 = 4 AND z0 = 0 AS z FROM pv),
 l3 AS (SELECT station, direction, time, NOT (coalesce((v - b) * 100.0::DOUBLE / nullif(b, 0) <= -99 AND b >= 50, false) OR z OR coalesce(lead(z, 1) OVER q, false) OR coalesce(lead(z, 2) OVER q, false) OR coalesce(lead(z, 3) OVER q, false)) AS layer_3 FROM zz WINDOW q AS (PARTITION BY station, direction ORDER BY time))
@@ -221,13 +225,35 @@ SELECT epoch(time)::BIGINT AS time, station, lane, value, layer_1, layer_1_1, la
  CASE WHEN layer_1 = false AND coalesce(layer_1_1, false) = false THEN 0 WHEN layer_3 THEN 1 ELSE 0 END AS is_valid
 FROM tr JOIN fl USING (station, direction, day) JOIN l3 USING (station, direction, time)"""
 )
-def validate_traffic(spark, sf):
-    """Hourly events as traffic of lanes, judged by a history made of daily order lines."""
+
+
+def _judged(spark, sf):
+    """Hourly events as traffic of lanes."""
     station = (F.col("user_id") % 97 + 1).cast("string")
-    traffic = table(spark, sf, "events").groupBy(station.alias("station"), (F.col("user_id") % 4 + 1).cast("long").alias("lane"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("time")).agg(F.count(F.lit(1)).alias("value"))
+    return table(spark, sf, "events").groupBy(station.alias("station"), (F.col("user_id") % 4 + 1).cast("long").alias("lane"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("time")).agg(F.count(F.lit(1)).alias("value"))
+
+
+FLAGS = ("station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", "is_valid")
+
+
+@query(VALIDATED)
+def validate_traffic(spark, sf):
+    """Hourly events as traffic of lanes, judged by a history made of daily order lines, on the days that both have."""
+    history, places = _supplied(spark, sf)
+    out = quality.validate_traffic(_judged(spark, sf), history, places, spark.createDataFrame([], "date date"), least=30)
+    return out.select(epoch("time", "time"), *FLAGS)
+
+
+@query(VALIDATED)
+def validate_by_moments(spark, sf):
+    """The same rows, from moments of most of the history to which later days are merged, some of them sent a second time."""
     history, places = _supplied(spark, sf)
-    out = quality.validate_traffic(traffic, history, places, spark.createDataFrame([], "date date"), least=30)
-    return out.select(epoch("time", "time"), "station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", "is_valid")
+    history, none = history.withColumn("date", F.date_sub("date", 1)), spark.createDataFrame([], "date date")
+    late, again = F.col("date") >= "2023-12-01", F.col("date").between("2023-01-10", "2023-01-25")
+    wrong = history.where(~late).withColumn("total_traffic", F.when(again, F.col("total_traffic") * 3 + 1).otherwise(F.col("total_traffic")))
+    known = quality.History.of(wrong, none).updated(history.where(late | again), none)
+    out = quality.validate_traffic(_judged(spark, sf), known, places, none, least=30)
+    return out.select(epoch("time", "time"), *FLAGS)
 
 
 FLEET = """, t AS (SELECT CAST(l_suppkey AS VARCHAR) AS "Station", date_trunc('day', l_shipdate) AS d, l_returnflag AS "Category", sum(l_quantity) AS n, avg(40 + l_linenumber * 12.5::DOUBLE) AS v FROM lineitem GROUP BY ALL),
