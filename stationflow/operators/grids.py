@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import BUCKET_S, nearest_known, within
+
 
 def seconds(c: Column | str) -> Column:
     """Epoch seconds with fraction."""
@@ -47,12 +49,6 @@ def window_count(m: DataFrame, period: int, key: Sequence[str] = ("station_code"
     return g.join(counts, [*key, "ts"], "left").select(*key, centre.alias("ts"), F.coalesce("value", F.lit(0)).alias("value"))
 
 
-def _around(df: DataFrame, key: Sequence[str], order: str = "ts") -> tuple[Window, Window]:
-    """Frames of the rows up to each row, in time and against it: a frame to the end of a series would be read anew for every row."""
-    one = lambda o: Window.partitionBy(*key).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    return one(F.col(order).asc()), one(F.col(order).desc())
-
-
 def _merged(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     """Rows of both sides in one frame: _p says which are the probe's, _s is struct<ts, v> of the series' rows."""
     a = probe.withColumns({"_p": F.lit(True), "_s": F.lit(None).cast("struct<ts: timestamp, v: double>")})
@@ -60,45 +56,43 @@ def _merged(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str)
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    upto = Window.partitionBy(*key).orderBy(F.col("ts"), F.col("_p")).rowsBetween(Window.unboundedPreceding, 0)
-    before = F.last("_s", ignorenulls=True).over(upto)
+def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str, bucket_s: int) -> DataFrame:
+    """_b and _a: the rows of the series at or before and at or after each row of the probe; of equal times, that of the largest value."""
+    at, v = F.unix_micros(F.col("ts").cast("timestamp")), F.col("_s.v")
     # rows of the series at the probe's own time come before it, so they are looked for on that side
-    back = Window.partitionBy(*key).orderBy(F.col("ts").desc(), F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    after = F.last("_s", ignorenulls=True).over(back)
-    both = _merged(probe, series, key, value).withColumns({"_b": before, "_a": after}).where("_p")
+    both = nearest_known(_merged(probe, series, key, value), key, "_s", [F.asc("ts"), F.asc("_p"), v.asc()], [F.desc("ts"), F.desc("_p"), v.asc()], F.struct(at, v), F.struct(-at, v), bucket_s).where("_p")
     exact = F.col("_b.ts") == F.col("ts")
     return both.withColumn("_a", F.when(exact, F.col("_b")).otherwise(F.col("_a"))).drop("_p", "_s")
 
 
-def asof_pad(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_asof", max_age_s: int | None = None) -> DataFrame:
+def asof_pad(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_asof", max_age_s: int | None = None, bucket_s: int = BUCKET_S) -> DataFrame:
     """The last value at or before each probe row, not older than max_age_s."""
-    out = _asof(probe, series, key, value)
+    out = _asof(probe, series, key, value, bucket_s)
     fresh = F.lit(True) if max_age_s is None else gap_s("ts", F.col("_b.ts")) <= max_age_s
     return out.withColumn(name, F.when(fresh, F.col("_b.v"))).drop("_a", "_b")
 
 
-def asof_nearest(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_nearest", within_s: int | None = 300) -> DataFrame:
+def asof_nearest(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_nearest", within_s: int | None = 300, bucket_s: int = BUCKET_S) -> DataFrame:
     """The value nearest in time, less than within_s away; of two at the same distance the later one."""
     back, ahead = gap_s("ts", F.col("_b.ts")), gap_s(F.col("_a.ts"), "ts")
     near = F.when(F.col("_b").isNull() | (ahead <= back), F.col("_a")).otherwise(F.col("_b"))
     gap = F.abs(gap_s(F.col("_n.ts"), "ts"))
-    out = _asof(probe, series, key, value).withColumn("_n", near)
+    out = _asof(probe, series, key, value, bucket_s).withColumn("_n", near)
     return out.withColumn(name, F.when(F.lit(True) if within_s is None else gap < within_s, F.col("_n.v"))).drop("_a", "_b", "_n")
 
 
-def interpolate_at(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_at", max_gap_s: int = 14400) -> DataFrame:
+def interpolate_at(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_at", max_gap_s: int = 14400, bucket_s: int = BUCKET_S) -> DataFrame:
     """Linear between the rows on both sides; NULL where one is missing or they are more than max_gap_s apart."""
     whole = gap_s(F.col("_a.ts"), F.col("_b.ts"))
     line = F.col("_b.v") + F.coalesce(F.try_divide(gap_s("ts", F.col("_b.ts")), whole), F.lit(0.0)) * (F.col("_a.v") - F.col("_b.v"))
-    return _asof(probe, series, key, value).withColumn(name, F.when(whole <= max_gap_s, line)).drop("_a", "_b")
+    return _asof(probe, series, key, value, bucket_s).withColumn(name, F.when(whole <= max_gap_s, line)).drop("_a", "_b")
 
 
-def interpolate_linear(g: DataFrame, key: Sequence[str], value: str = "value", trailing: str = "hold") -> DataFrame:
+def interpolate_linear(g: DataFrame, key: Sequence[str], value: str = "value", trailing: str = "hold", bucket_s: int = BUCKET_S) -> DataFrame:
     """Gaps of a series on a grid: linear inside, the last value at the end (or NULL), NULL at the begin."""
-    past, future = _around(g, key)
-    s = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col(value).alias("v")))
-    out = g.withColumn("_s", s).withColumns({"_b": F.last("_s", ignorenulls=True).over(past), "_a": F.last("_s", ignorenulls=True).over(future)})
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    s = F.when(F.col(value).isNotNull(), F.struct(at.alias("t"), F.col(value).cast("double").alias("v")))
+    out = nearest_known(g.withColumn("_s", s), key, "_s", [F.asc("ts")], [F.desc("ts")], at, -at, bucket_s)
     line = F.col("_b.v") + (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_b.t")) / (F.col("_a.t") - F.col("_b.t")) * (F.col("_a.v") - F.col("_b.v"))
     end = F.col("_b.v") if trailing == "hold" else F.lit(None).cast("double")
     filled = F.when(F.col(value).isNotNull(), F.col(value)).when(F.col("_a").isNull(), end).when(F.col("_b").isNotNull(), line)
@@ -133,22 +127,23 @@ def densify(fc: DataFrame, step: int, key: Sequence[str], columns: dict[str, str
     return out.withColumns(filled | {"ts": F.timestamp_micros(F.unix_micros("ts") + F.col("_i") * (step * 1_000_000))}).drop("_i", *nxt)
 
 
-def lag_features(g: DataFrame, lags: Sequence[int] = (1, 2, 12, 288, 2016), key: Sequence[str] = ("station_code",), value: str = "value") -> DataFrame:
+def lag_features(g: DataFrame, lags: Sequence[int] = (1, 2, 12, 288, 2016), key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
     """Earlier values of a series on a grid, by rows."""
-    w = Window.partitionBy(*key).orderBy("ts")
-    return g.withColumns({f"lag_{n}": F.lag(value, n).over(w) for n in lags})
+    lag = lambda n: lambda w: F.lag(value, n).over(w)
+    return within(g, key, max(lags, default=0), {f"lag_{n}": lag(n) for n in lags}, bucket_s=bucket_s)
 
 
-def running_mean(g: DataFrame, rows: int = 2016, key: Sequence[str] = ("station_code",), value: str = "value", name: str = "running_mean") -> DataFrame:
+def running_mean(g: DataFrame, rows: int = 2016, key: Sequence[str] = ("station_code",), value: str = "value", name: str = "running_mean", bucket_s: int = BUCKET_S) -> DataFrame:
     """Mean over the row and so many before it, without NULL.
 
-    From sums up to each row, less those up to the row before the frame: a frame of its own would be added up anew for every row.
+    From sums up to each row of a block, less those up to the row before the frame: a frame of its own would be added
+    up anew for every row.
     """
-    w = Window.partitionBy(*key).orderBy("ts")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = g.withColumns({"_s": F.coalesce(F.sum(value).over(upto), F.lit(0)).cast("double"), "_n": F.count(value).over(upto)})
-    back = lambda c: F.col(c) - F.coalesce(F.lag(c, rows + 1).over(w), F.lit(0))
-    return out.withColumn(name, F.try_divide(back("_s"), back("_n"))).drop("_s", "_n")
+    upto = lambda x: lambda w: F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    before = lambda c: lambda w: F.lag(c, rows + 1, 0).over(w)
+    sums = {"_s": upto(F.coalesce(F.col(value), F.lit(0)).cast("double")), "_n": upto(F.when(F.col(value).isNotNull(), 1).otherwise(0))}
+    back = {"_s0": before("_s"), "_n0": before("_n")}
+    return within(g, key, rows + 1, sums, back, bucket_s=bucket_s).withColumn(name, F.try_divide(F.col("_s") - F.col("_s0"), F.col("_n") - F.col("_n0"))).drop(*sums, *back)
 
 
 def lag_set(per_hour: int = 1, strategy: str = "fine") -> list[int]:
@@ -157,3 +152,10 @@ def lag_set(per_hour: int = 1, strategy: str = "fine") -> list[int]:
     if strategy == "full":
         return list(range(1, 7 * day + 1))
     return list(range(1, day + 1)) + [n for d in range(2, 8) for n in (d * day - 1, d * day, d * day + 1)]
+
+
+def weekly_lags(g: DataFrame, per_hour: int = 1, strategy: str = "fine", key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
+    """The array `lags` of the values that lag_set() tells, in its order, for each row of a series on a grid."""
+    lags = lag_set(per_hour, strategy)
+    columns = {f"_lag_{n}": (lambda w, n=n: F.lag(value, n).over(w)) for n in lags}
+    return within(g, key, max(lags), columns, bucket_s=bucket_s).withColumn("lags", F.array(*columns)).drop(*columns)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lane_direction, station_km
 from .grids import gap_s, seconds
 from .moments import average, combined, deviation, moments
+from .scans import BUCKET_S, least_of_run, runs, within
 
 
 def eligible_traffic_stations(stations: DataFrame) -> DataFrame:
@@ -268,34 +269,23 @@ def validate_traffic(traffic: DataFrame, history: DataFrame | History, places: D
     return out.select("time", "station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", overall_validity(F.col("layer_1"), F.col("layer_1_1"), F.col("layer_3")).alias("is_valid"))
 
 
-def _runs(m: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """Adds _run (number of the run of equal values), _len (its rows), _at (its rows so far) and _row."""
-    w = Window.partitionBy(*key).orderBy("ts")
-    new = F.when(F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    out = m.withColumn("_new", new).withColumns({"_run": F.sum("_new").over(w), "_row": F.row_number().over(w)})
-    r = Window.partitionBy(*key, "_run")
-    return out.withColumns({"_len": F.count(F.lit(1)).over(r), "_at": F.row_number().over(r.orderBy("ts"))}).drop("_new")
-
-
-def null_stuck(m: DataFrame, least: int = 6, first_hour: int = 6, key: Sequence[str] = ("station_code",), value: str = "value") -> DataFrame:
+def null_stuck(m: DataFrame, least: int = 6, first_hour: int = 6, key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
     """Runs of at least `least` equal values that reach past 05:59 become NULL, from least - 1 rows before the first such row to the end."""
-    r = Window.partitionBy(*key, "_run")
-    out = _runs(m, key, value)
-    hit = F.min(F.when((F.hour("ts") >= first_hour) & (F.col("_at") >= least), F.col("_at"))).over(r)
-    out = out.withColumn("_hit", hit)
-    return out.withColumn(value, F.when(F.col("_hit").isNotNull() & (F.col("_at") > F.col("_hit") - least), F.lit(None)).otherwise(F.col(value))).drop("_run", "_row", "_len", "_at", "_hit")
+    out = runs(m, key, value, bucket_s)
+    out = least_of_run(out, key, F.when((F.hour("ts") >= first_hour) & (F.col("_at") >= least), F.col("_at")), "_hit")
+    return out.withColumn(value, F.when(F.col("_hit").isNotNull() & (F.col("_at") > F.col("_hit") - least), F.lit(None)).otherwise(F.col(value))).drop("_run", "_bucket", "_len", "_at", "_hit")
 
 
-def fill_stuck(m: DataFrame, least: int = 12, per_hour: int = 1, key: Sequence[str] = ("station_code",), value: str = "value") -> DataFrame:
+def fill_stuck(m: DataFrame, least: int = 12, per_hour: int = 1, key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
     """Values of runs of at least `least` equal ones become those of a week before (if above 0), else of a day before, else NULL.
 
     Donors are the values as they came: rows that were themselves replaced don't chain.
     """
-    w = Window.partitionBy(*key).orderBy("ts")
     day = 24 * per_hour
-    out = _runs(m, key, value).withColumns({"_week": F.lag(value, 7 * day).over(w), "_day": F.lag(value, day).over(w)})
+    lags = {"_week": lambda w: F.lag(value, 7 * day).over(w), "_day": lambda w: F.lag(value, day).over(w)}
+    out = within(runs(m, key, value, bucket_s).drop("_bucket"), key, 7 * day, lags, bucket_s=bucket_s)
     donor = F.when(F.col("_week") > 0, F.col("_week")).when(F.col("_day") > 0, F.col("_day"))
-    return out.withColumn(value, F.when((F.col("_len") >= least) & F.col(value).isNotNull(), donor).otherwise(F.col(value))).drop("_run", "_row", "_len", "_at", "_week", "_day")
+    return out.withColumn(value, F.when((F.col("_len") >= least) & F.col(value).isNotNull(), donor).otherwise(F.col(value))).drop("_run", "_len", "_at", "_week", "_day")
 
 
 def qc_observation(df: DataFrame, start: Column, key: Sequence[str] = ("station_code",), max_gap_min: int = 240, max_age_h: int = 48) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import grids, parking, quality, rollups, store
+from ..operators import grids, parking, quality, rollups, scans, store
 from .base import epoch, measurements, query, r6, table
 
 HOURS = """, b AS (SELECT station_code, date_trunc('day', min(ts)) AS lo, max(ts) AS hi FROM m GROUP BY 1),
@@ -160,6 +160,10 @@ def where_measurements(spark, sf):
     return store.where_measurements(e, type_name=["view", "purchase"], metadata__k="7").select("station_code", "event_id")
 
 
+RUNS_OF_ALL = """, s AS (SELECT ts, event_id, floor(value / 400)::INT AS v FROM m), r AS (SELECT *, CASE WHEN v IS NOT DISTINCT FROM lag(v) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM s WINDOW w AS (ORDER BY ts)),
+q AS (SELECT *, sum(new) OVER (ORDER BY ts) AS run FROM r), z AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ts) AS pos, count(*) OVER (PARTITION BY run) AS len FROM q),
+h AS (SELECT *, min(CASE WHEN hour(ts) >= 6 AND pos >= 3 THEN pos END) OVER (PARTITION BY run) AS hit FROM z)
+"""
 P = """, p AS (SELECT station_code, ts, event_id FROM m WHERE type_name = 'purchase'), v AS (SELECT station_code, ts, value FROM m WHERE type_name = 'view')
 """
 
@@ -200,6 +204,24 @@ def interpolate_at(spark, sf):
     return grids.interpolate_at(probe, series, ["station_code"], name="value", max_gap_s=86400).select("event_id", r6("value", "value"))
 
 
+@query(P + "SELECT event_id, value FROM p ASOF LEFT JOIN v ON p.ts >= v.ts")
+def asof_one_series(spark, sf):
+    """The last view of any user before each purchase, as one series in buckets of a day."""
+    probe, series = _probe(spark, sf)
+    return grids.asof_pad(probe, series.drop("station_code"), [], name="value", bucket_s=86400).select("event_id", "value")
+
+
+@query(
+    RUNS_OF_ALL
+    + """SELECT event_id, len, pos, CASE WHEN hit IS NOT NULL AND pos > hit - 3 THEN NULL ELSE v::DOUBLE END AS value FROM h"""
+)
+def runs_one_series(spark, sf):
+    """Runs of equal levels of all events in order of time, as one series in buckets of a day; those of three and more become NULL after 06:00."""
+    levels = measurements(spark, sf).select("ts", "event_id", F.floor(F.col("value") / 400).cast("double").alias("value"), F.lit("all").alias("station_code"))
+    each = scans.runs(levels, ["station_code"], "value", 86400).select("event_id", F.col("_len").cast("long").alias("len"), F.col("_at").cast("long").alias("pos"))
+    return quality.null_stuck(levels, least=3, bucket_s=86400).select("event_id", "value").join(each, "event_id")
+
+
 GRID = """, k AS (SELECT type_name, date_trunc('hour', ts) AS t, avg(value * 1.047197551196598::DOUBLE) AS v FROM m GROUP BY 1, 2),
 b AS (SELECT type_name, date_trunc('day', min(t)) AS lo, max(t) AS hi FROM k GROUP BY 1),
 g AS (SELECT type_name, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS t FROM b), s AS (SELECT type_name, t, v FROM g LEFT JOIN k USING (type_name, t))

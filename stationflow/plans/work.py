@@ -405,23 +405,29 @@ def purged_latest(spark, sf):
 
 
 @query(
-    """, n AS (SELECT type_name AS station_code, ts, avg(value) AS value FROM m GROUP BY 1, 2), g AS (SELECT station_code, unnest(generate_series(time_bucket(INTERVAL 300 SECOND, min(ts), TIMESTAMP '2024-01-01'), max(ts), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
+    """, n AS (SELECT type_name AS station_code, time_bucket(INTERVAL 150 SECOND, ts, TIMESTAMP '2024-01-01') AS ts, avg(value) AS value FROM m GROUP BY 1, 2), g AS (SELECT station_code, unnest(generate_series(time_bucket(INTERVAL 300 SECOND, min(ts), TIMESTAMP '2024-01-01'), max(ts), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
 b AS (SELECT g.station_code, t, ts AS bt, value AS bv FROM g ASOF LEFT JOIN n ON n.station_code = g.station_code AND g.t >= n.ts), a AS (SELECT g.station_code, t, ts AS nt, value AS nv FROM g ASOF LEFT JOIN n ON n.station_code = g.station_code AND g.t <= n.ts)
-SELECT station_code, epoch(t)::BIGINT AS ts, round(CASE WHEN bt IS NULL THEN nv WHEN nt IS NULL THEN bv WHEN t - bt <= nt - t THEN bv ELSE nv END, 6) AS value FROM b JOIN a USING (station_code, t)"""
+SELECT station_code, epoch(t)::BIGINT AS ts, round(CASE WHEN bt IS NULL THEN nv WHEN nt IS NULL THEN bv WHEN t - bt < nt - t THEN bv ELSE nv END, 6) AS value FROM b JOIN a USING (station_code, t)"""
 )
 def resample_nearest(spark, sf):
-    """The nearest value of each type every five minutes."""
-    m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), "ts").agg(F.avg("value").alias("value"))
+    """The nearest value of each type every five minutes; values are half-way between steps, so that there are ties."""
+    m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), grids.floor_ts("ts", 150).alias("ts")).agg(F.avg("value").alias("value"))
     return grids.resample_nearest(m).select("station_code", epoch("ts"), r6("value", "value"))
 
 
-@query("""SELECT n AS lag, coalesce(lead(n) OVER (ORDER BY n) - n, 0) AS step FROM (SELECT unnest(range(1, 25)) AS n UNION ALL SELECT d * 24 + k FROM range(2, 8) r(d), (VALUES (-1), (0), (1)) v(k)) WHERE (SELECT count(*) FROM m) > 0""")
+@query(
+    """, h AS (SELECT station_code, date_trunc('day', ts) AS d, date_trunc('hour', ts) AS t, round(avg(value), 6) AS v FROM m GROUP BY ALL), n AS (SELECT *, row_number() OVER (PARTITION BY station_code ORDER BY t) AS i FROM h),
+lags AS (SELECT unnest(range(1, 25)) AS n UNION ALL SELECT d * 24 + k FROM range(2, 8) r(d), (VALUES (-1), (0), (1)) v(k))
+SELECT a.station_code, epoch(a.t)::BIGINT AS ts, count(b.v) AS known, round(sum(b.v * lags.n), 3) AS weighed, max(CASE WHEN lags.n = 24 THEN b.v END) AS day_before, max(CASE WHEN lags.n = 169 THEN b.v END) AS week_before
+FROM n a CROSS JOIN lags LEFT JOIN n b ON a.station_code = b.station_code AND b.i = a.i - lags.n GROUP BY ALL"""
+)
 def lag_set(spark, sf):
-    """The lags that the hourly series of the events are given."""
-    hours = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("value"))
+    """The weekly lags of the users' hourly means."""
+    hours = measurements(spark, sf).groupBy("station_code", F.date_trunc("hour", "ts").alias("ts")).agg(F.round(F.avg("value"), 6).alias("value"))
     lags = grids.lag_set()
-    named = [int(c.removeprefix("lag_")) for c in grids.lag_features(hours, lags).columns if c.startswith("lag_")]
-    rows = hours.limit(1).select(F.explode(F.array(*(F.struct(F.lit(n).cast("long").alias("lag"), F.lit(m - n).cast("long").alias("step")) for n, m in zip(named, [*named[1:], named[-1]])))).alias("x"))
-    return rows.select("x.*")
+    out = grids.weekly_lags(hours)
+    weighed = F.aggregate(F.zip_with("lags", F.array(*map(F.lit, lags)), lambda v, n: F.coalesce(v * n, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
+    known = F.size(F.filter("lags", lambda v: v.isNotNull())).cast("long")
+    return out.select("station_code", epoch("ts"), known.alias("known"), F.when(known > 0, F.round(weighed, 3)).alias("weighed"), F.col("lags")[lags.index(24)].alias("day_before"), F.col("lags")[lags.index(169)].alias("week_before"))
 
 
