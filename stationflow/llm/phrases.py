@@ -52,11 +52,12 @@ class Index:
                 room = 64 // width - held
             for _ in range(min(room, depth - held)):
                 later = np.zeros(n, np.uint64)
-                later[: n - held] = text[held:]
+                later[: max(0, n - held)] = text[held:]
                 key = key << np.uint64(width) | later
                 held += 1
         order = np.argsort(key, kind="stable")
-        now = text[order - 1]
+        now = text[order - 1].astype(np.int32)
+        del key, order
         self.first = np.r_[0, np.cumsum(np.bincount(text, minlength=symbols))]
         self.levels = width
         self.ones, self.zeros = [], []
@@ -67,6 +68,7 @@ class Index:
             self.ones.append(ones)
             self.zeros.append(n - int(ones[-1]))
             now = np.concatenate([now[~bit], now[bit]])
+            del bit
         self.leaf = np.zeros(symbols, np.int64)  # where each symbol's occurrences begin below the last level
         at = np.flatnonzero(np.r_[True, now[1:] != now[:-1]]) if n else np.zeros(0, np.int64)
         self.leaf[now[at]] = at
@@ -319,7 +321,7 @@ def _strings(read: Read, grams: np.ndarray, n: np.ndarray, words: pa.Array) -> p
     return pa.record_batch([lang, pa.array(np.full(len(n), grams.shape[1]), pa.int32()), phrase.view(pa.string()), pa.array(n, pa.int64())], ["lang", "size", "phrase", "f"])
 
 
-def phrase_counts(docs: DataFrame, longest: int = 4, least: int = 30, shard_words: int = 1_500_000) -> DataFrame:
+def phrase_counts(docs: DataFrame, longest: int = 4, least: int = 30, shard_words: int = 1_000_000) -> DataFrame:
     """lang, size, phrase, f: the phrases of 1 to longest words of each language that occur at least `least` times.
 
     Row (lang, 0, '', f) tells how many words the language has. docs needs text and lang: a null text is empty, a null lang 'und';
@@ -361,7 +363,7 @@ def phrase_counts(docs: DataFrame, longest: int = 4, least: int = 30, shard_word
     return out
 
 
-def collocations(docs: DataFrame, longest: int = 4, least: int = 30, share: int = 80, most: int = 2000, shard_words: int = 1_500_000) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = 4, least: int = 30, share: int = 80, most: int = 2000, shard_words: int = 1_000_000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's `most` phrases of the highest scores.
 
     A phrase of 2 to longest words with a >= least occurrences, cut into two parts with l and r occurrences, has the
