@@ -143,8 +143,7 @@ def forecast_recursive(signals: DataFrame, model: PipelineModel, numbers: Sequen
     made = ready.select("station_code", "ts", (F.array("prediction") if linear else vector_to_array("features")).alias("x"))
     made = made.groupBy("station_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "x"))), lambda s: s.x).alias("xs"), F.array_sort(F.collect_list("ts")).alias("times"))
 
-    def following(past: Column, i: Column) -> Column:
-        lag = lambda n: F.coalesce(F.try_element_at(past, F.lit(-n)), F.col("mean"))
+    def step_of(lag: Callable[[int], Column], i: Column) -> Column:
         vector = F.get("xs", i)
 
         def feature(k: int) -> Column:
@@ -153,12 +152,37 @@ def forecast_recursive(signals: DataFrame, model: PipelineModel, numbers: Sequen
 
         if linear:
             added = [F.lit(float(last.coefficients[k]) / std) * lag(n) for k, (n, _, std) in place.items()]
-            return F.concat(past, F.array(reduce(lambda a, b: a + b, added, F.get(vector, 0))))
-        return F.concat(past, F.array(tree_value(last, feature)))
+            return reduce(lambda a, b: a + b, added, F.get(vector, 0))
+        return tree_value(last, feature)
 
-    out = state.join(made, "station_code").withColumn("all", F.aggregate(F.sequence(F.lit(0), F.size("times") - 1), F.col("past"), following))
-    out = out.select("station_code", "times", F.posexplode(F.slice("all", F.size("past") + 1, F.size("times"))).alias("i", "value"))
-    return out.select("station_code", F.get("times", F.col("i")).alias("ts"), "value")
+    return extended(state.join(made, "station_code"), step_of)
+
+
+def extended(state: DataFrame, step_of: Callable[[Callable[[int], Column], Column], Column]) -> DataFrame:
+    """station_code, ts and value of the times of each station, one after another: step_of(lag, i) tells the value of step i.
+
+    state: station_code, past (values in order), mean (in place of values before them) and times. lag(n) is the value n
+    steps before: of the past, or one that was told. Only what was told grows from step to step.
+    """
+
+    def following(told: Column, i: Column) -> Column:
+        lag = lambda n: F.coalesce(F.when(i >= n, F.get(told, i - n)).otherwise(F.try_element_at("past", i.cast("int") - n)), F.col("mean"))
+        return F.concat(told, F.array(step_of(lag, i)))
+
+    steps = F.when(F.size("times") > 0, F.sequence(F.lit(0), F.size("times") - 1)).otherwise(F.array().cast("array<int>"))
+    out = state.withColumn("told", F.aggregate(steps, F.array().cast("array<double>"), following))
+    return out.select("station_code", "times", F.posexplode("told").alias("i", "value")).select("station_code", F.get("times", F.col("i")).alias("ts"), "value")
+
+
+def forecast_linear(signals: DataFrame, base: DataFrame, weights: dict[int, float]) -> DataFrame:
+    """M6 for given weights: station_code, ts and value of the rows of base (station_code, ts, base), each its base and the weighed values so many steps before.
+
+    Lags before a station's first value are its mean. base's rows follow the signals' last one on their grid.
+    """
+    state = signals.groupBy("station_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "value"))), lambda s: s.value.cast("double")).alias("past"), F.avg("value").alias("mean"))
+    made = base.groupBy("station_code").agg(F.array_sort(F.collect_list(F.struct("ts", "base"))).alias("b"))
+    made = made.select("station_code", F.col("b.ts").alias("times"), F.transform("b", lambda x: x.base.cast("double")).alias("xs"))
+    return extended(state.join(made, "station_code"), lambda lag, i: reduce(lambda a, n: a + F.lit(float(weights[n])) * lag(n), weights, F.get("xs", i)))
 
 
 def forecast_direct(model: PipelineModel, signals: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
@@ -167,21 +191,22 @@ def forecast_direct(model: PipelineModel, signals: DataFrame, lags: Sequence[int
     return model.transform(blank).select("station_code", "ts", F.col("prediction").alias("value"))
 
 
-def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: float = 0.1) -> DataFrame:
-    """M8: station_code, weights and deviation of a linear model of value for each lot, on numbers, slot and weekday.
+def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: float = 0.1, calendar: bool = True) -> DataFrame:
+    """M8: station_code, weights and deviation of a linear model of value for each lot, on numbers and (calendar) slot and weekday.
 
     Partitions add up the products of features lot by lot, so that only these sums travel, and each lot's equations are
     solved by themselves (with a ridge that leaves the intercept alone).
     """
-    width = 1 + len(numbers) + slots + 7
+    width = 1 + len(numbers) + (slots + 7 if calendar else 0)
 
     def vectors(f: pd.DataFrame) -> np.ndarray:
         x = np.zeros((len(f), width + 1))
         x[:, 0] = 1.0
         x[:, 1 : 1 + len(numbers)] = f[list(numbers)].to_numpy(float)
-        at = np.arange(len(f))
-        x[at, 1 + len(numbers) + f.slot.to_numpy(int)] = 1.0
-        x[at, 1 + len(numbers) + slots + f.weekday.to_numpy(int)] = 1.0
+        if calendar:
+            at = np.arange(len(f))
+            x[at, 1 + len(numbers) + f.slot.to_numpy(int)] = 1.0
+            x[at, 1 + len(numbers) + slots + f.weekday.to_numpy(int)] = 1.0
         x[:, width] = f["value"].to_numpy(float)
         return x
 
@@ -193,11 +218,11 @@ def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: fl
     def solved(f: pd.DataFrame) -> pd.DataFrame:
         both, n = np.sum([np.asarray(x) for x in f.sums], axis=0).reshape(width + 1, width + 1), int(f.n.sum())
         a, b, c = both[:width, :width], both[:width, width], both[width, width]
-        w = np.linalg.solve(a + np.diag(np.r_[1e-9, np.full(width - 1, ridge)]), b)
+        w = np.linalg.solve(a + np.diag(np.r_[1e-9, np.full(width - 1, ridge)]), b) if ridge else np.linalg.lstsq(a, b, rcond=None)[0]
         left = max(float(c - 2 * w @ b + w @ a @ w), 0.0)
         return pd.DataFrame({"station_code": [f.station_code.iloc[0]], "weights": [w.tolist()], "deviation": [(left / max(n - 1, 1)) ** 0.5]})
 
-    taken = rows.select("station_code", F.col("slot").cast("int").alias("slot"), F.col("weekday").cast("int").alias("weekday"), "value", *numbers)
+    taken = rows.select("station_code", *(F.col(c).cast("int").alias(c) for c in ("slot", "weekday") if calendar), "value", *numbers)
     return taken.mapInPandas(added, "station_code string, n long, sums array<double>").groupBy("station_code").applyInPandas(solved, "station_code string, weights array<double>, deviation double")
 
 
@@ -233,7 +258,12 @@ def forecast_lots(m: DataFrame, overlays: Sequence[Callable[[DataFrame], DataFra
 
 def evaluate_steps(model: PipelineModel, rows: DataFrame, share: float = 0.1) -> DataFrame:
     """M9: root mean squared error by hour of the day on each station's last rows."""
-    held = rows.withColumn("_r", F.percent_rank().over(Window.partitionBy("station_code").orderBy("ts"))).where(F.col("_r") >= 1 - share).drop("_r")
-    return model.transform(held).groupBy(F.hour("ts").alias("hour")).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("value"), F.lit(2.0)))).alias("rmse"), F.count(F.lit(1)).alias("rows"))
+    return step_errors(model.transform(rows), share)
+
+
+def step_errors(predicted: DataFrame, share: float = 0.1) -> DataFrame:
+    """M9: the same of rows that have a prediction."""
+    held = predicted.withColumn("_r", F.percent_rank().over(Window.partitionBy("station_code").orderBy("ts"))).where(F.col("_r") >= 1 - share).drop("_r")
+    return held.groupBy(F.hour("ts").alias("hour")).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("value"), F.lit(2.0)))).alias("rmse"), F.count(F.lit(1)).alias("rows"))
 
 

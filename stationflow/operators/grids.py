@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scans import BUCKET_S, nearest_known, within
+from .scans import nearest_known, within
 
 
 def seconds(c: Column | str) -> Column:
@@ -56,7 +56,7 @@ def _merged(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str)
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str, bucket_s: int) -> DataFrame:
+def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str, bucket_s: int | None) -> DataFrame:
     """_b and _a: the rows of the series at or before and at or after each row of the probe; of equal times, that of the largest value."""
     at, v = F.unix_micros(F.col("ts").cast("timestamp")), F.col("_s.v")
     # rows of the series at the probe's own time come before it, so they are looked for on that side
@@ -65,14 +65,14 @@ def _asof(probe: DataFrame, series: DataFrame, key: Sequence[str], value: str, b
     return both.withColumn("_a", F.when(exact, F.col("_b")).otherwise(F.col("_a"))).drop("_p", "_s")
 
 
-def asof_pad(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_asof", max_age_s: int | None = None, bucket_s: int = BUCKET_S) -> DataFrame:
+def asof_pad(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_asof", max_age_s: int | None = None, bucket_s: int | None = None) -> DataFrame:
     """The last value at or before each probe row, not older than max_age_s."""
     out = _asof(probe, series, key, value, bucket_s)
     fresh = F.lit(True) if max_age_s is None else gap_s("ts", F.col("_b.ts")) <= max_age_s
     return out.withColumn(name, F.when(fresh, F.col("_b.v"))).drop("_a", "_b")
 
 
-def asof_nearest(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_nearest", within_s: int | None = 300, bucket_s: int = BUCKET_S) -> DataFrame:
+def asof_nearest(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_nearest", within_s: int | None = 300, bucket_s: int | None = None) -> DataFrame:
     """The value nearest in time, less than within_s away; of two at the same distance the later one."""
     back, ahead = gap_s("ts", F.col("_b.ts")), gap_s(F.col("_a.ts"), "ts")
     near = F.when(F.col("_b").isNull() | (ahead <= back), F.col("_a")).otherwise(F.col("_b"))
@@ -81,14 +81,14 @@ def asof_nearest(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), v
     return out.withColumn(name, F.when(F.lit(True) if within_s is None else gap < within_s, F.col("_n.v"))).drop("_a", "_b", "_n")
 
 
-def interpolate_at(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_at", max_gap_s: int = 14400, bucket_s: int = BUCKET_S) -> DataFrame:
+def interpolate_at(probe: DataFrame, series: DataFrame, key: Sequence[str] = (), value: str = "value", name: str = "value_at", max_gap_s: int = 14400, bucket_s: int | None = None) -> DataFrame:
     """Linear between the rows on both sides; NULL where one is missing or they are more than max_gap_s apart."""
     whole = gap_s(F.col("_a.ts"), F.col("_b.ts"))
     line = F.col("_b.v") + F.coalesce(F.try_divide(gap_s("ts", F.col("_b.ts")), whole), F.lit(0.0)) * (F.col("_a.v") - F.col("_b.v"))
     return _asof(probe, series, key, value, bucket_s).withColumn(name, F.when(whole <= max_gap_s, line)).drop("_a", "_b")
 
 
-def interpolate_linear(g: DataFrame, key: Sequence[str], value: str = "value", trailing: str = "hold", bucket_s: int = BUCKET_S) -> DataFrame:
+def interpolate_linear(g: DataFrame, key: Sequence[str], value: str = "value", trailing: str = "hold", bucket_s: int | None = None) -> DataFrame:
     """Gaps of a series on a grid: linear inside, the last value at the end (or NULL), NULL at the begin."""
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     s = F.when(F.col(value).isNotNull(), F.struct(at.alias("t"), F.col(value).cast("double").alias("v")))
@@ -127,13 +127,13 @@ def densify(fc: DataFrame, step: int, key: Sequence[str], columns: dict[str, str
     return out.withColumns(filled | {"ts": F.timestamp_micros(F.unix_micros("ts") + F.col("_i") * (step * 1_000_000))}).drop("_i", *nxt)
 
 
-def lag_features(g: DataFrame, lags: Sequence[int] = (1, 2, 12, 288, 2016), key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
+def lag_features(g: DataFrame, lags: Sequence[int] = (1, 2, 12, 288, 2016), key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int | None = None) -> DataFrame:
     """Earlier values of a series on a grid, by rows."""
     lag = lambda n: lambda w: F.lag(value, n).over(w)
     return within(g, key, max(lags, default=0), {f"lag_{n}": lag(n) for n in lags}, bucket_s=bucket_s)
 
 
-def running_mean(g: DataFrame, rows: int = 2016, key: Sequence[str] = ("station_code",), value: str = "value", name: str = "running_mean", bucket_s: int = BUCKET_S) -> DataFrame:
+def running_mean(g: DataFrame, rows: int = 2016, key: Sequence[str] = ("station_code",), value: str = "value", name: str = "running_mean", bucket_s: int | None = None) -> DataFrame:
     """Mean over the row and so many before it, without NULL.
 
     From sums up to each row of a block, less those up to the row before the frame: a frame of its own would be added
@@ -154,7 +154,7 @@ def lag_set(per_hour: int = 1, strategy: str = "fine") -> list[int]:
     return list(range(1, day + 1)) + [n for d in range(2, 8) for n in (d * day - 1, d * day, d * day + 1)]
 
 
-def weekly_lags(g: DataFrame, per_hour: int = 1, strategy: str = "fine", key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
+def weekly_lags(g: DataFrame, per_hour: int = 1, strategy: str = "fine", key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int | None = None) -> DataFrame:
     """The array `lags` of the values that lag_set() tells, in its order, for each row of a series on a grid."""
     lags = lag_set(per_hour, strategy)
     columns = {f"_lag_{n}": (lambda w, n=n: F.lag(value, n).over(w)) for n in lags}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lane_direction, station_km
 from .grids import gap_s, seconds
 from .moments import average, combined, deviation, moments
-from .scans import BUCKET_S, least_of_run, runs, within
+from .scans import least_of_run, runs, within
 
 
 def eligible_traffic_stations(stations: DataFrame) -> DataFrame:
@@ -269,14 +269,14 @@ def validate_traffic(traffic: DataFrame, history: DataFrame | History, places: D
     return out.select("time", "station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3", overall_validity(F.col("layer_1"), F.col("layer_1_1"), F.col("layer_3")).alias("is_valid"))
 
 
-def null_stuck(m: DataFrame, least: int = 6, first_hour: int = 6, key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
+def null_stuck(m: DataFrame, least: int = 6, first_hour: int = 6, key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int | None = None) -> DataFrame:
     """Runs of at least `least` equal values that reach past 05:59 become NULL, from least - 1 rows before the first such row to the end."""
     out = runs(m, key, value, bucket_s)
-    out = least_of_run(out, key, F.when((F.hour("ts") >= first_hour) & (F.col("_at") >= least), F.col("_at")), "_hit")
+    out = least_of_run(out, key, F.when((F.hour("ts") >= first_hour) & (F.col("_at") >= least), F.col("_at")), "_hit", bucket_s)
     return out.withColumn(value, F.when(F.col("_hit").isNotNull() & (F.col("_at") > F.col("_hit") - least), F.lit(None)).otherwise(F.col(value))).drop("_run", "_bucket", "_len", "_at", "_hit")
 
 
-def fill_stuck(m: DataFrame, least: int = 12, per_hour: int = 1, key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int = BUCKET_S) -> DataFrame:
+def fill_stuck(m: DataFrame, least: int = 12, per_hour: int = 1, key: Sequence[str] = ("station_code",), value: str = "value", bucket_s: int | None = None) -> DataFrame:
     """Values of runs of at least `least` equal ones become those of a week before (if above 0), else of a day before, else NULL.
 
     Donors are the values as they came: rows that were themselves replaced don't chain.

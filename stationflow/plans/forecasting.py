@@ -125,13 +125,18 @@ def _signals(spark, sf):
 NUMBERS = [*(f"lag_{n}" for n in forecast.LAGS), "running_mean", "is_school", "is_holiday"]
 
 
-@query(
-    """, n AS (SELECT type_name AS station_code, time_bucket(INTERVAL 300 SECOND, ts, TIMESTAMP '2024-01-01') AS t, avg(value) AS v FROM m GROUP BY 1, 2),
+SIGNALS = """, n AS (SELECT type_name AS station_code, time_bucket(INTERVAL 300 SECOND, ts, TIMESTAMP '2024-01-01') AS t, avg(value) AS v FROM m GROUP BY 1, 2),
 g AS (SELECT station_code, unnest(generate_series(min(t), max(t), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
 p AS (SELECT g.station_code, g.t, n.v, last_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t) AS a,
- first_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM g LEFT JOIN n ON n.station_code = g.station_code AND n.t = g.t)
-SELECT station_code, epoch(t)::BIGINT AS ts, round(1.047197551196598::DOUBLE * coalesce(v, a.v + (b.v - a.v) * (epoch(t) - epoch(a.t)) / (epoch(b.t) - epoch(a.t))), 6) AS value, (hour(t) * 12 + minute(t) // 5)::BIGINT AS slot, (isodow(t) - 1)::BIGINT AS weekday,
- month(t) AS month, (isodow(t) >= 6)::INT::DOUBLE AS is_school, (isodow(t) = 7)::INT::DOUBLE AS is_holiday, (day(t) % 5)::DOUBLE AS symbol FROM p"""
+ first_value(CASE WHEN v IS NOT NULL THEN {'t': g.t, 'v': v} END IGNORE NULLS) OVER (PARTITION BY g.station_code ORDER BY g.t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM g LEFT JOIN n ON n.station_code = g.station_code AND n.t = g.t),
+sg AS (SELECT station_code, t, coalesce(v, a.v + (b.v - a.v) * (epoch(t) - epoch(a.t)) / (epoch(b.t) - epoch(a.t))) AS v FROM p)
+"""
+
+
+@query(
+    SIGNALS
+    + """SELECT station_code, epoch(t)::BIGINT AS ts, round(1.047197551196598::DOUBLE * v, 6) AS value, (hour(t) * 12 + minute(t) // 5)::BIGINT AS slot, (isodow(t) - 1)::BIGINT AS weekday,
+ month(t) AS month, (isodow(t) >= 6)::INT::DOUBLE AS is_school, (isodow(t) = 7)::INT::DOUBLE AS is_holiday, (day(t) % 5)::DOUBLE AS symbol FROM sg"""
 )
 def parking_signals(spark, sf):
     """M1: signals of each type every five minutes."""
@@ -142,6 +147,60 @@ def _training(spark, sf):
     return forecast.training_set(_signals(spark, sf), F.lit("2024-01-25").cast("timestamp"))
 
 
+@query(
+    SIGNALS
+    + """, l AS (SELECT station_code, t, v, lag(v, 1) OVER w AS l1, lag(v, 2) OVER w AS l2, lag(v, 12) OVER w AS l12, lag(v, 288) OVER w AS l288, lag(v, 2016) OVER w AS l2016, avg(v) OVER (w ROWS 2016 PRECEDING) AS mean FROM sg WINDOW w AS (PARTITION BY station_code ORDER BY t))
+SELECT station_code, epoch(t)::BIGINT AS ts, round(v * 1.0471975, 5) AS value, round(l1 * 1.0471975, 5) AS lag_1, round(l2 * 1.0471975, 5) AS lag_2, round(l12 * 1.0471975, 5) AS lag_12, round(l288 * 1.0471975, 5) AS lag_288, round(l2016 * 1.0471975, 5) AS lag_2016,
+ round(mean * 1.0471975, 5) AS running_mean FROM l WHERE t <= TIMESTAMP '2024-01-25' AND l2016 IS NOT NULL"""
+)
+def training_set(spark, sf):
+    """M2: the rows that models are fitted on."""
+    scaled = lambda c: F.round(F.col(c) * 1.0471975, 5).alias(c)
+    return _training(spark, sf).select("station_code", epoch("ts"), *(scaled(c) for c in ("value", "lag_1", "lag_2", "lag_12", "lag_288", "lag_2016", "running_mean")))
+
+
+@query(
+    SIGNALS
+    + """, l AS (SELECT *, lag(v, 288) OVER (PARTITION BY station_code ORDER BY t) AS p FROM sg), r AS (SELECT *, percent_rank() OVER (PARTITION BY station_code ORDER BY t) AS pr FROM l WHERE p IS NOT NULL)
+SELECT hour(t)::BIGINT AS hour, round(sqrt(avg((p - v) * (p - v))), 6) AS rmse, count(*) AS rows FROM r WHERE pr >= 0.9 GROUP BY 1"""
+)
+def step_errors(spark, sf):
+    """M9: each day as the forecast of the next one, by hour of the last tenth of each series."""
+    rows = grids.lag_features(_signals(spark, sf), [288]).where("lag_288 IS NOT NULL").withColumnRenamed("lag_288", "prediction")
+    return forecast.step_errors(rows, 0.1).select(F.col("hour").cast("long").alias("hour"), r6("rmse", "rmse"), "rows")
+
+
+@query(
+    """, h AS (SELECT station_code, date_trunc('hour', ts) AS t, avg(value) AS y, count(*)::DOUBLE AS a, max(event_id % 97)::DOUBLE AS b FROM m GROUP BY 1, 2),
+s AS (SELECT station_code, count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, var_pop(y) AS yy FROM h GROUP BY 1),
+w AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS wa, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM s WHERE n >= 8 AND aa * bb - ab * ab > 1e-3)
+SELECT station_code, round(my - wa * ma - wb * mb, 4) AS intercept, round(wa, 4) AS of_count, round(wb, 4) AS of_rest, round(sqrt(greatest(yy - wa * ay - wb * by_, 0) * n / (n - 1)), 4) AS deviation FROM w"""
+)
+def fit_lots(spark, sf):
+    """M8: a linear model for each user, of hourly means on the number of events and the largest remainder of their ids."""
+    m = measurements(spark, sf)
+    h = m.groupBy("station_code", F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("value"), F.count(F.lit(1)).cast("double").alias("a"), F.max(F.col("event_id") % 97).cast("double").alias("b"))
+    fit = forecast.fit_lots(h, ["a", "b"], ridge=0.0, calendar=False)
+    usable = h.groupBy("station_code").agg(F.count(F.lit(1)).alias("n"), (F.var_pop("a") * F.var_pop("b") - F.pow(F.covar_pop("a", "b"), F.lit(2))).alias("d")).where("n >= 8 AND d > 1e-3")
+    at = lambda i, name: F.round(F.get("weights", F.lit(i)), 4).alias(name)
+    return fit.join(usable, "station_code").select("station_code", at(0, "intercept"), at(1, "of_count"), at(2, "of_rest"), F.round("deviation", 4).alias("deviation"))
+
+
+@query(
+    HOURLY
+    + """, p AS (SELECT station_code, list(v ORDER BY t) AS past, max(t) AS last FROM h GROUP BY 1),
+x AS (WITH RECURSIVE r AS (SELECT station_code, past, last, 0 AS i FROM p UNION ALL
+ SELECT station_code, list_append(past, (i % 24) * 2.5 + 0.45 * past[-1] + 0.25 * past[-3] + 0.2 * past[-24]), last, i + 1 FROM r WHERE i < 72) SELECT * FROM r WHERE i > 0)
+SELECT station_code, epoch(last)::BIGINT + 3600 * i AS ts, round(past[-1], 6) AS value FROM x"""
+)
+def forecast_linear(spark, sf):
+    """M6: three days of hours that feed on themselves, by given weights of three lags."""
+    hours = _hourly(spark, sf)
+    ahead = hours.groupBy("station_code").agg(F.max("ts").alias("m")).select("station_code", "m", F.explode(F.sequence(F.lit(0), F.lit(71))).alias("i"))
+    base = ahead.select("station_code", F.timestamp_micros(F.unix_micros("m") + (F.col("i").cast("long") + 1) * 3_600_000_000).alias("ts"), (F.col("i") % 24 * 2.5).alias("base"))
+    return forecast.forecast_linear(hours, base, {1: 0.45, 3: 0.25, 24: 0.2}).select("station_code", epoch("ts"), r6("value", "value"))
+
+
 @query()
 def fit_linear(spark, sf):
     """M2, M3, M4, M9: a linear model, its error by hour on the last tenth."""
@@ -163,7 +222,7 @@ def fit_ensemble(spark, sf):
 @query()
 def forecast_recursive(spark, sf):
     """M4, M6: a linear model fitted on the signals, and the 576 five-minute steps after them, which feed on themselves."""
-    signals = _signals(spark, sf).where("value IS NOT NULL").persist()
+    signals = _signals(spark, sf).where("value IS NOT NULL")
     train, _ = forecast.augment(forecast.training_set(signals, F.lit("2024-01-25").cast("timestamp")), 0.01)
     model = forecast.fit_linear(train, NUMBERS)
     return forecast.forecast_recursive(signals, model, NUMBERS).select("station_code", epoch("ts"), r6("value", "value"))

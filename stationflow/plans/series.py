@@ -246,6 +246,22 @@ def interpolate_linear(spark, sf):
     return grids.interpolate_linear(_hours(spark, sf), ["type_name"]).select("type_name", epoch("ts"), r6("value", "value"))
 
 
+@query(
+    GRID
+    + """, a AS (SELECT t, avg(v) AS v FROM s GROUP BY 1), w AS (SELECT *, lag(t) OVER o AS lt, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER p AS bt, last_value(v IGNORE NULLS) OVER p AS bv,
+ first_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER f AS nt, first_value(v IGNORE NULLS) OVER f AS av FROM a
+ WINDOW o AS (ORDER BY t), p AS (ORDER BY t ROWS UNBOUNDED PRECEDING), f AS (ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+x AS (SELECT t, CASE WHEN v IS NOT NULL THEN v WHEN nt IS NULL THEN bv WHEN bt IS NOT NULL THEN bv + epoch(t - bt) / epoch(nt - bt) * (av - bv) END AS v FROM w)
+SELECT epoch(t)::BIGINT AS ts, round(v, 6) AS value, round(lag(v, 24) OVER q, 6) AS lag_24, round(avg(v) OVER (q ROWS 48 PRECEDING), 6) AS running_mean FROM x WINDOW q AS (ORDER BY t)"""
+)
+def gaps_one_series(spark, sf):
+    """Hourly means of all types as one series, its gaps, lags and running mean in buckets of two days."""
+    hours = _hours(spark, sf).groupBy("ts").agg(F.avg("value").alias("value"))
+    out = grids.interpolate_linear(hours, [], bucket_s=2 * 86400)
+    out = grids.running_mean(grids.lag_features(out, [24], [], bucket_s=2 * 86400), 48, [], bucket_s=2 * 86400)
+    return out.select(epoch("ts"), r6("value", "value"), r6("lag_24", "lag_24"), r6("running_mean", "running_mean"))
+
+
 @query(
     GRID
     + """SELECT type_name, epoch(t)::BIGINT AS ts, round(lag(v, 1) OVER w, 6) AS lag_1, round(lag(v, 24) OVER w, 6) AS lag_24, round(avg(v) OVER (w ROWS 168 PRECEDING), 6) AS running_mean FROM s WINDOW w AS (PARTITION BY type_name ORDER BY t)"""
