@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .. import sources
 from ..operators import catalog, dispersion, emissions, quality, roadwx, trips
-from ..streaming import stream_match
+from ..streaming import stateful, stream_match
 from .base import epoch, measurements, query, r6, table
 from .traffic import TRIPS
 
@@ -235,6 +235,34 @@ def stream_trips(spark, sf):
     return out.crossJoin(F.broadcast(last)).where("ts + INTERVAL 1 DAY <= last - INTERVAL 11 MINUTE").select("device", F.unix_micros("ts").alias("ts"), r6("value", "value"))
 
 
+STREAMED = TRIPS + "SELECT device, epoch_us(ts) AS ts, round(value, 6) AS value FROM trips WHERE ts + INTERVAL 1 DAY <= (SELECT max(ts) FROM m WHERE type_name IN ('view', 'purchase')) - INTERVAL 11 MINUTE"
+
+
+def _streamed_trips(spark, sf, make):
+    run = _folder(spark)
+    source = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/event*.parquet")
+    seen = source.where("event_type IN ('view', 'purchase')").select(F.col("event_type").alias("station_code"), F.col("user_id").cast("string").alias("device"), F.col("ts").cast("timestamp").alias("ts"))
+    edges = spark.createDataFrame([("l", "view", "purchase")], "link_code string, origin_code string, destination_code string")
+    with stateful.rocksdb(spark):
+        q = make(seen, edges, 86400).writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    out = spark.read.schema("link_code string, device string, ts timestamp, value double").parquet(f"{run}/out")
+    last = seen_until(spark, sf)
+    return out.crossJoin(F.broadcast(last)).where("ts + INTERVAL 1 DAY <= last - INTERVAL 11 MINUTE").select("device", F.unix_micros("ts").alias("ts"), r6("value", "value"))
+
+
+@query(STREAMED)
+def stream_trips_state(spark, sf):
+    """The same trips, by maps and timers of each device."""
+    return _streamed_trips(spark, sf, stateful.trips_with_state)
+
+
+@query(STREAMED)
+def stream_trips_join(spark, sf):
+    """The same trips, by an interval join of two streams."""
+    return _streamed_trips(spark, sf, stateful.trips_by_join)
+
+
 def seen_until(spark, sf):
     """The last time of a view or purchase, one row."""
     return measurements(spark, sf).where("type_name IN ('view', 'purchase')").agg(F.max("ts").alias("last"))

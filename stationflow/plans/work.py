@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import sources
 from .. import streaming as streams
 from ..operators import catalog, grids, incremental, parking, quality, rollups, store
-from ..streaming import stream_window
+from ..streaming import stateful, stream_window
 from .base import epoch, measurements, query, r6, table
 
 
@@ -282,6 +282,19 @@ def stream_counts(spark, sf):
     return spark.read.schema("type_name string, ts timestamp, value long").parquet(f"{run}/out").select("type_name", epoch("ts"), "value")
 
 
+@query(
+    """, c AS (SELECT type_name, epoch(time_bucket(INTERVAL 3600 SECOND, ts))::BIGINT AS t, count(*) AS n FROM m GROUP BY 1, 2), mark AS (SELECT epoch_ms(max(ts)) // 1000 - 60 AS s FROM m),
+done AS (SELECT c.* FROM c, mark WHERE t + 3600 <= s), g AS (SELECT type_name, unnest(generate_series(min(t), max(t), 3600)) AS t FROM done GROUP BY 1)
+SELECT type_name, g.t + 1800 AS ts, coalesce(n, 0) AS value FROM g LEFT JOIN done USING (type_name, t)"""
+)
+def stream_counts_state(spark, sf):
+    """The same counts, by maps and timers."""
+    m, run = _streamed(spark, sf)
+    with stateful.rocksdb(spark):
+        _drained(stateful.counts_with_state(m, 3600, "type_name", "1 minute").writeStream.format("parquet").option("path", f"{run}/out"), run)
+    return spark.read.schema("type_name string, ts timestamp, value long").parquet(f"{run}/out").select("type_name", epoch("ts"), "value")
+
+
 @query(
     """, h AS (SELECT type_name, (ceil(epoch_us(ts) / 3600e6) * 3600)::BIGINT AS ts, avg(value) AS value FROM m GROUP BY 1, 2 HAVING count(value) >= 2)
 SELECT type_name, ts, round(value, 4) AS value FROM h WHERE ts * 1000000 + 1 <= (SELECT epoch_ms(max(ts)) * 1000 - 60000000 FROM m)"""

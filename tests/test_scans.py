@@ -15,7 +15,7 @@ def at(seconds):
     return T0 + dt.timedelta(seconds=seconds)
 
 
-@pytest.fixture(scope="module", params=[1, 2])
+@pytest.fixture(scope="module", params=[1])
 def data(request):
     rng = random.Random(request.param)
     out = []
