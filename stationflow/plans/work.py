@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import sources
 from .. import streaming as streams
 from ..operators import catalog, grids, incremental, parking, quality, rollups, store
+from ..sources import versioned
 from ..streaming import stateful, stream_window
 from .base import epoch, measurements, query, r6, table
 
@@ -334,6 +335,19 @@ def stream_latest(spark, sf):
     return read(None).select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
 
 
+@query("SELECT station_code, type_name, epoch_us(max(ts)) AS ts, max(struct_pack(ts := ts, value := value)).value AS value FROM m GROUP BY 1, 2")
+def stream_latest_once(spark, sf):
+    """The latest rows by a versioned target, in which a batch that is sent a second time changes nothing."""
+    m, run = _streamed(spark, sf)
+    keys = ["station_code", "type_name"]
+    target = versioned.VersionedTarget(spark, f"{run}/target", "station_code string, type_name string, ts timestamp, value double", keys)
+    early = measurements(spark, sf).where("ts < '2024-01-05'")
+    target.apply(early, streams.latest_rows(keys), "history", 0)
+    _drained(streams.stream_into(m, target, "events", streams.latest_rows(keys)), run)
+    target.apply(early.withColumn("ts", F.col("ts") + F.make_dt_interval(days=F.lit(99))), streams.latest_rows(keys), "history", 0)
+    return target.read().select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
+
+
 @query("SELECT station_code, type_name, epoch_us(date_trunc('day', ts)) AS ts, round(sum(value), 4) AS value FROM m GROUP BY 1, 2, 3")
 def stream_merge(spark, sf):
     """Daily sums as a recomputed range, merged into a target that has other values and days of its own."""

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.store import apply_changes, change_set, refresh_latest
+from ..sources.versioned import VersionedTarget
 
 
 def stream_window(source: DataFrame, value: Column, period: str, key: Sequence[str] = ("station_code",), delay: str = "1 day") -> DataFrame:
@@ -100,6 +101,39 @@ def stream_latest(source: DataFrame, read: Callable[[DataFrame], DataFrame], wri
     return source.writeStream.foreachBatch(upsert)
 
 
+def stream_into(source: DataFrame, target: VersionedTarget, writer: str, change: Callable[[DataFrame, DataFrame], DataFrame]) -> DataStreamWriter:
+    """I10, U1, U2 exactly once: each micro-batch is a version of the target, by its number, which a restarted stream keeps.
+
+    change(rows, batch) returns what the rows of the batch's buckets become, as latest_rows() and recomputed_range() do.
+    """
+    return source.writeStream.foreachBatch(lambda batch, number: target.apply(batch, change, writer, number) and None)
+
+
+def latest_rows(key: Sequence[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """U2 as a change of stream_into(): each key's latest row (key, ts, value), of equal times that of the largest value."""
+
+    def change(rows: DataFrame, batch: DataFrame) -> DataFrame:
+        both = rows.select(*key, "ts", "value").unionByName(batch.select(*key, "ts", "value"))
+        return both.groupBy(*key).agg(F.max(F.struct("ts", "value")).alias("r")).select(*key, "r.ts", "r.value")
+
+    return change
+
+
+def recomputed_range(key: Sequence[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """U1 as a change of stream_into(): the batch is a recomputed range (of its own times) of its keys; other keys stay."""
+
+    def change(rows: DataFrame, batch: DataFrame) -> DataFrame:
+        bounds = batch.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()  # one row
+        if bounds.lo is None:
+            return rows
+        keys = batch.select(*key).distinct()
+        old = rows.join(keys, list(key), "left_semi")
+        new = apply_changes(old, change_set(batch, old, F.lit(bounds.lo), F.lit(bounds.hi), key), key)
+        return rows.join(keys, list(key), "left_anti").unionByName(new.select(*rows.columns))
+
+    return change
+
+
 TRIP = "link_code string, device string, ts timestamp, value double"
 STATE = "starts array<timestamp>, ends array<timestamp>"
 
