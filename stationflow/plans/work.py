@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import sources
 from .. import streaming as streams
 from ..operators import catalog, grids, incremental, parking, quality, rollups, store
-from ..sources import versioned
+from ..sources import pages, versioned
 from ..streaming import stateful, stream_window
 from .base import epoch, measurements, query, r6, table
 
@@ -365,6 +365,25 @@ def stream_merge(spark, sf):
     return read(None).where(F.col("ts") <= F.lit(last)).select("station_code", "type_name", F.unix_micros("ts").alias("ts"), F.round("value", 4).alias("value"))
 
 
+@query("SELECT station_code, type_name, epoch_us(ts) AS ts, value FROM m WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-19'")
+def station_pages(spark, sf):
+    """All events as pages of nested JSON by user and five days, of which a range of times is read."""
+    path = f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
+    pages.write_pages(measurements(spark, sf).withColumn("station_type", F.lit("user")), path)
+    return pages.read_pages(spark, path).where("ts >= timestamp '2024-01-08' AND ts < timestamp '2024-01-19'").select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
+
+
+@query("SELECT station_code, type_name, count(*) AS rows, epoch_us(max(ts)) AS ts FROM m GROUP BY 1, 2")
+def stream_of_pages(spark, sf):
+    """Pages of two halves of the events, read as a stream that goes on after each station's last time."""
+    m, run = measurements(spark, sf).withColumn("station_type", F.lit("user")), f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
+    for part in ("ts < '2024-01-16'", "ts >= '2024-01-16'"):
+        pages.write_pages(m.where(part), f"{run}/pages")
+        _drained(pages.stream_pages(spark, f"{run}/pages").writeStream.format("parquet").option("path", f"{run}/out"), run)
+    out = spark.read.schema(pages.SCHEMA).parquet(f"{run}/out")
+    return out.groupBy("station_code", "type_name").agg(F.count(F.lit(1)).alias("rows"), F.unix_micros(F.max("ts")).alias("ts"))
+
+
 @query("SELECT station_code, type_name, epoch_us(ts) AS ts, value FROM m WHERE type_name IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'")
 def read_measurements(spark, sf):
     """All events as a history in files of at most 1000 rows (S9), of which two types and ten days are read."""
