@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,3 +114,19 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_by_month(df: DataFrame, path: str, ts: str = "ts") -> None:
     """Parquet in folders by year and month."""
     df.withColumns({"year": F.year(ts), "month": F.month(ts)}).write.partitionBy("year", "month").parquet(path)
+
+
+def held(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: computed once, and there for all executors; let go of by forget()."""
+    path = f"{shared_dir(df.sparkSession)}/stationflow-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._stationflow_path = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Deletes a table of held() that nothing reads again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._stationflow_path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
