@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..operators import forecast, grids, parking
+from ..operators import forecast, grids, lots, network, parking
 from .base import epoch, measurements, query, r6, table
 
 HOURLY = """, h AS (SELECT type_name AS station_code, date_trunc('hour', ts) AS t, min(value) AS v FROM m GROUP BY 1, 2)
@@ -201,6 +201,47 @@ def forecast_linear(spark, sf):
     return forecast.forecast_linear(hours, base, {1: 0.45, 3: 0.25, 24: 0.2}).select("station_code", epoch("ts"), r6("value", "value"))
 
 
+@query(
+    """, r AS (SELECT type_name AS station_code, round(value)::BIGINT AS value, hour(ts)::DOUBLE AS a, (event_id % 97)::DOUBLE AS b FROM m),
+x AS (SELECT station_code, value, f, CASE f WHEN 0 THEN a ELSE b END AS x FROM r, (VALUES (0), (1)) v(f)), lim AS (SELECT station_code, f, min(x) AS lo, max(x) AS hi FROM x GROUP BY 1, 2),
+c AS (SELECT station_code, f, greatest(0, least(7, floor((x - lo) / (hi - lo) * 8)))::BIGINT AS bin, count(*)::DOUBLE AS n, sum(value)::DOUBLE AS s FROM x JOIN lim USING (station_code, f) GROUP BY 1, 2, 3),
+w AS (SELECT station_code, f, bin, sum(n) OVER u AS nl, sum(s) OVER u AS sl, sum(n) OVER o AS na, sum(s) OVER o AS sa FROM c WINDOW u AS (PARTITION BY station_code, f ORDER BY bin), o AS (PARTITION BY station_code, f)),
+q AS (SELECT station_code, f AS feature, bin, sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) - sa * sa / na AS gain FROM w WHERE nl >= 20 AND na - nl >= 20)
+SELECT station_code, feature::BIGINT AS feature, bin, round(gain, 2) AS gain FROM q WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY station_code ORDER BY gain DESC, feature, bin) = 1"""
+)
+def split_lots(spark, sf):
+    """M8: the first split of each type's model tree, of values by hour and remainder."""
+    m = measurements(spark, sf).select(F.col("type_name").alias("station_code"), F.round("value").cast("double").alias("value"), F.hour("ts").cast("double").alias("a"), (F.col("event_id") % 97).cast("double").alias("b"))
+    trees = lots.fit_trees(m, ["a", "b"], depth=1, bins=8, least=20)
+    return trees.splits[0].select("station_code", F.col("feature").cast("long").alias("feature"), F.col("bin").cast("long").alias("bin"), F.round("gain", 2).alias("gain"))
+
+
+@query()
+def fit_trees(spark, sf):
+    """M8: model trees of each user's hourly means, and their predictions."""
+    h = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("value"), F.count(F.lit(1)).cast("double").alias("n"))
+    rows = h.withColumns({"hour": F.hour("ts").cast("double"), "weekday": F.weekday("ts").cast("double")})
+    out = lots.fit_trees(rows, ["n", "hour", "weekday"], depth=2, bins=24, least=30).predict(rows)
+    return out.select("station_code", epoch("ts"), "leaf", r6("prediction", "prediction"))
+
+
+@query()
+def fit_network(spark, sf):
+    """Five members of a network on the signals' lags and calendar, and what they predict."""
+    rows = _training(spark, sf).withColumns({c: F.col(c).cast("double") for c in ("slot", "weekday")})
+    model = network.fit_network(rows, [*NUMBERS, "slot", "weekday"], steps=40, rate=0.03)
+    out = model.transform(rows.select("station_code", "ts", *model.columns))
+    preds = out.select("station_code", "ts", F.explode("predictions").alias("value"))
+    return parking.ensemble(preds).select("station_code", epoch("ts"), "lo", "mean", "hi")
+
+
+@query()
+def fit_absolute(spark, sf):
+    """M4, M9: a linear model by absolute errors, and its error by hour on the last tenth."""
+    rows = _training(spark, sf)
+    return forecast.evaluate_steps(forecast.fit_absolute(rows, NUMBERS, (), rounds=6), rows)
+
+
 @query()
 def fit_linear(spark, sf):
     """M2, M3, M4, M9: a linear model, its error by hour on the last tenth."""

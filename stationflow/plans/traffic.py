@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import emissions, quality, trips
+from ..operators import emissions, places, quality, trips
 from .base import epoch, measurements, query, r6, table
 
 DAY_S = 86400
@@ -138,18 +138,18 @@ EVERY = """, wanted AS (SELECT DISTINCT station, km, d.direction, month, day_typ
 
 
 def _lane_history(spark, sf):
-    history, places = _supplied(spark, sf)
+    history, stations = _supplied(spark, sf)
     history = quality.day_type(history.withColumn("date", F.date_sub("date", 1)), spark.createDataFrame([], "date date"))
     days = history.select(F.month("date").alias("month"), "day_type").distinct()  # 24 rows at most
-    wanted = places.where("station % 3 > 0").join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
-    return quality.lane_history(history, wanted, 3, 40, places)  # a third of the stations only lends
+    wanted = stations.where("station % 3 > 0").join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
+    return quality.lane_history(history, wanted, 3, 40, stations)  # a third of the stations only lends
 
 
-@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean, 4) AS mean, round(std, 4) AS std, days FROM hs")
+@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean * 1.0471975, 4) AS mean, round(std * 1.0471975, 4) AS std, days FROM hs")
 def history_stats(spark, sf):
     """Statistics of each month and day type; stations with fewer than 40 rows of one borrow those of their neighbours."""
     out = quality.history_stats(_lane_history(spark, sf))
-    return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", "borrowed", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "days")
+    return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", "borrowed", F.round(F.col("mean") * 1.0471975, 4).alias("mean"), F.round(F.col("std") * 1.0471975, 4).alias("std"), "days")
 
 
 @query(
@@ -239,23 +239,34 @@ FLAGS = ("station", "lane", "value", "layer_1", "layer_1_1", "layer_2", "layer_3
 @query(VALIDATED)
 def validate_traffic(spark, sf):
     """Hourly events as traffic of lanes, judged by a history made of daily order lines, on the days that both have."""
-    history, places = _supplied(spark, sf)
-    out = quality.validate_traffic(_judged(spark, sf), history, places, spark.createDataFrame([], "date date"), least=30)
+    history, stations = _supplied(spark, sf)
+    out = quality.validate_traffic(_judged(spark, sf), history, stations, spark.createDataFrame([], "date date"), least=30)
     return out.select(epoch("time", "time"), *FLAGS)
 
 
 @query(VALIDATED)
 def validate_by_moments(spark, sf):
     """The same rows, from moments of most of the history to which later days are merged, some of them sent a second time."""
-    history, places = _supplied(spark, sf)
+    history, stations = _supplied(spark, sf)
     history, none = history.withColumn("date", F.date_sub("date", 1)), spark.createDataFrame([], "date date")
     late, again = F.col("date") >= "2023-12-01", F.col("date").between("2023-01-10", "2023-01-25")
     wrong = history.where(~late).withColumn("total_traffic", F.when(again, F.col("total_traffic") * 3 + 1).otherwise(F.col("total_traffic")))
     known = quality.History.of(wrong, none).updated(history.where(late | again), none)
-    out = quality.validate_traffic(_judged(spark, sf), known, places, none, least=30)
+    out = quality.validate_traffic(_judged(spark, sf), known, stations, none, least=30)
     return out.select(epoch("time", "time"), *FLAGS)
 
 
+@query(
+    """, c AS (SELECT c_custkey AS id, c_acctbal AS x, (c_custkey * 37 % 1000)::DOUBLE AS y FROM customer), s AS (SELECT s_suppkey AS code, s_acctbal AS x, (s_suppkey * 91 % 1000)::DOUBLE AS y FROM supplier)
+SELECT id, code, round(d, 6) AS distance FROM (SELECT id, code, sqrt((c.x - s.x) * (c.x - s.x) + (c.y - s.y) * (c.y - s.y)) AS d FROM c, s) QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, code) = 1"""
+)
+def nearest_place(spark, sf):
+    """The supplier nearest to each customer, by balance and number."""
+    of = lambda t, key, bal, k: table(spark, sf, t).select(F.col(key), F.col(bal).cast("double").alias("x"), (F.col(key) * k % 1000).cast("double").alias("y"))
+    out = places.nearest_place(of("customer", "c_custkey", "c_acctbal", 37), of("supplier", "s_suppkey", "s_acctbal", 91), "c_custkey", "s_suppkey", 64.0)
+    return out.select(F.col("c_custkey").alias("id"), F.col("s_suppkey").alias("code"), r6("distance", "distance"))
+
+
 FLEET = """, t AS (SELECT CAST(l_suppkey AS VARCHAR) AS "Station", date_trunc('day', l_shipdate) AS d, l_returnflag AS "Category", sum(l_quantity) AS n, avg(40 + l_linenumber * 12.5::DOUBLE) AS v FROM lineitem GROUP BY ALL),
 fleet AS (SELECT * FROM (VALUES ('A', 'p', 1, 0.25::DOUBLE), ('A', 'd', 2, 0.75::DOUBLE), ('N', 'p', 1, 1.0::DOUBLE), ('R', 'd', 3, 0.5::DOUBLE)) f(c, fuel, euro, share)),
 e AS (SELECT t.*, fuel, euro, n * share AS n2, least(greatest(v, 50), 90) AS s FROM t JOIN fleet ON c = "Category"),
