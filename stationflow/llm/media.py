@@ -130,7 +130,21 @@ class _Reader:
         return out.reshape(n, width) if width > 1 else out
 
 
-def _samples(view: memoryview, stbl: list[tuple]) -> dict:
+class Room:
+    """How many more samples a container may tell of: no more in all than it has bytes, so counts in boxes can't ask for more memory than that."""
+
+    def __init__(self, view: memoryview):
+        self.bytes = self.left = len(view)
+
+    def take(self, n: int, size: int = 0) -> int:
+        """n samples, of the given size where they all have one."""
+        self.left -= n
+        if self.left < 0 or n * size > self.bytes:
+            raise ValueError("more samples than the container has bytes")
+        return n
+
+
+def _samples(view: memoryview, stbl: list[tuple], room: Room) -> dict:
     """Places, sizes, decoding times and sync samples of a track, from the tables of its stbl box."""
 
     def reader(*kinds: bytes) -> _Reader | None:
@@ -140,6 +154,7 @@ def _samples(view: memoryview, stbl: list[tuple]) -> dict:
     if sized is None or (runs := reader(b"stsc")) is None or (chunked := reader(b"co64", b"stco")) is None:
         raise ValueError("no box " + ("stsz" if sized is None else "stsc" if runs is None else "stco"))
     same, n = sized.take("II")
+    room.take(n, same if _under(stbl, b"stsz") else 0)
     if _under(stbl, b"stsz"):
         sizes = np.full(n, same, np.int64) if same else sized.table(n)
     elif same == 4:  # two sizes in a byte
@@ -148,9 +163,10 @@ def _samples(view: memoryview, stbl: list[tuple]) -> dict:
         sizes = sized.table(n, form=f">u{same // 8}")
     starts = chunked.table(chunked.one("I"), form=">u8" if _under(stbl, b"co64") else ">u4")
     runs = runs.table(runs.one("I"), 3).reshape(-1, 3)
-    per = np.repeat(runs[:, 1], np.maximum(np.diff(np.r_[runs[:, 0], len(starts) + 1]), 0)) if len(runs) else np.zeros(0, np.int64)
-    if per.sum() != n or len(per) != len(starts):
+    times = np.maximum(np.diff(np.r_[runs[:, 0], len(starts) + 1]), 0)[: len(runs)]
+    if int(times.sum()) != len(starts) or int((runs[:, 1] * times).sum()) != n:
         raise ValueError("chunks and samples don't agree")
+    per = np.repeat(runs[:, 1], times)
     before, first, chunk = np.cumsum(sizes) - sizes, np.cumsum(per) - per, np.repeat(np.arange(len(starts)), per)
     offset = starts[chunk] + before - before[np.minimum(first, max(n - 1, 0))][chunk] if n else np.zeros(0, np.int64)
 
@@ -160,10 +176,11 @@ def _samples(view: memoryview, stbl: list[tuple]) -> dict:
         if found is None:
             return None
         rows = found.table(found.one("I"), 2, form if kind == b"stts" or not found.version else ">i4").reshape(-1, 2)
-        each = np.repeat(rows[:, 1], rows[:, 0])
-        if len(each) != n:
+        if (rows[:, 0] < 0).any():
+            raise ValueError(f"{kind.decode()} has a run of less than nothing")
+        if int(rows[:, 0].sum()) != n:
             raise ValueError(f"{kind.decode()} and samples don't agree")
-        return each
+        return np.repeat(rows[:, 1], rows[:, 0])
 
     last = spread(b"stts")
     last = np.zeros(n, np.int64) if last is None else last
@@ -175,7 +192,7 @@ def _samples(view: memoryview, stbl: list[tuple]) -> dict:
     }
 
 
-def _fragments(view: memoryview, top: list[tuple]) -> dict[int, list[dict]]:
+def _fragments(view: memoryview, top: list[tuple], room: Room) -> dict[int, list[dict]]:
     """Samples of each track id in the movie fragments, in order."""
     defaults = {}
     for node in _under(top, b"moov", b"mvex", b"trex"):
@@ -200,7 +217,7 @@ def _fragments(view: memoryview, top: list[tuple]) -> dict[int, list[dict]]:
             where = base
             for node in _under(traf[3], b"trun"):
                 run = _Reader(view, node)
-                n = run.one("I")
+                n = room.take(run.one("I"))
                 where = base + run.one("i") if run.flags & 0x1 else where
                 first = run.one("I") if run.flags & 0x4 else None
                 fields = [f for f in (0x100, 0x200, 0x400, 0x800) if run.flags & f]
@@ -222,7 +239,8 @@ def tracks(data: bytes) -> list[dict]:
     the tables) offset, size, decoding time, presentation time and which are sync samples; payloads aren't decoded."""
     view = memoryview(data)
     top = tree(view, 0, len(view))
-    fragments, out = _fragments(view, top), []
+    room = Room(view)
+    fragments, out = _fragments(view, top, room), []
     for trak in _under(top, b"moov", b"trak"):
         need = {k: next(iter(_under(trak[3], *k)), None) for k in ((b"mdia", b"mdhd"), (b"mdia", b"minf", b"stbl", b"stsd"), (b"mdia", b"minf", b"stbl"))}
         for k, node in need.items():
@@ -236,7 +254,7 @@ def tracks(data: bytes) -> list[dict]:
         number = next((_Reader(view, n) for n in _under(trak[3], b"tkhd")), None)
         number = number.take("QQI" if number.version else "III")[2] if number else len(out) + 1
         handler = next((_Reader(view, n).take("I4s")[1].decode("latin-1") for n in _under(trak[3], b"mdia", b"hdlr")), "")
-        parts = [_samples(view, stbl[3]), *fragments.get(number, ())]
+        parts = [_samples(view, stbl[3], room), *fragments.get(number, ())]
         now = {k: np.concatenate([p[k] for p in parts]) for k in ("offset", "size", "lasts", "shift", "sync")}
         ends = np.cumsum(now["lasts"])
         time = ends - now["lasts"]
@@ -316,7 +334,7 @@ def media_columns(media: DataFrame, column: str = "media", keep: tuple[str, ...]
             every = tracks(data)
             seen = main_track(every)
             payload = payload_of(data, seen)
-        except (ValueError, struct.error, IndexError, OverflowError) as e:
+        except (ValueError, struct.error, IndexError, OverflowError, MemoryError) as e:
             return (None, None, None, len(data), whole) + (None,) * 8 + (str(e),)
         at, size, time = (seen[c][seen["keys"]] for c in ("offset", "size", "time"))
         ranges = hashlib.sha256(np.stack([at, size, time]).astype("<i8").tobytes()).hexdigest()[:16]
