@@ -393,13 +393,14 @@ def read_measurements(spark, sf):
     return sources.read_measurements(spark, path, ["view", "click"], at("2024-01-10"), at("2024-01-20")).select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value")
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(1000 AS BIGINT) AS most FROM m")
+@query("SELECT station_code, type_name, epoch_us(ts) AS ts, value, event_id, true AS fits FROM m")
 def write_batched(spark, sf):
-    """All events in files of at most 1000 rows."""
+    """All events in files of at most 1000 rows, read back, and whether each row's file fits."""
     path = f"{sources.shared_dir(spark)}/{uuid.uuid4().hex}"
     sources.write_batched(measurements(spark, sf), path, 1000)
-    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
-    return files.agg(F.sum("n").alias("rows"), F.when(F.max("n") <= 1000, 1000).otherwise(F.max("n")).cast("long").alias("most"))
+    rows = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    sizes = rows.groupBy("file").agg((F.count(F.lit(1)) <= 1000).alias("fits"))
+    return rows.join(sizes, "file").select("station_code", "type_name", F.unix_micros("ts").alias("ts"), "value", "event_id", "fits")
 
 
 @query("SELECT type_name AS station_code, type_name || ' lot' AS name, epoch(date_trunc('second', ts))::BIGINT AS ts, floor(value)::INT AS occ FROM m")
