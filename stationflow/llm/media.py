@@ -293,16 +293,27 @@ def payload_of(data: bytes, seen: dict) -> bytes:
     return b"".join(view[a:b] for a, b in zip(at[np.r_[0, cuts]].tolist(), ends[np.r_[cuts - 1, len(ends) - 1]].tolist()))
 
 
+def _stored(batches):
+    """doc_id, n_bytes and media of batches of doc_id and text."""
+    for batch in portions(batches):
+        texts = [t or b"" for t in batch.column("text").to_pylist()]
+        yield pa.record_batch([batch.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array([store(padded(t)) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
+
 def store_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes (of the text as UTF-8) and media: the text of each row in a container. A null text is empty."""
-    small_batches(docs.sparkSession)
+    return _texts(docs).mapInArrow(_stored, "doc_id long, n_bytes long, media binary")
 
-    def run(batches):
-        for batch in portions(batches):
-            texts = [t or b"" for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array([store(padded(t)) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+def text_media_columns(docs: DataFrame) -> DataFrame:
+    """media_columns(store_media(docs)) in one pass: containers are read back by the task that made them."""
+    read = _reader_of("media", ("doc_id", "n_bytes"))
+    return _texts(docs).mapInArrow(lambda batches: read(_stored(batches)), "doc_id long, n_bytes long, " + COLUMNS)
 
 
 COLUMNS = (
@@ -321,6 +332,11 @@ def media_columns(media: DataFrame, column: str = "media", keep: tuple[str, ...]
     """
     small_batches(media.sparkSession)
     kinds = {f.name: f.dataType.simpleString() for f in media.schema}
+    return media.select(*keep, F.col(column)).mapInArrow(_reader_of(column, keep), ", ".join(f"{k} {kinds[k]}" for k in keep) + ", " + COLUMNS)
+
+
+def _reader_of(column: str, keep: tuple[str, ...]):
+    """What media_columns() does with batches of keep and column."""
     names = [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "codec", "timescale", "duration", "n_samples", "n_keyframes", "keyframes", "tracks", "error"]
     key_type = pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64()), ("time", pa.int64())]))
     track_type = pa.list_(pa.struct([("id", pa.int64()), ("handler", pa.string()), ("codec", pa.string()), *((c, pa.int64()) for c in ("timescale", "duration", "n_samples", "n_keyframes", "bytes"))]))
@@ -348,4 +364,4 @@ def media_columns(media: DataFrame, column: str = "media", keep: tuple[str, ...]
             cols = list(zip(*map(row, batch.column(column).to_pylist()))) or [()] * len(types)
             yield pa.record_batch([*(batch.column(k) for k in keep), *(pa.array(c, t) for c, t in zip(cols, types))], names)
 
-    return media.select(*keep, F.col(column)).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in keep) + ", " + COLUMNS)
+    return run

@@ -11,7 +11,7 @@ from .decontaminate import contamination
 from .language import identify
 from .lines import ORACLE as LINE_ORACLE
 from .lines import line_dedup
-from .media import media_columns, store_media
+from .media import text_media_columns
 from .packing import pack
 from .phrases import ORACLE as PHRASE_ORACLE
 from .phrases import collocations
@@ -26,7 +26,7 @@ from .warc import archive_pages
 
 
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_columns(store_media(documents(spark, sf_dir)))
+    return text_media_columns(documents(spark, sf_dir))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,3 +54,8 @@ def test_rows_tell_the_error(spark):
     df = spark.createDataFrame([(i, 1, bytearray(c)) for i, c in enumerate(CLAIMS.values())] + [(99, 1, bytearray(media.store(media.padded(b"good"))))], "doc_id long, n_bytes long, media binary")
     got = {r.doc_id: r for r in media.media_columns(df).collect()}
     assert all(got[i].error and got[i].payload_bytes is None for i in range(len(CLAIMS))) and got[99].error is None and got[99].payload_bytes == media.SAMPLE
+
+
+def test_one_pass_gives_what_two_give(docs):
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(media.text_media_columns(docs)) == rows(media.media_columns(media.store_media(docs)))
