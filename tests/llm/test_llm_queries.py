@@ -83,3 +83,40 @@ def test_pipeline_is_its_stages(spark, entry, texts):
     clean = {r[0] for r in brute.contamination(list(seen[2].items()), items) if not r[5]}
     assert set(seen[3]) == clean
     check_pieces(entry.queries()["pipeline"](spark, SF).collect(), seen[3].items(), 2048)
+
+
+def test_op1(spark, entry, texts):
+    import hashlib
+    import zlib
+
+    got = {r.doc_id: r for r in entry.queries()["op1_media_columns"](spark, SF).collect()}
+    assert len(got) == len(texts)
+    for d, t in texts:
+        own = (t or "").encode()
+        data = own + b"\xff" * (-len(own) % 576 if own else 576)
+        r = got[d]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.error) == (len(own), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), None) and r.media_bytes > len(data)
+
+
+def test_op3(spark, entry, texts):
+    from test_llm_operators import check_pieces
+
+    check_pieces(entry.queries()["op3_packing"](spark, SF).collect(), texts, 2048)
+
+
+def test_op9_base(spark, entry, texts):
+    import math
+    import re
+    import zlib
+    from collections import Counter
+
+    tokens = {d: [*re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None] for d, t in texts}
+    count = Counter(w for d, ws in tokens.items() if zlib.crc32(str(d).encode()) % 5 != 1 for w in ws)
+    n, v = sum(count.values()), len(count)
+    rows = entry.queries()["op9_lm_scoring"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ws = tokens[r.doc_id]
+        base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1, len(ws), sum(count[w] > 0 for w in ws), n)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score < 0
