@@ -260,9 +260,12 @@ def validate_traffic(traffic: DataFrame, history: DataFrame | History, places: D
     day it is of), total_traffic; or a History, whose dates are those of the days themselves. places: station, km of
     all stations. layer_2 is reported and doesn't decide.
     """
-    if not isinstance(history, History):
-        history = History.of(history.withColumn("date", F.date_sub("date", history_shift_days)), holidays)
     traffic = traffic.withColumns({"direction": lane_direction(F.col("lane")), "date": F.to_date("time")})
+    if not isinstance(history, History):
+        # days are compared with history of their month, so that of other months needn't be looked at
+        months = F.broadcast(traffic.select(F.month("date").alias("_month")).distinct())  # twelve rows at most
+        history = history.withColumn("date", F.date_sub("date", history_shift_days))
+        history = History.of(history.join(months, F.month("date") == F.col("_month"), "left_semi"), holidays)
     layers = traffic_layers(traffic, history, places, holidays, limits, least)
     three = layer3(traffic.groupBy("station", "direction", "time").agg(F.sum("value").alias("value")), ["station", "direction"]).select("station", "direction", "time", F.col("is_valid").alias("layer_3"))
     out = traffic.join(layers, ["station", "direction", "date"]).join(three, ["station", "direction", "time"], "left")
