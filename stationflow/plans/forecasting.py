@@ -150,12 +150,12 @@ def _training(spark, sf):
 @query(
     SIGNALS
     + """, l AS (SELECT station_code, t, v, lag(v, 1) OVER w AS l1, lag(v, 2) OVER w AS l2, lag(v, 12) OVER w AS l12, lag(v, 288) OVER w AS l288, lag(v, 2016) OVER w AS l2016, avg(v) OVER (w ROWS 2016 PRECEDING) AS mean FROM sg WINDOW w AS (PARTITION BY station_code ORDER BY t))
-SELECT station_code, epoch(t)::BIGINT AS ts, round(v * 1.0471975, 5) AS value, round(l1 * 1.0471975, 5) AS lag_1, round(l2 * 1.0471975, 5) AS lag_2, round(l12 * 1.0471975, 5) AS lag_12, round(l288 * 1.0471975, 5) AS lag_288, round(l2016 * 1.0471975, 5) AS lag_2016,
- round(mean * 1.0471975, 5) AS running_mean FROM l WHERE t <= TIMESTAMP '2024-01-25' AND l2016 IS NOT NULL"""
+SELECT station_code, epoch(t)::BIGINT AS ts, round(v * 1.047197551196598::DOUBLE, 6) AS value, round(l1 * 1.047197551196598::DOUBLE, 6) AS lag_1, round(l2 * 1.047197551196598::DOUBLE, 6) AS lag_2, round(l12 * 1.047197551196598::DOUBLE, 6) AS lag_12, round(l288 * 1.047197551196598::DOUBLE, 6) AS lag_288, round(l2016 * 1.047197551196598::DOUBLE, 6) AS lag_2016,
+ round(mean * 1.047197551196598::DOUBLE, 6) AS running_mean FROM l WHERE t <= TIMESTAMP '2024-01-25' AND l2016 IS NOT NULL"""
 )
 def training_set(spark, sf):
     """M2: the rows that models are fitted on."""
-    scaled = lambda c: F.round(F.col(c) * 1.0471975, 5).alias(c)
+    scaled = lambda c: F.round(F.col(c) * 1.047197551196598, 6).alias(c)
     return _training(spark, sf).select("station_code", epoch("ts"), *(scaled(c) for c in ("value", "lag_1", "lag_2", "lag_12", "lag_288", "lag_2016", "running_mean")))
 
 

@@ -145,11 +145,11 @@ def _lane_history(spark, sf):
     return quality.lane_history(history, wanted, 3, 40, stations)  # a third of the stations only lends
 
 
-@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean * 1.0471975, 4) AS mean, round(std * 1.0471975, 4) AS std, days FROM hs")
+@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean * 1.047197551196598::DOUBLE, 4) AS mean, round(std * 1.047197551196598::DOUBLE, 4) AS std, days FROM hs")
 def history_stats(spark, sf):
     """Statistics of each month and day type; stations with fewer than 40 rows of one borrow those of their neighbours."""
     out = quality.history_stats(_lane_history(spark, sf))
-    return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", "borrowed", F.round(F.col("mean") * 1.0471975, 4).alias("mean"), F.round(F.col("std") * 1.0471975, 4).alias("std"), "days")
+    return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", "borrowed", F.round(F.col("mean") * 1.047197551196598, 4).alias("mean"), F.round(F.col("std") * 1.047197551196598, 4).alias("std"), "days")
 
 
 @query(
