@@ -55,25 +55,30 @@ def _mask(bits: list[int]) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def trie_pairs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray, budget: int, other: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray, budget: int, other: tuple[np.ndarray, np.ndarray] | None = None, leaf: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of positions in fp (unsigned, sorted within each range) that differ in at most budget bits: of the same range,
     or, if other has the begins and ends of further ranges, one of a range and one of the other range.
 
     Pairs of trie nodes are traversed together, level by level. A pair of nodes stands for two ranges of the sorted
-    fingerprints; its children get one more differing bit where they part, and are dropped beyond the budget.
+    fingerprints; its children get one more differing bit where they part, and are dropped beyond the budget. Nodes
+    that stand for leaf pairs or fewer are compared as they are, as are those of equal fingerprints at the end.
     """
     a0, a1, b0, b1 = begin, end, *(other or (begin, end))
     spent = np.zeros(len(begin), np.int64)
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     for level in range(BITS - 1, -2, -1):  # below bit 0 nothing is split, but what its split has made is taken
-        single = (a1 - a0 == 1) & (b1 - b0 == 1)
-        if single.any():
-            i, j = a0[single], b0[single]
-            near = (i != j) & (np.bitwise_count(fp[i] ^ fp[j]) <= budget)
+        take = ((a1 - a0) * (b1 - b0) <= leaf) | (level < 0)
+        if take.any():
+            width = (b1 - b0)[take]
+            size = (a1 - a0)[take] * width
+            node = np.repeat(np.arange(len(size)), size)
+            step = np.arange(len(node)) - (np.cumsum(size) - size)[node]
+            i, j = a0[take][node] + step // width[node], b0[take][node] + step % width[node]
+            near = (np.bitwise_count(fp[i] ^ fp[j]) <= budget) & ((a0 != b0)[take][node] | (i < j))
             left.append(i[near])
             right.append(j[near])
-            a0, a1, b0, b1, spent = (x[~single] for x in (a0, a1, b0, b1, spent))
+            a0, a1, b0, b1, spent = (x[~take] for x in (a0, a1, b0, b1, spent))
         if not len(a0) or level < 0:
             break
         ones = np.r_[0, np.cumsum((fp >> np.uint64(level)).astype(np.int64) & 1)]
