@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwiceFilter, filter_bits, forget, join_spread, portions, seen_twice, small_batches, written
+from .common import MOST_IDS, TwiceFilter, filter_bits, forget, join_spread, portions, seen_twice, small_batches, written
 
 
 def keys(text: bytes | None, least: int) -> list[bytes | None]:
@@ -39,7 +39,8 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, most_share
     The first pass sends places of key hashes, the second only the digests of suspected lines. The filters' size
     follows from the number of lines, up to a bound of what is broadcast; fuller filters suspect more lines, and all
     suspects are confirmed exactly. Up to most_shared repeated keys are broadcast, and texts stay where
-    they are; more are joined with the documents that lose lines, hot keys dealt over several tasks.
+    they are; more are joined with the documents that lose lines, hot keys dealt over several tasks, and texts that
+    lose none stay where they are unless more than MOST_IDS documents lose lines.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -85,7 +86,12 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, most_share
     else:
         drops = join_spread(suspects, repeated, "key", "docs", ["doc_id"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
         drops = drops.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("key").alias("drops"))  # no more than the document has lines
-        joined = docs.join(drops, docs.doc_id.eqNullSafe(drops.of), "left").drop("of")
+        drops = written(drops, "drops")
+        losers = drops.select("of")
+        losers = F.broadcast(losers) if losers.count() <= MOST_IDS else losers
+        losing = docs.join(losers, docs.doc_id.eqNullSafe(losers.of), "left_semi")
+        joined = losing.join(drops, losing.doc_id.eqNullSafe(drops.of), "left").drop("of")
+        joined = joined.unionByName(docs.join(losers, docs.doc_id.eqNullSafe(losers.of), "left_anti").withColumn("drops", F.lit(None).cast("array<binary>")))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keeper = _keepers(held_by.value) if small else {}
