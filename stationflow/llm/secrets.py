@@ -17,7 +17,8 @@ from .common import forget, hash_sample, written
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}(?:\.[A-Za-z0-9+/_-]{4,})*={0,2}"  # a run, dotted parts that follow it, padding
 MIXED = "[0-9]|[a-z][A-Z]"  # what a run without an assignment has
-KEY_BLOCK = "-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"  # fixed values: how private keys are written
+# fixed values: how private keys are written; headers of encrypted ones have single dashes, 64 of which are looked through
+KEY_BLOCK = "-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----[^-]*+(?:-(?!----)[^-]*+){0,64}+-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
 SECRET_NAME = "(?i)(passw(or)?d|passwd|pwd|secret|token|api.?key|access.?key|auth|credential)"  # fixed values: names that hold secrets
 # fixed values: what separates a name from its value in one word, and what a value has not
 ASSIGNED = SECRET_NAME + r"[A-Za-z0-9_.\]-]{0,40}[\"'`]{0,2}[:=]{1,2}[\"'`]{0,2}"
@@ -43,7 +44,8 @@ def candidates(docs: DataFrame, known: list[str]) -> DataFrame:
     Words are cut at white space; a candidate is a run of 16 or more key characters with a digit or a change from
     lower to upper case in it (and the dotted parts and padding after it), or, after an assignment to a secret's name,
     a value of four or more characters up to a quote, comma, semicolon or bracket. A block of a private key is one
-    candidate over all its lines, at the word where it begins, with part_no -1; its lines may be candidates too. Texts without candidates, null and empty ones give no rows. Repeated rows give repeated rows.
+    candidate over all its lines, at the word where it begins, with part_no -1 (the text's next blocks -2, -3 and so
+    on); its lines may be candidates too. Encrypted keys with their headers, and PGP's, are such blocks. Texts without candidates, null and empty ones give no rows. Repeated rows give repeated rows.
     """
     words = F.split("text", r"\s+")
     follows = lambda p1, p2: (p1.rlike(SECRET_NAME) & p1.rlike("[=:]$")) | (p1.rlike("^(=|:|:=|=>)$") & p2.rlike(SECRET_NAME))
@@ -60,10 +62,13 @@ def candidates(docs: DataFrame, known: list[str]) -> DataFrame:
     alone = F.regexp_extract_all("word", F.lit(f"((?<=^[\"'`(]{{0,2}}){VALUE}|{CANDIDATE})"), F.lit(0))
     within = F.regexp_extract_all("word", F.lit(f"((?<={ASSIGNED}){VALUE}|{CANDIDATE})"), F.lit(0))
     base = base.select("*", F.posexplode(F.when(follows(F.col("p1"), F.col("p2")), alone).otherwise(within)).alias("part_no", "candidate"))
-    blocks = docs.where(F.col("text").contains("PRIVATE KEY-----")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.explode(F.regexp_extract_all("text", F.lit(KEY_BLOCK), F.lit(0))).alias("candidate"))
-    ahead = F.split(F.expr("substring_index(text, candidate, 1)"), r"\s+")
+    blocks = docs.where(F.col("text").contains("PRIVATE KEY")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.regexp_extract_all("text", F.lit(KEY_BLOCK), F.lit(0)).alias("found"), F.split("text", KEY_BLOCK).alias("gaps"))
+    blocks = blocks.select("doc_id", "text", "found", "gaps", F.posexplode("found").alias("k", "candidate"))
+    long = lambda parts: F.aggregate(parts, F.lit(0), lambda n, part: n + F.length(part))
+    place = long(F.slice("gaps", F.lit(1), F.col("k") + 1)) + long(F.slice("found", F.lit(1), F.col("k")))
+    ahead = F.split(F.col("text").substr(F.lit(1), place), r"\s+")
     get_last = lambda k: F.coalesce(F.try_element_at(ahead, F.lit(-k)), F.lit(""))
-    blocks = blocks.select("doc_id", (F.size(ahead) - 1).cast("long").alias("word_no"), F.col("candidate").alias("word"), get_last(2).alias("p1"), get_last(3).alias("p2"), F.lit("").alias("n1"), F.lit(-1).alias("part_no"), "candidate")
+    blocks = blocks.select("doc_id", (F.size(ahead) - 1).cast("long").alias("word_no"), F.col("candidate").alias("word"), get_last(2).alias("p1"), get_last(3).alias("p2"), F.lit("").alias("n1"), (-1 - F.col("k")).alias("part_no"), "candidate")
     base = base.unionByName(blocks)
     c, n = F.col("candidate"), F.length("candidate")
     shape = F.translate(F.translate(F.translate(c, LETTERS, "a" * 26), LETTERS.upper(), "A" * 26), "0123456789", "0" * 10)
@@ -126,6 +131,7 @@ def planted(docs: DataFrame, most_docs: int = 1000, stretch: int = 600) -> DataF
         (1.0, F.concat(F.lit("ghp_"), mixed("g", 36))),
         (1.0, F.concat(F.lit("eyJ"), mixed("h", 33), F.lit("."), mixed("i", 60), F.lit("."), mixed("j", 43))),
         (1.0, F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), base64("k", 64), F.lit("\n"), base64("k2", 64), F.lit("\n-----END PRIVATE KEY-----"))),
+        (1.0, F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"), F.upper(hexes("k3", 32)), F.lit("\n\n"), base64("k4", 64), F.lit("\n"), base64("k5", 64), F.lit("\n-----END RSA PRIVATE KEY-----"))),
         (0.0, digits("l", 16)),
         (0.0, F.concat(F.lit("commit "), hexes("m", 40))),
         (0.0, F.concat(F.lit("sha256:"), hexes("n", 64))),
