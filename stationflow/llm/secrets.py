@@ -131,7 +131,6 @@ def planted(docs: DataFrame, most_docs: int = 1000, stretch: int = 600) -> DataF
         (1.0, F.concat(F.lit("ghp_"), mixed("g", 36))),
         (1.0, F.concat(F.lit("eyJ"), mixed("h", 33), F.lit("."), mixed("i", 60), F.lit("."), mixed("j", 43))),
         (1.0, F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), base64("k", 64), F.lit("\n"), base64("k2", 64), F.lit("\n-----END PRIVATE KEY-----"))),
-        (1.0, F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"), F.upper(hexes("k3", 32)), F.lit("\n\n"), base64("k4", 64), F.lit("\n"), base64("k5", 64), F.lit("\n-----END RSA PRIVATE KEY-----"))),
         (0.0, digits("l", 16)),
         (0.0, F.concat(F.lit("commit "), hexes("m", 40))),
         (0.0, F.concat(F.lit("sha256:"), hexes("n", 64))),
