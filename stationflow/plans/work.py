@@ -229,10 +229,10 @@ def follow_station(spark, sf):
     import pandas as pd
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"station_code": [rows.station_code.iloc[0]], "total": [rows["value"].sum()], "rows": [len(rows)]})
+        return rows.groupby(["station_code", "_slice"], dropna=False).agg(total=("value", "sum"), rows=("ts", "size")).reset_index()[["station_code", "total", "rows"]]
 
     m = measurements(spark, sf).select("station_code", "ts", "value")
-    parts = incremental.follow_station(m, m.select("station_code").distinct(), total, "station_code string, total double, rows long")
+    parts = incremental.follow_station(m, m.select("station_code").distinct(), total, "station_code string, total double, rows long", many=True)
     return parts.groupBy("station_code").agg(F.round(F.sum("total"), 4).alias("total"), F.sum("rows").alias("rows"))
 
 
@@ -242,9 +242,9 @@ def follow_type(spark, sf):
     import pandas as pd
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"station_code": [rows.station_code.iloc[0]], "type_name": [rows.type_name.iloc[0]], "slice": [int(rows.ts.iloc[0].timestamp() // 432000)], "rows": [len(rows)]})
+        return rows.groupby(["station_code", "type_name", "_slice"], dropna=False).agg(rows=("ts", "size")).reset_index().rename(columns={"_slice": "slice"})
 
-    return incremental.follow_type(measurements(spark, sf).select("station_code", "type_name", "ts", "value"), count, "station_code string, type_name string, slice long, rows long")
+    return incremental.follow_type(measurements(spark, sf).select("station_code", "type_name", "ts", "value"), count, "station_code string, type_name string, slice long, rows long", many=True)
 
 
 @query("SELECT type_name, epoch(date_trunc('day', ts))::BIGINT + 86400 AS ts, round(sum(value), 4) AS value FROM m WHERE ts < (SELECT date_trunc('day', max(ts)) FROM m) GROUP BY 1, 2")
