@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .grids import asof_nearest, asof_pad, floor_ts, grid, interpolate_linear, lag_features, running_mean
 from .parking import calendar_features
 
+from .incremental import begins, whole
 LAGS = (1, 2, 12, 288, 2016)
 
 
@@ -214,8 +215,8 @@ def forecast_direct(model: PipelineModel, signals: DataFrame, lags: Sequence[int
 def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: float = 0.1, calendar: bool = True) -> DataFrame:
     """M8: station_code, weights and deviation of a linear model of value for each lot, on numbers and (calendar) slot and weekday.
 
-    Partitions add up the products of features lot by lot, so that only these sums travel, and each lot's equations are
-    solved by themselves (with a ridge that leaves the intercept alone).
+    Partitions add up the products of features of all lots of a frame, so that only these sums travel, and the equations
+    of a frame of lots are solved together (with a ridge that leaves the intercept alone).
     """
     width = 1 + len(numbers) + (slots + 7 if calendar else 0)
 
@@ -225,6 +226,18 @@ def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: fl
         x[:, 1 : 1 + len(numbers)] = f[list(numbers)].to_numpy(float)
         if calendar:
             at = np.arange(len(f))
+def ensemble_direct(models: Sequence[PipelineModel], signals: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
+    """M7 of all models of fit_ensemble(), a row for each: their features are made once, and rows are read once."""
+    blank = PipelineModel(models[0].stages[:-1]).transform(signals.withColumns({f"lag_{n}": F.lit(0.0) for n in lags}))
+    names = [f"prediction_{i}" for i in range(len(models))]
+    for name, model in zip(names, models):
+        blank = model.stages[-1].copy().setPredictionCol(name).transform(blank)
+    return blank.select("station_code", "ts", F.explode(F.array(*names)).alias("value"))
+
+
+PRODUCTS = 1 << 21  # products of features that are held at once
+
+
             x[at, 1 + len(numbers) + f.slot.to_numpy(int)] = 1.0
             x[at, 1 + len(numbers) + slots + f.weekday.to_numpy(int)] = 1.0
         x[:, width] = f["value"].to_numpy(float)
@@ -232,18 +245,36 @@ def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: fl
 
     def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            groups = [(code, vectors(g)) for code, g in f.groupby("station_code")]
-            yield pd.DataFrame({"station_code": [c for c, _ in groups], "n": [len(x) for _, x in groups], "sums": [(x.T @ x).ravel() for _, x in groups]})
-
-    def solved(f: pd.DataFrame) -> pd.DataFrame:
-        both, n = np.sum([np.asarray(x) for x in f.sums], axis=0).reshape(width + 1, width + 1), int(f.n.sum())
-        a, b, c = both[:width, :width], both[:width, width], both[width, width]
-        w = np.linalg.solve(a + np.diag(np.r_[1e-9, np.full(width - 1, ridge)]), b) if ridge else np.linalg.lstsq(a, b, rcond=None)[0]
-        left = max(float(c - 2 * w @ b + w @ a @ w), 0.0)
-        return pd.DataFrame({"station_code": [f.station_code.iloc[0]], "weights": [w.tolist()], "deviation": [(left / max(n - 1, 1)) ** 0.5]})
+            f = f[f.station_code.notna()].sort_values("station_code")
+            if f.empty:
+                continue
+            first = begins(f, ["station_code"])
+            lot = np.repeat(np.arange(len(first)), np.diff([*first, len(f)]))
+            x, sums = vectors(f), np.zeros((len(first), cells))
+            step = max(1, PRODUCTS // cells)
+            for a in range(0, len(x), step):  # all lots at once: most have a few rows of a frame
+                part, of = x[a : a + step], lot[a : a + step]
+                at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                sums[of[at]] += np.add.reduceat((part[:, :, None] * part[:, None, :]).reshape(-1, cells), at)
+            yield pd.DataFrame({"station_code": f.station_code.to_numpy()[first], "n": np.diff([*first, len(f)]), "sums": list(sums)})
+
+    def solved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in whole(frames, ["station_code"]):
+            first = begins(f, ["station_code"])
+            both = np.add.reduceat(np.stack(f.sums.to_numpy()), first).reshape(-1, width + 1, width + 1)
+            n = np.add.reduceat(f.n.to_numpy(), first)
+            a, b, c = both[:, :width, :width], both[:, :width, width:], both[:, width, width]
+            if ridge:
+                w = np.linalg.solve(a + np.diag(np.r_[1e-9, np.full(width - 1, ridge)]), b)
+            else:
+                w = np.linalg.pinv(a, rcond=np.finfo(float).eps * width) @ b
+            left = np.maximum(c - (2 * b * w).sum(axis=(1, 2)) + (w * (a @ w)).sum(axis=(1, 2)), 0.0)
+            yield pd.DataFrame({"station_code": f.station_code.to_numpy()[first], "weights": list(w[:, :, 0]), "deviation": np.sqrt(left / np.maximum(n - 1, 1))})
 
     taken = rows.select("station_code", *(F.col(c).cast("int").alias(c) for c in ("slot", "weekday") if calendar), "value", *numbers)
-    return taken.mapInPandas(added, "station_code string, n long, sums array<double>").groupBy("station_code").applyInPandas(solved, "station_code string, weights array<double>, deviation double")
+    return taken.mapInPandas(added, "station_code string, n long, sums array<double>").repartition("station_code").sortWithinPartitions("station_code").mapInPandas(solved, "station_code string, weights array<double>, deviation double")
+    cells = (width + 1) ** 2
+
 
 
 def forecast_lots(m: DataFrame, overlays: Sequence[Callable[[DataFrame], DataFrame]] = (), lags: Sequence[int] = (1, 24, 168), horizon: int = 24, step: int = 3600) -> DataFrame:

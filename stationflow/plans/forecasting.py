@@ -178,7 +178,7 @@ SELECT station_code, round(my - wa * ma - wb * mb, 4) AS intercept, round(wa, 4)
 )
 def fit_lots(spark, sf):
     """M8: a linear model for each user, of hourly means on the number of events and the largest remainder of their ids."""
-    m = measurements(spark, sf)
+    m = measurements(spark, sf).repartition("station_code")  # a user's hours are in one task, whose sums leave it once
     h = m.groupBy("station_code", F.date_trunc("hour", "ts").alias("ts")).agg(F.avg("value").alias("value"), F.count(F.lit(1)).cast("double").alias("a"), F.max(F.col("event_id") % 97).cast("double").alias("b"))
     fit = forecast.fit_lots(h, ["a", "b"], ridge=0.0, calendar=False)
     usable = h.groupBy("station_code").agg(F.count(F.lit(1)).alias("n"), (F.var_pop("a") * F.var_pop("b") - F.pow(F.covar_pop("a", "b"), F.lit(2))).alias("d")).where("n >= 8 AND d > 1e-3")
