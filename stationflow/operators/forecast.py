@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StandardScalerModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .grids import asof_nearest, asof_pad, floor_ts, grid, interpolate_linear, lag_features, running_mean
+from .incremental import begins, whole
 from .parking import calendar_features
 
-from .incremental import begins, whole
 LAGS = (1, 2, 12, 288, 2016)
 
 
@@ -108,12 +110,24 @@ def fit_absolute(train: DataFrame, numbers: Sequence[str], categories: Sequence[
     return PipelineModel([*made.stages, model])
 
 
+ROWS = 20_000  # rows of a partition that trees are fitted on
+
+
 def fit_ensemble(train: DataFrame, numbers: Sequence[str], n: int = 5, categories: Sequence[str] = CATEGORIES, station: bool = True, iterations: int = 20) -> list[PipelineModel]:
-    """M5: n boosted-tree models that differ by their seed and the rows they are fitted on; the features are made and kept once."""
-    made = Pipeline(stages=features(train, numbers, categories, station)).fit(train)
-    held = made.transform(train).select("value", "features").persist()
-    trees = [GBTRegressor(labelCol="value", maxIter=iterations, subsamplingRate=0.8, seed=s).fit(held) for s in range(n)]
+    """M5: n boosted-tree models that differ by their seed and the rows they are fitted on; the features are made and kept once.
+
+    Every level of every tree is a job over all partitions, so these have ROWS rows, whatever the shuffle's number of
+    partitions is, and the models, which don't depend on each other, are fitted at the same time.
+    """
+    rows = train.persist()
+    made = Pipeline(stages=features(rows, numbers, categories, station)).fit(rows)
+    held = made.transform(rows).select("value", "features").repartition(max(1, -(-rows.count() // ROWS))).persist()
+    held.count()  # kept before several models ask for it
+    fit = inheritable_thread_target(train.sparkSession)(lambda s: GBTRegressor(labelCol="value", maxIter=iterations, subsamplingRate=0.8, seed=s).fit(held))
+    with ThreadPoolExecutor(max(n, 1)) as pool:
+        trees = list(pool.map(fit, range(n)))
     held.unpersist()
+    rows.unpersist()
     return [PipelineModel([*made.stages, t]) for t in trees]
 
 
@@ -212,6 +226,18 @@ def forecast_direct(model: PipelineModel, signals: DataFrame, lags: Sequence[int
     return model.transform(blank).select("station_code", "ts", F.col("prediction").alias("value"))
 
 
+def ensemble_direct(models: Sequence[PipelineModel], signals: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
+    """M7 of all models of fit_ensemble(), a row for each: their features are made once, and rows are read once."""
+    blank = PipelineModel(models[0].stages[:-1]).transform(signals.withColumns({f"lag_{n}": F.lit(0.0) for n in lags}))
+    names = [f"prediction_{i}" for i in range(len(models))]
+    for name, model in zip(names, models):
+        blank = model.stages[-1].copy().setPredictionCol(name).transform(blank)
+    return blank.select("station_code", "ts", F.explode(F.array(*names)).alias("value"))
+
+
+PRODUCTS = 1 << 21  # products of features that are held at once
+
+
 def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: float = 0.1, calendar: bool = True) -> DataFrame:
     """M8: station_code, weights and deviation of a linear model of value for each lot, on numbers and (calendar) slot and weekday.
 
@@ -226,23 +252,13 @@ def fit_lots(rows: DataFrame, numbers: Sequence[str], slots: int = 24, ridge: fl
         x[:, 1 : 1 + len(numbers)] = f[list(numbers)].to_numpy(float)
         if calendar:
             at = np.arange(len(f))
-def ensemble_direct(models: Sequence[PipelineModel], signals: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
-    """M7 of all models of fit_ensemble(), a row for each: their features are made once, and rows are read once."""
-    blank = PipelineModel(models[0].stages[:-1]).transform(signals.withColumns({f"lag_{n}": F.lit(0.0) for n in lags}))
-    names = [f"prediction_{i}" for i in range(len(models))]
-    for name, model in zip(names, models):
-        blank = model.stages[-1].copy().setPredictionCol(name).transform(blank)
-    return blank.select("station_code", "ts", F.explode(F.array(*names)).alias("value"))
-
-
-PRODUCTS = 1 << 21  # products of features that are held at once
-
-
             x[at, 1 + len(numbers) + f.slot.to_numpy(int)] = 1.0
             x[at, 1 + len(numbers) + slots + f.weekday.to_numpy(int)] = 1.0
         x[:, width] = f["value"].to_numpy(float)
         return x
 
+    cells = (width + 1) ** 2
+
     def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             f = f[f.station_code.notna()].sort_values("station_code")
@@ -273,8 +289,6 @@ PRODUCTS = 1 << 21  # products of features that are held at once
 
     taken = rows.select("station_code", *(F.col(c).cast("int").alias(c) for c in ("slot", "weekday") if calendar), "value", *numbers)
     return taken.mapInPandas(added, "station_code string, n long, sums array<double>").repartition("station_code").sortWithinPartitions("station_code").mapInPandas(solved, "station_code string, weights array<double>, deviation double")
-    cells = (width + 1) ** 2
-
 
 
 def forecast_lots(m: DataFrame, overlays: Sequence[Callable[[DataFrame], DataFrame]] = (), lags: Sequence[int] = (1, 24, 168), horizon: int = 24, step: int = 3600) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..operators import forecast, grids, lots, network, parking
@@ -256,8 +254,7 @@ def fit_ensemble(spark, sf):
     rows = _training(spark, sf).withColumns({c: F.col(c).cast("double") for c in ("slot", "weekday")})
     train, _ = forecast.augment(rows, blank=True)
     models = forecast.fit_ensemble(train, [*NUMBERS, "slot", "weekday"], categories=())
-    preds = [forecast.forecast_direct(m, rows) for m in models]
-    return parking.ensemble(reduce(lambda a, b: a.unionByName(b), preds)).select("station_code", epoch("ts"), "lo", "mean", "hi")
+    return parking.ensemble(forecast.ensemble_direct(models, rows)).select("station_code", epoch("ts"), "lo", "mean", "hi")
 
 
 @query()
