@@ -112,6 +112,9 @@ def follow_type(m: DataFrame, fn: Callable, schema: str, slice_days: int = 5, ke
             done = [fn(f)] if many else [fn(rows.iloc[a:b].reset_index(drop=True)) for a, b in zip(at[:-1], at[1:])]
             done = [x for x in done if len(x)]
             if done:
-                yield pd.concat(done, ignore_index=True)
+                out = pd.concat(done, ignore_index=True)
+                # a column of nulls alone has lost its kind, and Spark takes no NaN for a text
+                empty = [c for c in out if out[c].isna().all()]
+                yield out.astype({c: object for c in empty}).assign(**{c: None for c in empty})
 
     return m.withColumn("_slice", part).repartition(*by).sortWithinPartitions(*by).mapInPandas(run, schema)
