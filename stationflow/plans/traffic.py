@@ -137,12 +137,16 @@ def _supplied(spark, sf):
 EVERY = """, wanted AS (SELECT DISTINCT station, km, d.direction, month, day_type FROM places JOIN (SELECT DISTINCT month, day_type FROM hist) ON true JOIN (VALUES ('NORD'), ('SUD')) d(direction) ON true WHERE CAST(station AS INT) % 3 > 0)"""
 
 
-def _lane_history(spark, sf):
+ALL = EVERY.replace(" WHERE CAST(station AS INT) % 3 > 0", "")
+
+
+def _lane_history(spark, sf, some="station % 3 > 0"):
+    """What stations are compared with; those without `some` only lend."""
     history, stations = _supplied(spark, sf)
     history = quality.day_type(history.withColumn("date", F.date_sub("date", 1)), spark.createDataFrame([], "date date"))
     days = history.select(F.month("date").alias("month"), "day_type").distinct()  # 24 rows at most
-    wanted = stations.where("station % 3 > 0").join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
-    return quality.lane_history(history, wanted, 3, 40, stations)  # a third of the stations only lends
+    wanted = stations.where(some).join(F.broadcast(days), F.lit(True)).join(F.broadcast(spark.createDataFrame([("NORD",), ("SUD",)], "direction string")), F.lit(True))
+    return quality.lane_history(history, wanted, 3, 40, stations)
 
 
 @query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, borrowed, round(mean * 1.047197551196598::DOUBLE, 4) AS mean, round(std * 1.047197551196598::DOUBLE, 4) AS std, days FROM hs")
@@ -181,10 +185,10 @@ def nearest_by_km(spark, sf):
     return quality.nearest_by_km(s, 3, by=["nation"], order="station").select("station", "near_code", r6("distance", "distance"), F.col("rank").cast("long").alias("rank"))
 
 
-@query(SUPPLIED + EVERY + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, round(mean, 4) AS mean, round(std, 4) AS std FROM lr")
+@query(SUPPLIED + ALL + BORROWED.replace("@LEAST", "40") + "SELECT station, direction, month, day_type, round(mean, 4) AS mean, round(std, 4) AS std FROM lr")
 def lane_ratio_stats(spark, sf):
-    """A21."""
-    out = quality.lane_ratio_stats(_lane_history(spark, sf))
+    """Of all stations, each month and day type."""
+    out = quality.lane_ratio_stats(_lane_history(spark, sf, "true"))
     return out.select("station", "direction", F.col("month").cast("long").alias("month"), "day_type", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
