@@ -452,13 +452,13 @@ def purged_latest(spark, sf):
 
 
 @query(
-    """, n AS (SELECT type_name AS station_code, time_bucket(INTERVAL 150 SECOND, ts, TIMESTAMP '2024-01-01') AS ts, avg(value) AS value FROM m GROUP BY 1, 2), g AS (SELECT station_code, unnest(generate_series(time_bucket(INTERVAL 300 SECOND, min(ts), TIMESTAMP '2024-01-01'), max(ts), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
+    """, n AS (SELECT type_name AS station_code, ts, avg(value) AS value FROM m GROUP BY 1, 2), g AS (SELECT station_code, unnest(generate_series(time_bucket(INTERVAL 300 SECOND, min(ts), TIMESTAMP '2024-01-01'), max(ts), INTERVAL 300 SECOND)) AS t FROM n GROUP BY 1),
 b AS (SELECT g.station_code, t, ts AS bt, value AS bv FROM g ASOF LEFT JOIN n ON n.station_code = g.station_code AND g.t >= n.ts), a AS (SELECT g.station_code, t, ts AS nt, value AS nv FROM g ASOF LEFT JOIN n ON n.station_code = g.station_code AND g.t <= n.ts)
 SELECT station_code, epoch(t)::BIGINT AS ts, round(CASE WHEN bt IS NULL THEN nv WHEN nt IS NULL THEN bv WHEN t - bt < nt - t THEN bv ELSE nv END, 6) AS value FROM b JOIN a USING (station_code, t)"""
 )
 def resample_nearest(spark, sf):
-    """The nearest value of each type every five minutes; values are half-way between steps, so that there are ties."""
-    m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), grids.floor_ts("ts", 150).alias("ts")).agg(F.avg("value").alias("value"))
+    """The nearest value of each type every five minutes, from all events at their own times."""
+    m = measurements(spark, sf).groupBy(F.col("type_name").alias("station_code"), "ts").agg(F.avg("value").alias("value"))
     return grids.resample_nearest(m).select("station_code", epoch("ts"), r6("value", "value"))
 
 
