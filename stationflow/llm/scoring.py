@@ -64,18 +64,18 @@ class Text:
         self.learned = np.repeat(~held, lengths)
         self.before = np.roll(self.ids, 1)
         self.before[begin] = self.number[0]  # number 0 is the end of a text
-        h = self.words[self.ids]
-        key, self.keys = self.words[self.before], []
-        for k in range(2, order + 1):
-            # the key of k tokens follows from that of the k - 1 up to the last but one, and the last
-            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + h + np.uint64(k))
-            self.keys.append((k, key))  # valid from rank k - 2 on
-            key = np.roll(key, 1)
+        self.order = order
 
-    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of all n-grams of two tokens or more, one order after another, whether training has them, and their number."""
-        valid = [self.rank >= k - 2 for k, _ in self.keys]
-        return np.concatenate([key[v] for (_, key), v in zip(self.keys, valid)]), np.concatenate([self.learned[v] for v in valid]), np.array([int(v.sum()) for v in valid])
+    def grams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each order k from two tokens on: k, the keys of its n-grams in the order of the text, and whether training has them."""
+        key = self.words[self.before]
+        for k in range(2, self.order + 1):
+            # the key of k tokens follows from that of the k - 1 up to the last but one, and the last
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + self.words[self.ids] + np.uint64(k))
+            valid = self.rank >= k - 2
+            now = [key[valid]]
+            key = np.roll(key, 1) if k < self.order else None
+            yield k, now.pop(), self.learned[valid]  # nothing here holds the keys while they are counted
 
     def token_counts(self) -> np.ndarray:
         return np.bincount(self.ids[self.learned], minlength=len(self.words))
@@ -174,25 +174,27 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
     parts = max(16, -(-tokens * (order - 1) // PART_KEYS))
     own = "block long, n_docs long, words binary, n_tokens long, ids binary, lengths binary, held binary"
 
+    def dealt(block: int, kind: int, keys: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cuts = np.searchsorted(part_of(keys, parts), np.arange(parts + 1)).tolist()
+        for first in range(0, parts, 64):
+            slices = [(p, cuts[p], cuts[p + 1]) for p in range(first, min(first + 64, parts)) if cuts[p] < cuts[p + 1]]
+            if slices:
+                yield _batch(SENT, [(p, block, kind, b - a, _steps(keys[a:b]), _squeezed(times[a:b].astype("<u4"))) for p, a, b in slices])
+
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, n_docs, *row in _rows(batch, own):
                 text = _text(*row, n_docs, order)
-                keys, learned, _ = text.grams()
-                text.keys = []
-                seen, keys = keys[learned], keys[~learned]
-                grams, times = np.unique(seen, return_counts=True)
-                more = np.unique(keys)
-                del seen, keys
-                more = more[~np.isin(more, grams, assume_unique=True)]
-                grams, times = np.concatenate([grams, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
-                by = np.argsort(grams)
-                for kind, keys, times in ((1, text.words, text.token_counts()), (2, grams[by], times[by])):
-                    cuts = np.searchsorted(part_of(keys, parts), np.arange(parts + 1)).tolist()
-                    for first in range(0, parts, 64):
-                        slices = [(p, cuts[p], cuts[p + 1]) for p in range(first, min(first + 64, parts)) if cuts[p] < cuts[p + 1]]
-                        if slices:
-                            yield _batch(SENT, [(p, block, kind, b - a, _steps(keys[a:b]), _squeezed(times[a:b].astype("<u4"))) for p, a, b in slices])
+                yield from dealt(block, 1, text.words, text.token_counts())
+                for k, keys, learned in text.grams():  # one order at a time: its keys are what a task holds most of
+                    grams, times = np.unique(keys[learned], return_counts=True)
+                    more = np.unique(keys[~learned])
+                    del keys, learned
+                    more = more[~np.isin(more, grams, assume_unique=True)]
+                    grams, times = np.concatenate([grams, more]), np.concatenate([times, np.zeros(len(more), np.int64)])
+                    by = np.argsort(grams)
+                    yield from dealt(block, k, grams[by], times[by])
+                del text
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one part and kind come one after another; their sums are known when the next ones begin."""
@@ -202,7 +204,7 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
             found, at = np.unique(np.concatenate([k for _, k, _ in held]), return_inverse=True)
             total = np.bincount(at, weights=times, minlength=len(found)).astype(np.int64)
             if kind == 1:
-                yield _batch(SUMS, [(3, None, part, None, None, int(total.sum()), int((total > 0).sum()))])
+                yield _batch(SUMS, [(0, None, part, None, None, int(total.sum()), int((total > 0).sum()))])
             rest, a = total[at] - times, 0
             for block, keys, _ in held:
                 yield _batch(SUMS, [(kind, block, part, len(keys), _squeezed(rest[a : a + len(keys)].astype("<i8")), None, None)])
@@ -221,7 +223,7 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
 
     messages = table.select(*(c.split()[0] for c in own.split(", "))).mapInArrow(sent, SENT).repartition("part").sortWithinPartitions("part", "kind", "block")
     answers = written(messages.mapInArrow(summed, SUMS), "sums")
-    sums = answers.where("kind = 3").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
+    sums = answers.where("kind = 0").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     train_tokens, kinds = int(sums.n or 0), int(sums.v or 0)
     joined = f"{BLOCKS}, kind int, part int, n int, rest binary"
 
@@ -233,6 +235,7 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
                 if kind == 0:
                     if open_ is not None:
                         yield _batch(DIGEST, open_.rows(smoothing, strength, train_tokens, kinds))
+                        open_ = None  # before the next block is unpacked
                     held_ = np.unpackbits(np.frombuffer(held, np.uint8), count=n_docs).astype(bool).tolist()
                     none = np.unpackbits(np.frombuffer(null_docs, np.uint8), count=n_docs).astype(bool).tolist()
                     named = [None if x else d for d, x in zip(_spread(doc_ids, n_docs, "<i8").tolist(), none)]
@@ -242,7 +245,7 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: flo
         if open_ is not None:
             yield _batch(DIGEST, open_.rows(smoothing, strength, train_tokens, kinds))
 
-    both = table.withColumn("kind", F.lit(0)).unionByName(answers.where("kind < 3").select("kind", "block", "part", "n", "rest"), allowMissingColumns=True)
+    both = table.withColumn("kind", F.lit(0)).unionByName(answers.where("kind > 0").select("kind", "block", "part", "n", "rest"), allowMissingColumns=True)
     both = both.select(*(c.split()[0] for c in joined.split(", ")))
     return both.repartition("block").sortWithinPartitions("block", "kind", "part").mapInArrow(scored, DIGEST)
 
@@ -252,29 +255,32 @@ class Counted:
 
     def __init__(self, text: Text, docs: list, held: list[bool], parts: int):
         self.text, self.docs, self.held = text, docs, held
-        keys, learned, self.valid = text.grams()
-        text.keys = [(k, None) for k, _ in text.keys]  # what follows needs their order alone
-        grams, at = np.unique(keys, return_inverse=True)
-        del keys
-        self.at = at.astype(np.int32)
-        self.counts = {1: text.token_counts(), 2: np.bincount(self.at[learned], minlength=len(grams))}
-        self.cuts = {1: np.searchsorted(part_of(text.words, parts), np.arange(parts + 1)), 2: np.searchsorted(part_of(grams, parts), np.arange(parts + 1))}
+        self.counts, self.cuts, self.at = {1: text.token_counts()}, {1: np.searchsorted(part_of(text.words, parts), np.arange(parts + 1))}, {}
+        for k, keys, learned in text.grams():
+            by = np.argsort(keys)
+            keys = keys[by]
+            new = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
+            grams, self.at[k] = keys[new], np.empty(len(keys), np.int32)
+            del keys
+            self.at[k][by] = np.cumsum(new, dtype=np.int32) - 1
+            del by, new
+            self.counts[k] = np.bincount(self.at[k][learned], minlength=len(grams))
+            self.cuts[k] = np.searchsorted(part_of(grams, parts), np.arange(parts + 1))
 
     def add(self, kind: int, part: int, rest: np.ndarray) -> None:
         self.counts[kind][self.cuts[kind][part] : self.cuts[kind][part + 1]] += rest
 
     def rows(self, smoothing: float, strength: float, train_tokens: int, kinds: int) -> list[tuple]:
         """Walks all texts from left to right at once: at each token the chain of states is one n-gram after another."""
-        t, tokens, grams = self.text, self.counts[1], self.counts[2][self.at]
+        t, tokens = self.text, self.counts[1]
         seen = tokens[t.ids]
         prob = (seen + smoothing) / (train_tokens + smoothing * (kinds + 1))
         base = np.log10(prob)
-        state, a = tokens[t.before].astype(np.float64), 0  # how often training showed the state before each token
-        for (k, _), n in zip(t.keys, self.valid.tolist()):
+        state = tokens[t.before].astype(np.float64)  # how often training showed the state before each token
+        for k, at in self.at.items():
             on = t.rank >= k - 2
             arc = np.zeros(len(prob))
-            arc[on] = grams[a : a + n]
-            a += n
+            arc[on] = self.counts[k][at]
             # an arc besides the failure arc to the shorter state; a state that training never showed has the latter alone
             prob = np.where(on, (arc + strength * prob) / (state + strength), prob)
             state = np.roll(arc, 1)
