@@ -26,20 +26,23 @@ def with_slope(df: DataFrame, geometry: DataFrame, sloped: Sequence[str]) -> Dat
 
 
 def with_fleet(df: DataFrame, fleet: DataFrame) -> DataFrame:
-    """A row for each fuel and Euro class of the category, with its part of the transits."""
+    """A row for each fuel and Euro class of the category, with its part of the transits.
+
+    A fleet has a row for each class, and categories are so few that a shuffle by them would make a task of each: it is broadcast.
+    """
     f = fleet.select("Category", "Fuel", "ID_Euro", F.col("PercvsADT").alias("_share"))
-    return df.join(f, "Category").withColumn("Transits", F.col("Transits") * F.col("_share")).drop("_share")
+    return df.join(F.broadcast(f), "Category").withColumn("Transits", F.col("Transits") * F.col("_share")).drop("_share")
 
 
 def with_coefficients(df: DataFrame, coefficients: DataFrame) -> DataFrame:
-    """Coefficients by location, category, fuel, Euro class and slope; a NULL slope meets a NULL slope."""
+    """Coefficients by location, category, fuel, Euro class and slope; a NULL slope meets a NULL slope. They are broadcast, as the fleet is."""
     keys = ["Location", "Category", "Fuel", "ID_Euro", "RoadSlope"]
     c = coefficients.withColumnsRenamed({k: f"_c_{k}" for k in keys})
     test = None
     for k in keys:
         one = df[k].eqNullSafe(c[f"_c_{k}"]) if k == "RoadSlope" else df[k] == c[f"_c_{k}"]
         test = one if test is None else test & one
-    return df.join(c, test).drop(*(f"_c_{k}" for k in keys))
+    return df.join(F.broadcast(c), test).drop(*(f"_c_{k}" for k in keys))
 
 
 def emissions(df: DataFrame) -> DataFrame:
