@@ -1,9 +1,9 @@
 """Near-dedup by the similarity of word shingles: SimHash fingerprints, whose trie self-join is dealt by MinHash bands.
 
 Pairs of a Jaccard similarity of 0.8 differ in some ten of 64 bits, too many to deal the trie's nodes by equal runs of
-bits. So documents meet by bands of MinHash values. Each is first compared with the most connected one of its bands;
-what this leaves apart is found by the tries' cross-join within a band, with a Hamming budget and a sketch, and
-confirmed exactly.
+bits. So the tries are dealt by bands of MinHash values, and every pair comes out of the tries' cross-join, with a
+Hamming budget and a sketch, before it is confirmed exactly: first of the members of bands with the most connected one
+of each, then of what this leaves apart with the whole band.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from .simhash import BITS, components, trie_pairs
 
 BANDS, ROWS = 40, 4  # a pair of similarity s has no band in common with probability (1 - s ** ROWS) ** BANDS: 7e-10 at 0.8
 BUDGET = 24  # differing bits of a candidate: a pair of similarity 0.8 has 9.7, give or take 2.9
+CENTRE_BUDGET = 32  # the same for a band's centre, which costs a pair a member: texts of five shingles differ in 12 bits, give or take 3.1
 SKETCH = 128  # first bytes of a sketch, one of each of so many MinHash values
 BINS_LOG = 9  # further bytes: one for each of 2 ** BINS_LOG ranges of hashes, of the lowest hash in it; 0 if there is none
 SIGMAS = 5.5  # how far below its mean a candidate's share of equal bytes may be: a link is lost with probability 2e-8
@@ -133,8 +134,9 @@ def confirmed(texts: DataFrame, pairs: DataFrame, width: int, least: float) -> D
 def similar_roots(texts: DataFrame, classes: DataFrame, width: int, least: float) -> DataFrame:
     """id and root, the lowest id that links of similarity least or more lead to, for each id that has links.
 
-    classes: id, fp, sketch and keys. A band's centre is its member with the most company in its bands. Each id is
-    compared with the centres of its bands, so that a group of copies costs a row each. Members that are in another
+    classes: id, fp, sketch and keys. A band's centre is its member with the most company in its bands. The tries of
+    each centre and of the members of its bands are joined, so that a group of copies costs a row each, and the pairs
+    whose sketches agree enough are confirmed. Members that are in another
     component than their band's centre are then joined with all others of the band (the tries of both are traversed
     together with a Hamming budget; a band of many is dealt over tasks), and pairs of other components whose sketches
     agree enough are confirmed: the FIRST nearest of each id, then those that are still apart and weren't confirmed
@@ -151,7 +153,7 @@ def similar_roots(texts: DataFrame, classes: DataFrame, width: int, least: float
     centred = written(join_spread(members, centres, "key", "n", ["id"]), "centred")
     for done in (members, centres):
         forget(done)
-    seen = written(centred.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    seen = written(_with_centres(centred.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), classes, least), "stars")
     roots = written(components(confirmed(texts, seen, width, least)), "roots")
     named = centred.join(roots, "id", "left").select("key", "id", "size", "centre", F.coalesce("root", "id").alias("root"))
     named = named.join(roots.select(F.col("id").alias("centre"), F.col("root").alias("centre_root")), "centre", "left").withColumn("out", F.col("root") != F.coalesce("centre_root", "centre"))
@@ -177,6 +179,35 @@ def similar_roots(texts: DataFrame, classes: DataFrame, width: int, least: float
     return roots
 
 
+def _with_centres(stars: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (a, b) of members and centres that the tries' join finds and whose sketches agree enough."""
+    stars = written(stars, "members-of-centres")
+    told = classes.select("id", "fp", "sketch")
+    hubs = written(stars.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(told.toDF("b", "fp_b", "sketch_b"), "b"), "centres-of-members")
+    rows = join_spread(stars.join(told.withColumnRenamed("id", "a"), "a"), hubs, "b", "n", ["a"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = len(batch)
+            if not m:
+                continue
+            a, b = (batch.column(c).to_numpy().astype(np.int64) for c in ("a", "b"))
+            fp, fp_b = (batch.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("fp", "fp_b"))
+            sketch, sketch_b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(m, -1) for c in ("sketch", "sketch_b"))
+            by = np.lexsort((fp, b))  # a centre's members are one range, sorted
+            begin = np.flatnonzero(np.r_[True, b[by][1:] != b[by][:-1]])
+            end, centre = np.r_[begin[1:], m], m + np.arange(len(begin))
+            i, j = trie_pairs(np.r_[fp[by], fp_b[by[begin]]], begin, end, CENTRE_BUDGET, (centre, centre + 1), LEAF)
+            at = by[i]
+            at = at[near_sketches(sketch[at], sketch_b[by[begin]][j - m], least)[0]]
+            yield pa.record_batch([pa.array(a[at]), pa.array(b[at])], ["a", "b"])
+
+    out = written(rows.select("a", "b", "fp", "sketch", "fp_b", "sketch_b").mapInArrow(run, "a long, b long"), "with-centres")
+    for done in (stars, hubs):
+        forget(done)
+    return out
+
+
 def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
     """roots (id, root) after further links (a, b), some of whose ids may have had none."""
     named = roots.select(F.col("id").alias("a"), F.col("root").alias("x"))

@@ -67,3 +67,26 @@ def test_a_large_family_of_documents_that_are_alike(spark, monkeypatch):
     want = exact_roots([set(similar.shingles(t.encode(), 5).tolist()) for t in texts])
     assert kept == set(want.tolist()) and 10 < len(kept) < 1490
     assert asked["calls"] <= 3 and asked["pairs"] <= 40 * len(texts)  # of 750 * len(texts)
+
+
+def test_first_pairs_come_from_the_tries(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 250)]
+    texts = [" ".join(f"n{c}-{k}" if k % 25 == 3 and k < cut else w for k, w in enumerate(base)) for c in range(60) for cut in ((25, 250) if c % 2 else (100,))]
+    texts += ["a b c d e f g h", "a b c d e f g h i", "a b c d e f g h", "", "a b c d"]
+    sets = [similar.shingles(t.encode(), 5) for t in texts]
+    asked, plain = [], similar.confirmed
+
+    def seen(docs, pairs, width, least):
+        asked.append([tuple(r) for r in pairs.collect()])
+        return plain(docs, pairs, width, least)
+
+    monkeypatch.setattr(similar, "confirmed", seen)
+    kept = {r.doc_id for r in similar.keep_one_similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = exact_roots([set(s.tolist()) or {-1} for s in sets])
+    assert kept == set(want.tolist())
+    sketch = [np.frombuffer(similar.summary(s)[1], np.uint8)[None] if len(s) else None for s in sets]
+    fp = [similar.fingerprint_of(s) & (2**64 - 1) for s in sets]
+    assert asked[0]
+    for a, b in asked[0]:
+        assert (fp[a] ^ fp[b]).bit_count() <= similar.CENTRE_BUDGET and similar.near_sketches(sketch[a], sketch[b], 0.8)[0].all()
