@@ -69,23 +69,34 @@ def lane_history(history: DataFrame, wanted: DataFrame, n: int, least: int = 10,
     rows = days.groupBy("station", *DAY).agg(F.sum("rows").alias("rows"))
     wanted = wanted.join(rows, ["station", *DAY], "left")
     key = ["station", "direction", *DAY]
-    own = _lanes(days).join(wanted.where(F.col("rows") >= least).select(*key), key).select(*key, "date", "lane", "v", F.try_divide("v", "n").alias("mean_v"))
-    far = borrowed(days, rows, wanted.where(F.coalesce("rows", F.lit(0)) < least), n, wanted if places is None else places)
-    return own.withColumn("borrowed", F.lit(False)).unionByName(far.withColumn("borrowed", F.lit(True)))
+    own = _lanes(days).join(wanted.where(F.col("rows") >= least).select(*key), key).select(*key, "date", "lane", "v", "n")
+    far = _lent(days, rows, wanted.where(F.coalesce("rows", F.lit(0)) < least), n, wanted if places is None else places)
+    # what a station is compared with comes together once, and is grouped there by lane, by date and as a whole
+    both = own.withColumn("borrowed", F.lit(False)).unionByName(far.withColumn("borrowed", F.lit(True))).repartition("station", *DAY)
+    each = both.groupBy(*key, "borrowed", "date", "lane").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).withColumn("mean_v", F.try_divide("v", "n"))
+    return each.select(*key, "date", "lane", F.when(F.col("borrowed"), F.col("mean_v")).otherwise(F.col("v")).alias("v"), "mean_v", "borrowed")
 
 
 def _lanes(days: DataFrame) -> DataFrame:
     return days.where(F.col("lane").cast("int").between(1, 4)).withColumn("direction", lane_direction(F.col("lane")))
 
 
-def borrowed(days: DataFrame, rows: DataFrame, short: DataFrame, n: int, places: DataFrame) -> DataFrame:
-    """Daily lane values (v, mean_v) of stations with too little history (short): means over the rows of the 2 n nearest places with any."""
+def _lent(days: DataFrame, rows: DataFrame, short: DataFrame, n: int, places: DataFrame) -> DataFrame:
+    """The lane days (date, lane, v, n) of the 2 n nearest places with any, for each station with too little history (short)."""
     key = ["station", "direction", *DAY]
     short = short.where("km IS NOT NULL").select(*key, "km")
     known = rows.select("station", *DAY).join(places.where("km IS NOT NULL").select("station", "km").distinct(), "station").select("station", "km", *DAY)
     near = nearest_by_km(known, 2 * n, short.select("station", "km", *DAY).distinct(), by=DAY, order="station", itself=True).select(*DAY, "station", F.col("near_code").alias("near"))
-    far = _lanes(days).withColumnRenamed("station", "near").join(near, ["near", *DAY]).join(short.select(*key), key)
-    return far.groupBy(*key, "date", "lane").agg(F.try_divide(F.sum("v"), F.sum("n")).alias("v")).withColumn("mean_v", F.col("v"))
+    # days are lent to both directions at once, so that they aren't shuffled again to be told apart
+    asked = near.join(short.groupBy("station", *DAY).agg(F.collect_set("direction").alias("directions")), ["station", *DAY])
+    far = _lanes(days).withColumnRenamed("station", "near").join(asked, ["near", *DAY])
+    return far.where(F.array_contains("directions", F.col("direction"))).select(*key, "date", "lane", "v", "n")
+
+
+def borrowed(days: DataFrame, rows: DataFrame, short: DataFrame, n: int, places: DataFrame) -> DataFrame:
+    """Daily lane values (v, mean_v) of stations with too little history (short): means over the rows of the 2 n nearest places with any."""
+    far = _lent(days, rows, short, n, places).repartition("station", *DAY)
+    return far.groupBy("station", "direction", *DAY, "date", "lane").agg(F.try_divide(F.sum("v"), F.sum("n")).alias("v")).withColumn("mean_v", F.col("v"))
 
 
 def history_stats(lanes: DataFrame) -> DataFrame:
@@ -110,12 +121,14 @@ def neighbour_stats(daily: DataFrame, places: DataFrame, n: int) -> DataFrame:
 
 def lane_ratio_stats(lanes: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Mean and sample deviation of the ratio of a direction's two lanes on the days of lane_history(); directions
-    with one lane have no row, and those where a ratio has no divisor have none either."""
+    with one lane have no row, and those where a ratio has no divisor have none either. Lanes are numbers below 64."""
     key = ["station", "direction", *by]
-    ends = lanes.groupBy(*key).agg(F.min("lane").alias("first"), F.max("lane").alias("second"), F.count_distinct("lane").alias("n")).where("n = 2")
-    wide = lanes.join(ends, key).groupBy(*key, "date").agg(*(F.avg(F.when(F.col("lane") == F.col(c), F.col("mean_v"))).alias(c) for c in ("first", "second")))
-    each = wide.withColumn("r", F.try_divide("first", "second")).groupBy(*key)
-    return each.agg(F.avg("r").alias("mean"), F.stddev_samp("r").alias("std"), F.count_if(F.col("second") == 0).alias("bad")).where("bad = 0").drop("bad")
+    day = lanes.withColumn("bit", F.expr("shiftleft(1L, CAST(lane AS INT))")).groupBy(*key, "date")
+    wide = day.agg(F.min("lane").alias("lo"), F.max("lane").alias("hi"), F.bit_or("bit").alias("seen"), F.min_by("mean_v", "lane").alias("a"), F.max_by("mean_v", "lane").alias("b"))
+    # with two lanes in all, the higher one of a day with both is the second; a day may have the second alone
+    each = wide.withColumns({"r": F.when(F.col("lo") < F.col("hi"), F.try_divide("a", "b")), "zero": F.when(F.col("b") == 0, F.col("hi"))}).groupBy(*key)
+    out = each.agg(F.avg("r").alias("mean"), F.stddev_samp("r").alias("std"), F.max("hi").alias("second"), F.max("zero").alias("zero"), F.bit_or("seen").alias("seen"))
+    return out.where((F.bit_count("seen") == 2) & ~F.coalesce(F.col("zero") == F.col("second"), F.lit(False))).drop("second", "zero", "seen")
 
 
 def direction_stats(daily: DataFrame) -> DataFrame:

@@ -86,3 +86,28 @@ def test_moments_merge_and_part(spark):
     assert near(stats(moments.combined(a, b, ["k"], ["x"], ["rows"])), stats(whole)) and stats(whole)["d"] == [2, 5.0, -1, 0.0]
     assert near(stats(moments.combined(whole, b, ["k"], ["x"], ["rows"], -1)), stats(a))
     assert moments.combined(whole, whole, ["k"], ["x"], ["rows"], -1).count() == 0
+
+
+def test_lane_history_is_shuffled_once_to_its_stations(spark, places):
+    history = spark.createDataFrame([(s, lane, day(i), float(ord(s) + lane + i)) for s in "ABCDEFG" for lane in (1, 2, 3) for i in range(5 + ord(s) % 9)], HISTORY)
+    history = quality.day_type(history, none(spark))
+    wanted = places.crossJoin(spark.createDataFrame([(d, 3, k) for d in ("NORD", "SUD") for k in ("Feriale", "Festivo")], "direction string, month int, day_type string"))
+    lanes = quality.lane_history(history, wanted, 2, 20, places)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for make in (quality.history_stats, quality.lane_ratio_stats):
+            plan = make(lanes)._jdf.queryExecution().executedPlan()
+            # what stands above the union of own and lent days has one exchange
+            above = plan.toString().split("\n")
+            union = next(k for k, line in enumerate(above) if "Union" in line)
+            assert sum("Exchange" in line for line in above[:union]) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_ratios_of_days_with_one_lane(spark):
+    rows = [("s", 1, 0, 4.0), ("s", 2, 0, 2.0), ("s", 1, 1, 0.0), ("s", 2, 2, 5.0), ("s", 1, 3, 9.0), ("s", 2, 3, 3.0)]  # a first lane's zero alone is no divisor
+    rows += [("t", 1, 0, 4.0), ("t", 2, 0, 2.0), ("t", 2, 1, 0.0), ("u", 1, 0, 1.0), ("u", 2, 1, 1.0), ("v", 2, 0, 1.0), ("w", 1, 0, 1.0), ("w", 2, 0, 1.0), ("w", 3, 1, 1.0)]
+    lanes = spark.createDataFrame([(s, "NORD", 3, "Feriale", lane, day(d), v) for s, lane, d, v in rows], "station string, direction string, month int, day_type string, lane long, date date, mean_v double")
+    got = {r.station: (r["mean"], r["std"]) for r in quality.lane_ratio_stats(lanes).collect()}
+    assert got == {"s": (2.5, pytest.approx(0.5**0.5)), "u": (None, None)}
