@@ -253,7 +253,7 @@ def _streamed_trips(spark, sf, make):
 
 @query(STREAMED)
 def stream_trips_state(spark, sf):
-    """The same trips, by maps and timers of each device."""
+    """The same trips, by a list and a timer of each device."""
     return _streamed_trips(spark, sf, stateful.trips_with_state)
 
 

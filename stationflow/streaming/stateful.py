@@ -1,13 +1,14 @@
-"""Trips, counts and latest rows of streams on keyed values, maps and timers, and trips as a join of two streams.
+"""Trips, counts and latest rows of streams on keyed values, lists, maps and timers, and trips as a join of two streams.
 
-These need the RocksDB state store (rocksdb() sets it for the streams that are started within). An entry of a map is
-stored by itself, so a sighting doesn't rewrite what its key has already; timers of event time drop what the watermark
-has passed.
+These need the RocksDB state store (rocksdb() sets it for the streams that are started within). Entries of maps are
+stored by themselves and lists are appended to, so a sighting doesn't rewrite what its key has already; timers of event
+time drop what the watermark has passed.
 """
 
 from __future__ import annotations
 
 import contextlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,14 +31,11 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
-def _entries(state) -> list[int]:
-    return sorted(k[0] for k in state.keys())
-
-
 class Trips(StatefulProcessor):
     """Sightings of a device at a link's ends, in microseconds. A start is decided when the watermark has passed all that may end it.
 
-    Timers: of a start when it is decided, of an end when no start before it can come any more.
+    Every call of a state goes to Spark and back, so a key has one list, to which a batch's sightings are added at once,
+    and one timer: when the oldest one of them is decided. It takes all that the watermark has passed.
     """
 
     def __init__(self, max_us: int):
@@ -45,30 +43,41 @@ class Trips(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.starts = handle.getMapState("starts", "at long", "n int")
-        self.ends = handle.getMapState("ends", "at long", "n int")
+        self.seen = handle.getListState("seen", "at long, origin boolean")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _wake(self, oldest: int, mark: int) -> None:
+        ms = max(-(-(oldest + self.max_us) // 1000), mark + 1)
+        if not self.due.exists() or ms < self.due.get()[0]:
+            self.due.update((ms,))
+            self.handle.registerTimer(ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            for at, origin in set(zip(frame["at"].tolist(), frame.is_origin.tolist())):
-                (self.starts if origin else self.ends).updateValue((at,), (1,))
-                self.handle.registerTimer(-(-(at + (self.max_us if origin else 1)) // 1000))
+        new = sorted({r for f in rows for r in zip(f["at"].tolist(), f.is_origin.tolist())})
+        if new:
+            self.seen.appendList(new)
+            self._wake(new[0][0], timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        starts, ends, rows = _entries(self.starts), _entries(self.ends), []
-        for i, s in enumerate(starts):
-            if s + self.max_us > passed:
-                break
-            finish = next((e for e in ends if s < e < s + self.max_us), None)
+        mark = timerValues.getCurrentWatermarkInMs()
+        seen = {(r[0], r[1]) for r in self.seen.get()}
+        starts, ends = (sorted(at for at, origin in seen if origin == at_start) for at_start in (True, False))
+        done = bisect_right(starts, mark * 1000 - self.max_us)
+        rows = []
+        for i, s in enumerate(starts[:done]):
+            at = bisect_right(ends, s)
+            finish = ends[at] if at < len(ends) and ends[at] < s + self.max_us else None
             if finish is not None and (i + 1 == len(starts) or starts[i + 1] > finish):
                 rows.append((*key, pd.Timestamp(s, unit="us"), (finish - s) / 1e6))
-            self.starts.removeKey((s,))
-        open_ = [s for s in starts if s + self.max_us > passed]
-        for e in ends:
-            if e <= min(open_, default=passed):
-                self.ends.removeKey((e,))
+        # a start that comes later is after the watermark
+        first = starts[done] if done < len(starts) else mark * 1000
+        kept = sorted([(s, True) for s in starts[done:]] + [(e, False) for e in ends if e > first])
+        if kept != sorted(seen):
+            self.seen.put(kept) if kept else self.seen.clear()
+        self.due.clear()
+        if kept:
+            self._wake(kept[0][0], mark)
         if rows:
             yield pd.DataFrame(rows, columns=["link_code", "device", "ts", "value"])
 

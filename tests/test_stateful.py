@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from stationflow.operators import trips
@@ -72,3 +73,47 @@ def test_latest_rows(spark, tmp_path):
         if at is not None:
             want[s, t] = max(want.get((s, t), (at, v)), (at, v))
     assert got == want
+
+
+def test_a_device_has_one_timer_and_one_list():
+    class State:
+        def __init__(self):
+            self.held, self.calls = [], 0
+
+        def __getattr__(self, name):
+            def call(*args):
+                self.calls += 1
+                if name in ("appendList", "put"):
+                    self.held = (self.held if name == "appendList" else []) + list(args[0])
+                elif name in ("update", "clear"):
+                    self.held = list(args)
+                return {"get": self.held[0] if self.held and not isinstance(self.held[0], tuple) else iter(self.held), "exists": bool(self.held)}.get(name)
+
+            return call
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getListState(self, name, schema):
+            return State()
+
+        def getValueState(self, name, schema):
+            state = State()
+            state.get = lambda: state.held[0]
+            return state
+
+        def registerTimer(self, ms):
+            self.timers.add(ms)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    p, handle = stateful.Trips(10_000_000), Handle()
+    p.init(handle)
+    seen = [(k * 1_000_000, k % 2 == 0) for k in range(200)]
+    list(p.handleInputRows(("l", "x"), iter([pd.DataFrame(seen, columns=["at", "is_origin"])]), At(0)))
+    assert handle.timers == {10_000} and p.seen.calls == 1
+    out = [r for f in p.handleExpiredTimer(("l", "x"), At(100_000), At(10_000)) for r in f.value]
+    assert out == [1.0] * 46 and min(p.seen.held) == (92_000_000, True) and max(handle.timers) == 102_000
