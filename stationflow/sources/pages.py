@@ -107,7 +107,7 @@ def rows_of(path: str, part: Pages) -> Iterator[pa.RecordBatch]:
             for code, station in of_kind["stations"].items():
                 for name, data in station["sdatatypes"].items():
                     for m in data["tmeasurements"]:
-                        t = dt.datetime.strptime(m["mvalidtime"], "%Y-%m-%d %H:%M:%S.%f%z")
+                        t = dt.datetime.fromisoformat(m["mvalidtime"])
                         if (part.least is None or _us(t) >= part.least) and (part.most is None or _us(t) <= part.most):
                             rows.append((kind, code, name, t, m["mvalue"], m["mperiod"]))
         rows.sort(key=lambda r: (r[3], r[2]))
@@ -210,25 +210,30 @@ class PagesWriter(DataSourceArrowWriter):
         store, root = _files(self.path)
         names: list[str] = []
         held: list[dict] = []
+        made = [""]
 
         def close() -> None:
             tree: dict = {}
             for r in held:
                 data = tree.setdefault(r["station_type"] or "", {"stations": {}})["stations"].setdefault(r["station_code"], {"sdatatypes": {}})["sdatatypes"]
-                stamp = r["ts"].astimezone(dt.UTC).strftime("%Y-%m-%d %H:%M:%S.%f+0000")
+                stamp = r["ts"].astimezone(dt.UTC).replace(tzinfo=None).isoformat(" ", "microseconds") + "+0000"
                 data.setdefault(r["type_name"], {"tmeasurements": []})["tmeasurements"].append({"mvalidtime": stamp, "mvalue": r["value"], "mperiod": r["period"]})
             folder = posixpath.join(self.job, quote(held[0]["station_code"], safe=""))
-            store.create_dir(posixpath.join(root, folder), recursive=True)
+            if folder != made[0]:  # a station's pages mostly follow each other
+                store.create_dir(posixpath.join(root, folder), recursive=True)
+                made[0] = folder
             names.append(posixpath.join(folder, f"{_us(held[0]['ts'])}-{_us(held[-1]['ts'])}-{uuid.uuid4().hex}.json"))
             with store.open_output_stream(posixpath.join(root, names[-1])) as f:
                 f.write(json.dumps(tree).encode())
             held.clear()
 
-        bucket = lambda r: (r["station_code"], _us(r["ts"]) // (self.range_s * 1_000_000))
+        now = None
         for batch in iterator:
             for row in batch.to_pylist():
-                if held and (len(held) >= self.rows or bucket(held[0]) != bucket(row)):
+                bucket = row["station_code"], _us(row["ts"]) // (self.range_s * 1_000_000)
+                if held and (len(held) >= self.rows or bucket != now):
                     close()
+                now = bucket
                 held.append(row)
         if held:
             close()
