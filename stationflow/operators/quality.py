@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lane_direction, station_km
+from ..sources import held
 from .grids import gap_s, seconds
 from .moments import average, combined, deviation, moments
 from .scans import least_of_run, runs, within
@@ -188,6 +189,9 @@ class History:
     moments: for each station, direction, month and day type total_n/mean/m2 of the daily totals, ratio_n/mean/m2 of the
     ratio of the direction's two lanes, and how many days have each lane (first, second) or a ratio without a divisor
     (bad). counts: the rows of each station, month and day type, over all lanes.
+
+    Each of the three is a table in the shared folder (held()), so that what follows reads it and doesn't compute the
+    history's past again within the same tasks.
     """
 
     KEY = ("station", "direction", *DAY)
@@ -198,8 +202,9 @@ class History:
     @classmethod
     def of(cls, history: DataFrame, holidays: DataFrame) -> History:
         """From all of history (station, lane, date, total_traffic)."""
-        days = lane_days(day_type(history, holidays))
-        return cls(days, *cls._summed(days))
+        days = held(lane_days(day_type(history, holidays)), "lane-days")
+        moments_, counts = cls._summed(days)
+        return cls(days, held(moments_, "moments"), held(counts, "counts"))
 
     @classmethod
     def _summed(cls, days: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -215,14 +220,15 @@ class History:
 
         Only the days of the new history, and those that they replace, are read; all other days stay in the moments.
         """
-        new = lane_days(day_type(history, holidays))
+        new = held(lane_days(day_type(history, holidays)), "new-days")
         sent = new.select("station", "date").distinct()
-        gone = self.days.join(sent, ["station", "date"], "left_semi")
+        gone = held(self.days.join(sent, ["station", "date"], "left_semi"), "gone-days")
         now = [self.moments, self.counts]
         for days, sign in ((gone, -1), (new, 1)):
-            m, c = self._summed(days)
+            m, c = (held(t, name) for t, name in zip(self._summed(days), ("moments", "counts")))
             now = [combined(now[0], m, self.KEY, ("total", "ratio"), ("days", "first", "second", "bad"), sign), combined(now[1], c, ("station", *DAY), (), ("rows",), sign)]
-        return History(self.days.join(sent, ["station", "date"], "left_anti").unionByName(new), *now)
+        now = [held(t, name) for t, name in zip(now, ("moments", "counts"))]
+        return History(held(self.days.join(sent, ["station", "date"], "left_anti").unionByName(new), "lane-days"), *now)
 
     def compared(self, wanted: DataFrame, places: DataFrame, n: int, least: int) -> DataFrame:
         """A19, A21 of wanted (station, km, direction, month, day_type): m1, s1 of totals, m2, s2 of ratios, two (whether there are ratios), skipped.

@@ -76,6 +76,17 @@ def test_history_that_follows_day_by_day(spark, places, tmp_path):
     assert flags(known) == flags(whole) and len(flags(whole)) == 7 * 4 * 12
 
 
+def test_a_history_is_read_not_computed_again(spark):
+    """Of three days' updates nothing is left in the tasks of what follows: no grouping, join or shuffle of the past."""
+    known = quality.History.of(spark.createDataFrame([("A", lane, day(i), 5.0 + i) for lane in (1, 2) for i in range(20)], HISTORY), none(spark))
+    for i in (19, 20, 21):
+        known = known.updated(spark.createDataFrame([("A", lane, day(i), 7.0) for lane in (1, 2)], HISTORY), none(spark))
+    for table in (known.days, known.moments, known.counts):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert not any(step in plan for step in ("Exchange", "Aggregate", "Join", "Union")), plan
+    assert known.days.count() == 44 and known.counts.agg(F.sum("rows")).first()[0] == 44
+
+
 def test_moments_merge_and_part(spark):
     rng = random.Random(1)
     values = [(rng.choice("abc"), rng.gauss(1e6, 1)) for _ in range(300)] + [("d", 5.0), ("d", None)]
