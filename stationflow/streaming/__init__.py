@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,44 +135,52 @@ def recomputed_range(key: Sequence[str]) -> Callable[[DataFrame, DataFrame], Dat
 
 
 TRIP = "link_code string, device string, ts timestamp, value double"
-STATE = "starts array<timestamp>, ends array<timestamp>"
+STATE = "devices array<string>, times array<long>, origins array<boolean>"
 
 
-def stream_match(source: DataFrame, edges: DataFrame, max_s: int = 3600, delay: str = "10 minutes") -> DataFrame:
+def stream_match(source: DataFrame, edges: DataFrame, max_s: int = 3600, delay: str = "10 minutes", buckets: int = 1024) -> DataFrame:
     """Trips as match_trips() finds them, each when the watermark has passed all that could change it.
 
-    edges are joined as a static table. State is kept for each link and device: sightings at either end that are not
-    older than max_s before the watermark.
+    edges are joined as a static table, which is broadcast. State is kept for each link and bucket of devices (by hash):
+    sightings at either end that are not older than max_s before the watermark. A call costs milliseconds, however few
+    rows it gets, so the devices of a bucket share one, and their sightings are matched as one sorted sequence.
     """
     ends = edges.select("link_code", F.explode(F.array(F.struct(F.col("origin_code").alias("station_code"), F.lit(True).alias("is_origin")), F.struct(F.col("destination_code").alias("station_code"), F.lit(False).alias("is_origin")))).alias("e")).select("link_code", "e.*")
-    seen = source.withWatermark("ts", delay).join(ends, "station_code").select("link_code", "device", "ts", "is_origin")
-    wait = pd.Timedelta(seconds=max_s)
+    seen = source.withWatermark("ts", delay).join(F.broadcast(ends), "station_code")
+    # without a time nothing is a trip; ts is passed on as it lets Spark drop what is too late
+    seen = seen.where("ts IS NOT NULL").select("link_code", F.pmod(F.xxhash64("device"), F.lit(buckets)).alias("bucket"), "device", "ts", F.unix_micros("ts").alias("time"), "is_origin")
+    wait = max_s * 1_000_000
 
     def match(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        starts, ends_ = (set(map(pd.Timestamp, x)) for x in state.get) if state.exists else (set(), set())
-        for f in frames:
-            starts |= set(f.ts[f.is_origin])
-            ends_ |= set(f.ts[~f.is_origin])
-        mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        rows, begun, ended = [], sorted(starts), sorted(ends_)
-        for i, s in enumerate(begun):
-            if s + wait > mark:
-                break
-            at = bisect_right(ended, s)
-            finish = ended[at] if at < len(ended) and ended[at] < s + wait else None
-            # the next start cuts a trip off if it isn't after its finish
-            if finish is not None and (i + 1 == len(begun) or begun[i + 1] > finish):
-                rows.append((*key, s, (finish - s).total_seconds()))
-        open_ = {s for s in starts if s + wait > mark}
-        # a decided start still cuts off none of the open ones, as it is earlier than all of them
-        kept = {e for e in ends_ if e > min(open_, default=mark)}
-        if open_ or kept:
-            state.update(([*map(pd.Timestamp.to_pydatetime, sorted(open_))], [*map(pd.Timestamp.to_pydatetime, sorted(kept))]))
-            at = min(open_, default=min(kept, default=mark)) + wait
-            state.setTimeoutTimestamp(max(int(at.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+        parts = [pd.DataFrame(dict(zip(("device", "time", "is_origin"), state.get)))] if state.exists else []
+        parts += [f[["device", "time", "is_origin"]] for f in frames]
+        # of a device's equal times the end comes first, so that all that follows a start is after it
+        rows = pd.concat(parts).drop_duplicates().sort_values(["device", "time", "is_origin"], ignore_index=True)
+        device, time, origin = rows.device.factorize(use_na_sentinel=False)[0], rows.time.to_numpy("int64"), rows.is_origin.to_numpy(bool)
+        mark, n = state.getCurrentWatermarkMs() * 1000, len(rows)
+
+        def following(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The place of each row's next one of these, and whether the device has it."""
+            at = np.append(np.minimum.accumulate(np.where(of, np.arange(n), n)[::-1])[::-1], n)[1:]
+            return np.minimum(at, n - 1), (at < n) & (device[np.minimum(at, n - 1)] == device)
+
+        (end, ends_), (again, begins) = following(~origin), following(origin)
+        decided = origin & (time + wait <= mark)
+        # the next start cuts a trip off if it isn't after its finish
+        trip = decided & ends_ & (time[end] < time + wait) & ~(begins & (time[again] <= time[end]))
+        open_ = origin & ~decided
+        # ends are kept for open starts of their device before them, and for starts that are still to come, after the watermark
+        first = np.full(device.max() + 1, mark)
+        np.minimum.at(first, device[open_], time[open_])
+        kept = open_ | (~origin & (time > first[device]))
+        if kept.any():
+            left = rows[kept]
+            state.update((left.device.tolist(), left.time.tolist(), left.is_origin.tolist()))
+            due = int((time[open_] if open_.any() else time[kept]).min()) + wait
+            state.setTimeoutTimestamp(max(-(-due // 1000), state.getCurrentWatermarkMs() + 1))
         else:
             state.remove()
-        if rows:
-            yield pd.DataFrame(rows, columns=["link_code", "device", "ts", "value"])
+        if trip.any():
+            yield pd.DataFrame({"link_code": key[0], "device": rows.device[trip], "ts": pd.to_datetime(time[trip], unit="us"), "value": (time[end][trip] - time[trip]) / 1e6})
 
-    return seen.groupBy("link_code", "device").applyInPandasWithState(match, TRIP, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return seen.groupBy("link_code", "bucket").applyInPandasWithState(match, TRIP, STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -1,6 +1,7 @@
 """Streams give what batches give."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 from stationflow.operators import trips
@@ -45,6 +46,32 @@ def test_trips(spark, tmp_path):
     assert got == want and len(want) == 4
 
 
+def test_trips_of_many_devices_share_calls(spark, tmp_path):
+    """Times of many devices in any order, equal ones and repeated ones too; state has a row for a bucket, not for a device."""
+    rng = random.Random(4)
+    seen = [(rng.choice("ab"), f"d{rng.randrange(300)}", T0 + dt.timedelta(seconds=300 * rng.randrange(200))) for _ in range(6000)]
+    seen += seen[:500] + [("a", None, T0), ("b", None, T0 + dt.timedelta(minutes=5)), ("z", "d0", T0 + dt.timedelta(days=9))] + [("a", "last", T0 + dt.timedelta(days=9))] * 2
+    edges = spark.createDataFrame([("l", "a", "b"), ("m", "b", "a")], "link_code string, origin_code string, destination_code string")
+    src = feed(spark, tmp_path, seen, "station_code string, device string, ts timestamp")
+    q = stream_match(src, edges, buckets=8).writeStream.format("memory").queryName("many").outputMode("append").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r.link_code, str(r.device), r.ts, r.value) for r in spark.table("many").collect())
+    want = sorted((r.link_code, str(r.device), r.ts, r.value) for r in trips.match_trips(spark.createDataFrame(seen, "station_code string, device string, ts timestamp"), edges).collect())
+    assert got == want and len(want) > 500 and ("l", "None", T0, 300.0) in want
+    assert 0 < max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]) <= 16
+
+
+def test_an_end_waits_for_a_start_that_comes_later(spark, tmp_path):
+    at = lambda c, s: (c, "x", T0 + dt.timedelta(seconds=s))
+    schema, path = "station_code string, device string, ts timestamp", str(tmp_path / "in")
+    for rows in ([at("z", 10000)], [at("b", 10900), at("a", 12000)], [at("a", 10500)], [at("z", 90000)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    edges = spark.createDataFrame([("l", "a", "b"), ("n", "z", "y")], "link_code string, origin_code string, destination_code string")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    drain(stream_match(src, edges).writeStream.format("memory").queryName("late").outputMode("append"), tmp_path)
+    assert [(r.ts, r.value) for r in spark.table("late").collect()] == [(T0 + dt.timedelta(seconds=10500), 400.0)]
+
+
 def test_merge(spark, tmp_path):
     schema = "station_code string, value double, ts timestamp"
     state = {"now": [("s", 9.0, T0 + dt.timedelta(minutes=1)), ("s", 1.0, T0 + dt.timedelta(minutes=500)), ("other", 5.0, T0)]}
