@@ -21,8 +21,8 @@ def eligible_traffic_stations(stations: DataFrame) -> DataFrame:
 
 
 def day_type(df: DataFrame, holidays: DataFrame, day: str = "date") -> DataFrame:
-    """Festivo on weekends and holidays (date), else Feriale."""
-    h = holidays.select(F.col("date").alias("_h")).distinct()
+    """Festivo on weekends and holidays (date, a calendar: broadcast, so that rows aren't shuffled to their date), else Feriale."""
+    h = F.broadcast(holidays.select(F.col("date").alias("_h")).distinct())
     off = F.col("_h").isNotNull() | (F.weekday(day) >= 5)
     return df.join(h, df[day] == h["_h"], "left").withColumn("day_type", F.when(off, "Festivo").otherwise("Feriale")).drop("_h")
 
