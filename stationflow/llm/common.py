@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ def forget(table: DataFrame, part: str = "") -> None:
     path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -50,6 +50,21 @@ def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int
         cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, batch.num_rows] if batch.num_rows else [0, 0]
         for a, b in zip(cuts[:-1], cuts[1:]):
             yield batch.slice(int(a), int(b - a))
+    pa.default_memory_pool().release_unused()
+
+
+_HELD: list = [(), None]
+
+
+def held_by_worker(of: tuple, make: Callable):
+    """make(*of), kept for the further tasks of this Python worker until one asks for what is made of other objects.
+
+    A worker serves one operator after another, and would otherwise hold the maps of all of them.
+    """
+    if len(_HELD[0]) != len(of) or not all(a is b or isinstance(a, str) and a == b for a, b in zip(_HELD[0], of)):
+        _HELD[:] = (), None  # goes before the next is made
+        _HELD[:] = of, make(*of)
+    return _HELD[1]
 
 
 HOTTEST = 4096  # keys that join_spread() looks after
@@ -173,14 +188,16 @@ def filter_bits(hashes: int) -> int:
 SLICE_BITS = 18  # places of a slice of the filter; a slice is merged as a whole
 
 
-def seen_twice(hashes: DataFrame, bits: int) -> bytes:
+def seen_twice(rows: DataFrame, bits: int, hashed: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter) -> bytes:
     """The twice-seen filter over a column h of packed 64-bit hashes, each row holding what one document or block saw.
 
+    hashed makes batches with that column of those of rows, in the same Python worker that sends their places: two
+    Python steps in a task would take two workers, which stay.
     Tasks send the places that they saw, once or more, by slice; a slice's task merges them as they come, in
     2 ** SLICE_BITS bytes of memory. The merged slices are written, and the driver reads the bits of the twice-seen
     filter at once, 2 ** bits / 8 bytes.
     """
-    spark, most = hashes.sparkSession, 2_000_000
+    spark, most = rows.sparkSession, 2_000_000
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -213,7 +230,7 @@ def seen_twice(hashes: DataFrame, bits: int) -> bytes:
             )
 
         size = 0
-        for batch in batches:
+        for batch in hashed(batches):
             for x in batch.column("h").to_pylist():
                 if x:
                     held.append(np.frombuffer(x, dtype=np.uint64))
@@ -235,7 +252,7 @@ def seen_twice(hashes: DataFrame, bits: int) -> bytes:
             if (s == 2).any():
                 yield pa.record_batch([pa.array([part], pa.int32()), pa.array([np.packbits(s == 2, bitorder="little").tobytes()], pa.binary())], ["slice", "bits"])
 
-    sent = hashes.mapInArrow(send, "slice int, at binary, twice binary")
+    sent = rows.mapInArrow(send, "slice int, at binary, twice binary")
     slices = max(1, (1 << bits) >> SLICE_BITS)
     parts = sent.repartition(min(slices, int(spark.conf.get("spark.sql.shuffle.partitions"))), "slice").mapInArrow(merge, "slice int, bits binary")
     merged = written(parts, "filter")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, portions, small_batches, text_bytes, written
+from .common import forget, held_by_worker, portions, small_batches, text_bytes, written
 
 # Bytes outside of words become spaces, A-Z become a-z; bytes of 128 and above belong to words.
 WORD_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256))
@@ -301,7 +301,7 @@ def _search(docs: DataFrame, shared: list, shard_words: int, share: int, keep: t
     """One pass over docs with the blocks that shared has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = [_phrases(b.value) for b in shared]
+        phrases = held_by_worker(tuple(b.value for b in shared), lambda *packed: list(map(Phrases, packed)))
 
         def judged(shards: list[Shard], held: list[tuple]) -> Iterator[pa.RecordBatch]:
             found = [s.hits() for s in shards]
@@ -335,19 +335,6 @@ def _search(docs: DataFrame, shared: list, shard_words: int, share: int, keep: t
     return lean.mapInArrow(run, ", ".join([OUT, *(f"`{c}` {kinds[c]}" for c in keep)]))
 
 
-_PHRASES: dict[int, tuple] = {}
-
-
-def _phrases(packed: tuple) -> Phrases:
-    """One for each block and Python worker; those of other queries make room."""
-    key = id(packed)
-    if key not in _PHRASES or _PHRASES[key][0] is not packed:
-        if len(_PHRASES) >= MOST_BLOCKS:
-            _PHRASES.clear()
-        _PHRASES[key] = packed, Phrases(packed)
-    return _PHRASES[key][1]
-
-
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of docs that aren't contaminated."""
     others = tuple(c for c in docs.columns if c != "doc_id")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, portions, small_batches
+from .common import hash_sample, held_by_worker, portions, small_batches
 
 # word characters that are neither letters nor decimal digits: fractions, powers, Roman and circled numbers
 NUMBERS = frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
@@ -34,6 +34,7 @@ def words_of(text: str | None) -> list[str]:
 BUCKETS = 1 << 16  # hashed features
 SEGMENT = 64  # words of a segment; segments are chained by their transfer matrices
 MOST_WORDS = 150_000  # words whose scores a worker keeps; beyond that it begins anew
+NEW_WORDS = 1 << 13  # words whose features are made at once
 
 
 def _hashed(kind: int, *parts: np.ndarray) -> np.ndarray:
@@ -208,8 +209,9 @@ class Labeller:
         if new:
             while len(self.scores) < self.used + len(new):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            s = word_scores(self.model.weights, new, self.model.lexicon)
-            self.scores[self.used : self.used + len(new)] = np.exp(s - s.max(1, keepdims=True)) + 1e-12
+            for a in range(0, len(new), NEW_WORDS):
+                s = word_scores(self.model.weights, new[a : a + NEW_WORDS], self.model.lexicon)
+                self.scores[self.used + a : self.used + a + len(s)] = np.exp(s - s.max(1, keepdims=True)) + 1e-12
             self.number.update(zip(new, range(self.used, self.used + len(new))))
             self.used += len(new)
         return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
@@ -309,7 +311,7 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, most_samples: i
                 n = batch.num_rows
                 yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(["und"] * n, pa.string()), pa.array([0.0] * n), pa.array([0] * n, pa.int64()), pa.array([0] * n, pa.int64()), *extra(batch)], names_out)
             return
-        labeller, names = Labeller(model.value), np.array(model.value.labels, dtype=object)
+        labeller, names = held_by_worker((model.value,), Labeller), np.array(model.value.labels, dtype=object)
         for batch in portions(batches, most=max(1 << 14, (1 << 24) // len(names) ** 2)):
             texts = list(map(words_of, batch.column("text").to_pylist()))
             post, first = labeller.marginals(texts)

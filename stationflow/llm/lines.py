@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MOST_IDS, TwiceFilter, filter_bits, forget, join_spread, portions, seen_twice, small_batches, written
+from .common import MOST_IDS, TwiceFilter, filter_bits, forget, held_by_worker, join_spread, portions, seen_twice, small_batches, written
 
 
 def keys(text: bytes | None, least: int) -> list[bytes | None]:
@@ -58,7 +58,7 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, most_share
 
     lines = docs.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n"))
     bits = filter_bits(lines.first().n or 0)
-    twice = spark.sparkContext.broadcast(seen_twice(lean.select("text").mapInArrow(hashed, "h binary"), bits))
+    twice = spark.sparkContext.broadcast(seen_twice(lean.select("text"), bits, hashed))
 
     def suspected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = TwiceFilter(twice.value, bits)
@@ -94,7 +94,7 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, most_share
         joined = joined.unionByName(docs.join(losers, docs.doc_id.eqNullSafe(losers.of), "left_anti").withColumn("drops", F.lit(None).cast("array<binary>")))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keeper = _keepers(held_by.value) if small else {}
+        keeper = held_by_worker((held_by.value,), _keepers) if small else {}
         for batch in portions(batches):
             rows = []
             for doc, text, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "drops"))):
@@ -115,15 +115,10 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3, most_share
     return joined.select(*names, "drops").mapInArrow(kept, schema + ", n_lines long, n_dropped long, kept_sha256 string")
 
 
-_KEEPERS: list = [None, {}]
-
-
 def _keepers(shared: tuple[bytes, list]) -> dict[bytes, int | None]:
-    """The document that keeps each repeated key, as one map for each Python worker."""
-    if _KEEPERS[0] is not shared:
-        digests, ids = shared
-        _KEEPERS[:] = shared, {digests[16 * i : 16 * i + 16]: d for i, d in enumerate(ids)}
-    return _KEEPERS[1]
+    """The document that keeps each repeated key."""
+    digests, ids = shared
+    return {digests[16 * i : 16 * i + 16]: d for i, d in enumerate(ids)}
 
 
 ORACLE = r"""

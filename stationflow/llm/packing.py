@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import portions, small_batches, written
+from .common import held_by_worker, portions, small_batches, written
 
 MOST_CACHED = 300_000  # pieces whose ids a worker keeps; beyond that it begins anew
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the public byte-level pattern
@@ -239,7 +239,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, held, part = _encoder(definition.value), Packer(capacity), 0, TaskContext.get().partitionId()
+        encoder, packer, held, part = held_by_worker((definition.value,), Encoder), Packer(capacity), 0, TaskContext.get().partitionId()
         rows: list[tuple] = []
 
         def sent(least: int = 0) -> Iterator[pa.RecordBatch]:
@@ -281,13 +281,3 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
 
 
 PIECE_NAMES = [c.split()[0] for c in PIECES.split(", ")]
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(definition: str) -> Encoder:
-    """One for each Python worker, since its cache is what makes it quick."""
-    key = hash(definition)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition)
-    return _ENCODERS[key]

@@ -151,7 +151,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, with_kept: bool = False)
             each = (slices(t or b"", width) for t in batch.column("text").to_pylist())
             yield pa.record_batch([pa.array([np.concatenate([low, low[again]]).tobytes() for _, _, low, again in each], pa.binary())], ["h"])
 
-    twice = spark.sparkContext.broadcast(seen_twice(long.select("text").mapInArrow(hashed, "h binary"), bits))
+    twice = spark.sparkContext.broadcast(seen_twice(long.select("text"), bits, hashed))
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = TwiceFilter(twice.value, bits)
