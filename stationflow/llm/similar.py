@@ -139,8 +139,8 @@ def similar_roots(texts: DataFrame, classes: DataFrame, width: int, least: float
     whose sketches agree enough are confirmed. Members that are in another
     component than their band's centre are then joined with all others of the band (the tries of both are traversed
     together with a Hamming budget; a band of many is dealt over tasks), and pairs of other components whose sketches
-    agree enough are confirmed: the FIRST nearest of each id, then those that are still apart and weren't confirmed
-    before. Components of components are found among the new links only.
+    agree enough are confirmed: the FIRST nearest of each id, then, looked for again, those that are still apart and
+    weren't tried before. So only what the first ones leave apart is listed in pairs. Components of components are found among the new links only.
     """
     rows = classes.select("id", F.explode("keys").alias("key"))
     shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
@@ -155,30 +155,33 @@ def similar_roots(texts: DataFrame, classes: DataFrame, width: int, least: float
         forget(done)
     seen = written(_with_centres(centred.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), classes, least), "stars")
     roots = written(components(confirmed(texts, seen, width, least)), "roots")
-    named = centred.join(roots, "id", "left").select("key", "id", "size", "centre", F.coalesce("root", "id").alias("root"))
-    named = named.join(roots.select(F.col("id").alias("centre"), F.col("root").alias("centre_root")), "centre", "left").withColumn("out", F.col("root") != F.coalesce("centre_root", "centre"))
-    named = written(named.select("key", "id", "size", "root", "out"), "named")
-    apart = written(named.where("out").groupBy("key").agg(F.count(F.lit(1)).alias("n_out")), "bands-apart")
-    rest = written(_nearest(named.join(apart, "key"), classes, least).join(seen, ["a", "b"], "left_anti"), "rest")
-    for done in (centred, named, apart, seen):
-        forget(done)
-    for first in (True, False):
-        due = rest.where("first")
-        if not first:
-            due = rest.where("NOT first").join(roots.select(F.col("id").alias("a"), F.col("root").alias("x")), "a", "left")
-            due = due.join(roots.select(F.col("id").alias("b"), F.col("root").alias("y")), "b", "left")
-            due = due.where(F.coalesce("x", "a") != F.coalesce("y", "b"))
-        due = written(due.select("a", "b"), "due")
+    tried = seen
+    for most in (FIRST, None):
+        due = _nearest(_bands_apart(centred, roots), classes, least, most)
+        due = written(due.join(tried, ["a", "b"], "left_anti"), "due")
         if due.isEmpty():
             continue
         more = confirmed(texts, due, width, least)
-        forget(due)
+        tried = tried.unionByName(due)
         if not more.isEmpty():
             roots = _merged(roots, more)
-    forget(rest)
+    for done in (centred, seen):
+        forget(done)
     return roots
 
 
+def _bands_apart(centred: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of bands of which one at least is in another component than its centre: out of those, n_out of each band."""
+    named = centred.join(roots, "id", "left").select("key", "id", "size", "centre", F.coalesce("root", "id").alias("root"))
+    named = named.join(roots.select(F.col("id").alias("centre"), F.col("root").alias("centre_root")), "centre", "left").withColumn("out", F.col("root") != F.coalesce("centre_root", "centre"))
+    named = written(named.select("key", "id", "size", "root", "out"), "named")
+    apart = written(named.where("out").groupBy("key").agg(F.count(F.lit(1)).alias("n_out")), "bands-apart")
+    out = written(named.join(apart, "key"), "members-apart")
+    for done in (named, apart):
+        forget(done)
+    return out
+
+
 def _with_centres(stars: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Those of the pairs (a, b) of members and centres that the tries' join finds and whose sketches agree enough."""
     stars = written(stars, "members-of-centres")
@@ -222,8 +225,8 @@ def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
     return out
 
 
-def _nearest(named: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Candidates (a, b) of other components within each band, and whether b is among the FIRST nearest of a, or a of b, in one."""
+def _nearest(named: DataFrame, classes: DataFrame, least: float, most: int | None = None) -> DataFrame:
+    """Candidates (a, b) of other components within each band; with most, those where b is among so many nearest of a, or a of b, in one."""
     deals = F.ceil(F.col("size") / DEAL).cast("int")
     told = named.join(classes.select("id", "fp", "sketch"), "id")
     as_y = told.withColumn("deal", F.pmod(F.xxhash64("id"), deals).cast("int"))
@@ -258,7 +261,9 @@ def _nearest(named: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                     i, j = i[by], j[by]
                     new = np.r_[True, i[1:] != i[:-1]]
                     rank = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
-                    yield pa.record_batch([pa.array(np.maximum(ids[i], ids[j])), pa.array(np.minimum(ids[i], ids[j])), pa.array(rank < FIRST)], ["a", "b", "first"])
+                    if most is not None:
+                        i, j = i[rank < most], j[rank < most]
+                    yield pa.record_batch([pa.array(np.maximum(ids[i], ids[j])), pa.array(np.minimum(ids[i], ids[j]))], ["a", "b"])
 
         held: list[tuple] = []
         now = None
@@ -272,8 +277,8 @@ def _nearest(named: DataFrame, classes: DataFrame, least: float) -> DataFrame:
         if held:
             yield from joined(held)
 
-    pairs = both.select(*cols, "x").repartition("key", "deal").sortWithinPartitions("key", "deal").mapInArrow(run, "a long, b long, first boolean")
-    return pairs.groupBy("a", "b").agg(F.max("first").alias("first"))
+    pairs = both.select(*cols, "x").repartition("key", "deal").sortWithinPartitions("key", "deal").mapInArrow(run, "a long, b long")
+    return pairs.distinct()
 
 
 def keep_one_similar(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:

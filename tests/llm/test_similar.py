@@ -90,3 +90,27 @@ def test_first_pairs_come_from_the_tries(spark, monkeypatch):
     assert asked[0]
     for a, b in asked[0]:
         assert (fp[a] ^ fp[b]).bit_count() <= similar.CENTRE_BUDGET and similar.near_sketches(sketch[a], sketch[b], 0.8)[0].all()
+
+
+def test_pairs_that_the_first_ones_settle_are_not_listed(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 250)]
+    texts = []
+    for c in range(200):
+        copy = list(base)
+        for at in rng.integers(0, len(base), rng.integers(2, 11)):
+            copy[at] = f"n{c}-{at}"
+        texts.append(" ".join(copy))
+    monkeypatch.setattr(similar, "FIRST", 2)
+    rows, write = [], similar.written
+
+    def counted(df, name, *args):
+        table = write(df, name, *args)
+        if name in ("rest", "due"):
+            rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(similar, "written", counted)
+    kept = {r.doc_id for r in similar.keep_one_similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept == set(exact_roots([set(similar.shingles(t.encode(), 5).tolist()) for t in texts]).tolist())
+    assert sum(rows) <= 12 * len(texts), rows
